@@ -142,5 +142,5 @@ def script_lineage_of(spark, path: str, task: str | None = None) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     script_split, script_comment_strip, script_noise_filter, script_blank_lines, ctas_strip,
     tokens_depth, refs_inputs, refs_from_only, refs_outputs, refs_ctes, lineage_records,
-    lineage_source_inputs, ref_counts, ref_string, case_fold, statement_kinds,
+    lineage_source_inputs, ref_counts, ref_list, ref_string, case_fold, statement_kinds,
     unparsable_quarantine, table_edges, query_hash, script_lineage)}
