@@ -54,7 +54,7 @@ def lineage_from_tokens(labelled: DataFrame, id_col: str = "stmt_id", on_error:
         _set(F.when((role == "in") & (F.col("in_subquery") == 0), name)).alias("tok_from"),
         _set(F.when(role == "out", name)).alias("tok_out"),
         _set(F.when(role == "cte", name)).alias("ctes"),
-        ((F.min("d") >= 0) & (F.max_by("d", "pos") == 0)).alias("balanced"))
+        F.any_value("balanced").alias("balanced"))
     command = F.col("kind").isin(*T.COMMAND_KINDS)
     inputs = F.when(command, _one(F.col("cmd_in"))).otherwise(F.col("tok_in"))
     from_inputs = F.when(command, _one(F.col("cmd_in"))).otherwise(F.col("tok_from"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sqlweave.functions import text as T
-from sqlweave.operators.tokens import NOT_NAMES, scope_tokens, tokenize
+from sqlweave.operators.tokens import NOT_NAMES, codes, code, expression_nesting, scope_tokens, tokenize
 
 # ---------------------------------------------------------------------------------------
 # Tokens that stand right before a written table, and before a read table.
@@ -25,21 +25,28 @@ def fold_case(name: Column, raw: Column, case: str) -> Column:
 
 
 def label_tokens(scoped: DataFrame, case: str = "keep") -> DataFrame:
-    """Adds ``role`` (in | out | cte | null) and ``table_name`` (back-ticks removed)."""
-    tok, k, pv, nx, cl = F.col("tok"), F.col("k"), F.col("pv"), F.col("nx"), F.col("cl")
-    is_name = tok.rlike("^[`\\p{L}_]") & ~k.isin(*NOT_NAMES)
-    role = (F.when(is_name & (cl == "with") & pv.isin("with", ",") & nx.isin("as", "("), "cte")
-            .when(is_name & cl.isin("insert", "create") & pv.isin(*OUT_AFTER), "out")
-            .when(is_name & (nx != "(") & F.col("q") & (cl == "from") & pv.isin(*IN_AFTER), "in")
-            .when(is_name & (nx != "(") & ~F.col("q") & (F.col("sc") >= 0)
-                  & F.col("opv").isin(*IN_AFTER) & pv.isin("(", "join"), "in"))
+    """Adds ``role`` (in | out | cte | null) and ``table_name`` (back-ticks removed), then
+    keeps only references, brackets and each statement's first row, and adds
+    ``in_subquery``. The first row keeps statements without references in the result."""
+    tok, pv, nx, cl, c = F.col("tok"), F.col("pv"), F.col("nx"), F.col("cl"), F.col("c")
+    is_name = tok.rlike("^[`\\p{L}_]") & ~c.isin(*codes(NOT_NAMES))
+    role = (F.when(is_name & (cl == code("with")) & pv.isin(*codes(("with", ",")))
+                   & nx.isin(*codes(("as", "("))), "cte")
+            .when(is_name & cl.isin(*codes(("insert", "create"))) & pv.isin(*codes(OUT_AFTER)), "out")
+            .when(is_name & (nx != code("(")) & F.col("q") & (cl == code("from"))
+                  & pv.isin(*codes(IN_AFTER)), "in")
+            .when(is_name & (nx != code("(")) & ~F.col("q") & (F.col("sc") >= 0)
+                  & F.col("opv").isin(*codes(IN_AFTER)) & pv.isin(*codes(("(", "join"))), "in"))
     name = fold_case(F.regexp_replace(tok, "`", ""), tok, case)
-    return scoped.withColumn("role", role).withColumn("table_name", F.when(role.isNotNull(), name))
+    kept = scoped.withColumn("role", role).where(
+        F.col("role").isNotNull() | tok.isin("(", ")") | (F.col("pos") == 0) | tok.isNull())
+    return expression_nesting(kept.withColumn("table_name", F.when(F.col("role").isNotNull(), name)))
 
 
 def token_refs(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
                case: str = "keep", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Statements -> labelled token table (every token, ``role`` null for non-references)."""
+    """Statements -> labelled reference rows (references, brackets, first row of each
+    statement; ``role`` null for the non-references)."""
     return label_tokens(scope_tokens(tokenize(statements, id_col, sql, carry), id_col), case)
 
 

@@ -3,11 +3,21 @@
 Replaces the reference's tree walkers with one relational job: the masked text is cut
 into tokens by a regex (narrow, per row), and bracket depth, enclosing scope and current
 clause come from window functions whose partition keys all start with ``stmt_id``. Spark
-plans one hash exchange on ``stmt_id``; every later window and the final per-statement
-aggregate reuse that partitioning and only re-sort inside it.
+plans at most one hash exchange on ``stmt_id`` (none when the statements already arrive
+partitioned by it); every window and the final per-statement aggregate reuse it.
 
-Skew: the unit of work is one statement, which is one input row; a statement can never be
-larger than a row, so no group here outgrows what a single task already holds.
+Sort budget. All scope facts are read from ONE ordering, (stmt_id, outer depth, pos),
+where a '(' or ')' belongs to the scope *around* it. In that ordering consecutive scopes at
+the same depth follow each other without a separator, so each scope's first token (the
+token right after its '(') acts as the reset mark: clause, scope id, the token before the
+scope's bracket and the query flag are all "last marked value" windows, and the whole-scope
+query flag is a prefix count read at the scope's last row (a forward frame in the same
+ordering). With the (stmt_id, pos) ordering for neighbours and depth, that is two sorts of
+the token table; the expression-bracket nesting count then needs one more (stmt_id, pos)
+pass, but only over brackets and references.
+
+Skew: the unit of work is one statement, which is one input row; no group here is larger
+than what a single task already holds when it reads that row.
 """
 
 from __future__ import annotations
@@ -23,63 +33,108 @@ MAJOR = ("select", "from", "where", "group", "having", "order", "union", "inters
          "lateral", "insert", "limit", "window", "sort", "cluster", "distribute", "create",
          "with", "values")
 NOT_NAMES = MAJOR + ("table", "into", "overwrite", "on", "using", "if", "join")
-# Tokens that may stand right before a bracket that opens a query (not an expression).
+# Tokens that may stand right before a bracket that opens a query (not an expression);
+# '' is the start of the statement.
 QUERY_BRACKET_AFTER = ("", "from", "join", "as", "union", "all", "except", "intersect", "minus", "(")
+# Every other token the rules look at.
+OTHER_WORDS = ("distinct", "exists", "view", ",", ")")
 # ---------------------------------------------------------------------------------------
 
-_UNB = Window.unboundedPreceding
+# Small integer codes of the tokens the rules test (0 = any other token, NONE = no token:
+# before the first or after the last one).
+_VOCAB = tuple(dict.fromkeys(NOT_NAMES + tuple(w for w in QUERY_BRACKET_AFTER if w) + OTHER_WORDS))
+CODE = {w: i + 1 for i, w in enumerate(_VOCAB)}
+NONE = 0 - 1
+RESET = 0 - 2
+
+
+def _code_map():
+    return F.create_map(*[x for w, i in CODE.items() for x in (F.lit(w), F.lit(i))])
+
+
+def code(word: str) -> int:
+    return NONE if word == "" else CODE[word]
+
+
+def codes(words) -> list[int]:
+    return [code(w) for w in words]
+
+
+_UNB, _UNF = Window.unboundedPreceding, Window.unboundedFollowing
 
 
 def tokenize(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
              carry: tuple[str, ...] = ()) -> DataFrame:
-    """L9+L10: (stmt_id, pos, tok) with literals and comments masked first.
+    """L9+L10: (stmt_id, *carry, pos, tok) with literals and comments masked first.
 
     ``posexplode_outer`` keeps statements without any token (one row, null token), so the
-    lineage record of every statement survives (L17). Only the id, the position, the
-    token and the ``carry`` columns leave the scan: the SQL text is never shuffled.
+    lineage record of every statement survives (L17). Only the id, the position, the token
+    and the ``carry`` columns leave the scan: the SQL text itself is never sorted.
     """
     toks = F.regexp_extract_all(T.mask_literals(F.col(sql)), F.lit(T.TOKEN), 0)
     return statements.select(id_col, *carry, F.posexplode_outer(toks).alias("pos", "tok"))
 
 
 def scope_tokens(tokens: DataFrame, id_col: str = "stmt_id") -> DataFrame:
-    """L11 + L13: adds k (lower-cased token), pv/nx (previous/next token), d (depth; a '('
-    has the inner depth, a ')' the outer), sc (position of the scope's opening bracket, -1
-    at top level), cl (clause: last major keyword before the token in its scope), opv (the
-    token before the scope's bracket), q (scope holds a query) and in_subquery (number of
-    enclosing expression brackets)."""
-    i, pos, tok = F.col(id_col), F.col("pos"), F.col("tok")
-    w = Window.partitionBy(id_col).orderBy("pos")
-    run = w.rowsBetween(_UNB, 0)
-    k = F.lower(tok)
-    t = tokens.select("*", k.alias("k"))
+    """L11 + L13 facts per token (codes are ints, see ``CODE``):
+
+    c (token code), pv/nx (codes of the previous/next token), d (depth; a '(' has the
+    inner depth, a ')' the outer), balanced (the statement's brackets close and never go
+    below zero), cl (clause: last major keyword before the token in its scope), sc (scope
+    id, -1 at top level), opv (code of the token before the scope's bracket), q (the scope
+    holds a query), ex (a '(' opens an expression, not a query) and op (for a ')': ex of
+    its '(').
+    """
+    tok, pos = F.col("tok"), F.col("pos")
+    c = F.coalesce(_code_map()[F.lower(tok)], F.lit(0))
+    w1 = Window.partitionBy(id_col).orderBy("pos")
+    t = tokens.select("*", c.alias("c"))
     t = t.select("*",
-                 F.coalesce(F.lag("k").over(w), F.lit("")).alias("pv"),
-                 F.coalesce(F.lead("k").over(w), F.lit("")).alias("nx"),
-                 F.sum(F.when(tok == "(", 1).when(tok == ")", -1).otherwise(0)).over(run).alias("d"))
-    kw = F.when(F.col("k").isin(*MAJOR) & ~((F.col("k") == "from") & (F.col("pv") == "distinct")),
-                F.col("k"))
-    t = t.select("*", kw.alias("kw"),
-                 F.coalesce(F.max(F.when(tok == "(", pos)).over(
-                     Window.partitionBy(id_col, "d").orderBy("pos").rowsBetween(_UNB, 0)),
-                     F.lit(-1)).alias("sc"))
-    ws = Window.partitionBy(id_col, "d", "sc").orderBy("pos")
-    is_query_word = F.col("k").isin("select", "insert") | ((F.col("k") == "from") & (pos == 0))
-    # depth outside a '(' (the clause around it), and the bracket pairing key
-    outer_d = F.when(tok == "(", F.col("d") - 1).otherwise(F.col("d"))
+                 F.coalesce(F.lag("c", 1).over(w1), F.lit(NONE)).alias("pv"),
+                 F.coalesce(F.lag("c", 2).over(w1), F.lit(NONE)).alias("pv2"),
+                 F.coalesce(F.lead("c", 1).over(w1), F.lit(NONE)).alias("nx"),
+                 F.sum(F.when(tok == "(", 1).when(tok == ")", -1).otherwise(0))
+                 .over(w1.rowsBetween(_UNB, 0)).cast("int").alias("d"))
+    whole = w1.rowsBetween(_UNB, _UNF)
+    t = t.select("*", ((F.min("d").over(whole) >= 0) & (F.last("d").over(whole) == 0)).alias("balanced"))
+
+    # --- one ordering: (stmt_id, outer depth, pos) ----------------------------------------
+    C, pv = F.col("c"), F.col("pv")
+    od = F.when(tok == "(", F.col("d") - 1).otherwise(F.col("d"))
+    first = (pv == code("(")) & (C != code(")"))          # first token of a bracket scope
+    kw = F.when(C.isin(*codes(MAJOR)) & ~((C == code("from")) & (pv == code("distinct"))), C)
+    qword = (C.isin(code("select"), code("insert")) | ((C == code("from")) & (pos == 0))).cast("int")
+    t = t.select("*", od.alias("od"), first.alias("first"), kw.alias("kw"), qword.alias("qword"))
+    w2 = Window.partitionBy(id_col, "od").orderBy("pos")
+    upto = w2.rowsBetween(_UNB, 0)
+    kw_or_reset = F.when(F.col("first") & F.col("kw").isNull(), F.lit(RESET)).otherwise(F.col("kw"))
     t = t.select("*",
-                 F.last("kw", ignorenulls=True).over(ws.rowsBetween(_UNB, -1)).alias("cl"),
-                 F.first("pv").over(ws.rowsBetween(_UNB, 0)).alias("opv"),
-                 F.max(is_query_word).over(Window.partitionBy(id_col, "d", "sc")).alias("q"),
-                 F.last("kw", ignorenulls=True).over(
-                     Window.partitionBy(i, outer_d).orderBy("pos").rowsBetween(_UNB, -1)).alias("ocl"))
-    pv, ocl = F.col("pv"), F.coalesce(F.col("ocl"), F.lit(""))
-    query_bracket = (pv.isin(*QUERY_BRACKET_AFTER) | ((pv == ",") & (ocl == "from"))
-                     | ocl.isin("insert", "create"))
+                 F.last(kw_or_reset, ignorenulls=True).over(w2.rowsBetween(_UNB, -1)).alias("cl0"),
+                 F.coalesce(F.last(F.when(F.col("first"), pos), ignorenulls=True).over(upto),
+                            F.lit(-1)).alias("sc"),
+                 F.coalesce(F.last(F.when(F.col("first"), F.col("pv2")), ignorenulls=True).over(upto),
+                            F.lit(NONE)).alias("opv"),
+                 F.sum("qword").over(upto).alias("cq"),
+                 F.coalesce(F.lead("first", 1).over(w2), F.lit(True)).alias("is_last"))
+    cl = F.when(F.col("first") | (F.col("cl0") == RESET), F.lit(None).cast("int")).otherwise(F.col("cl0"))
+    q_end = F.first(F.when(F.col("is_last"), F.col("cq")), ignorenulls=True).over(w2.rowsBetween(0, _UNF))
+    q_start = F.coalesce(F.last(F.when(F.col("first"), F.col("cq") - F.col("qword")), ignorenulls=True)
+                         .over(upto), F.lit(0))
+    t = t.select("*", cl.alias("cl"), ((q_end - q_start) > 0).alias("q"))
+    ocl = F.coalesce(F.col("cl"), F.lit(NONE))
+    query_bracket = (pv.isin(*codes(QUERY_BRACKET_AFTER))
+                     | ((pv == code(",")) & (ocl == code("from")))
+                     | ocl.isin(code("insert"), code("create")))
     t = t.withColumn("ex", F.when(tok == "(", ~query_bracket))
-    pair = F.when(tok == "(", F.col("d")).when(tok == ")", F.col("d") + 1)
-    t = t.withColumn("op", F.last("ex", ignorenulls=True).over(
-        Window.partitionBy(i, pair).orderBy("pos").rowsBetween(_UNB, 0)))
+    t = t.withColumn("op", F.last("ex", ignorenulls=True).over(upto))
+    return t.drop("pv2", "od", "first", "kw", "qword", "cl0", "cq", "is_last")
+
+
+def expression_nesting(rows: DataFrame, id_col: str = "stmt_id") -> DataFrame:
+    """in_subquery: number of expression brackets around each row (L13). Needs every
+    bracket of the statement among ``rows``; other tokens may be left out beforehand."""
+    tok = F.col("tok")
     step = (F.when(tok == "(", F.col("ex").cast("int"))
             .when(tok == ")", -F.col("op").cast("int")).otherwise(0))
-    return t.withColumn("in_subquery", F.sum(step).over(run)).drop("ocl", "op")
+    w = Window.partitionBy(id_col).orderBy("pos").rowsBetween(_UNB, 0)
+    return rows.withColumn("in_subquery", F.sum(step).over(w))

@@ -3,9 +3,10 @@
 The names in every statement are made of keys, so the expected lineage is a join of keys
 and the DuckDB oracles never have to parse SQL (recipe in FIXTURES.md section 2).
 
-Group sizes: a statement is built from one order's lines, a script file from at most
-``SCRIPT_CHUNK`` consecutive order keys of one customer (keys are unique, so a file never
-holds more than that many statements, however many orders a customer has).
+Group sizes: a statement is built from one order's lines; a script file holds the orders
+of a block of ``SCRIPT_CUSTOMERS`` customers within one range of ``SCRIPT_CHUNK`` order
+keys (keys are unique, so a file never holds more than SCRIPT_CHUNK statements, however
+many orders a customer has).
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from sqlweave.sources.tables import read_table
 
-SCRIPT_CHUNK = 4096
+SCRIPT_CHUNK = 1 << 22
+SCRIPT_CUSTOMERS = 100
 
 
 def _s(c) -> Column:
@@ -109,9 +111,9 @@ def sample_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def script_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Script files (sql_file, content): the statements of one customer (in chunks of
-    SCRIPT_CHUNK order keys), joined with ';\\n', with a comment line, a SET, an ADD JAR
-    or blank lines put in, chosen by o_orderkey % 5."""
+    """Script files (sql_file, content): the statements of a customer block (in chunks of
+    SCRIPT_CHUNK order keys), in key order, joined with ';\\n', with a comment line, a SET,
+    an ADD JAR or blank lines put in, chosen by o_orderkey % 5."""
     st = statement_corpus(spark, sf_dir)
     sql, m = F.col("sql"), F.col("stmt_id") % 5
     first = F.substring_index(sql, " ", 1)
@@ -120,7 +122,7 @@ def script_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(m == 3, F.concat(F.lit("ADD JAR x.jar;\n"), sql))
              .when(m == 4, F.concat(first, F.lit("\n\n  \n"), F.substr(sql, F.length(first) + 2)))
              .otherwise(sql))
-    sql_file = F.concat(F.lit("cust_"), _s("o_custkey"), F.lit("_"),
+    sql_file = F.concat(F.lit("cust_"), _s(F.floor(F.col("o_custkey") / SCRIPT_CUSTOMERS)), F.lit("_"),
                         _s(F.floor(F.col("stmt_id") / SCRIPT_CHUNK)), F.lit(".sql"))
     return (st.select(sql_file.alias("sql_file"), F.struct("stmt_id", piece.alias("piece")).alias("p"))
             .groupBy("sql_file")
