@@ -19,7 +19,10 @@ ELIGIBLE_KINDS = ("query", "insert", "ctas", "create_view", "alter_view_as")
 SINK_ENTITY_TYPES = ("TABLE", "PARTITION")
 # ---------------------------------------------------------------------------------------
 
-_EMPTY_S = F.array().cast("array<string>")
+
+
+def _empty_s():
+    return F.array().cast("array<string>")
 
 
 def eligible(records: DataFrame) -> DataFrame:
@@ -53,8 +56,8 @@ def sinks(deps: DataFrame, entities: DataFrame, schemas: DataFrame) -> DataFrame
     s = s.join(ent, "stmt_id", "left")
     s = s.withColumn("dest", F.coalesce("dest_table", "ent_table"))
     s = s.join(schemas.withColumnRenamed("table_name", "dest"), "dest", "left")
-    t_cols = F.coalesce(F.col("cols"), _EMPTY_S)
-    t_keys = F.coalesce(F.col("partition_keys"), _EMPTY_S)
+    t_cols = F.coalesce(F.col("cols"), _empty_s())
+    t_keys = F.coalesce(F.col("partition_keys"), _empty_s())
     result_fields = F.transform("proj", lambda x: x["target_field"])
     from_deps = F.col("dest_table").isNotNull()
     base = F.when(from_deps, t_cols).otherwise(result_fields)

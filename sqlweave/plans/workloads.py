@@ -8,6 +8,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from sqlweave.operators.reporting import first_last_per_key, flag_first, money, total
 from sqlweave.session import scratch_path
@@ -319,7 +320,7 @@ def run_date_param(spark, sf, task_date: str = RUN_DATE):
            GROUP BY o_orderpriority""", args={"task_date": task_date}, orders=orders)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def url_host(url: pd.Series) -> pd.Series:
     """A vectorised (Arrow-batched) UDF, registered for SQL use."""
     return url.str.extract(r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/:?#]+)", expand=False).fillna("")
