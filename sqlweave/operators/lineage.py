@@ -20,41 +20,47 @@ def _one(c: Column) -> Column:
 
 def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
             case: str = "keep", on_error: str = "empty",
-            carry: tuple[str, ...] = ()) -> DataFrame:
+            carry: tuple[str, ...] = (), partitioned: bool = False) -> DataFrame:
     """One row per statement:
-    (stmt_id, *carry, kind, inputs, outputs, ctes, source_inputs, from_inputs, parse_ok).
+    (stmt_id, *carry, kind, inputs, outputs, ctes, from_inputs, parse_ok, source_inputs).
 
     * ``inputs`` keeps WITH names, as the reference does; ``source_inputs`` drops them (L16,
       departure D3); ``from_inputs`` is the FROM-chain-only profile (L13).
-    * all three are sorted and unique (TreeSet semantics on UTF-8 order).
+    * all sets are sorted and unique (TreeSet semantics on UTF-8 order).
     * ``on_error``: 'empty' gives empty sets for unparsable statements (Hive), 'keep' keeps
       what was found, 'raise' fails the job (Spark/Calcite paths). ``quarantine`` splits.
-    * ``carry`` columns (e.g. sql_file, task) ride along with every token; keep them short.
+
+    Physical shape: the statement rows are hash-partitioned by ``stmt_id`` once (the text
+    is shuffled, not the several-times larger token rows; skipped with ``partitioned=True``
+    when the input already is); tokens carry only the id, and the per-statement header
+    (kind, command names, ``carry`` columns) is joined back to the record on the same
+    partitioning, so the exchange is reused and nothing is shuffled twice.
     """
     head = T.statement_head(F.col(sql))
-    kind = T.classify_statement(head)
-    st = statements.select(id_col, *carry, sql, kind.alias("kind"), head.alias("_head"))
+    st = statements.select(id_col, *carry, sql, T.classify_statement(head).alias("kind"),
+                           head.alias("_head"))
     cmd_in, cmd_out = T.command_refs(F.col("_head"), F.col("kind"))
-    st = st.select(id_col, *carry, sql, "kind",
-                   fold_case(cmd_in, cmd_in, case).alias("cmd_in"),
+    st = st.select(id_col, *carry, sql, "kind", fold_case(cmd_in, cmd_in, case).alias("cmd_in"),
                    fold_case(cmd_out, cmd_out, case).alias("cmd_out"))
-    labelled = label_tokens(scope_tokens(
-        tokenize(st, id_col, sql, carry=tuple(carry) + ("kind", "cmd_in", "cmd_out")), id_col), case)
-    return lineage_from_tokens(labelled, id_col, on_error, carry)
+    if not partitioned:
+        st = st.repartition(id_col)
+    labelled = label_tokens(scope_tokens(tokenize(st, id_col, sql), id_col), case)
+    header = st.select(id_col, *carry, "kind", "cmd_in", "cmd_out")
+    return lineage_from_tokens(labelled, header, id_col, on_error, carry)
 
 
-def lineage_from_tokens(labelled: DataFrame, id_col: str = "stmt_id", on_error: str = "empty",
-                        carry: tuple[str, ...] = ()) -> DataFrame:
+def lineage_from_tokens(labelled: DataFrame, header: DataFrame, id_col: str = "stmt_id",
+                        on_error: str = "empty", carry: tuple[str, ...] = ()) -> DataFrame:
     role, name = F.col("role"), F.col("table_name")
-    agg = labelled.groupBy(id_col, *carry).agg(
-        F.any_value("kind").alias("kind"),
-        F.any_value("cmd_in").alias("cmd_in"),
-        F.any_value("cmd_out").alias("cmd_out"),
+    agg = labelled.groupBy(id_col).agg(
         _set(F.when(role == "in", name)).alias("tok_in"),
         _set(F.when((role == "in") & (F.col("in_subquery") == 0), name)).alias("tok_from"),
         _set(F.when(role == "out", name)).alias("tok_out"),
         _set(F.when(role == "cte", name)).alias("ctes"),
-        F.any_value("balanced").alias("balanced"))
+        # depth only falls at ')' and only changes at brackets, all of which are kept rows:
+        # min / last depth over them equal those over all tokens.
+        ((F.min("d") >= 0) & (F.coalesce(F.max_by("d", "pos"), F.lit(0)) == 0)).alias("balanced"))
+    agg = agg.join(header, id_col)
     command = F.col("kind").isin(*T.COMMAND_KINDS)
     inputs = F.when(command, _one(F.col("cmd_in"))).otherwise(F.col("tok_in"))
     from_inputs = F.when(command, _one(F.col("cmd_in"))).otherwise(F.col("tok_from"))

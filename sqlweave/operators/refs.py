@@ -44,10 +44,14 @@ def label_tokens(scoped: DataFrame, case: str = "keep") -> DataFrame:
 
 
 def token_refs(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
-               case: str = "keep", carry: tuple[str, ...] = ()) -> DataFrame:
+               case: str = "keep", carry: tuple[str, ...] = (), partitioned: bool = False) -> DataFrame:
     """Statements -> labelled reference rows (references, brackets, first row of each
-    statement; ``role`` null for the non-references)."""
-    return label_tokens(scope_tokens(tokenize(statements, id_col, sql, carry), id_col), case)
+    statement; ``role`` null for the non-references). The statement text is
+    hash-partitioned by ``stmt_id`` first unless ``partitioned``."""
+    st = statements.select(id_col, *carry, sql)
+    if not partitioned:
+        st = st.repartition(id_col)
+    return label_tokens(scope_tokens(tokenize(st, id_col, sql, carry), id_col), case)
 
 
 def table_refs(labelled: DataFrame, role: str | None = None,

@@ -10,11 +10,11 @@ Sort budget. All scope facts are read from ONE ordering, (stmt_id, outer depth,
 where a '(' or ')' belongs to the scope *around* it. In that ordering consecutive scopes at
 the same depth follow each other without a separator, so each scope's first token (the
 token right after its '(') acts as the reset mark: clause, scope id, the token before the
-scope's bracket and the query flag are all "last marked value" windows, and the whole-scope
-query flag is a prefix count read at the scope's last row (a forward frame in the same
-ordering). With the (stmt_id, pos) ordering for neighbours and depth, that is two sorts of
-the token table; the expression-bracket nesting count then needs one more (stmt_id, pos)
-pass, but only over brackets and references.
+scope's bracket, the query flag and bracket pairing are all running "last marked value"
+windows (only frames that end at the current row: Spark evaluates those incrementally).
+With the (stmt_id, pos) ordering for neighbours and depth, that is two sorts of the token
+table; the expression-bracket nesting count then needs one more (stmt_id, pos) pass, but
+only over brackets, references and each statement's first row.
 
 Skew: the unit of work is one statement, which is one input row; no group here is larger
 than what a single task already holds when it reads that row.
@@ -79,8 +79,7 @@ def scope_tokens(tokens: DataFrame, id_col: str = "stmt_id") -> DataFrame:
     """L11 + L13 facts per token (codes are ints, see ``CODE``):
 
     c (token code), pv/nx (codes of the previous/next token), d (depth; a '(' has the
-    inner depth, a ')' the outer), balanced (the statement's brackets close and never go
-    below zero), cl (clause: last major keyword before the token in its scope), sc (scope
+    inner depth, a ')' the outer), cl (clause: last major keyword before the token in its scope), sc (scope
     id, -1 at top level), opv (code of the token before the scope's bracket), q (the scope
     holds a query), ex (a '(' opens an expression, not a query) and op (for a ')': ex of
     its '(').
@@ -95,16 +94,13 @@ def scope_tokens(tokens: DataFrame, id_col: str = "stmt_id") -> DataFrame:
                  F.coalesce(F.lead("c", 1).over(w1), F.lit(NONE)).alias("nx"),
                  F.sum(F.when(tok == "(", 1).when(tok == ")", -1).otherwise(0))
                  .over(w1.rowsBetween(_UNB, 0)).cast("int").alias("d"))
-    whole = w1.rowsBetween(_UNB, _UNF)
-    t = t.select("*", ((F.min("d").over(whole) >= 0) & (F.last("d").over(whole) == 0)).alias("balanced"))
 
     # --- one ordering: (stmt_id, outer depth, pos) ----------------------------------------
     C, pv = F.col("c"), F.col("pv")
     od = F.when(tok == "(", F.col("d") - 1).otherwise(F.col("d"))
     first = (pv == code("(")) & (C != code(")"))          # first token of a bracket scope
     kw = F.when(C.isin(*codes(MAJOR)) & ~((C == code("from")) & (pv == code("distinct"))), C)
-    qword = (C.isin(code("select"), code("insert")) | ((C == code("from")) & (pos == 0))).cast("int")
-    t = t.select("*", od.alias("od"), first.alias("first"), kw.alias("kw"), qword.alias("qword"))
+    t = t.select("*", od.alias("od"), first.alias("first"), kw.alias("kw"))
     w2 = Window.partitionBy(id_col, "od").orderBy("pos")
     upto = w2.rowsBetween(_UNB, 0)
     kw_or_reset = F.when(F.col("first") & F.col("kw").isNull(), F.lit(RESET)).otherwise(F.col("kw"))
@@ -113,21 +109,27 @@ def scope_tokens(tokens: DataFrame, id_col: str = "stmt_id") -> DataFrame:
                  F.coalesce(F.last(F.when(F.col("first"), pos), ignorenulls=True).over(upto),
                             F.lit(-1)).alias("sc"),
                  F.coalesce(F.last(F.when(F.col("first"), F.col("pv2")), ignorenulls=True).over(upto),
-                            F.lit(NONE)).alias("opv"),
-                 F.sum("qword").over(upto).alias("cq"),
-                 F.coalesce(F.lead("first", 1).over(w2), F.lit(True)).alias("is_last"))
+                            F.lit(NONE)).alias("opv"))
     cl = F.when(F.col("first") | (F.col("cl0") == RESET), F.lit(None).cast("int")).otherwise(F.col("cl0"))
-    q_end = F.first(F.when(F.col("is_last"), F.col("cq")), ignorenulls=True).over(w2.rowsBetween(0, _UNF))
-    q_start = F.coalesce(F.last(F.when(F.col("first"), F.col("cq") - F.col("qword")), ignorenulls=True)
-                         .over(upto), F.lit(0))
-    t = t.select("*", cl.alias("cl"), ((q_end - q_start) > 0).alias("q"))
+    t = t.withColumn("cl", cl)
+    # Query scope: a select/insert, or a FROM that starts a query (first word of the
+    # statement, first word of a bracket in query position, or right after a WITH list),
+    # seen so far in this scope. Every FROM-clause name of a query follows such a word, so
+    # the running flag equals the whole-scope flag where the rules read it, without any
+    # forward-looking frame (those cost O(n^2) per partition in Spark).
     ocl = F.coalesce(F.col("cl"), F.lit(NONE))
+    starts_query = ((C == code("from"))
+                    & ((pos == 0) | (F.col("first") & F.col("opv").isin(*codes(QUERY_BRACKET_AFTER)))
+                       | ((ocl == code("with")) & (pv == code(")")))))
+    qword = C.isin(code("select"), code("insert")) | starts_query
+    qmark = F.when(qword, F.lit(1)).when(F.col("first"), F.lit(0))
     query_bracket = (pv.isin(*codes(QUERY_BRACKET_AFTER))
                      | ((pv == code(",")) & (ocl == code("from")))
                      | ocl.isin(code("insert"), code("create")))
-    t = t.withColumn("ex", F.when(tok == "(", ~query_bracket))
-    t = t.withColumn("op", F.last("ex", ignorenulls=True).over(upto))
-    return t.drop("pv2", "od", "first", "kw", "qword", "cl0", "cq", "is_last")
+    ex = F.when(tok == "(", ~query_bracket)
+    t = t.select("*", (F.coalesce(F.last(qmark, ignorenulls=True).over(upto), F.lit(0)) == 1).alias("q"),
+                 ex.alias("ex"), F.last(ex, ignorenulls=True).over(upto).alias("op"))
+    return t.drop("pv2", "od", "first", "kw", "cl0")
 
 
 def expression_nesting(rows: DataFrame, id_col: str = "stmt_id") -> DataFrame:
