@@ -40,10 +40,18 @@ def source_vertices(sources: Column) -> Column:
         F.when(s["col"].isNull(), F.lit("TABLE")).otherwise(F.lit("COLUMN")).alias("type"))))
 
 
+def by_statement(df: DataFrame) -> DataFrame:
+    """Hash-partition by stmt_id once; every later step of the graph is keyed by stmt_id
+    first (per-sink group, edge merge, vertex window, id maps, JSON) and reuses it."""
+    return df.repartition("stmt_id")
+
+
 def sinks(deps: DataFrame, entities: DataFrame, schemas: DataFrame) -> DataFrame:
     """L27-L30 per sink: dest (L27), fields with dynamic-partition keys appended (L28),
     ok = field count check (L29), targets = target labels (L30), plus the sorted
-    projection and predicate dependencies."""
+    projection and predicate dependencies. ``deps`` should come through ``by_statement``.
+    The schema lookup (one row per table) is left to the planner's size-checked broadcast;
+    the entity lookup is keyed by stmt_id like everything else."""
     proj = F.col("dep_kind") == "PROJECTION"
     s = deps.groupBy("stmt_id", "sink_pos").agg(
         F.max("dest_table").alias("dest_table"),
@@ -140,7 +148,8 @@ def vertices(merged: DataFrame) -> DataFrame:
 
 
 def column_graph(deps: DataFrame, entities: DataFrame, schemas: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(merged edges, vertices) of every statement over all its sinks."""
+    """(merged edges, vertices) of every statement over all its sinks. ``deps`` should
+    come through ``by_statement`` (pass the same frame to ``export.lineage_json``)."""
     merged = merge_edges(raw_edges(sinks(deps, entities, schemas)))
     return merged, vertices(merged)
 

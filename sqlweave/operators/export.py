@@ -1,45 +1,90 @@
 """JSON export of the column graph (L39-L41): the reference's document shape,
 {"edges":[{"sources":[ids],"targets":[ids],"expression":..,"edgeType":..}],
- "vertices":[{"id":..,"vertexType":..,"vertexId":..}]}; a null expression is left out."""
+ "vertices":[{"id":..,"vertexType":..,"vertexId":..}]}; a null expression is left out.
+
+Vertex ids are attached to every occurrence of a label by two windows keyed by stmt_id
+(first occurrence per label, then a dense rank in first-occurrence order), and the edges are
+regrouped from those rows. No map lookup (linear in Spark) and no join on a key other than
+stmt_id, so the work per statement stays linear in its edges and the stmt_id partitioning
+of the merged edges is reused throughout.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _id_maps(verts: DataFrame) -> DataFrame:
-    return verts.groupBy("stmt_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("vertex_id", "id"))).alias("_ids"))
+def occurrences(merged: DataFrame) -> DataFrame:
+    """One row per (edge, target or source) with the vertex id: targets of all edges first
+    (edge order), then sources (L38)."""
+    occ = F.concat(
+        F.transform("targets", lambda t, i: F.struct(F.lit(0).alias("phase"), i.alias("p"),
+                                                     t.alias("label"), F.lit("COLUMN").alias("vtype"))),
+        F.transform("sources", lambda s, i: F.struct(F.lit(1).alias("phase"), i.alias("p"),
+                                                     s["label"].alias("label"), s["type"].alias("vtype"))))
+    o = merged.select("stmt_id", "edge_pos", "edge_type", "expr", F.explode(occ).alias("o")).select(
+        "stmt_id", "edge_pos", "edge_type", "expr", "o.*")
+    o = o.withColumn("seen", F.struct("phase", "edge_pos", "p"))
+    o = o.withColumn("first_seen", F.min("seen").over(Window.partitionBy("stmt_id", "label")))
+    return o.withColumn("id", F.dense_rank().over(Window.partitionBy("stmt_id").orderBy("first_seen")) - 1)
+
+
+def _edge_rows(occ: DataFrame) -> DataFrame:
+    g = occ.groupBy("stmt_id", "edge_pos", "edge_type", "expr").agg(
+        F.array_sort(F.collect_list(F.struct("phase", "p", "id"))).alias("_o"))
+    ids = lambda ph: F.transform(F.filter("_o", lambda x: x["phase"] == ph), lambda x: x["id"])
+    edge = F.struct(ids(1).alias("sources"), ids(0).alias("targets"),
+                    F.col("expr").alias("expression"), F.col("edge_type").alias("edgeType"))
+    return g.select("stmt_id", "edge_pos", F.to_json(edge).alias("json"))
 
 
-def _edge_struct(m):
-    return F.struct(
-        F.transform("sources", lambda s: m[s["label"]]).alias("sources"),
-        F.transform("targets", lambda t: m[t]).alias("targets"),
-        F.col("expr").alias("expression"), F.col("edge_type").alias("edgeType"))
+def _vertex_rows(occ: DataFrame) -> DataFrame:
+    first = occ.where(F.col("seen") == F.col("first_seen"))
+    v = F.struct("id", F.col("vtype").alias("vertexType"), F.col("label").alias("vertexId"))
+    return first.select("stmt_id", "id", F.to_json(v).alias("json"))
 
 
-def edges_json(merged: DataFrame, verts: DataFrame) -> DataFrame:
+def edges_json(merged: DataFrame) -> DataFrame:
     """(stmt_id, edge_pos, json) per edge."""
-    j = merged.join(_id_maps(verts), "stmt_id")
-    return j.select("stmt_id", "edge_pos", F.to_json(_edge_struct(F.col("_ids"))).alias("json"))
+    return _edge_rows(occurrences(merged))
 
 
-def vertices_json(verts: DataFrame) -> DataFrame:
+def vertices_json(merged: DataFrame) -> DataFrame:
     """(stmt_id, json array of vertices in id order)."""
-    v = F.struct("id", F.col("vertex_type").alias("vertexType"), F.col("vertex_id").alias("vertexId"))
-    return verts.groupBy("stmt_id").agg(F.to_json(F.array_sort(F.collect_list(v))).alias("json"))
-
-
-def lineage_json(statements: DataFrame, merged: DataFrame, verts: DataFrame) -> DataFrame:
-    """One document per statement (statements without edges get empty arrays)."""
-    e = (merged.join(_id_maps(verts), "stmt_id")
-         .groupBy("stmt_id").agg(F.array_sort(F.collect_list(
-             F.struct("edge_pos", _edge_struct(F.col("_ids")).alias("e")))).alias("_e")))
-    v = verts.groupBy("stmt_id").agg(F.array_sort(F.collect_list(F.struct(
-        "id", F.col("vertex_type").alias("vertexType"), F.col("vertex_id").alias("vertexId")))).alias("vertices"))
-    d = statements.select("stmt_id").distinct().join(e, "stmt_id", "left").join(v, "stmt_id", "left")
-    edges = F.coalesce(F.transform("_e", lambda x: x["e"]), F.array())
-    verts_ = F.coalesce(F.col("vertices"), F.array())
-    return d.select("stmt_id", F.to_json(F.struct(edges.alias("edges"), verts_.alias("vertices"))).alias("json"))
+    v = _vertex_rows(occurrences(merged))
+    return v.groupBy("stmt_id").agg(_join_sorted("id").alias("json"))
+
+
+def _join_sorted(order: str):
+    s = F.array_sort(F.collect_list(F.struct(order, "json")))
+    return F.concat(F.lit("["), F.array_join(F.transform(s, lambda x: x["json"]), ","), F.lit("]"))
+
+
+def lineage_json(statements: DataFrame, merged: DataFrame) -> DataFrame:
+    """One document per statement of ``statements`` (those without edges get empty
+    arrays). One linear pipeline: the per-edge groups also carry the vertices first seen in
+    that edge, and one per-statement group assembles both arrays (a plan that fed two
+    consumers from the same exchange-free stage would compute the whole graph twice)."""
+    occ = occurrences(merged)
+    vfrag = F.when(F.col("seen") == F.col("first_seen"), F.struct(
+        "id", F.to_json(F.struct("id", F.col("vtype").alias("vertexType"),
+                                 F.col("label").alias("vertexId"))).alias("json")))
+    g = occ.groupBy("stmt_id", "edge_pos", "edge_type", "expr").agg(
+        F.array_sort(F.collect_list(F.struct("phase", "p", "id"))).alias("_o"),
+        F.collect_list(vfrag).alias("_v"))
+    ids = lambda ph: F.transform(F.filter("_o", lambda x: x["phase"] == ph), lambda x: x["id"])
+    edge = F.to_json(F.struct(ids(1).alias("sources"), ids(0).alias("targets"),
+                              F.col("expr").alias("expression"), F.col("edge_type").alias("edgeType")))
+    per_stmt = g.groupBy("stmt_id").agg(
+        _join_sorted_expr(F.collect_list(F.struct("edge_pos", edge.alias("json")))).alias("edges"),
+        _join_sorted_expr(F.flatten(F.collect_list("_v"))).alias("vertices"))
+    d = statements.select("stmt_id").join(per_stmt, "stmt_id", "left")
+    doc = F.concat(F.lit('{"edges":'), F.coalesce("edges", F.lit("[]")),
+                   F.lit(',"vertices":'), F.coalesce("vertices", F.lit("[]")), F.lit("}"))
+    return d.select("stmt_id", doc.alias("json"))
+
+
+def _join_sorted_expr(items):
+    s = F.array_sort(items)
+    return F.concat(F.lit("["), F.array_join(F.transform(s, lambda x: x["json"]), ","), F.lit("]"))

@@ -12,9 +12,8 @@ from sqlweave.sources.corpus import sample_statements
 
 
 def _inputs(spark, sf):
-    deps = CF.column_deps(spark, sf)
-    ents = CF.write_entities(spark, sf)
-    return deps, ents, CF.table_schemas(deps, ents)
+    deps = G.by_statement(CF.column_deps(spark, sf))
+    return deps, CF.write_entities(spark, sf), CF.table_schemas(spark, sf)
 
 
 def _sinks(spark, sf):
@@ -75,23 +74,25 @@ def edge_merge(spark, sf):
 
 
 def vertex_ids(spark, sf):
-    _, _, verts = _graph(spark, sf)
-    return verts.select("stmt_id", F.col("id").cast("long").alias("id"), "vertex_type", "vertex_id")
+    _, merged, _ = _graph(spark, sf)
+    v = X.occurrences(merged).where(F.col("seen") == F.col("first_seen"))
+    return v.select("stmt_id", F.col("id").cast("long").alias("id"), F.col("vtype").alias("vertex_type"),
+                    F.col("label").alias("vertex_id"))
 
 
 def edges_json(spark, sf):
-    _, merged, verts = _graph(spark, sf)
-    return X.edges_json(merged, verts).withColumn("edge_pos", F.col("edge_pos").cast("long"))
+    _, merged, _ = _graph(spark, sf)
+    return X.edges_json(merged).withColumn("edge_pos", F.col("edge_pos").cast("long"))
 
 
 def vertices_json(spark, sf):
-    _, _, verts = _graph(spark, sf)
-    return X.vertices_json(verts)
+    _, merged, _ = _graph(spark, sf)
+    return X.vertices_json(merged)
 
 
 def lineage_json(spark, sf):
-    deps, merged, verts = _graph(spark, sf)
-    return X.lineage_json(deps, merged, verts)
+    _, merged, _ = _graph(spark, sf)
+    return X.lineage_json(CF.fixture_statements(spark, sf), merged)
 
 
 def job_ids(spark, sf):

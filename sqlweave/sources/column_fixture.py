@@ -67,12 +67,20 @@ def write_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(k.alias("stmt_id"), F.explode(ents).alias("e")).select("stmt_id", "e.*")
 
 
-def table_schemas(deps: DataFrame, entities: DataFrame) -> DataFrame:
-    """(table_name, cols, partition_keys): table number N gives N % 5 + 1 columns c1.. and
-    the first N % 4 of (dt, hr, mi) as partition keys."""
-    names = (deps.select(F.col("dest_table").alias("table_name")).where(F.col("table_name").isNotNull())
-             .union(entities.where(F.col("entity_type").isin("TABLE", "PARTITION")).select("name"))
-             .distinct())
+def fixture_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statement ids of the fixture (one per order that has lines)."""
+    return read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("stmt_id")).distinct()
+
+
+def table_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(table_name, cols, partition_keys) of every table the fixture can write (the
+    metastore lookup): table number N gives N % 5 + 1 columns c1.. and the first N % 4 of
+    (dt, hr, mi) as partition keys."""
+    k = F.col("o_orderkey")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    names = o.select(F.explode(F.array(
+        F.concat(F.lit("dw.t"), _s(k % 50)), F.concat(F.lit("dw.u"), _s(k % 50)),
+        F.concat(F.lit("dw.o"), _s(k % 7)), F.concat(F.lit("dw.p"), _s(k % 5)))).alias("table_name")).distinct()
     num = F.regexp_extract("table_name", "(\\d+)$", 1).cast("int")
     return names.select(
         "table_name",

@@ -105,11 +105,11 @@ def _brute(deps, ents, schemas):
 
 
 def test_graph_matches_sequential_twin(spark, sf_small):
-    deps = CF.column_deps(spark, sf_small)
+    deps = G.by_statement(CF.column_deps(spark, sf_small))
     ents = CF.write_entities(spark, sf_small)
-    sch = CF.table_schemas(deps, ents)
+    sch = CF.table_schemas(spark, sf_small)
     merged, verts = G.column_graph(deps, ents, sch)
-    got = {r.stmt_id: r.json for r in X.lineage_json(deps, merged, verts).collect()}
+    got = {r.stmt_id: r.json for r in X.lineage_json(CF.fixture_statements(spark, sf_small), merged).collect()}
     rows = [r.asDict(recursive=True) for r in deps.collect()]
     schemas = {r.table_name: (r.cols, r.partition_keys) for r in sch.collect()}
     want = _brute(rows, [r.asDict() for r in ents.collect()], schemas)
@@ -119,7 +119,7 @@ def test_graph_matches_sequential_twin(spark, sf_small):
 def test_vertex_ids_dense_and_merge_idempotent(spark, sf_small):
     deps = CF.column_deps(spark, sf_small)
     ents = CF.write_entities(spark, sf_small)
-    merged, verts = G.column_graph(deps, ents, CF.table_schemas(deps, ents))
+    merged, verts = G.column_graph(deps, ents, CF.table_schemas(spark, sf_small))
     ids = {}
     for r in verts.collect():
         ids.setdefault(r.stmt_id, []).append(r.id)
