@@ -114,8 +114,19 @@ KIND_RULES = [
     ("add_jar", "^add\\s+jars?\\b", 0, None),
     ("create_function", "^create\\s+(?:or\\s+replace\\s+)?(?:temporary\\s+)?function\\b", 0, None),
     ("drop_function", "^drop\\s+(?:temporary\\s+)?function\\b", 0, None),
-    ("query", "^(select|with|values|table|\\()", 0, None),
+    ("query", "^(select|with|values|table|from|\\()", 0, None),
 ]
+# First words a statement of each kind can start with. A rule's regex runs only on
+# statements with one of these first words, so each statement meets one or two regexes.
+KIND_LEAD = {"explain": ("explain",), "insert": ("insert", "from", "with"),
+             "create_table_like": ("create",), "ctas": ("create",), "create_table": ("create",),
+             "create_view": ("create",), "alter_view_as": ("alter",), "add_partition": ("alter",),
+             "drop_partition": ("alter",), "add_columns": ("alter",),
+             "recover_partitions": ("alter", "msck"), "drop_table": ("drop",),
+             "show_create_table": ("show",), "create_database": ("create",),
+             "drop_database": ("drop",), "alter_database": ("alter",), "set": ("set",),
+             "add_jar": ("add",), "create_function": ("create",), "drop_function": ("drop",),
+             "query": ("select", "with", "values", "table", "from", "(")}
 # Kinds whose table references come from the kind rule alone (no token walk).
 COMMAND_KINDS = ("create_table_like", "add_partition", "drop_partition", "add_columns",
                  "recover_partitions", "drop_table", "show_create_table", "create_database",
@@ -130,11 +141,19 @@ def statement_head(sql: Column) -> Column:
     return F.regexp_replace(squeezed, "^(\\?\\s*)+", "")
 
 
-def classify_statement(head: Column) -> Column:
-    """Statement kind from the leading words; 'unknown' when no rule matches."""
+def first_word(head: Column) -> Column:
+    """Lower-cased first word (or '(') of a statement head."""
+    return F.lower(F.regexp_extract(head, "^(\\(|[A-Za-z]+)", 1))
+
+
+def classify_statement(head: Column, first: Column | None = None) -> Column:
+    """Statement kind from the leading words; 'unknown' when no rule matches. Pass
+    ``first`` (``first_word(head)`` as a column of its own) so that it is computed once; a
+    rule's regex is only tried on statements whose first word can start that kind."""
+    first = first_word(head) if first is None else first
     out = F.lit("unknown")
     for kind, pat, _, _ in reversed(KIND_RULES):
-        out = F.when(head.rlike("(?i)" + pat), F.lit(kind)).otherwise(out)
+        out = F.when(first.isin(*KIND_LEAD[kind]) & head.rlike("(?i)" + pat), F.lit(kind)).otherwise(out)
     return out
 
 

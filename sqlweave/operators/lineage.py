@@ -36,19 +36,33 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
     (kind, command names, ``carry`` columns) is joined back to the record on the same
     partitioning, so the exchange is reused and nothing is shuffled twice.
     """
-    head = T.statement_head(F.col(sql))
-    st = statements.select(id_col, *carry, sql, T.classify_statement(head).alias("kind"),
-                           head.alias("_head"))
-    cmd_in, cmd_out = T.command_refs(F.col("_head"), F.col("kind"))
-    st = st.select(id_col, *carry, sql, "kind", fold_case(cmd_in, cmd_in, case).alias("cmd_in"),
-                   fold_case(cmd_out, cmd_out, case).alias("cmd_out"))
+    st = statement_header(statements, id_col, sql, case, carry)
     if not partitioned:
         st = st.repartition(id_col)
-    labelled = label_tokens(scope_tokens(tokenize(st, id_col, sql), id_col), case)
+    labelled = label_tokens(scope_tokens(tokenize(st, id_col, "_head", masked=True), id_col), case)
     header = st.select(id_col, *carry, "kind", "cmd_in", "cmd_out")
     return lineage_from_tokens(labelled, header, id_col, on_error, carry)
 
 
+def statement_header(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
+                     case: str = "keep", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per statement, narrow (no shuffle): (stmt_id, *carry, _head, kind, cmd_in, cmd_out).
+    ``_head`` is the masked, blank-squeezed text the tokens are cut from; kind (L25) and the
+    object names of command kinds come from the leading words. Each step is its own
+    projection so the masked text and the first word are computed once per statement."""
+    st = statements.select(id_col, *carry, T.statement_head(F.col(sql)).alias("_head"))
+    st = st.select("*", T.first_word(F.col("_head")).alias("_w"))
+    st = st.select(id_col, *carry, "_head", T.classify_statement(F.col("_head"), F.col("_w")).alias("kind"))
+    cmd_in, cmd_out = T.command_refs(F.col("_head"), F.col("kind"))
+    return st.select(id_col, *carry, "_head", "kind", fold_case(cmd_in, cmd_in, case).alias("cmd_in"),
+                     fold_case(cmd_out, cmd_out, case).alias("cmd_out"))
+
+
+def statement_kinds(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql") -> DataFrame:
+    """L25 alone: (stmt_id, kind), one narrow pass, no token walk."""
+    return statement_header(statements, id_col, sql).select(id_col, "kind")
+
+
 def lineage_from_tokens(labelled: DataFrame, header: DataFrame, id_col: str = "stmt_id",
                         on_error: str = "empty", carry: tuple[str, ...] = ()) -> DataFrame:
     role, name = F.col("role"), F.col("table_name")

@@ -48,10 +48,10 @@ def token_refs(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
     """Statements -> labelled reference rows (references, brackets, first row of each
     statement; ``role`` null for the non-references). The statement text is
     hash-partitioned by ``stmt_id`` first unless ``partitioned``."""
-    st = statements.select(id_col, *carry, sql)
+    st = statements.select(id_col, *carry, T.statement_head(F.col(sql)).alias("_head"))
     if not partitioned:
         st = st.repartition(id_col)
-    return label_tokens(scope_tokens(tokenize(st, id_col, sql, carry), id_col), case)
+    return label_tokens(scope_tokens(tokenize(st, id_col, "_head", carry, masked=True), id_col), case)
 
 
 def table_refs(labelled: DataFrame, role: str | None = None,

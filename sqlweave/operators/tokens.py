@@ -64,14 +64,16 @@ _UNB, _UNF = Window.unboundedPreceding, Window.unboundedFollowing
 
 
 def tokenize(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
-             carry: tuple[str, ...] = ()) -> DataFrame:
+             carry: tuple[str, ...] = (), masked: bool = False) -> DataFrame:
     """L9+L10: (stmt_id, *carry, pos, tok) with literals and comments masked first.
 
-    ``posexplode_outer`` keeps statements without any token (one row, null token), so the
+    ``masked=True`` takes text that went through ``mask_literals`` already (the statement
+    head). ``posexplode_outer`` keeps statements without any token (one row, null token), so the
     lineage record of every statement survives (L17). Only the id, the position, the token
     and the ``carry`` columns leave the scan: the SQL text itself is never sorted.
     """
-    toks = F.regexp_extract_all(T.mask_literals(F.col(sql)), F.lit(T.TOKEN), 0)
+    text = F.col(sql) if masked else T.mask_literals(F.col(sql))
+    toks = F.regexp_extract_all(text, F.lit(T.TOKEN), 0)
     return statements.select(id_col, *carry, F.posexplode_outer(toks).alias("pos", "tok"))
 
 

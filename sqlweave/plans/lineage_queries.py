@@ -108,7 +108,7 @@ def case_fold(spark, sf):
 
 
 def statement_kinds(spark, sf):
-    return _records(spark, sf).select("stmt_id", "kind")
+    return L.statement_kinds(C.sample_statements(spark, sf))
 
 
 def unparsable_quarantine(spark, sf):
