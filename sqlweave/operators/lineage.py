@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 from sqlweave.functions import text as T
 from sqlweave.operators.refs import fold_case, label_tokens
@@ -37,11 +38,19 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
     partitioning, so the exchange is reused and nothing is shuffled twice.
     """
     st = statement_header(statements, id_col, sql, case, carry)
+    key = id_col
     if not partitioned:
-        st = st.repartition(id_col)
-    labelled = label_tokens(scope_tokens(tokenize(st, id_col, "_head", masked=True), id_col), case)
-    header = st.select(id_col, *carry, "kind", "cmd_in", "cmd_out")
-    return lineage_from_tokens(labelled, header, id_col, on_error, carry)
+        if not isinstance(statements.schema[id_col].dataType, (IntegerType, LongType)):
+            # Sort and partition the tokens by a long surrogate, not by a (32-char md5)
+            # string id. It is assigned once, before the one text exchange that both the
+            # token side and the header side read, so both see the same numbers.
+            key = "_k"
+            st = st.withColumn(key, F.monotonically_increasing_id())
+        st = st.repartition(key)
+    labelled = label_tokens(scope_tokens(tokenize(st, key, "_head", masked=True), key), case, key)
+    header = st.select(*dict.fromkeys((key, id_col)), *carry, "kind", "cmd_in", "cmd_out")
+    out = lineage_from_tokens(labelled, header, key, on_error, carry)
+    return out if key == id_col else out.drop(key).select(id_col, *[c for c in out.columns if c not in (key, id_col)])
 
 
 def statement_header(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
@@ -85,7 +94,8 @@ def lineage_from_tokens(labelled: DataFrame, header: DataFrame, id_col: str = "s
     ctes = F.when(command, F.array().cast("array<string>")).otherwise(F.col("ctes"))
     parse_ok = (F.coalesce(F.col("balanced"), F.lit(True)) & (F.col("kind") != "unknown")
                 & (~F.col("kind").isin("insert", "ctas") | (F.size(outputs) > 0)))
-    out = agg.select(id_col, *carry, "kind", inputs.alias("inputs"), outputs.alias("outputs"),
+    out = agg.select(*dict.fromkeys((id_col, *[c for c in header.columns if c not in (
+        "kind", "cmd_in", "cmd_out", *carry)])), *carry, "kind", inputs.alias("inputs"), outputs.alias("outputs"),
                      ctes.alias("ctes"), from_inputs.alias("from_inputs"), parse_ok.alias("parse_ok"))
     out = out.withColumn("source_inputs", F.array_except("inputs", "ctes"))
     if on_error == "empty":

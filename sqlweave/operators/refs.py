@@ -24,7 +24,7 @@ def fold_case(name: Column, raw: Column, case: str) -> Column:
     return F.when(raw.contains("`"), name).otherwise(f(name))
 
 
-def label_tokens(scoped: DataFrame, case: str = "keep") -> DataFrame:
+def label_tokens(scoped: DataFrame, case: str = "keep", id_col: str = "stmt_id") -> DataFrame:
     """Adds ``role`` (in | out | cte | null) and ``table_name`` (back-ticks removed), then
     keeps only references, brackets and each statement's first row, and adds
     ``in_subquery``. The first row keeps statements without references in the result."""
@@ -40,7 +40,7 @@ def label_tokens(scoped: DataFrame, case: str = "keep") -> DataFrame:
     name = fold_case(F.regexp_replace(tok, "`", ""), tok, case)
     kept = scoped.withColumn("role", role).where(
         F.col("role").isNotNull() | tok.isin("(", ")") | (F.col("pos") == 0) | tok.isNull())
-    return expression_nesting(kept.withColumn("table_name", F.when(F.col("role").isNotNull(), name)))
+    return expression_nesting(kept.withColumn("table_name", F.when(F.col("role").isNotNull(), name)), id_col)
 
 
 def token_refs(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
@@ -51,7 +51,7 @@ def token_refs(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
     st = statements.select(id_col, *carry, T.statement_head(F.col(sql)).alias("_head"))
     if not partitioned:
         st = st.repartition(id_col)
-    return label_tokens(scope_tokens(tokenize(st, id_col, "_head", carry, masked=True), id_col), case)
+    return label_tokens(scope_tokens(tokenize(st, id_col, "_head", carry, masked=True), id_col), case, id_col)
 
 
 def table_refs(labelled: DataFrame, role: str | None = None,

@@ -30,7 +30,8 @@ def start_lineage_stream(spark: SparkSession, log_path: str, sink_path: str, che
            .parquet(log_path))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        rec = lineage(batch.dropDuplicates(["stmt_id"]).select("stmt_id", "sql"))
+        # the de-duplication already hash-partitions the batch by stmt_id
+        rec = lineage(batch.dropDuplicates(["stmt_id"]).select("stmt_id", "sql"), partitioned=True)
         rec.write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
 
     w = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
