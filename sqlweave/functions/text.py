@@ -95,6 +95,7 @@ _N = "((?:`[^`]+`|[\\p{L}\\p{N}_$]+)(?:\\.(?:`[^`]+`|[\\p{L}\\p{N}_$]+))*)"
 KIND_RULES = [
     # kind, pattern, group of the object name or 0, role of the object
     ("explain", "^explain\\b", 0, None),
+    ("insert_directory", "^insert\\s+overwrite\\s+(?:local\\s+)?directory\\b", 0, None),
     ("insert", "^(insert\\b|from\\b.*\\binsert\\s+(into|overwrite)\\b|with\\b.*\\binsert\\s+(into|overwrite)\\b)", 0, None),
     ("create_table_like", f"^create\\s+(?:temporary\\s+)?(?:external\\s+)?table\\s+(?:if\\s+not\\s+exists\\s+)?{_N}\\s+like\\s+{_N}", 1, "like"),
     ("ctas", f"^create\\s+(?:temporary\\s+)?(?:external\\s+)?table\\s+(?:if\\s+not\\s+exists\\s+)?{_N}\\b.*\\bas\\s*\\(?\\s*(select|with|from)\\b", 1, None),
@@ -118,7 +119,7 @@ KIND_RULES = [
 ]
 # First words a statement of each kind can start with. A rule's regex runs only on
 # statements with one of these first words, so each statement meets one or two regexes.
-KIND_LEAD = {"explain": ("explain",), "insert": ("insert", "from", "with"),
+KIND_LEAD = {"explain": ("explain",), "insert_directory": ("insert",), "insert": ("insert", "from", "with"),
              "create_table_like": ("create",), "ctas": ("create",), "create_table": ("create",),
              "create_view": ("create",), "alter_view_as": ("alter",), "add_partition": ("alter",),
              "drop_partition": ("alter",), "add_columns": ("alter",),

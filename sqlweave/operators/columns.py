@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------------------
 # Operations whose lineage is written, and entity types that can be a sink.
-ELIGIBLE_KINDS = ("query", "insert", "ctas", "create_view", "alter_view_as")
+ELIGIBLE_KINDS = ("query", "insert", "insert_directory", "ctas", "create_view", "alter_view_as")
 SINK_ENTITY_TYPES = ("TABLE", "PARTITION")
 # ---------------------------------------------------------------------------------------
 

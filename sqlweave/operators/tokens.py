@@ -32,7 +32,7 @@ from sqlweave.functions import text as T
 MAJOR = ("select", "from", "where", "group", "having", "order", "union", "intersect", "except",
          "lateral", "insert", "limit", "window", "sort", "cluster", "distribute", "create",
          "with", "values")
-NOT_NAMES = MAJOR + ("table", "into", "overwrite", "on", "using", "if", "join")
+NOT_NAMES = MAJOR + ("table", "into", "overwrite", "on", "using", "if", "join", "local", "directory")
 # Tokens that may stand right before a bracket that opens a query (not an expression);
 # '' is the start of the statement.
 QUERY_BRACKET_AFTER = ("", "from", "join", "as", "union", "all", "except", "intersect", "minus", "(")

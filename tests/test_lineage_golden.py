@@ -39,6 +39,9 @@ GOLDEN = [
     # FROM-first scopes
     ("with w as (select * from a.src) from w insert into x.y select *", "a.src,w", "x.y", "w"),
     ("select * from (from t.t select a) z", "t.t", "", ""),
+    # a directory sink is no table; back-ticked keyword as a name
+    ("insert overwrite local directory '/tmp/x' select * from `order`.`select`", "order.select", "", ""),
+    ("insert overwrite directory '/tmp/y' row format delimited select a from t", "t", "", ""),
 ]
 
 KINDS = [
@@ -59,6 +62,7 @@ KINDS = [
     ("drop function f", "drop_function", "", ""),
     ("alter view d.v as select * from d.t", "alter_view_as", "d.t", "d.v"),
     ("explain select * from d.t", "explain", "d.t", ""),
+    ("insert overwrite directory '/x' select * from d.t", "insert_directory", "d.t", ""),
     ("select 1", "query", "", ""),
 ]
 
