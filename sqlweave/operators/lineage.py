@@ -38,19 +38,21 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
     partitioning, so the exchange is reused and nothing is shuffled twice.
     """
     st = statement_header(statements, id_col, sql, case, carry)
-    key = id_col
+    key = [id_col]
+    if not isinstance(statements.schema[id_col].dataType, (IntegerType, LongType)):
+        # Sort and partition the tokens by two 64-bit hashes of a string id (as much room
+        # against collisions as an md5 id itself) instead of the 32-char string: narrower
+        # rows, long comparisons. Deterministic, so a recomputed task after an executor
+        # loss assigns the same keys.
+        key = ["_k1", "_k2"]
+        st = st.select(F.xxhash64(id_col).alias("_k1"),
+                       F.xxhash64(F.lit("k2"), id_col).alias("_k2"), "*")
     if not partitioned:
-        if not isinstance(statements.schema[id_col].dataType, (IntegerType, LongType)):
-            # Sort and partition the tokens by a long surrogate, not by a (32-char md5)
-            # string id. It is assigned once, before the one text exchange that both the
-            # token side and the header side read, so both see the same numbers.
-            key = "_k"
-            st = st.withColumn(key, F.monotonically_increasing_id())
-        st = st.repartition(key)
+        st = st.repartition(*key)
     labelled = label_tokens(scope_tokens(tokenize(st, key, "_head", masked=True), key), case, key)
-    header = st.select(*dict.fromkeys((key, id_col)), *carry, "kind", "cmd_in", "cmd_out")
-    out = lineage_from_tokens(labelled, header, key, on_error, carry)
-    return out if key == id_col else out.drop(key).select(id_col, *[c for c in out.columns if c not in (key, id_col)])
+    header = st.select(*dict.fromkeys((*key, id_col)), *carry, "kind", "cmd_in", "cmd_out")
+    out = lineage_from_tokens(labelled, header, key, on_error, carry, id_col)
+    return out.drop(*[k for k in key if k != id_col])
 
 
 def statement_header(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
@@ -72,10 +74,12 @@ def statement_kinds(statements: DataFrame, id_col: str = "stmt_id", sql: str = "
     return statement_header(statements, id_col, sql).select(id_col, "kind")
 
 
-def lineage_from_tokens(labelled: DataFrame, header: DataFrame, id_col: str = "stmt_id",
-                        on_error: str = "empty", carry: tuple[str, ...] = ()) -> DataFrame:
+def lineage_from_tokens(labelled: DataFrame, header: DataFrame, key="stmt_id",
+                        on_error: str = "empty", carry: tuple[str, ...] = (),
+                        id_col: str = "stmt_id") -> DataFrame:
     role, name = F.col("role"), F.col("table_name")
-    agg = labelled.groupBy(id_col).agg(
+    key = [key] if isinstance(key, str) else list(key)
+    agg = labelled.groupBy(*key).agg(
         _set(F.when(role == "in", name)).alias("tok_in"),
         _set(F.when((role == "in") & (F.col("in_subquery") == 0), name)).alias("tok_from"),
         _set(F.when(role == "out", name)).alias("tok_out"),
@@ -83,7 +87,7 @@ def lineage_from_tokens(labelled: DataFrame, header: DataFrame, id_col: str = "s
         # depth only falls at ')' and only changes at brackets, all of which are kept rows:
         # min / last depth over them equal those over all tokens.
         ((F.min("d") >= 0) & (F.coalesce(F.max_by("d", "pos"), F.lit(0)) == 0)).alias("balanced"))
-    agg = agg.join(header, id_col)
+    agg = agg.join(header, key)
     command = F.col("kind").isin(*T.COMMAND_KINDS)
     inputs = F.when(command, _one(F.col("cmd_in"))).otherwise(F.col("tok_in"))
     from_inputs = F.when(command, _one(F.col("cmd_in"))).otherwise(F.col("tok_from"))
@@ -94,8 +98,7 @@ def lineage_from_tokens(labelled: DataFrame, header: DataFrame, id_col: str = "s
     ctes = F.when(command, F.array().cast("array<string>")).otherwise(F.col("ctes"))
     parse_ok = (F.coalesce(F.col("balanced"), F.lit(True)) & (F.col("kind") != "unknown")
                 & (~F.col("kind").isin("insert", "ctas") | (F.size(outputs) > 0)))
-    out = agg.select(*dict.fromkeys((id_col, *[c for c in header.columns if c not in (
-        "kind", "cmd_in", "cmd_out", *carry)])), *carry, "kind", inputs.alias("inputs"), outputs.alias("outputs"),
+    out = agg.select(*dict.fromkeys((id_col, *key)), *carry, "kind", inputs.alias("inputs"), outputs.alias("outputs"),
                      ctes.alias("ctes"), from_inputs.alias("from_inputs"), parse_ok.alias("parse_ok"))
     out = out.withColumn("source_inputs", F.array_except("inputs", "ctes"))
     if on_error == "empty":

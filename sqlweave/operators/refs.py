@@ -24,7 +24,7 @@ def fold_case(name: Column, raw: Column, case: str) -> Column:
     return F.when(raw.contains("`"), name).otherwise(f(name))
 
 
-def label_tokens(scoped: DataFrame, case: str = "keep", id_col: str = "stmt_id") -> DataFrame:
+def label_tokens(scoped: DataFrame, case: str = "keep", id_col="stmt_id") -> DataFrame:
     """Adds ``role`` (in | out | cte | null) and ``table_name`` (back-ticks removed), then
     keeps only references, brackets and each statement's first row, and adds
     ``in_subquery``. The first row keeps statements without references in the result."""

@@ -63,7 +63,12 @@ def codes(words) -> list[int]:
 _UNB, _UNF = Window.unboundedPreceding, Window.unboundedFollowing
 
 
-def tokenize(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
+def key_cols(id_col) -> list[str]:
+    """A statement key is one column or a list of columns (e.g. two 64-bit hashes)."""
+    return [id_col] if isinstance(id_col, str) else list(id_col)
+
+
+def tokenize(statements: DataFrame, id_col="stmt_id", sql: str = "sql",
              carry: tuple[str, ...] = (), masked: bool = False) -> DataFrame:
     """L9+L10: (stmt_id, *carry, pos, tok) with literals and comments masked first.
 
@@ -74,10 +79,10 @@ def tokenize(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
     """
     text = F.col(sql) if masked else T.mask_literals(F.col(sql))
     toks = F.regexp_extract_all(text, F.lit(T.TOKEN), 0)
-    return statements.select(id_col, *carry, F.posexplode_outer(toks).alias("pos", "tok"))
+    return statements.select(*key_cols(id_col), *carry, F.posexplode_outer(toks).alias("pos", "tok"))
 
 
-def scope_tokens(tokens: DataFrame, id_col: str = "stmt_id") -> DataFrame:
+def scope_tokens(tokens: DataFrame, id_col="stmt_id") -> DataFrame:
     """L11 + L13 facts per token (codes are ints, see ``CODE``):
 
     c (token code), pv/nx (codes of the previous/next token), d (depth; a '(' has the
@@ -88,7 +93,8 @@ def scope_tokens(tokens: DataFrame, id_col: str = "stmt_id") -> DataFrame:
     """
     tok, pos = F.col("tok"), F.col("pos")
     c = F.coalesce(_code_map()[F.lower(tok)], F.lit(0))
-    w1 = Window.partitionBy(id_col).orderBy("pos")
+    ids = key_cols(id_col)
+    w1 = Window.partitionBy(*ids).orderBy("pos")
     t = tokens.select("*", c.alias("c"))
     t = t.select("*",
                  F.coalesce(F.lag("c", 1).over(w1), F.lit(NONE)).alias("pv"),
@@ -103,7 +109,7 @@ def scope_tokens(tokens: DataFrame, id_col: str = "stmt_id") -> DataFrame:
     first = (pv == code("(")) & (C != code(")"))          # first token of a bracket scope
     kw = F.when(C.isin(*codes(MAJOR)) & ~((C == code("from")) & (pv == code("distinct"))), C)
     t = t.select("*", od.alias("od"), first.alias("first"), kw.alias("kw"))
-    w2 = Window.partitionBy(id_col, "od").orderBy("pos")
+    w2 = Window.partitionBy(*ids, "od").orderBy("pos")
     upto = w2.rowsBetween(_UNB, 0)
     kw_or_reset = F.when(F.col("first") & F.col("kw").isNull(), F.lit(RESET)).otherwise(F.col("kw"))
     t = t.select("*",
@@ -134,11 +140,11 @@ def scope_tokens(tokens: DataFrame, id_col: str = "stmt_id") -> DataFrame:
     return t.drop("pv2", "od", "first", "kw", "cl0")
 
 
-def expression_nesting(rows: DataFrame, id_col: str = "stmt_id") -> DataFrame:
+def expression_nesting(rows: DataFrame, id_col="stmt_id") -> DataFrame:
     """in_subquery: number of expression brackets around each row (L13). Needs every
     bracket of the statement among ``rows``; other tokens may be left out beforehand."""
     tok = F.col("tok")
     step = (F.when(tok == "(", F.col("ex").cast("int"))
             .when(tok == ")", -F.col("op").cast("int")).otherwise(0))
-    w = Window.partitionBy(id_col).orderBy("pos").rowsBetween(_UNB, 0)
+    w = Window.partitionBy(*key_cols(id_col)).orderBy("pos").rowsBetween(_UNB, 0)
     return rows.withColumn("in_subquery", F.sum(step).over(w))
