@@ -87,7 +87,7 @@ def _agg(rel: str, col: str) -> str:
 
 SCRIPTS = f"""
 scripts AS (
-  SELECT 'cust_' || (o_custkey // 100)::VARCHAR || '_' || (stmt_id // 4194304)::VARCHAR || '.sql' sql_file,
+  SELECT 'cust_' || (o_custkey // 1000)::VARCHAR || '_' || (stmt_id // 262144)::VARCHAR || '.sql' sql_file,
          string_agg(CASE stmt_id % 5
              WHEN 1 THEN '-- note' || chr(10) || sql
              WHEN 2 THEN 'set a=b;' || chr(10) || sql
@@ -175,7 +175,7 @@ FROM d GROUP BY stmt_id"""
     o["script_noise_filter"] = scripts + "SELECT sql_file, stmt_pos, sql FROM kept"
     o["script_blank_lines"] = scripts + "SELECT sql_file, stmt_pos, sql FROM collapsed"
     o["script_lineage"] = _with(CORPUS, EXPECTED) + """
-SELECT 'cust_' || (o_custkey // 100)::VARCHAR || '_' || (stmt_id // 4194304)::VARCHAR || '.sql' sql_file,
+SELECT 'cust_' || (o_custkey // 1000)::VARCHAR || '_' || (stmt_id // 262144)::VARCHAR || '.sql' sql_file,
        e.kind, e.inputs, e.outputs
 FROM corpus c JOIN ord_exp e USING (stmt_id)"""
     o["stream_lineage"] = o["lineage_records"]

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from sqlweave.sources.tables import read_table
 
-SCRIPT_CHUNK = 1 << 22
-SCRIPT_CUSTOMERS = 100
+SCRIPT_CHUNK = 1 << 18        # <= 262,144 statements (~80 MB) per script row
+SCRIPT_CUSTOMERS = 1000
 
 
 def _s(c) -> Column:
