@@ -26,9 +26,16 @@ MASK = ("'(?:[^'\\\\]++|\\\\.|'')*+'"
         "|\"(?:[^\"\\\\]++|\\\\.)*+\""
         "|/\\*(?s:.*?)\\*/"
         "|--[^\\r\\n]*")
+# ANSI quoting (Calcite's default): double quotes delimit identifiers, not strings, so
+# they are not masked.
+MASK_ANSI = ("'(?:[^'\\\\]++|\\\\.|'')*+'"
+             "|/\\*(?s:.*?)\\*/"
+             "|--[^\\r\\n]*")
 _NAME = "(?:`[^`]+`|[\\p{L}\\p{N}_$]+)"
+_NAME_ANSI = "(?:`[^`]+`|\"[^\"]+\"|[\\p{L}\\p{N}_$]+)"
 # Token pattern (L10): dotted name, bracket/comma/semicolon/mask mark, operator run.
 TOKEN = f"{_NAME}(?:\\.{_NAME})*|[(),;?]|[-+*/%=<>!|&^~]+"
+TOKEN_ANSI = f"{_NAME_ANSI}(?:\\.{_NAME_ANSI})*|[(),;?]|[-+*/%=<>!|&^~]+"
 # Java String.trim(): every char <= U+0020 at both ends.
 _JAVA_TRIM = "^[\\x00-\\x20]+|[\\x00-\\x20]+$"
 
@@ -62,9 +69,10 @@ def cut_semicolon(c: Column) -> Column:
     return F.regexp_replace(c, ";[\\x00-\\x20]*$", "")
 
 
-def mask_literals(c: Column) -> Column:
-    """String literals, quoted text and both comment kinds become ' ? '."""
-    return F.regexp_replace(c, MASK, " ? ")
+def mask_literals(c: Column, quotes: str = "hive") -> Column:
+    """String literals, quoted text and both comment kinds become ' ? '. With
+    ``quotes='ansi'`` double-quoted text is an identifier and stays."""
+    return F.regexp_replace(c, MASK_ANSI if quotes == "ansi" else MASK, " ? ")
 
 
 def normalise_sql(c: Column) -> Column:
@@ -91,7 +99,7 @@ def query_hash(c: Column) -> Column:
 
 # ---------------------------------------------------------------------------------------
 # Statement kinds (L25). Applied to masked, comment-free, trimmed, lower-cased text.
-_N = "((?:`[^`]+`|[\\p{L}\\p{N}_$]+)(?:\\.(?:`[^`]+`|[\\p{L}\\p{N}_$]+))*)"
+_N = "((?:`[^`]+`|\"[^\"]+\"|[\\p{L}\\p{N}_$]+)(?:\\.(?:`[^`]+`|\"[^\"]+\"|[\\p{L}\\p{N}_$]+))*)"
 KIND_RULES = [
     # kind, pattern, group of the object name or 0, role of the object
     ("explain", "^explain\\b", 0, None),
@@ -135,10 +143,10 @@ COMMAND_KINDS = ("create_table_like", "add_partition", "drop_partition", "add_co
                  "drop_function")
 
 
-def statement_head(sql: Column) -> Column:
+def statement_head(sql: Column, quotes: str = "hive") -> Column:
     """Masked, comment-free, blank-squeezed text used by the kind rules (case kept; the
     rules match case-insensitively so that object names keep their case)."""
-    squeezed = F.trim(F.regexp_replace(mask_literals(sql), "\\s+", " "))
+    squeezed = F.trim(F.regexp_replace(mask_literals(sql, quotes), "\\s+", " "))
     return F.regexp_replace(squeezed, "^(\\?\\s*)+", "")
 
 
@@ -159,7 +167,7 @@ def classify_statement(head: Column, first: Column | None = None) -> Column:
 
 
 def _unquote(c: Column) -> Column:
-    return F.regexp_replace(c, "`", "")
+    return F.regexp_replace(c, "[`\"]", "")
 
 
 def command_refs(head: Column, kind: Column) -> tuple[Column, Column]:

@@ -21,13 +21,17 @@ def _one(c: Column) -> Column:
 
 def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
             case: str = "keep", on_error: str = "empty",
-            carry: tuple[str, ...] = (), partitioned: bool = False) -> DataFrame:
+            carry: tuple[str, ...] = (), partitioned: bool = False,
+            quotes: str = "hive") -> DataFrame:
     """One row per statement:
     (stmt_id, *carry, kind, inputs, outputs, ctes, from_inputs, parse_ok, source_inputs).
 
     * ``inputs`` keeps WITH names, as the reference does; ``source_inputs`` drops them (L16,
       departure D3); ``from_inputs`` is the FROM-chain-only profile (L13).
     * all sets are sorted and unique (TreeSet semantics on UTF-8 order).
+    * ``quotes``: 'hive' (double quotes delimit strings, as in Hive/Spark) or 'ansi'
+      (double-quoted identifiers, as in Calcite; with ``case='upper'`` that is Calcite's
+      default front end).
     * ``on_error``: 'empty' gives empty sets for unparsable statements (Hive), 'keep' keeps
       what was found, 'raise' fails the job (Spark/Calcite paths). ``quarantine`` splits.
 
@@ -37,7 +41,7 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
     (kind, command names, ``carry`` columns) is joined back to the record on the same
     partitioning, so the exchange is reused and nothing is shuffled twice.
     """
-    st = statement_header(statements, id_col, sql, case, carry)
+    st = statement_header(statements, id_col, sql, case, carry, quotes)
     key = [id_col]
     if not isinstance(statements.schema[id_col].dataType, (IntegerType, LongType)):
         # Sort and partition the tokens by two 64-bit hashes of a string id (as much room
@@ -49,19 +53,20 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
                        F.xxhash64(F.lit("k2"), id_col).alias("_k2"), "*")
     if not partitioned:
         st = st.repartition(*key)
-    labelled = label_tokens(scope_tokens(tokenize(st, key, "_head", masked=True), key), case, key)
+    labelled = label_tokens(scope_tokens(tokenize(st, key, "_head", masked=True, quotes=quotes), key),
+                            case, key)
     header = st.select(*dict.fromkeys((*key, id_col)), *carry, "kind", "cmd_in", "cmd_out")
     out = lineage_from_tokens(labelled, header, key, on_error, carry, id_col)
     return out.drop(*[k for k in key if k != id_col])
 
 
 def statement_header(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
-                     case: str = "keep", carry: tuple[str, ...] = ()) -> DataFrame:
+                     case: str = "keep", carry: tuple[str, ...] = (), quotes: str = "hive") -> DataFrame:
     """Per statement, narrow (no shuffle): (stmt_id, *carry, _head, kind, cmd_in, cmd_out).
     ``_head`` is the masked, blank-squeezed text the tokens are cut from; kind (L25) and the
     object names of command kinds come from the leading words. Each step is its own
     projection so the masked text and the first word are computed once per statement."""
-    st = statements.select(id_col, *carry, T.statement_head(F.col(sql)).alias("_head"))
+    st = statements.select(id_col, *carry, T.statement_head(F.col(sql), quotes).alias("_head"))
     st = st.select("*", T.first_word(F.col("_head")).alias("_w"))
     st = st.select(id_col, *carry, "_head", T.classify_statement(F.col("_head"), F.col("_w")).alias("kind"))
     cmd_in, cmd_out = T.command_refs(F.col("_head"), F.col("kind"))

@@ -16,12 +16,15 @@ IN_AFTER = ("from", "join", ",")
 
 
 def fold_case(name: Column, raw: Column, case: str) -> Column:
-    """L22: 'keep' (Hive/Spark paths), 'upper' (Calcite default) or 'lower'; back-ticked
-    names keep their case."""
+    """L22: 'keep' (Hive/Spark paths), 'upper' (Calcite default) or 'lower'. Folding is per
+    name part: a back-ticked or double-quoted part keeps its case, the others fold."""
     if case == "keep":
         return name
     f = F.upper if case == "upper" else F.lower
-    return F.when(raw.contains("`"), name).otherwise(f(name))
+    parts = F.regexp_extract_all(raw, F.lit('`[^`]+`|"[^"]+"|[^.`"]+'), 0)
+    folded = F.transform(parts, lambda p: F.when(p.rlike('^[`"]'), F.regexp_replace(p, '[`"]', ""))
+                         .otherwise(f(p)))
+    return F.when(raw.contains("`") | raw.contains('"'), F.array_join(folded, ".")).otherwise(f(name))
 
 
 def label_tokens(scoped: DataFrame, case: str = "keep", id_col="stmt_id") -> DataFrame:
@@ -29,7 +32,7 @@ def label_tokens(scoped: DataFrame, case: str = "keep", id_col="stmt_id") -> Dat
     keeps only references, brackets and each statement's first row, and adds
     ``in_subquery``. The first row keeps statements without references in the result."""
     tok, pv, nx, cl, c = F.col("tok"), F.col("pv"), F.col("nx"), F.col("cl"), F.col("c")
-    is_name = tok.rlike("^[`\\p{L}_]") & ~c.isin(*codes(NOT_NAMES))
+    is_name = tok.rlike("^[`\"\\p{L}_]") & ~c.isin(*codes(NOT_NAMES))
     role = (F.when(is_name & (cl == code("with")) & pv.isin(*codes(("with", ",")))
                    & nx.isin(*codes(("as", "("))), "cte")
             .when(is_name & cl.isin(*codes(("insert", "create"))) & pv.isin(*codes(OUT_AFTER)), "out")
@@ -37,21 +40,23 @@ def label_tokens(scoped: DataFrame, case: str = "keep", id_col="stmt_id") -> Dat
                   & pv.isin(*codes(IN_AFTER)), "in")
             .when(is_name & (nx != code("(")) & ~F.col("q") & (F.col("sc") >= 0)
                   & F.col("opv").isin(*codes(IN_AFTER)) & pv.isin(*codes(("(", "join"))), "in"))
-    name = fold_case(F.regexp_replace(tok, "`", ""), tok, case)
+    name = fold_case(F.regexp_replace(tok, "[`\"]", ""), tok, case)
     kept = scoped.withColumn("role", role).where(
         F.col("role").isNotNull() | tok.isin("(", ")") | (F.col("pos") == 0) | tok.isNull())
     return expression_nesting(kept.withColumn("table_name", F.when(F.col("role").isNotNull(), name)), id_col)
 
 
 def token_refs(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
-               case: str = "keep", carry: tuple[str, ...] = (), partitioned: bool = False) -> DataFrame:
+               case: str = "keep", carry: tuple[str, ...] = (), partitioned: bool = False,
+               quotes: str = "hive") -> DataFrame:
     """Statements -> labelled reference rows (references, brackets, first row of each
     statement; ``role`` null for the non-references). The statement text is
     hash-partitioned by ``stmt_id`` first unless ``partitioned``."""
-    st = statements.select(id_col, *carry, T.statement_head(F.col(sql)).alias("_head"))
+    st = statements.select(id_col, *carry, T.statement_head(F.col(sql), quotes).alias("_head"))
     if not partitioned:
         st = st.repartition(id_col)
-    return label_tokens(scope_tokens(tokenize(st, id_col, "_head", carry, masked=True), id_col), case, id_col)
+    toks = tokenize(st, id_col, "_head", carry, masked=True, quotes=quotes)
+    return label_tokens(scope_tokens(toks, id_col), case, id_col)
 
 
 def table_refs(labelled: DataFrame, role: str | None = None,

@@ -69,16 +69,17 @@ def key_cols(id_col) -> list[str]:
 
 
 def tokenize(statements: DataFrame, id_col="stmt_id", sql: str = "sql",
-             carry: tuple[str, ...] = (), masked: bool = False) -> DataFrame:
+             carry: tuple[str, ...] = (), masked: bool = False, quotes: str = "hive") -> DataFrame:
     """L9+L10: (stmt_id, *carry, pos, tok) with literals and comments masked first.
 
     ``masked=True`` takes text that went through ``mask_literals`` already (the statement
-    head). ``posexplode_outer`` keeps statements without any token (one row, null token), so the
+    head). ``quotes='ansi'`` keeps double-quoted identifiers as name tokens.
+    ``posexplode_outer`` keeps statements without any token (one row, null token), so the
     lineage record of every statement survives (L17). Only the id, the position, the token
     and the ``carry`` columns leave the scan: the SQL text itself is never sorted.
     """
-    text = F.col(sql) if masked else T.mask_literals(F.col(sql))
-    toks = F.regexp_extract_all(text, F.lit(T.TOKEN), 0)
+    text = F.col(sql) if masked else T.mask_literals(F.col(sql), quotes)
+    toks = F.regexp_extract_all(text, F.lit(T.TOKEN_ANSI if quotes == "ansi" else T.TOKEN), 0)
     return statements.select(*key_cols(id_col), *carry, F.posexplode_outer(toks).alias("pos", "tok"))
 
 

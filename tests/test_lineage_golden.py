@@ -154,3 +154,18 @@ def test_long_statement_is_linear(spark):
     r = lineage(df).collect()[0]
     assert len(r.inputs) == n and r.parse_ok
     assert time.time() - t0 < 120
+
+
+def test_ansi_quotes_calcite_front_end(spark):
+    """Double-quoted identifiers (ANSI / Calcite) with Calcite's upper-casing."""
+    sqls = ['select * from "My Db"."T" t join x.y on t.a = y.a where t.b = \'from z\'',
+            'insert into "Out".t2 select "c" from src',
+            'create table asf.afe as select column_name, adf from table1 union '
+            'select column_name from table2 union select column_name from table2']
+    res = _records(spark, sqls, quotes="ansi", case="upper")
+    assert res[0].inputs == ["My Db.T", "X.Y"]
+    assert (res[1].inputs, res[1].outputs) == (["SRC"], ["Out.T2"])
+    df = spark.createDataFrame([(2, sqls[2])], "stmt_id long, sql string")
+    assert ref_list(token_refs(df, quotes="ansi", case="upper")).collect()[0].refs == ["TABLE1", "TABLE2", "TABLE2"]
+    # Hive quoting: the same double quotes are strings, so no name is found in them
+    assert _records(spark, [sqls[0]])[0].inputs == ["x.y"]
