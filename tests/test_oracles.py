@@ -31,3 +31,16 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "date": "DATE", "array<string>": "VARCHAR[]"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_column_types_match_oracle(spark, sf_small, con, name):
+    """Same column types on both sides (ints vs bigints would differ in a typed compare)."""
+    st = {f.name: f.dataType.simpleString() for f in E.queries()[name](spark, sf_small).schema.fields}
+    rel = con.sql(E.oracle_sql()[name])
+    dt = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t.upper()) for c, t in st.items()} == dt
