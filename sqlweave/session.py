@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -51,14 +50,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location below the shared folder (one per run)."""
     return f"{shared_dir(spark)}/sqlweave/{name}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so that plain-Python helpers in tests can list the folder."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> str:
-    if "://" not in path and not path.startswith("file:"):
-        os.makedirs(path, exist_ok=True)
-    return path

@@ -2,7 +2,7 @@
 
 import pytest
 
-from sqlweave.operators.lineage import lineage, table_edges
+from sqlweave.operators.lineage import io_pair, lineage, table_edges
 from sqlweave.operators.refs import ref_list, token_refs
 
 GOLDEN = [
@@ -169,3 +169,9 @@ def test_ansi_quotes_calcite_front_end(spark):
     assert ref_list(token_refs(df, quotes="ansi", case="upper")).collect()[0].refs == ["TABLE1", "TABLE2", "TABLE2"]
     # Hive quoting: the same double quotes are strings, so no name is found in them
     assert _records(spark, [sqls[0]])[0].inputs == ["x.y"]
+
+
+def test_io_pair(spark):
+    df = spark.createDataFrame([(0, GOLDEN[0][0])], "stmt_id long, sql string")
+    r = io_pair(lineage(df)).collect()[0]
+    assert (r.inputs, r.outputs) == (["c.d", "e.f"], ["a.b"])

@@ -82,3 +82,11 @@ def test_read_scripts_roundtrip_and_missing(spark):
     assert len(got) == 1 and got[0].content == SCRIPT + "\n"   # the text sink ends each row with a line break
     assert read_scripts(spark, path + "/*/*.txt").count() == 1
     assert read_scripts(spark, path + "/does-not-exist").count() == 0
+
+
+def test_unread_files_report(spark):
+    from sqlweave.sources.scripts import unread_files
+    path = write_scripts(_script_df(spark), scratch_path(spark, "t-unread"))
+    got = read_scripts(spark, path)
+    listed = got.select("sql_file").union(spark.createDataFrame([("file:/gone/x.sql",)], "sql_file string"))
+    assert [r.sql_file for r in unread_files(listed, got).collect()] == ["file:/gone/x.sql"]
