@@ -43,11 +43,12 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
     """
     st = statement_header(statements, id_col, sql, case, carry, quotes)
     key = [id_col]
-    if not isinstance(statements.schema[id_col].dataType, (IntegerType, LongType)):
+    if not partitioned and not isinstance(statements.schema[id_col].dataType, (IntegerType, LongType)):
         # Sort and partition the tokens by two 64-bit hashes of a string id (as much room
         # against collisions as an md5 id itself) instead of the 32-char string: narrower
         # rows, long comparisons. Deterministic, so a recomputed task after an executor
-        # loss assigns the same keys.
+        # loss assigns the same keys. (With ``partitioned=True`` the caller's stmt_id
+        # partitioning is reused as is.)
         key = ["_k1", "_k2"]
         st = st.select(F.xxhash64(id_col).alias("_k1"),
                        F.xxhash64(F.lit("k2"), id_col).alias("_k2"), "*")
