@@ -91,8 +91,10 @@ def lineage_from_tokens(labelled: DataFrame, header: DataFrame, key="stmt_id",
         _set(F.when(role == "out", name)).alias("tok_out"),
         _set(F.when(role == "cte", name)).alias("ctes"),
         # depth only falls at ')' and only changes at brackets, all of which are kept rows:
-        # min / last depth over them equal those over all tokens.
-        ((F.min("d") >= 0) & (F.coalesce(F.max_by("d", "pos"), F.lit(0)) == 0)).alias("balanced"))
+        # min / last depth over them equal those over all tokens; keywords used as names
+        # are kept rows too.
+        ((F.min("d") >= 0) & (F.coalesce(F.max_by("d", "pos"), F.lit(0)) == 0)
+         & ~F.coalesce(F.max("kw_as_name"), F.lit(False))).alias("balanced"))
     agg = agg.join(header, key)
     command = F.col("kind").isin(*T.COMMAND_KINDS)
     inputs = F.when(command, _one(F.col("cmd_in"))).otherwise(F.col("tok_in"))

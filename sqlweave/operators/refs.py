@@ -42,7 +42,8 @@ def label_tokens(scoped: DataFrame, case: str = "keep", id_col="stmt_id") -> Dat
                   & F.col("opv").isin(*codes(IN_AFTER)) & pv.isin(*codes(("(", "join"))), "in"))
     name = fold_case(F.regexp_replace(tok, "[`\"]", ""), tok, case)
     kept = scoped.withColumn("role", role).where(
-        F.col("role").isNotNull() | tok.isin("(", ")") | (F.col("pos") == 0) | tok.isNull())
+        F.col("role").isNotNull() | tok.isin("(", ")") | (F.col("pos") == 0) | tok.isNull()
+        | F.col("kw_as_name"))
     return expression_nesting(kept.withColumn("table_name", F.when(F.col("role").isNotNull(), name)), id_col)
 
 

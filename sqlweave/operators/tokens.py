@@ -87,7 +87,7 @@ def scope_tokens(tokens: DataFrame, id_col="stmt_id") -> DataFrame:
     """L11 + L13 facts per token (codes are ints, see ``CODE``):
 
     c (token code), pv/nx (codes of the previous/next token), d (depth; a '(' has the
-    inner depth, a ')' the outer), cl (clause: last major keyword before the token in its scope), sc (scope
+    inner depth, a ')' the outer), kw_as_name (a major keyword used as a name), cl (clause: last major keyword before the token in its scope), sc (scope
     id, -1 at top level), opv (code of the token before the scope's bracket), q (the scope
     holds a query), ex (a '(' opens an expression, not a query) and op (for a ')': ex of
     its '(').
@@ -109,7 +109,10 @@ def scope_tokens(tokens: DataFrame, id_col="stmt_id") -> DataFrame:
     od = F.when(tok == "(", F.col("d") - 1).otherwise(F.col("d"))
     first = (pv == code("(")) & (C != code(")"))          # first token of a bracket scope
     kw = F.when(C.isin(*codes(MAJOR)) & ~((C == code("from")) & (pv == code("distinct"))), C)
-    t = t.select("*", od.alias("od"), first.alias("first"), kw.alias("kw"))
+    # a major keyword right before a comma can only be a keyword used as a name (e.g.
+    # "select order, b"): the statement is marked unparsable instead of guessed at.
+    kw_as_name = C.isin(*codes(MAJOR)) & (F.col("nx") == code(","))
+    t = t.select("*", od.alias("od"), first.alias("first"), kw.alias("kw"), kw_as_name.alias("kw_as_name"))
     w2 = Window.partitionBy(*ids, "od").orderBy("pos")
     upto = w2.rowsBetween(_UNB, 0)
     kw_or_reset = F.when(F.col("first") & F.col("kw").isNull(), F.lit(RESET)).otherwise(F.col("kw"))

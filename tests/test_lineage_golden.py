@@ -113,7 +113,8 @@ def test_kinds_and_command_refs(spark):
 
 
 def test_unparsable(spark):
-    sqls = ["select * from (select a from t", "select a from t)", "frobnicate the tables"]
+    sqls = ["select * from (select a from t", "select a from t)", "frobnicate the tables",
+            "select order, b from t"]
     res = _records(spark, sqls)
     assert all(not r.parse_ok and r.inputs == [] for r in res.values())
     with pytest.raises(Exception):
