@@ -43,18 +43,23 @@ def read_lineage(spark: SparkSession, sink_path: str) -> DataFrame:
     return spark.read.parquet(sink_path).drop("batch_id").dropDuplicates(["stmt_id"])
 
 
-def write_query_log(spark: SparkSession, sf_dir: str, path: str, n_files: int = 4) -> str:
-    """The sample statements as a query log of several Parquet files."""
+def write_query_log(spark: SparkSession, sf_dir: str, path: str, n_files: int | None = None) -> str:
+    """The sample statements as a query log of several Parquet files (as many as the data
+    has partitions, or exactly ``n_files``, which costs a shuffle)."""
     log = sample_statements(spark, sf_dir).select(
         "stmt_id", F.timestamp_seconds(F.abs(F.col("stmt_id")) * 60).alias("ts"), "sql")
-    log.repartition(n_files, "stmt_id").write.mode("overwrite").parquet(path)
+    if n_files:
+        log = log.repartition(n_files, "stmt_id")
+    log.write.mode("overwrite").parquet(path)
     return path
 
 
-def stream_lineage(spark, sf):
+def stream_lineage(spark, sf, batches: int = 4):
     base = scratch_path(spark, "stream")
     log = write_query_log(spark, sf, f"{base}/log")
-    q = start_lineage_stream(spark, log, f"{base}/sink", f"{base}/checkpoint")
+    n = len(spark.read.parquet(log).inputFiles())          # driver-side listing only
+    q = start_lineage_stream(spark, log, f"{base}/sink", f"{base}/checkpoint",
+                             files_per_trigger=max(1, -(-n // batches)))
     q.awaitTermination()
     rec = read_lineage(spark, f"{base}/sink")
     csv = [F.array_join(c, ",").alias(c) for c in ("inputs", "outputs", "ctes")]
