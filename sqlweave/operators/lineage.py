@@ -22,7 +22,7 @@ def _one(c: Column) -> Column:
 def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
             case: str = "keep", on_error: str = "empty",
             carry: tuple[str, ...] = (), partitioned: bool = False,
-            quotes: str = "hive") -> DataFrame:
+            quotes: str = "hive", dedup: bool = False) -> DataFrame:
     """One row per statement:
     (stmt_id, *carry, kind, inputs, outputs, ctes, from_inputs, parse_ok, source_inputs).
 
@@ -32,6 +32,9 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
     * ``quotes``: 'hive' (double quotes delimit strings, as in Hive/Spark) or 'ansi'
       (double-quoted identifiers, as in Calcite; with ``case='upper'`` that is Calcite's
       default front end).
+    * ``stmt_id`` must identify one statement. ``dedup=True`` first removes re-delivered
+      copies (same id, same text) with a ``distinct`` that Spark combines on the map side, so
+      a statement logged a million times costs one row per map task before any shuffle.
     * ``on_error``: 'empty' gives empty sets for unparsable statements (Hive), 'keep' keeps
       what was found, 'raise' fails the job (Spark/Calcite paths). ``quarantine`` splits.
 
@@ -41,6 +44,8 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
     (kind, command names, ``carry`` columns) is joined back to the record on the same
     partitioning, so the exchange is reused and nothing is shuffled twice.
     """
+    if dedup:
+        statements = statements.select(id_col, *carry, sql).distinct()
     st = statement_header(statements, id_col, sql, case, carry, quotes)
     key = [id_col]
     if not partitioned and not isinstance(statements.schema[id_col].dataType, (IntegerType, LongType)):

@@ -51,3 +51,12 @@ def test_ref_counts_at_least_set_sizes(spark):
     for i, r in rec.items():
         assert counts.get(i, 0) >= len(r.from_inputs)
     assert counts[3] == 3
+
+
+def test_dedup_copies(spark):
+    """A statement delivered many times under its id gives one, unchanged record."""
+    rows = [(i, s) for i, s in enumerate(BASE)] + [(0, BASE[0])] * 500
+    df = spark.createDataFrame(rows, "stmt_id long, sql string")
+    want = _sets(spark, BASE)
+    got = {r.stmt_id: (tuple(r.inputs), tuple(r.outputs), tuple(r.ctes)) for r in lineage(df, dedup=True).collect()}
+    assert got == want
