@@ -70,14 +70,64 @@ class Gen:
         return q
 
 
+class Gen2(Gen):
+    def source(self, d):
+        c = self.r.random()
+        if d > 0 and c < 0.2:
+            return f"({self.query(d - 1)}) {self.alias()}"
+        if d > 0 and c < 0.3:
+            return f"({self.r.choice(TABLES)} join {self.r.choice(TABLES)} on 1 = 1)"
+        if c < 0.35:
+            return f"range(10) {self.alias()}"
+        if c < 0.4:
+            return f"{self.r.choice(TABLES)} {self.alias()} lateral view explode(arr) e as v"
+        if c < 0.45:
+            return f"(values (1, 2), (3, 4)) {self.alias()}(p, q)"
+        return f"{self.r.choice(TABLES)} {self.alias()}"
+
+    def select_list(self, d):
+        c = self.r.random()
+        if c < 0.2:
+            return "a, row_number() over (partition by a order by b desc) rn"
+        if c < 0.3:
+            return "/*+ broadcast(a1) */ a"
+        if c < 0.4:
+            return "case when a in (1, 2) then 'x' else 'y' end t, cast(b as decimal(20,2)) m"
+        return super().select_list(d)
+
+    def query(self, d):
+        q = super().query(d)
+        c = self.r.random()
+        if d > 0 and c < 0.1:
+            q = f"({q}) intersect (select a from {self.r.choice(TABLES)})"
+        elif d > 0 and c < 0.2:
+            q = f"{q} except select a from {self.r.choice(TABLES)}"
+        elif c < 0.3:
+            q += " order by a limit 10"
+        return q
+
+    def statement(self):
+        c = self.r.random()
+        d = self.r.randint(0, 2)
+        if c < 0.1:
+            return f"create table out.c{self.r.randint(1,9)} as {self.query(d)}"
+        if c < 0.2:
+            return f"create view out.v{self.r.randint(1,9)} as {self.query(d)}"
+        if c < 0.3:
+            t = self.r.choice(TABLES)
+            return f"from {t} insert into out.o1 select a insert overwrite table out.o2 select b"
+        if c < 0.4:
+            return f"with w as ({self.query(d)}), w2 as (select * from w) insert into out.o4 select * from w2"
+        return super().statement()
+
+
 def _relations(parser, sql):
     plan = parser.parsePlan(sql).toString()
     return {n.replace(", ", ".") for n in re.findall(r"UnresolvedRelation \[([^\]]+)\]", plan)}
 
 
-def test_random_statements_against_spark_parser(spark):
-    g = Gen(20261203)
-    sqls = [g.statement() for _ in range(150)]
+def _check(spark, g, n, min_checked):
+    sqls = [g.statement() for _ in range(n)]
     df = spark.createDataFrame(list(enumerate(sqls)), "stmt_id long, sql string")
     rec = {r.stmt_id: r for r in lineage(df).collect()}
     parser = spark._jsparkSession.sessionState().sqlParser()
@@ -92,4 +142,14 @@ def test_random_statements_against_spark_parser(spark):
         assert r.parse_ok, sql
         assert set(r.inputs) <= names, (sql, r.inputs, names)
         assert names <= set(r.inputs) | set(r.outputs), (sql, r.inputs, r.outputs, names)
-    assert checked >= 120
+    assert checked >= min_checked
+
+
+def test_random_statements_against_spark_parser(spark):
+    _check(spark, Gen(20261203), 150, 120)
+
+
+def test_random_statements_more_constructs(spark):
+    """Parenthesised joins, table functions, lateral view, VALUES, window functions, hints,
+    INTERSECT/EXCEPT, ORDER/LIMIT, CTAS, views, FROM-first multi-insert, WITH .. INSERT."""
+    _check(spark, Gen2(4242), 150, 100)
