@@ -145,7 +145,8 @@ SELECT id stmt_id, t table_name, count(*) n FROM from_refs GROUP BY ALL"""
   UNION ALL SELECT id, 'w', 0 FROM exp_src WHERE f = 1 AND rn = 1
   UNION ALL SELECT id, 'ods.supp_' || u::VARCHAR, rn FROM exp_src WHERE f = 1)
 SELECT id stmt_id, string_agg(t, ',' ORDER BY o) ref_string FROM ordered GROUP BY id"""
-    o["ref_list"] = o["ref_string"].replace("string_agg(t, ',' ORDER BY o) ref_string", "list(t ORDER BY o) refs")
+    o["ref_list"] = o["ref_string"].replace("string_agg(t, ',' ORDER BY o) ref_string",
+                                            "to_json(list(t ORDER BY o))::VARCHAR refs")
     o["table_edges"] = base + """, outs AS (
   SELECT id stmt_id, t target FROM exp_out
   UNION ALL SELECT stmt_id, outputs FROM cmd_exp WHERE outputs <> ''),

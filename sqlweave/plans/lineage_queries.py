@@ -95,7 +95,8 @@ def ref_counts(spark, sf):
 
 
 def ref_list(spark, sf):
-    return R.ref_list(_labelled(spark, sf))
+    """The ordered multiset, shown as a JSON array string (order and duplicates kept)."""
+    return R.ref_list(_labelled(spark, sf)).select("stmt_id", F.to_json("refs").alias("refs"))
 
 
 def ref_string(spark, sf):

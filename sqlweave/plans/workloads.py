@@ -8,7 +8,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DateType, DecimalType, StringType
 
 from sqlweave.operators.reporting import first_last_per_key, flag_first, money, total
 from sqlweave.session import scratch_path
@@ -337,7 +337,25 @@ def udf_surface(spark, sf):
                      pages=pages)
 
 
-QUERIES = {f.__name__: f for f in (
+def _as_text(fn):
+    """Registered form of a job: dates shown as ISO text and decimals as plain text, so the
+    oracle compare does not depend on how each engine hands such values to the client."""
+    def run(spark, sf):
+        df = fn(spark, sf)
+        cols = []
+        for f in df.schema.fields:
+            if isinstance(f.dataType, DateType):
+                cols.append(F.date_format(f.name, "yyyy-MM-dd").alias(f.name))
+            elif isinstance(f.dataType, DecimalType):
+                cols.append(F.col(f.name).cast("string").alias(f.name))
+            else:
+                cols.append(F.col(f.name))
+        return df.select(*cols)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
+QUERIES = {f.__name__: _as_text(f) for f in (
     first_row_per_key, dim_dedup_left_join, multi_key_left_joins, if_arithmetic, inner_joins,
     conditional_count_distinct, conditional_sum, month_report, two_level_agg, union_all_branches,
     union_distinct_ctas, nested_collect_struct, partition_overwrite, orc_roundtrip, case_tiering,
