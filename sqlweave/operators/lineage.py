@@ -40,9 +40,9 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
 
     Physical shape: the statement rows are hash-partitioned by ``stmt_id`` once (the text
     is shuffled, not the several-times larger token rows; skipped with ``partitioned=True``
-    when the input already is); tokens carry only the id, and the per-statement header
-    (kind, command names, ``carry`` columns) is joined back to the record on the same
-    partitioning, so the exchange is reused and nothing is shuffled twice.
+    when the input already is); the per-statement header (kind, command names, ``carry``
+    columns) travels on each statement's first token only and is picked up by the record
+    aggregate, so the whole job is one linear pipeline on that partitioning.
     """
     if dedup:
         statements = statements.select(id_col, *carry, sql).distinct()
@@ -59,10 +59,16 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
                        F.xxhash64(F.lit("k2"), id_col).alias("_k2"), "*")
     if not partitioned:
         st = st.repartition(*key)
-    labelled = label_tokens(scope_tokens(tokenize(st, key, "_head", masked=True, quotes=quotes), key),
-                            case, key)
-    header = st.select(*dict.fromkeys((*key, id_col)), *carry, "kind", "cmd_in", "cmd_out")
-    out = lineage_from_tokens(labelled, header, key, on_error, carry, id_col)
+    # The per-statement header (id, carried columns, kind, command names) rides along with
+    # the statement's first token only (null on every other token row, so the sorted rows
+    # stay narrow); the record aggregate picks it up. One linear pipeline: one exchange, the
+    # statement text masked once, no join back.
+    head_cols = list(dict.fromkeys([c for c in (id_col, *carry) if c not in key] + ["kind", "cmd_in", "cmd_out"]))
+    toks = tokenize(st, key, "_head", carry=tuple(head_cols), masked=True, quotes=quotes)
+    first_row = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    toks = toks.select(*key, "pos", "tok", *[F.when(first_row, F.col(c)).alias(c) for c in head_cols])
+    labelled = label_tokens(scope_tokens(toks, key), case, key)
+    out = lineage_from_tokens(labelled, head_cols, key, on_error, carry, id_col)
     return out.drop(*[k for k in key if k != id_col])
 
 
@@ -85,12 +91,12 @@ def statement_kinds(statements: DataFrame, id_col: str = "stmt_id", sql: str = "
     return statement_header(statements, id_col, sql).select(id_col, "kind")
 
 
-def lineage_from_tokens(labelled: DataFrame, header: DataFrame, key="stmt_id",
-                        on_error: str = "empty", carry: tuple[str, ...] = (),
-                        id_col: str = "stmt_id") -> DataFrame:
+def lineage_from_tokens(labelled: DataFrame, head_cols, key="stmt_id", on_error: str = "empty",
+                        carry: tuple[str, ...] = (), id_col: str = "stmt_id") -> DataFrame:
     role, name = F.col("role"), F.col("table_name")
     key = [key] if isinstance(key, str) else list(key)
     agg = labelled.groupBy(*key).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in head_cols],
         _set(F.when(role == "in", name)).alias("tok_in"),
         _set(F.when((role == "in") & (F.col("in_subquery") == 0), name)).alias("tok_from"),
         _set(F.when(role == "out", name)).alias("tok_out"),
@@ -100,7 +106,6 @@ def lineage_from_tokens(labelled: DataFrame, header: DataFrame, key="stmt_id",
         # are kept rows too.
         ((F.min("d") >= 0) & (F.coalesce(F.max_by("d", "pos"), F.lit(0)) == 0)
          & ~F.coalesce(F.max("kw_as_name"), F.lit(False))).alias("balanced"))
-    agg = agg.join(header, key)
     command = F.col("kind").isin(*T.COMMAND_KINDS)
     inputs = F.when(command, _one(F.col("cmd_in"))).otherwise(F.col("tok_in"))
     from_inputs = F.when(command, _one(F.col("cmd_in"))).otherwise(F.col("tok_from"))
