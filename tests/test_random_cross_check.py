@@ -153,3 +153,34 @@ def test_random_statements_more_constructs(spark):
     """Parenthesised joins, table functions, lateral view, VALUES, window functions, hints,
     INTERSECT/EXCEPT, ORDER/LIMIT, CTAS, views, FROM-first multi-insert, WITH .. INSERT."""
     _check(spark, Gen2(4242), 150, 100)
+
+
+def test_random_ansi_quoted_names(spark):
+    """quotes='ansi' against Spark's parser with double-quoted identifiers switched on."""
+    quoted = ['"db"."t1"', 'db."T2"', '"s"."my orders"', "s.items", '"t3"', "t4", 'x."y"']
+    saved = TABLES[:]
+    conf = {k: spark.conf.get(k, None) for k in ("spark.sql.ansi.enabled",
+                                                 "spark.sql.ansi.doubleQuotedIdentifiers")}
+    try:
+        TABLES[:] = quoted
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+        spark.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "true")
+        g = Gen2(777)
+        sqls = [g.statement().replace("'from fake.table'", "'from \"fake\".\"t\"'") for _ in range(120)]
+        df = spark.createDataFrame(list(enumerate(sqls)), "stmt_id long, sql string")
+        rec = {r.stmt_id: r for r in lineage(df, quotes="ansi").collect()}
+        parser = spark._jsparkSession.sessionState().sqlParser()
+        checked = 0
+        for i, sql in enumerate(sqls):
+            try:
+                names = _relations(parser, sql)
+            except Exception:
+                continue
+            checked += 1
+            r = rec[i]
+            assert r.parse_ok and set(r.inputs) <= names <= set(r.inputs) | set(r.outputs), (sql, r.inputs, names)
+        assert checked >= 80
+    finally:
+        TABLES[:] = saved
+        for k, v in conf.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
