@@ -88,3 +88,9 @@ def lineage_json(statements: DataFrame, merged: DataFrame) -> DataFrame:
 def _join_sorted_expr(items):
     s = F.array_sort(items)
     return F.concat(F.lit("["), F.array_join(F.transform(s, lambda x: x["json"]), ","), F.lit("]"))
+
+
+def write_documents(docs: DataFrame, path: str) -> str:
+    """L41 sink: one JSON document per line (JSON Lines), written by the executors."""
+    docs.select("json").write.mode("overwrite").text(path)
+    return path
