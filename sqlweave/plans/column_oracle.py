@@ -136,6 +136,9 @@ def oracles() -> dict[str, str]:
                                    "FROM deps")
     o["predicate_edges"] = _w() + ("SELECT stmt_id, sink_pos, expr, array_to_string(srcs, ',') sources, "
                                    "array_to_string(tgts, ',') targets FROM raw WHERE edge_type = 'PREDICATE'")
+    o["projection_edges"] = _w() + ("SELECT stmt_id, sink_pos, (ord - sink_pos * 1000000)::BIGINT idx, expr, "
+                                    "array_to_string(srcs, ',') sources, array_to_string(tgts, ',') targets "
+                                    "FROM raw WHERE edge_type = 'PROJECTION'")
     o["edge_merge"] = _w() + ("SELECT stmt_id, edge_pos, edge_type, expr, array_to_string(srcs, ',') sources, "
                               "array_to_string(tgts, ',') targets FROM merged")
     o["vertex_ids"] = _w() + "SELECT stmt_id, id, vertex_type, vertex_id FROM verts"

@@ -67,6 +67,12 @@ def predicate_edges(spark, sf):
                     _vlabels(F.col("sources")).alias("sources"), _csv("targets").alias("targets"))
 
 
+def projection_edges(spark, sf):
+    e = G.raw_edges(_sinks(spark, sf)).where(F.col("edge_type") == "PROJECTION")
+    return e.select("stmt_id", F.col("ord.sink").alias("sink_pos"), F.col("ord.i").cast("long").alias("idx"),
+                    "expr", _vlabels(F.col("sources")).alias("sources"), _csv("targets").alias("targets"))
+
+
 def edge_merge(spark, sf):
     _, merged, _ = _graph(spark, sf)
     return merged.select("stmt_id", F.col("edge_pos").cast("long").alias("edge_pos"), "edge_type", "expr",
@@ -101,5 +107,5 @@ def job_ids(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     op_filter, dest_resolve, dynamic_partition_fields, field_count_check, target_labels,
-    source_vertices, predicate_edges, edge_merge, vertex_ids, edges_json, vertices_json,
+    source_vertices, projection_edges, predicate_edges, edge_merge, vertex_ids, edges_json, vertices_json,
     lineage_json, job_ids)}
