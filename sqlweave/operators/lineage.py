@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
 from sqlweave.functions import text as T
-from sqlweave.operators.refs import fold_case, label_tokens
+from sqlweave.operators.refs import dialect_options, fold_case, label_tokens
 from sqlweave.operators.tokens import scope_tokens, tokenize
 
 
@@ -22,7 +22,7 @@ def _one(c: Column) -> Column:
 def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
             case: str = "keep", on_error: str = "empty",
             carry: tuple[str, ...] = (), partitioned: bool = False,
-            quotes: str = "hive", dedup: bool = False) -> DataFrame:
+            quotes: str = "hive", dedup: bool = False, dialect: str | None = None) -> DataFrame:
     """One row per statement:
     (stmt_id, *carry, kind, inputs, outputs, ctes, from_inputs, parse_ok, source_inputs).
 
@@ -32,6 +32,8 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
     * ``quotes``: 'hive' (double quotes delimit strings, as in Hive/Spark) or 'ansi'
       (double-quoted identifiers, as in Calcite; with ``case='upper'`` that is Calcite's
       default front end).
+    * ``dialect``: 'hive' / 'spark' (case kept, double quotes are strings) or 'calcite'
+      (unquoted parts upper-cased, double-quoted identifiers); overrides ``case``/``quotes``.
     * ``stmt_id`` must identify one statement. ``dedup=True`` first removes re-delivered
       copies (same id, same text) with a ``distinct`` that Spark combines on the map side, so
       a statement logged a million times costs one row per map task before any shuffle.
@@ -44,6 +46,7 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
     columns) travels on each statement's first token only and is picked up by the record
     aggregate, so the whole job is one linear pipeline on that partitioning.
     """
+    case, quotes = dialect_options(dialect, case, quotes)
     if dedup:
         statements = statements.select(id_col, *carry, sql).distinct()
     st = statement_header(statements, id_col, sql, case, carry, quotes)

@@ -15,6 +15,15 @@ IN_AFTER = ("from", "join", ",")
 # ---------------------------------------------------------------------------------------
 
 
+# Name folding and quoting per SQL front end.
+DIALECTS = {"hive": ("keep", "hive"), "spark": ("keep", "hive"), "calcite": ("upper", "ansi")}
+
+
+def dialect_options(dialect: str | None, case: str, quotes: str) -> tuple[str, str]:
+    """(case, quotes) for a named front end, or the explicit values when none is named."""
+    return DIALECTS[dialect] if dialect else (case, quotes)
+
+
 def fold_case(name: Column, raw: Column, case: str) -> Column:
     """L22: 'keep' (Hive/Spark paths), 'upper' (Calcite default) or 'lower'. Folding is per
     name part: a back-ticked or double-quoted part keeps its case, the others fold."""
@@ -49,10 +58,11 @@ def label_tokens(scoped: DataFrame, case: str = "keep", id_col="stmt_id") -> Dat
 
 def token_refs(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
                case: str = "keep", carry: tuple[str, ...] = (), partitioned: bool = False,
-               quotes: str = "hive") -> DataFrame:
+               quotes: str = "hive", dialect: str | None = None) -> DataFrame:
     """Statements -> labelled reference rows (references, brackets, first row of each
     statement; ``role`` null for the non-references). The statement text is
     hash-partitioned by ``stmt_id`` first unless ``partitioned``."""
+    case, quotes = dialect_options(dialect, case, quotes)
     st = statements.select(id_col, *carry, T.statement_head(F.col(sql), quotes).alias("_head"))
     if not partitioned:
         st = st.repartition(id_col)

@@ -189,3 +189,13 @@ def test_io_pair(spark):
     df = spark.createDataFrame([(0, GOLDEN[0][0])], "stmt_id long, sql string")
     r = io_pair(lineage(df)).collect()[0]
     assert (r.inputs, r.outputs) == (["c.d", "e.f"], ["a.b"])
+
+
+def test_dialect_shortcut(spark):
+    sqls = ['select * from "My Db"."T" t join x.y on 1 = 1', "select a from b.c where d = \"e f\""]
+    a = _records(spark, sqls, dialect="calcite")
+    b = _records(spark, sqls, quotes="ansi", case="upper")
+    assert [a[i].inputs for i in a] == [b[i].inputs for i in b]
+    assert a[0].inputs == ["My Db.T", "X.Y"]
+    h = _records(spark, sqls, dialect="hive")
+    assert h[0].inputs == ["x.y"] and h[1].inputs == ["b.c"]
