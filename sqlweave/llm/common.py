@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sqlweave.session import scratch_path
 
 #: bytes of text worked on at once by the array code (temporaries are a few times eight of it)
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xBF58476D1CE4E5B9)

@@ -169,18 +169,24 @@ def _settled(row, n_buckets: int) -> np.ndarray:
 
 
 def _open_windows(row, length: int, runs: np.ndarray):
-    """Per piece of the block: place, doc ids, bytes, and which windows of ``length`` are whole and not settled."""
-    ids, buf, off = X.unpack(row)
+    """Per piece of the block: place, bytes, and which windows of ``length`` are whole and not settled."""
+    _, buf, off = X.unpack(row)
     flag = np.zeros(len(buf) + 1, np.int32)
     np.add.at(flag, runs[:, 0], 1)
     np.add.at(flag, runs[:, 1], -1)
-    settled = np.cumsum(flag[:-1]) > 0
+    settled = np.cumsum(flag[:-1], dtype=np.int32) > 0
     for lo, hi in C.pieces(off):
         a, b = off[lo], off[hi]
         if b - a >= length:
-            end = np.repeat(off[lo + 1:hi + 1], np.diff(off[lo:hi + 1]))[:b - a - length + 1]
-            at = np.arange(a, b - length + 1)
-            yield a, np.repeat(ids[lo:hi], np.diff(off[lo:hi + 1])), buf[a:b], (at + length <= end) & ~settled[a:b - length + 1]
+            whole = np.ones(b - a + length, bool)  # the last length - 1 places of a text start no whole string
+            for end in (off[lo + 1:hi + 1] - a).tolist():
+                whole[max(0, end - length + 1):end] = False
+            yield a, buf[a:b], whole[:b - a - length + 1] & ~settled[a:b - length + 1]
+
+
+def _ids_at(row, places: np.ndarray) -> np.ndarray:
+    off = np.concatenate([[0], np.cumsum(np.frombuffer(row["lens"], np.int64))])
+    return np.frombuffer(row["ids"], np.int64)[np.searchsorted(off, places, side="right") - 1]
 
 
 def _anchors(h: np.ndarray, ok: np.ndarray, width: int) -> np.ndarray:
@@ -196,13 +202,13 @@ def _block_anchors(row, length: int, runs: np.ndarray):
     half = _half(length)
     width = length - half + 1
     parts, names, docs = [], [], []
-    for a, ids, buf, ok in _open_windows(row, length, runs):
+    for a, buf, ok in _open_windows(row, length, runs):
         if ok.any():
             h = _doubled(buf, half) & _EVEN
             at = _anchors(h, ok, width)
-            parts.append((a, ids, buf, ok, at))
+            parts.append((a, buf, ok, at))
             names.append(h[at])
-            docs.append(ids[at])
+            docs.append(_ids_at(row, a + at))
     name = np.concatenate(names) if names else np.zeros(0, np.uint64)
     doc = np.concatenate(docs) if docs else np.zeros(0, np.int64)
     order = np.lexsort((doc, name))
@@ -245,7 +251,7 @@ def _full_questions(length: int, n_buckets: int):
                 twice = twice.copy()
                 twice[order] |= X.joined(row["answers"], ANCHOR)
                 his, los, docs, places = [], [], [], []
-                for a, ids, buf, ok, at in parts:
+                for a, buf, ok, at in parts:
                     h = _doubled(buf, half)
                     flagged = h & _EVEN
                     flagged[at] |= twice[np.searchsorted(name, flagged[at])].astype(np.uint64)
@@ -255,7 +261,7 @@ def _full_questions(length: int, n_buckets: int):
                         his.append(C.mix_pair(h[live], h[live + over], 0))
                         h = _doubled(buf, half, 7)
                         los.append(C.mix_pair(h[live], h[live + over], 7))
-                        docs.append(ids[live])
+                        docs.append(_ids_at(row, a + live))
                         places.append(a + live)
                 out = [{"block_id": row["block_id"], "bucket": int(row["block_id"] % n_buckets), "payload": b"",
                         "place": b"", "runs": runs.astype(np.int64).tobytes()}]
@@ -337,11 +343,11 @@ def _covered(runs: np.ndarray, off: np.ndarray, length: int) -> np.ndarray:
     flag = np.zeros(off[-1] + 1, np.int32)
     np.add.at(flag, runs[good, 0], 1)
     np.add.at(flag, end[good] + length - 1, -1)
-    return np.cumsum(flag[:-1]) > 0
+    return np.cumsum(flag[:-1], dtype=np.int32) > 0
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                   block_bytes: int = 8 << 20) -> DataFrame:
+                   block_bytes: int = 4 << 20) -> DataFrame:
     """Remove each byte covered by a ``length``-byte string that also starts in a text with a smaller id.
 
     Returns doc_id, n_bytes, kept (the remaining bytes), span_starts, span_ends (maximal removed runs, byte
