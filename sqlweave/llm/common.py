@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -66,6 +67,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that have ended (it does so when the driver collects its
+    garbage, which an idle driver may put off for long); what is read later has been written by then."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex}"
 

@@ -59,6 +59,7 @@ def pack(docs: DataFrame, block_bytes: int, extra: Callable | None = None) -> Da
     (docs.mapInArrow(rows, BLOCK_SCHEMA).repartition(n, "block_id").write
      .option("path", C.scratch_path(spark, name)).option("compression", "none")
      .bucketBy(n, "block_id").saveAsTable(name))
+    C.release(spark)
     return spark.table(name)
 
 

@@ -56,11 +56,6 @@ def _half(length: int) -> int:
     return g
 
 
-def _full(h: np.ndarray, length: int, seed: int) -> np.ndarray:
-    over = length - _half(length)
-    return C.mix_pair(h[:-over] if over else h, h[over:], seed)
-
-
 def _chunk_starts(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Starts of texts, and positions whose 16-byte name is the smallest within 128 on either side."""
     starts = [offsets[:-1][np.diff(offsets) > 0]]
@@ -204,10 +199,10 @@ def _block_anchors(row, length: int, runs: np.ndarray):
     parts, names, docs = [], [], []
     for a, buf, ok in _open_windows(row, length, runs):
         if ok.any():
-            h = _doubled(buf, half) & _EVEN
-            at = _anchors(h, ok, width)
-            parts.append((a, buf, ok, at))
-            names.append(h[at])
+            h = _doubled(buf, half)
+            at = _anchors(h & _EVEN, ok, width)
+            parts.append((a, h, ok, at))
+            names.append(h[at] & _EVEN)
             docs.append(_ids_at(row, a + at))
     name = np.concatenate(names) if names else np.zeros(0, np.uint64)
     doc = np.concatenate(docs) if docs else np.zeros(0, np.int64)
@@ -232,6 +227,17 @@ def _anchor_questions(length: int, n_buckets: int):
     return ask
 
 
+#: 96 bits: at 10^13 asked positions the chance of any two different strings under one name is below 10^-3
+_NAME = np.dtype([("hi", "<u8"), ("lo", "<u4")])
+
+
+def _full_names(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    out = np.empty(len(left), _NAME)
+    out["hi"] = C.mix_pair(left, right, 0)
+    out["lo"] = C.mix_pair(left, right, 7) >> np.uint64(32)
+    return out
+
+
 _ASK_FULL = pa.schema([("block_id", pa.int64()), ("bucket", pa.int32()), ("payload", pa.binary()),
                        ("place", pa.binary()), ("runs", pa.binary())])
 
@@ -250,48 +256,48 @@ def _full_questions(length: int, n_buckets: int):
                 order, _ = X.by_bucket(name, n_buckets)
                 twice = twice.copy()
                 twice[order] |= X.joined(row["answers"], ANCHOR)
-                his, los, docs, places = [], [], [], []
-                for a, buf, ok, at in parts:
-                    h = _doubled(buf, half)
+                names, docs, places = [], [], []
+                for a, h, ok, at in parts:
                     flagged = h & _EVEN
                     flagged[at] |= twice[np.searchsorted(name, flagged[at])].astype(np.uint64)
                     live = np.flatnonzero(ok & ((C.sliding(np.minimum, flagged, width) & np.uint64(1)) > 0))
-                    if len(live):
-                        over = length - half
-                        his.append(C.mix_pair(h[live], h[live + over], 0))
-                        h = _doubled(buf, half, 7)
-                        los.append(C.mix_pair(h[live], h[live + over], 7))
-                        docs.append(_ids_at(row, a + live))
-                        places.append(a + live)
+                    names.append(_full_names(h[live], h[live + length - half]))
+                    docs.append(_ids_at(row, a + live))
+                    places.append(a + live)
                 out = [{"block_id": row["block_id"], "bucket": int(row["block_id"] % n_buckets), "payload": b"",
                         "place": b"", "runs": runs.astype(np.int64).tobytes()}]
-                if his:
-                    hi, lo, doc, place = map(np.concatenate, (his, los, docs, places))
+                if names:
+                    name, doc, place = map(np.concatenate, (names, docs, places))
                     # inside the block: later doc_ids of a name are known to repeat, the smallest one asks
-                    later = _smaller_elsewhere(hi, lo, doc)
+                    later = _smaller_elsewhere(name["hi"], name["lo"], doc)
                     known = place[later]
                     out[0]["runs"] += np.stack([known, known + 1], axis=1).astype(np.int64).tobytes()
-                    hi, lo, doc, place = hi[~later], lo[~later], doc[~later], place[~later]
-                    order, bound = X.by_bucket(hi, n_buckets)
-                    cols = np.stack([hi[order], lo[order], doc[order].view(np.uint64)], axis=1)
-                    place = place[order].astype(np.int64)
-                    out += [{"block_id": row["block_id"], "bucket": k, "payload": cols[bound[k]:bound[k + 1]].tobytes(),
-                             "place": place[bound[k]:bound[k + 1]].tobytes(), "runs": None}
-                            for k in np.flatnonzero(np.diff(bound)).tolist()]
+                    name, doc, place = name[~later], doc[~later], place[~later]
+                    bucket = X.bucket_of(name["hi"], n_buckets)
+                    order = np.argsort(bucket, kind="stable")  # in a bucket by place: doc_ids in runs, which compress
+                    bound = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+                    name, doc, place = name[order], doc[order], place[order].astype(np.uint32)
+                    out += [{"block_id": row["block_id"], "bucket": k, "payload": name[i:j].tobytes() + doc[i:j].tobytes(),
+                             "place": place[i:j].tobytes(), "runs": None}
+                            for k, i, j in zip(range(n_buckets), bound[:-1].tolist(), bound[1:].tolist()) if i < j]
                 yield from _rows(out, _ASK_FULL)
     return ask
 
 
 def _full_answers(t: pa.Table) -> pa.Table:
-    parts = [np.frombuffer(p.as_buffer(), np.uint64).reshape(-1, 3) for p in t["payload"]]
-    every = np.concatenate(parts)
-    hit = _smaller_elsewhere(every[:, 0], every[:, 1], every[:, 2].view(np.int64))
+    names, docs = [], []
+    for p in t["payload"]:
+        n = len(p.as_buffer()) // (_NAME.itemsize + 8)
+        names.append(np.frombuffer(p.as_buffer(), _NAME, n))
+        docs.append(np.frombuffer(p.as_buffer(), np.int64, n, n * _NAME.itemsize))
+    every = np.concatenate(names)
+    hit = _smaller_elsewhere(every["hi"], every["lo"], np.concatenate(docs))
     out, at = [], 0
-    for n, place, runs in zip(map(len, parts), t["place"], t["runs"]):
+    for n, place, runs in zip(map(len, names), t["place"], t["runs"]):
         if runs.is_valid:
             out.append(runs.as_py())
         else:
-            p = np.frombuffer(place.as_buffer(), np.int64)[hit[at:at + n]]
+            p = np.frombuffer(place.as_buffer(), np.uint32)[hit[at:at + n]].astype(np.int64)
             out.append(np.stack([p, p + 1], axis=1).tobytes())
         at += n
     return pa.table({"block_id": t["block_id"], "runs": pa.array(out, pa.binary())})
@@ -361,9 +367,11 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
                     .mapInArrow(_chunk_questions(n_buckets), "block_id long, bucket int, payload binary")
                     .groupBy("bucket").applyInArrow(_chunk_answers, "block_id long, kind int, bucket int, bits binary"),
                     "chunk-answers")
+    C.release(spark)
     with_chunk = blocks.join(X.answers_by_block(chunk).hint("shuffle_hash"), "block_id", "left")
     asked = with_chunk.mapInArrow(_anchor_questions(length, n_buckets), "block_id long, bucket int, payload binary")
     anchor = C.saved(X.shared_names(asked, ANCHOR), "anchor-answers")
+    C.release(spark)
     with_both = blocks.join(X.answers_by_block(chunk.unionByName(anchor)).hint("shuffle_hash"), "block_id", "left")
     full = (with_both.mapInArrow(_full_questions(length, n_buckets),
                                  "block_id long, bucket int, payload binary, place binary, runs binary")
