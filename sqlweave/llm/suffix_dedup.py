@@ -274,11 +274,11 @@ def _full_questions(length: int, n_buckets: int):
                     out[0]["runs"] += np.stack([known, known + 1], axis=1).astype(np.int64).tobytes()
                     name, doc, place = name[~later], doc[~later], place[~later]
                     bucket = X.bucket_of(name["hi"], n_buckets)
-                    order = np.argsort(bucket, kind="stable")  # in a bucket by place: doc_ids in runs, which compress
+                    order = np.argsort(bucket, kind="stable")  # in a bucket by place: small steps, which compress
                     bound = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-                    name, doc, place = name[order], doc[order], place[order].astype(np.uint32)
-                    out += [{"block_id": row["block_id"], "bucket": k, "payload": name[i:j].tobytes() + doc[i:j].tobytes(),
-                             "place": place[i:j].tobytes(), "runs": None}
+                    name, doc, place = name[order], doc[order], place[order]
+                    out += [{"block_id": row["block_id"], "bucket": k, "payload": name[i:j].tobytes() + X.steps(doc[i:j]),
+                             "place": X.steps(place[i:j]), "runs": None}
                             for k, i, j in zip(range(n_buckets), bound[:-1].tolist(), bound[1:].tolist()) if i < j]
                 yield from _rows(out, _ASK_FULL)
     return ask
@@ -289,7 +289,7 @@ def _full_answers(t: pa.Table) -> pa.Table:
     for p in t["payload"]:
         n = len(p.as_buffer()) // (_NAME.itemsize + 8)
         names.append(np.frombuffer(p.as_buffer(), _NAME, n))
-        docs.append(np.frombuffer(p.as_buffer(), np.int64, n, n * _NAME.itemsize))
+        docs.append(X.from_steps(p.as_buffer()[n * _NAME.itemsize:]))
     every = np.concatenate(names)
     hit = _smaller_elsewhere(every["hi"], every["lo"], np.concatenate(docs))
     out, at = [], 0
@@ -297,7 +297,7 @@ def _full_answers(t: pa.Table) -> pa.Table:
         if runs.is_valid:
             out.append(runs.as_py())
         else:
-            p = np.frombuffer(place.as_buffer(), np.uint32)[hit[at:at + n]].astype(np.int64)
+            p = X.from_steps(place.as_buffer())[hit[at:at + n]]
             out.append(np.stack([p, p + 1], axis=1).tobytes())
         at += n
     return pa.table({"block_id": t["block_id"], "runs": pa.array(out, pa.binary())})
@@ -353,7 +353,7 @@ def _covered(runs: np.ndarray, off: np.ndarray, length: int) -> np.ndarray:
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                   block_bytes: int = 4 << 20) -> DataFrame:
+                   block_bytes: int = 2 << 20) -> DataFrame:
     """Remove each byte covered by a ``length``-byte string that also starts in a text with a smaller id.
 
     Returns doc_id, n_bytes, kept (the remaining bytes), span_starts, span_ends (maximal removed runs, byte
