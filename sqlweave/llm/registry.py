@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("suffix_dedup",)
+MODULES = ("suffix_dedup", "sketch_dedup")
 
 
 def _gathered(attribute: str) -> dict:

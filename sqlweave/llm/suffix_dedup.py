@@ -264,7 +264,7 @@ def _full_questions(length: int, n_buckets: int):
                     names.append(_full_names(h[live], h[live + length - half]))
                     docs.append(_ids_at(row, a + live))
                     places.append(a + live)
-                out = [{"block_id": row["block_id"], "bucket": int(row["block_id"] % n_buckets), "payload": b"",
+                out = [{"block_id": row["block_id"], "bucket": int(X.bucket_of(np.array([row["block_id"]], np.uint64), n_buckets)[0]), "payload": b"",
                         "place": b"", "runs": runs.astype(np.int64).tobytes()}]
                 if names:
                     name, doc, place = map(np.concatenate, (names, docs, places))
