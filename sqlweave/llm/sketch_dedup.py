@@ -1,11 +1,11 @@
 """Near-duplicate documents by SetSketch registers.
 
-A document's set of word shingles gets 128 registers: each register holds how small the least of the
+A document's set of word shingles gets 640 registers: each register holds how small the least of the
 set's exponential variables is, on a scale of powers of 1.02, cut off at 0 and 65,535. Registers of unions are maxima,
-and two sets agree in a register with about the probability of their Jaccard similarity. Runs of four registers are the bands:
-documents that agree in one of 32 bands are candidates (a pair at 0.8 agrees in none with probability
-5e-8). Candidates whose similarity, by the likelihood of how many registers are equal, larger and smaller, is
-at least threshold - 0.25 (seven standard deviations below it) are verified on their full sets.
+and two sets agree in a register with about the probability of their Jaccard similarity. Runs of eight registers are the bands:
+documents that agree in one of 80 bands are candidates (a pair at 0.8 agrees in none with probability
+4e-7, one at 0.4 in any with 0.05). Candidates whose similarity, by the likelihood of how many of the first 128 registers
+are equal, larger and smaller, is at least threshold - 0.25 (seven standard deviations below it) are verified on their full sets.
 
 No pairs within groups: documents with equal sets are one representative; each bucket links its members to its smallest, and only
 members of buckets that still hold several components are compared further:
@@ -29,11 +29,12 @@ from pyspark.sql import functions as F
 from . import common as C
 from .components import components
 
-REGISTERS, PER_BAND, BASE, RATE = 128, 4, 1.02, 20.0
-_BATCH = 1 << 19
+REGISTERS, PER_BAND, BASE, RATE = 640, 8, 1.02, 20.0
+JUDGED = 128
+_BATCH = 1 << 20
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_hi", pa.int64()), ("set_lo", pa.int64()),
-                     ("bands", pa.list_(pa.int64()))])
-_SKETCH_SQL = "doc_id long, n_shingles long, set_hi long, set_lo long, bands array<long>"
+                     ("bands", pa.list_(pa.int64())), ("judged", pa.binary())])
+_SKETCH_SQL = "doc_id long, n_shingles long, set_hi long, set_lo long, bands array<long>, judged binary"
 
 
 def registers(doc: np.ndarray, h: np.ndarray, n_docs: int) -> np.ndarray:
@@ -46,10 +47,15 @@ def registers(doc: np.ndarray, h: np.ndarray, n_docs: int) -> np.ndarray:
     t = np.zeros(len(h))
     k = 0
     while len(h):
-        k += 1
-        x = C.mix(h + np.uint64((k * 0xA0761D6478BD642F) & 0xFFFFFFFFFFFFFFFF))
-        t -= np.log(((x >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0 ** -52) / (RATE * REGISTERS)
-        np.minimum.at(flat, doc * REGISTERS + (x & np.uint64(REGISTERS - 1)).astype(np.int64), t)
+        ahead = np.arange(k + 1, k + 1 + max(1, min(64, (1 << 16) // len(h))))  # few elements left: some points at once
+        k = int(ahead[-1])
+        x = C.mix((h[:, None] + (ahead.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))[None, :]))
+        step = -np.log(((x >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0 ** -52) / (RATE * REGISTERS)
+        step[:, 0] += t
+        at = np.cumsum(step, axis=1)
+        place = ((x & np.uint64(0xFFFFFFF)) * np.uint64(REGISTERS) >> np.uint64(28)).astype(np.int64)
+        np.minimum.at(flat, (doc[:, None] * REGISTERS + place).ravel(), at.ravel())
+        t = at[:, -1]
         on = t < least.max(axis=1)[doc]
         if not on.all():
             doc, h, t = doc[on], h[on], t[on]
@@ -67,7 +73,13 @@ def _sketches(size: int):
             doc = np.concatenate([p[1] + b for p, b in zip(held, base)])
             h = np.concatenate([p[2] for p in held])
             n = np.bincount(doc, minlength=len(ids))
-            bands = registers(doc, h, len(ids)).view(np.int64)
+            reg = registers(doc, h, len(ids))
+            words = reg.view(np.uint64).reshape(len(ids), -1, PER_BAND // 4)
+            bands = words[:, :, 0]
+            for i in range(1, PER_BAND // 4):
+                bands = C.mix_pair(bands, words[:, :, i])
+            bands = np.ascontiguousarray(bands).view(np.int64)
+            judged = np.ascontiguousarray(reg[:, :JUDGED])
             # names of whole sets: sums of scrambled members, which don't depend on their order
             sums = []
             for seed in (3, 5):
@@ -77,7 +89,9 @@ def _sketches(size: int):
             null = ids == np.iinfo(np.int64).max
             return pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.int64(), mask=null), pa.array(n.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]),
-                pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * bands.shape[1], pa.int32()), pa.array(bands.ravel()))],
+                pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * bands.shape[1], pa.int32()), pa.array(bands.ravel())),
+                pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer((np.arange(len(ids) + 1) * 2 * JUDGED).astype(np.int32).tobytes()),
+                                                              pa.py_buffer(judged.tobytes())])],
                 schema=_SKETCH)
 
         for ids, buf, off in C.text_pieces(batches):
@@ -85,7 +99,7 @@ def _sketches(size: int):
             h, doc, _ = C.shingles(w, doc, len(ids), size)
             doc, h = C.distinct_in(doc, h)
             held.append((ids, doc, h))
-            n_held += len(h) + 64 * len(ids)
+            n_held += len(h) + REGISTERS * len(ids)
             if n_held >= _BATCH:
                 yield flush()
                 held, n_held = [], 0
@@ -94,15 +108,14 @@ def _sketches(size: int):
     return rows
 
 
-def _bits(bands: pa.Array) -> np.ndarray:
-    return bands.combine_chunks().values.to_numpy(zero_copy_only=False).view(np.uint16).reshape(-1, REGISTERS) \
-        if isinstance(bands, pa.ChunkedArray) else bands.flatten().to_numpy(zero_copy_only=False).view(np.uint16).reshape(-1, REGISTERS)
+def _judged(col: pa.Array) -> np.ndarray:
+    return C.binary_arrays(col)[0].view(np.uint16).reshape(-1, JUDGED)
 
 
 def likely_similarity(ka: np.ndarray, kb: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
     """Most likely Jaccard similarity (in steps of 0.01) given both register rows and both set sizes."""
     more, less = (ka > kb).sum(1)[:, None], (ka < kb).sum(1)[:, None]
-    same = REGISTERS - more - less
+    same = ka.shape[1] - more - less
     u = (na / (na + nb))[:, None]
     v = 1 - u
     j = np.linspace(0, 1, 101)[None, :] * np.minimum(u / v, v / u)
@@ -120,7 +133,7 @@ def _likely(least: float):
     def keep(batches):
         for b in batches:
             if b.num_rows:
-                j = likely_similarity(_bits(b.column("ka")), _bits(b.column("kb")),
+                j = likely_similarity(_judged(b.column("ka")), _judged(b.column("kb")),
                                       b.column("na").to_numpy().astype(float), b.column("nb").to_numpy().astype(float))
                 yield b.select(["a", "b"]).filter(pa.array(j >= least))
     return keep
@@ -165,12 +178,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, id_col
     sizes = buckets.groupBy("x").agg(F.first("n").alias("n"), F.min("c").alias("c"))
     texts = C.saved(docs.join(sizes.select(F.col("x").alias("doc_id")), "doc_id", "left_semi"), "candidate-texts")
     regs = C.saved(first.join(sizes.select(F.col("x").alias("doc_id")), "doc_id", "left_semi")
-                   .select("doc_id", "n_shingles", "bands"), "candidate-registers")
+                   .select("doc_id", "n_shingles", "judged"), "candidate-registers")
     C.release(spark)
 
     def check(pairs: DataFrame, name: str) -> DataFrame:
         """Verdict of each pair (a, b): linked or not."""
-        side = [regs.select(F.col("doc_id").alias(i), F.col("n_shingles").alias("n" + i), F.col("bands").alias("k" + i)) for i in "ab"]
+        side = [regs.select(F.col("doc_id").alias(i), F.col("n_shingles").alias("n" + i), F.col("judged").alias("k" + i)) for i in "ab"]
         fit = F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb")
         likely = (pairs.join(side[0], "a").join(side[1], "b").where(fit)
                   .mapInArrow(_likely(percent / 100 - 0.25), "a long, b long"))
