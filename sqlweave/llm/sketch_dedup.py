@@ -4,17 +4,18 @@ A document's set of word shingles gets 640 registers: each register holds how sm
 set's exponential variables is, on a scale of powers of 1.02, cut off at 0 and 65,535. Registers of unions are maxima,
 and two sets agree in a register with about the probability of their Jaccard similarity. Runs of eight registers are the bands:
 documents that agree in one of 80 bands are candidates (a pair at 0.8 agrees in none with probability
-4e-7, one at 0.4 in any with 0.05). Candidates whose similarity, by the likelihood of how many of the first 128 registers
-are equal, larger and smaller, is at least threshold - 0.25 (seven standard deviations below it) are verified on their full sets.
+4e-7, one at 0.4 in any with 0.05). Candidates whose similarity, by the likelihood of how many registers
+are equal, larger and smaller, is at least threshold - 0.1 (six standard deviations below it) are verified on their full sets.
 
 No pairs within groups: documents with equal sets are one representative; each bucket links its members to its smallest, and only
 members of buckets that still hold several components are compared further:
 
 1. each representative with the smallest of all its buckets' smallest members,
 2. then with the smallest member of each bucket, where components still differ,
-3. last, in buckets that still hold several components, the pairs across them.
+3. last, in buckets that still hold several components, the registers of members of different components are
+   compared in blocks, inside tasks; only pairs likely enough to be verified come out.
 
-So every candidate pair is verified or already connected.
+So every candidate pair is verified, unlikely or already connected.
 
 Defined results: a null, empty or blank text has an empty set and is linked with nothing; fewer words
 than a shingle are one shingle; a null id is linked with nothing; other columns are ignored."""
@@ -30,7 +31,7 @@ from . import common as C
 from .components import components
 
 REGISTERS, PER_BAND, BASE, RATE = 640, 8, 1.02, 20.0
-JUDGED = 128
+BLOCK = 256  # members of a bucket compared at once in step 3
 _BATCH = 1 << 20
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_hi", pa.int64()), ("set_lo", pa.int64()),
                      ("bands", pa.list_(pa.int64())), ("judged", pa.binary())])
@@ -79,7 +80,7 @@ def _sketches(size: int):
             for i in range(1, PER_BAND // 4):
                 bands = C.mix_pair(bands, words[:, :, i])
             bands = np.ascontiguousarray(bands).view(np.int64)
-            judged = np.ascontiguousarray(reg[:, :JUDGED])
+            judged = reg
             # names of whole sets: sums of scrambled members, which don't depend on their order
             sums = []
             for seed in (3, 5):
@@ -90,7 +91,7 @@ def _sketches(size: int):
             return pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.int64(), mask=null), pa.array(n.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * bands.shape[1], pa.int32()), pa.array(bands.ravel())),
-                pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer((np.arange(len(ids) + 1) * 2 * JUDGED).astype(np.int32).tobytes()),
+                pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer((np.arange(len(ids) + 1) * 2 * REGISTERS).astype(np.int32).tobytes()),
                                                               pa.py_buffer(judged.tobytes())])],
                 schema=_SKETCH)
 
@@ -109,7 +110,7 @@ def _sketches(size: int):
 
 
 def _judged(col: pa.Array) -> np.ndarray:
-    return C.binary_arrays(col)[0].view(np.uint16).reshape(-1, JUDGED)
+    return C.binary_arrays(col)[0].view(np.uint16).reshape(-1, REGISTERS)
 
 
 def likely_similarity(ka: np.ndarray, kb: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -139,6 +140,29 @@ def _likely(least: float):
     return keep
 
 
+def _across(least: float, percent: int):
+    """Likely pairs of different components between (or within) two blocks of a bucket."""
+    def pairs(t: pa.Table) -> pa.Table:
+        x, n, comp, own = (t[c].to_numpy() for c in ("x", "n", "comp", "own"))
+        reg = _judged(t["judged"])
+        out = []
+        left = np.flatnonzero(own == t["i"][0].as_py())
+        right = np.flatnonzero(own == t["j"][0].as_py())
+        for k in left.tolist():
+            with_ = right[(x[right] != x[k]) & (comp[right] != comp[k])
+                          & (100 * np.minimum(n[right], n[k]) >= percent * np.maximum(n[right], n[k]))]
+            if len(with_):
+                # likelihood is worked out only where enough registers are equal for it
+                with_ = with_[(reg[with_] == reg[k]).mean(axis=1) >= least - 0.05]
+            if len(with_):
+                j = likely_similarity(np.broadcast_to(reg[k], (len(with_), REGISTERS)), reg[with_],
+                                      np.full(len(with_), float(n[k])), n[with_].astype(float))
+                out.append(np.stack([np.minimum(x[k], x[with_[j >= least]]), np.maximum(x[k], x[with_[j >= least]])]))
+        every = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+        return pa.table({"a": every[0], "b": every[1]})
+    return pairs
+
+
 def _verified(size: int, percent: int):
     def rows(batches):
         for batch in batches:
@@ -186,7 +210,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, id_col
         side = [regs.select(F.col("doc_id").alias(i), F.col("n_shingles").alias("n" + i), F.col("judged").alias("k" + i)) for i in "ab"]
         fit = F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb")
         likely = (pairs.join(side[0], "a").join(side[1], "b").where(fit)
-                  .mapInArrow(_likely(percent / 100 - 0.25), "a long, b long"))
+                  .mapInArrow(_likely(percent / 100 - 0.1), "a long, b long"))
         text = [texts.select(F.col("doc_id").alias(i), F.col("text").alias("text_" + i)) for i in "ab"]
         out = C.saved(likely.join(text[0], "a").join(text[1], "b").mapInArrow(
             _verified(shingle, percent), "a long, b long, linked boolean"), name)
@@ -211,10 +235,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, id_col
     links = links.unionByName(check(pairs, "links"))
     placed, comp = labelled(links)
     todo = open_buckets(placed)
-    other = todo.select("band", "value", F.col("x").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("comp_b"))
-    pairs = (todo.select("band", "value", F.col("x").alias("a"), F.col("n").alias("na"), "comp").join(other, ["band", "value"])
-             .where("a < b AND comp != comp_b AND least(na, nb) * 100 >= greatest(na, nb) * " + str(percent))
-             .select("a", "b").distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
+    counted = todo.join(todo.groupBy("band", "value").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), ["band", "value"])
+    own = F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int")
+    dealt = (counted.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("band", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "x", "n", "comp")
+             .join(regs.select(F.col("doc_id").alias("x"), "judged"), "x"))
+    pairs = (dealt.groupBy("band", "value", "i", "j").applyInArrow(_across(percent / 100 - 0.1, percent), "a long, b long")
+             .distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
     links = links.unionByName(check(pairs, "links"))
     comp = C.saved(components(links.where("linked").select("a", "b")), "components")
 
