@@ -123,6 +123,10 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _NOT_ALNUM = np.ones(256, bool)
 _NOT_ALNUM[0x30:0x3A] = _NOT_ALNUM[0x61:0x7B] = _NOT_ALNUM[0x80:] = False
+_SYMBOL = ~_SPACE
+_SYMBOL[~_NOT_ALNUM] = _SYMBOL[0x41:0x5B] = False
+#: which bytes part words: blanks; all but digits, letters and bytes from 0x80; all but the remaining signs
+_PARTS = {"space": _SPACE, "alnum": _NOT_ALNUM, "symbol": ~_SYMBOL}
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _ODD = np.uint64(0x5851F42D4C957F2D)
@@ -134,17 +138,17 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(p)
 
 
-def words(buf: np.ndarray, offsets: np.ndarray, alnum: bool = False):
+def words(buf: np.ndarray, offsets: np.ndarray, kind: str = "space"):
     """Words of A-Z-lower-cased texts: (64-bit hash, text number, start, end) per word, in order.
 
-    Words are runs without the six ASCII blanks or, with ``alnum``, runs of digits, letters and
-    bytes from 0x80."""
+    Words are runs without the six ASCII blanks or, with kind "alnum", runs of digits, letters and bytes
+    from 0x80 or, with kind "symbol", runs of what is neither."""
     n = len(buf)
     if not n:
         z = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), z, z, z
     low = _LOWER[buf]
-    inside = ~(_NOT_ALNUM if alnum else _SPACE)[low]
+    inside = ~_PARTS[kind][low]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     cuts = offsets[1:-1]

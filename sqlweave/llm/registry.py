@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("suffix_dedup", "sketch_dedup")
+MODULES = ("suffix_dedup", "token_files", "sketch_dedup", "quality")
 
 
 def _gathered(attribute: str) -> dict:
