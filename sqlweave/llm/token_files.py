@@ -39,64 +39,77 @@ END_ID = 0
 SAMPLE_DOCS = 512
 DICT_BYTES = 64 << 10
 SHARD_TOKENS = 1 << 18
-_CACHE_ENTRIES = 250_000
+_CACHE_ENTRIES = 500_000
+_SIGNS = '.,;:!?|*&%$#"()[]{}<>=+-_/\\@~^`'
 _NULL_ID = np.iinfo(np.int64).max
 
-# A blank that follows or precedes something else than white space always starts a new piece of byte-level BPE, so texts
-# can be cut there and the parts looked up. Other white space, runs of three or runs at a text's end go to the tokenizer whole.
-_WHOLE = re.compile(r"\s \s|\s\s\Z|[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
+# In byte-level BPE a white space character between others is a piece of its own or, if it is a blank before a word, leads that
+# word's piece; so texts can be cut at blanks and line ends and the words looked up. Only runs of three, runs that end a text and
+# other kinds of white space, and the special token, go to the tokenizer whole.
+_WHOLE = re.compile(r"<\|endoftext\|>|\s\s\s|\s\s\Z|[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
+
+
+class _Pieces(dict):
+    """Ids of the lead (a blank or nothing) and the key, as bytes; what is missing is encoded, or taken over from the generation before."""
+
+    def __init__(self, tokenizer, lead: str, older: dict):
+        self.tokenizer, self.lead, self.older = tokenizer, lead, older
+        self.shown_lead = "\u0120" if lead else ""
+        self.tokenize = tokenizer.model.tokenize
+        self.raw = [np.array([k], "<u4").tobytes() for k in range(tokenizer.get_vocab_size())]
+        self.signs: dict[str, bytes] = {}
+        # how byte-level BPE shows bytes: the printable ones as they are, the others from U+0100 on, in order
+        printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        self.shown = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in printable)}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            # letters, then perhaps signs, are one or two pieces of byte-level BPE: the letters go straight to the model
+            stem = word.rstrip(_SIGNS)
+            if not stem.isalpha() or not (stem.isascii() or max(stem) < "\u0250"):
+                ids = self.whole(self.lead + word)
+            elif len(stem) == len(word):
+                seen = word if word.isascii() else word.encode().decode("latin-1").translate(self.shown)
+                raw = self.raw
+                ids = b"".join([raw[t.id] for t in self.tokenize(self.shown_lead + seen)])
+            else:
+                signs = word[len(stem):]
+                if signs not in self.signs:
+                    self.signs[signs] = self.whole(signs)
+                ids = self[stem] + self.signs[signs]
+        self[word] = ids
+        return ids
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes, each with the end id. Parts seen before come from two
-    generations of a bounded cache; new ones are encoded side by side, as one text, and told apart by the tokens' lengths."""
+    """Ids of texts as little-endian unsigned 32-bit bytes, each with the end id. Words seen before come from two
+    generations of a bounded cache."""
 
     def __init__(self, name: str = TOKENIZER):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.end = np.array([END_ID], "<u4").tobytes()
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.lengths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)  # bytes: a byte-level token has a character for each
-        for token, k in self.tokenizer.get_vocab().items():
-            self.lengths[k] = len(token)
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, parts: set[str]) -> None:
-        cache, older, words, others = self.cache, self.older, [], []
-        for p in parts:
-            if p not in cache:
-                if p in older:
-                    cache[p] = older[p]
-                else:
-                    (words if len(p) > 1 and p[0] == " " and "\n" not in p else others).append(p)
-        cache.update(zip(others, self._encoded(others)))
-        for k in range(0, len(words), 4096):
-            group = words[k:k + 4096]
-            ids = np.array(self.tokenizer.encode("".join(group), add_special_tokens=False).ids, "<u4")
-            ends = np.cumsum([len(p.encode()) for p in group])
-            cut = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-            raw = ids.tobytes()
-            cache.update(zip(group, [raw[4 * i:4 * j] for i, j in zip([0, *cut[:-1].tolist()], cut.tolist())]))
+        self.line = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, "<u4").tobytes()
+        self.after = {lead: _Pieces(self.tokenizer, lead, {}) for lead in (" ", "")}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        parts, whole = [], []
-        if len(self.cache) > _CACHE_ENTRIES:
-            self.cache, self.older = {}, self.cache
-        for k, text in enumerate(texts):
+        for lead, pieces in self.after.items():
+            if len(pieces) > _CACHE_ENTRIES:
+                self.after[lead] = _Pieces(self.tokenizer, lead, dict(pieces))
+        first, later, out = self.after[""], self.after[" "].__getitem__, []
+        for text in texts:
             if _WHOLE.search(text):
-                whole.append(k)
-                parts.append(None)
+                out.append(first.whole(text) + self.end)
             else:
-                words = text.split(" ")
-                parts.append([words[0], *[" " + w for w in words[1:]]])
-        self._learn({p for ps in parts if ps for p in ps})
-        cache = self.cache
-        out = [b"".join([cache[p] for p in ps]) + self.end if ps else b"" for ps in parts]
-        for k, ids in zip(whole, self._encoded([texts[k] for k in whole])):
-            out[k] = ids + self.end
+                lines = []
+                for line in text.split("\n"):
+                    words = line.split(" ")
+                    lines.append(first[words[0]] + b"".join(map(later, words[1:])))
+                out.append(self.line.join(lines) + self.end)
         return out
 
 
@@ -161,8 +174,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, sample_
 
     def shards(batches):
         encode = Encoder(tokenizer)
-        packer = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None,
-                                          write_content_size=True)
+        shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+        if shared:
+            shared.precompute_compress(level=3)  # else each frame would digest the dictionary anew
+        packer = zstandard.ZstdCompressor(level=3, dict_data=shared)
         part, shard, before = TaskContext.get().partitionId(), 0, 0
         ids, counts, frames = [], [], []
 
