@@ -253,6 +253,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, id_col
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: one document (the smallest id) of each group of near copies, by five-word shingles at 0.8."""
+    gone = near_duplicates(docs, 5, 80).where("NOT kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
 def op5_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: all of documents, two-word shingles, 0.8."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), 2, 80)
