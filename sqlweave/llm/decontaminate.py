@@ -222,7 +222,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = 13, most_
             new = np.ones(len(d), bool)
             new[1:] = (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1)
             first = np.flatnonzero(new)
-            last = np.append(first[1:], len(d)) - 1
+            last = np.append(first[1:], len(d))[:len(first)] - 1
             bound = np.concatenate([[0], np.cumsum(np.bincount(d[first], minlength=n))])
             spans = pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.StructArray.from_arrays(
                 [pa.array(p[first], pa.int64()), pa.array(p[last] + 1, pa.int64())], names=["start", "end"]))
