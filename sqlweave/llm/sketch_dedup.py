@@ -12,10 +12,11 @@ members of buckets that still hold several components are compared further:
 
 1. each representative with the smallest of all its buckets' smallest members,
 2. then with the smallest member of each bucket, where components still differ,
-3. last, in buckets that still hold several components, the registers of members of different components are
-   compared in blocks, inside tasks; only pairs likely enough to be verified come out.
+3. last, in buckets that still hold several components, members of different components are compared in blocks of 256 by
+   256, inside tasks: by registers first, then those with a likely partner on their full sets (counts of shared members by a
+   product of 0/1 matrices); only links that connect two components come out, fewer than a block has members.
 
-So every candidate pair is verified, unlikely or already connected.
+So every candidate pair is verified, unlikely or already connected, and no step makes a row for each pair.
 
 Defined results: a null, empty or blank text has an empty set and is linked with nothing; fewer words
 than a shingle are one shingle; a null id is linked with nothing; other columns are ignored."""
@@ -140,27 +141,80 @@ def _likely(least: float):
     return keep
 
 
-def _across(least: float, percent: int):
-    """Likely pairs of different components between (or within) two blocks of a bucket."""
-    def pairs(t: pa.Table) -> pa.Table:
-        x, n, comp, own = (t[c].to_numpy() for c in ("x", "n", "comp", "own"))
+def _comparable(x, n, comp, k, right, percent):
+    """Members of ``right`` that member k may be linked with: another component, and sizes that allow it."""
+    return right[(x[right] != x[k]) & (comp[right] != comp[k])
+                 & (100 * np.minimum(n[right], n[k]) >= percent * np.maximum(n[right], n[k]))]
+
+
+def _sides(t: pa.Table):
+    own = t["own"].to_numpy()
+    return np.flatnonzero(own == t["i"][0].as_py()), np.flatnonzero(own == t["j"][0].as_py())
+
+
+def _promising(least: float, percent: int):
+    """Members of two blocks of a bucket that have a likely partner of another component in them, by their registers."""
+    def members(t: pa.Table) -> pa.Table:
+        x, n, comp = (t[c].to_numpy() for c in ("x", "n", "comp"))
         reg = _judged(t["judged"])
-        out = []
-        left = np.flatnonzero(own == t["i"][0].as_py())
-        right = np.flatnonzero(own == t["j"][0].as_py())
+        left, right = _sides(t)
+        good = np.zeros(len(x), bool)
         for k in left.tolist():
-            with_ = right[(x[right] != x[k]) & (comp[right] != comp[k])
-                          & (100 * np.minimum(n[right], n[k]) >= percent * np.maximum(n[right], n[k]))]
-            if len(with_):
-                # likelihood is worked out only where enough registers are equal for it
-                with_ = with_[(reg[with_] == reg[k]).mean(axis=1) >= least - 0.05]
-            if len(with_):
-                j = likely_similarity(np.broadcast_to(reg[k], (len(with_), REGISTERS)), reg[with_],
-                                      np.full(len(with_), float(n[k])), n[with_].astype(float))
-                out.append(np.stack([np.minimum(x[k], x[with_[j >= least]]), np.maximum(x[k], x[with_[j >= least]])]))
-        every = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-        return pa.table({"a": every[0], "b": every[1]})
-    return pairs
+            others = _comparable(x, n, comp, k, right, percent)
+            if len(others):  # likelihood is worked out only where enough registers are equal for it
+                others = others[(reg[others] == reg[k]).mean(axis=1) >= least - 0.05]
+            if len(others):
+                j = likely_similarity(np.broadcast_to(reg[k], (len(others), REGISTERS)), reg[others],
+                                      np.full(len(others), float(n[k])), n[others].astype(float))
+                if (j >= least).any():
+                    good[k] = True
+                    good[others[j >= least]] = True
+        return t.select(["band", "value", "i", "j", "own", "x", "n", "comp"]).filter(pa.array(good))
+    return members
+
+
+def _spanning(size: int, percent: int):
+    """Links between components among members of two blocks, on their full sets: as many as connect what is linked, no more."""
+    def links(t: pa.Table) -> pa.Table:
+        x, comp = t["x"].to_numpy(), t["comp"].to_numpy()
+        buf, off = C.binary_arrays(t["text"])
+        docs, tokens = [], []
+        for lo, hi in C.pieces(off):
+            w, doc, _, _ = C.words(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
+            h, doc, _ = C.shingles(w, doc, hi - lo, size)
+            doc, h = C.distinct_in(doc, h)
+            docs.append(doc + lo), tokens.append(h)
+        doc, h = np.concatenate(docs), np.concatenate(tokens)
+        n = np.bincount(doc, minlength=len(x))
+        order = np.argsort(h, kind="stable")
+        doc, h = doc[order], h[order]
+        column = np.cumsum(np.concatenate([[False], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+        shared = (np.bincount(column) > 1)[column] if len(h) else np.zeros(0, bool)
+        doc, column = doc[shared], column[shared]
+        left, right = _sides(t)
+        both = np.zeros((len(left), len(right)), np.float32)
+        for lo in range(0, int(column.max()) + 1 if len(column) else 0, 8192):  # incidence, some columns at a time
+            i, j = np.searchsorted(column, [lo, lo + 8192])
+            has = np.zeros((len(x), 8192), np.float32)
+            has[doc[i:j], column[i:j] - lo] = 1
+            both += has[left] @ has[right].T
+        linked = (100 * both >= percent * (n[left][:, None] + n[right][None, :] - both)) & (comp[left][:, None] != comp[right][None, :])
+        parent: dict[int, int] = {}
+
+        def root(c):
+            while parent.setdefault(c, c) != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        out = []
+        for p, q in zip(*(k.tolist() for k in np.nonzero(linked))):
+            a, b = root(int(comp[left[p]])), root(int(comp[right[q]]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append(sorted((int(x[left[p]]), int(x[right[q]]))))
+        every = np.array(out, np.int64).reshape(-1, 2)
+        return pa.table({"a": every[:, 0], "b": every[:, 1]})
+    return links
 
 
 def _verified(size: int, percent: int):
@@ -240,10 +294,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, id_col
     dealt = (counted.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("band", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "x", "n", "comp")
              .join(regs.select(F.col("doc_id").alias("x"), "judged"), "x"))
-    pairs = (dealt.groupBy("band", "value", "i", "j").applyInArrow(_across(percent / 100 - 0.1, percent), "a long, b long")
-             .distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
-    links = links.unionByName(check(pairs, "links"))
-    comp = C.saved(components(links.where("linked").select("a", "b")), "components")
+    block = ["band", "value", "i", "j"]
+    hopeful = C.saved(dealt.groupBy(*block).applyInArrow(
+        _promising(percent / 100 - 0.1, percent), "band int, value long, i int, j int, own int, x long, n long, comp long"), "promising")
+    across = C.saved(hopeful.join(texts.withColumnRenamed("doc_id", "x"), "x").groupBy(*block).applyInArrow(
+        _spanning(shingle, percent), "a long, b long").distinct(), "links")
+    comp = C.saved(components(links.where("linked").select("a", "b").unionByName(across)), "components")
 
     label = (rep.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
              .select("set_hi", "set_lo", "n_shingles", F.coalesce("component_id", "rep").alias("component_id")))
