@@ -129,6 +129,13 @@ _SYMBOL[~_NOT_ALNUM] = _SYMBOL[0x41:0x5B] = False
 _PARTS = {"space": _SPACE, "alnum": _NOT_ALNUM, "symbol": ~_SYMBOL}
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
+
+
+def lowered(buf: np.ndarray) -> np.ndarray:
+    """A-Z lower-cased bytes."""
+    return _LOWER[buf]
+
+
 _ODD = np.uint64(0x5851F42D4C957F2D)
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("suffix_dedup", "mixing", "token_files", "sketch_dedup", "decontaminate", "quality")
+MODULES = ("suffix_dedup", "mixing", "token_files", "sketch_dedup", "decontaminate", "topk", "quality",
+           "warc", "url_filter")
 
 
 def _gathered(attribute: str) -> dict:
