@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("suffix_dedup", "mixing", "token_files", "sketch_dedup", "decontaminate", "topk", "quality",
+MODULES = ("suffix_dedup", "mixing", "passage_dedup", "token_files", "sketch_dedup", "decontaminate", "topk", "quality",
            "warc", "url_filter")
 
 
