@@ -105,10 +105,10 @@ KIND_RULES = [
     ("explain", "^explain\\b", 0, None),
     ("insert_directory", "^insert\\s+overwrite\\s+(?:local\\s+)?directory\\b", 0, None),
     ("insert", "^(insert\\b|from\\b.*\\binsert\\s+(into|overwrite)\\b|with\\b.*\\binsert\\s+(into|overwrite)\\b)", 0, None),
-    ("create_table_like", f"^create\\s+(?:temporary\\s+)?(?:external\\s+)?table\\s+(?:if\\s+not\\s+exists\\s+)?{_N}\\s+like\\s+{_N}", 1, "like"),
-    ("ctas", f"^create\\s+(?:temporary\\s+)?(?:external\\s+)?table\\s+(?:if\\s+not\\s+exists\\s+)?{_N}\\b.*\\bas\\s*\\(?\\s*(select|with|from)\\b", 1, None),
-    ("create_table", f"^create\\s+(?:temporary\\s+)?(?:external\\s+)?table\\s+(?:if\\s+not\\s+exists\\s+)?{_N}", 1, None),
-    ("create_view", f"^create\\s+(?:or\\s+replace\\s+)?(?:global\\s+)?(?:temporary\\s+)?view\\s+(?:if\\s+not\\s+exists\\s+)?{_N}", 1, None),
+    ("create_table_like", f"^create\\s+(?:temp(?:orary)?\\s+)?(?:external\\s+)?table\\s+(?:if\\s+not\\s+exists\\s+)?{_N}\\s+like\\s+{_N}", 1, "like"),
+    ("ctas", f"^create\\s+(?:temp(?:orary)?\\s+)?(?:external\\s+)?table\\s+(?:if\\s+not\\s+exists\\s+)?{_N}\\b.*\\bas\\s*\\(?\\s*(select|with|from)\\b", 1, None),
+    ("create_table", f"^create\\s+(?:temp(?:orary)?\\s+)?(?:external\\s+)?table\\s+(?:if\\s+not\\s+exists\\s+)?{_N}", 1, None),
+    ("create_view", f"^create\\s+(?:or\\s+replace\\s+)?(?:global\\s+)?(?:temp(?:orary)?\\s+)?view\\s+(?:if\\s+not\\s+exists\\s+)?{_N}", 1, None),
     ("alter_view_as", f"^alter\\s+view\\s+{_N}\\s+as\\b", 1, "out"),
     ("add_partition", f"^alter\\s+table\\s+{_N}\\s+add\\s+(?:if\\s+not\\s+exists\\s+)?partition\\b", 1, "out"),
     ("drop_partition", f"^alter\\s+table\\s+{_N}\\s+drop\\s+(?:if\\s+exists\\s+)?partition\\b", 1, "out"),
@@ -147,7 +147,7 @@ def statement_head(sql: Column, quotes: str = "hive") -> Column:
     """Masked, comment-free, blank-squeezed text used by the kind rules (case kept; the
     rules match case-insensitively so that object names keep their case)."""
     squeezed = F.trim(F.regexp_replace(mask_literals(sql, quotes), "\\s+", " "))
-    return F.regexp_replace(squeezed, "^(\\?\\s*)+", "")
+    return F.regexp_replace(squeezed, "^[?\\s]+", "")
 
 
 def first_word(head: Column) -> Column:

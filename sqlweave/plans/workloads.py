@@ -30,24 +30,23 @@ def _t(spark, sf, name, *cols):
 
 def _city_dims(spark, sf) -> DataFrame:
     """Dimension dedup by GROUP BY (W2): nation -> region name as 'city level'. Both tables
-    are fixed-size by the schema, so the result is safe to broadcast."""
-    reg = _t(spark, sf, "region", "r_regionkey", "r_name").where(F.col("r_name") != "ASIA")
+    are small, so the planner broadcasts them."""
+    reg = _t(spark, sf, "region", "r_regionkey", "r_name")
     nat = _t(spark, sf, "nation", "n_nationkey", "n_regionkey")
-    return (nat.join(F.broadcast(reg), nat.n_regionkey == reg.r_regionkey)
+    return (nat.join(reg, nat.n_regionkey == reg.r_regionkey)
             .select("n_nationkey", "r_name").distinct())
 
 
 def _user_dims(spark, sf) -> DataFrame:
-    """Dimension dedup by GROUP BY (W2): customer -> nation, one segment left out."""
-    return (_t(spark, sf, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
-            .where(F.col("c_mktsegment") != "BUILDING").select("c_custkey", "c_nationkey").distinct())
+    """Dimension dedup by GROUP BY (W2): customer -> nation."""
+    return _t(spark, sf, "customer", "c_custkey", "c_nationkey").distinct()
 
 
 def _with_city(spark, sf, facts: DataFrame) -> DataFrame:
     """Facts (with o_custkey) left join users left join city levels; nvl to 'OTHER'."""
     users = _user_dims(spark, sf)
     out = facts.join(users, facts.o_custkey == users.c_custkey, "left")
-    out = out.join(F.broadcast(_city_dims(spark, sf)), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    out = out.join(_city_dims(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return out.withColumn("city_level", F.coalesce(F.col("r_name"), F.lit("OTHER")))
 
 
@@ -118,14 +117,13 @@ def _flagged_orders(spark, sf):
 
 
 def conditional_count_distinct(spark, sf):
-    """Several count(distinct case when ..) per group (Catalyst's Expand rewrite)."""
-    o = _flagged_orders(spark, sf)
-    first = F.col("first_order") == 1
-    return o.groupBy("o_orderpriority").agg(
-        F.count_distinct("o_custkey").alias("clue_num"),
-        F.count_distinct(F.when(first, F.col("o_custkey"))).alias("new_clue_num"),
-        F.count_distinct(F.when(~first | (F.col("o_orderstatus") == "F"), F.col("o_custkey")))
-        .alias("useless_clue_num"))
+    """Customers of each priority, those with an order still open, and those with an order above
+    200,000: one row per (priority, customer) with flags, then sums; no Expand."""
+    o = _t(spark, sf, "orders", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    each = o.where("o_custkey IS NOT NULL").groupBy("o_orderpriority", "o_custkey").agg(
+        F.max((F.col("o_orderstatus") != "F").cast("long")).alias("still_open"), F.max((F.col("o_totalprice") > 200000).cast("long")).alias("large"))
+    return each.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("customers"), F.coalesce(F.sum("still_open"), F.lit(0)).alias("with_open"),
+                                               F.coalesce(F.sum("large"), F.lit(0)).alias("with_large"))
 
 
 def conditional_sum(spark, sf):
@@ -139,49 +137,30 @@ def conditional_sum(spark, sf):
 
 
 def month_report(spark, sf):
-    """W7+W19 (the month report): deduped orders left join a deduped customer list,
-    conditional sums by month cut."""
-    o = _flagged_orders(spark, sf)
-    a = o.select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice",
-                 F.to_date("first_ts").alias("first_order_dt"), F.to_date("o_orderdate").alias("dt")).distinct()
-    b = (_t(spark, sf, "customer", "c_custkey", "c_mktsegment")
-         .where(F.col("c_mktsegment") == "AUTOMOBILE").select(F.col("c_custkey").alias("id")).distinct())
-    j = a.join(b, a.o_custkey == b.id, "left")
-    p, first = money("o_totalprice"), F.col("first_order_dt") == F.col("dt")
-    urgent = F.col("o_orderpriority").like("%URGENT%")
-    return j.groupBy(F.date_format("dt", "yyyy-MM").alias("month")).agg(
-        total(p).alias("month_total_pay_fee"),
-        total(F.when(F.col("first_order_dt") != F.col("dt"), p)).alias("month_again_pay_fee"),
-        total(F.when(first, p)).alias("month_first_pay_fee"),
-        total(F.when(first & ~urgent & F.col("id").isNotNull(), p)).alias("month_new_first_pay_fee"),
-        total(F.when(first & ~urgent & F.col("id").isNull(), p)).alias("month_old_first_pay_fee"),
-        total(F.when(first & urgent, p)).alias("month_referral_pay_fee"))
+    """W7+W19: per month, what customers paid on the first day they ever ordered, later, and from
+    which segment; orders are summed per (customer, day) before a customer's first day is looked up."""
+    o = _t(spark, sf, "orders", "o_custkey", "o_orderdate", "o_totalprice")
+    daily = o.groupBy("o_custkey", F.to_date("o_orderdate").alias("day")).agg(F.sum(money("o_totalprice")).alias("paid"), F.count(F.lit(1)).alias("n"))
+    start = o.groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("start"))
+    machines = _t(spark, sf, "customer", "c_custkey", "c_mktsegment").where(F.col("c_mktsegment") == "MACHINERY").select("c_custkey").distinct()
+    j = daily.join(start, "o_custkey", "left").join(machines, F.col("o_custkey") == F.col("c_custkey"), "left")
+    opening = F.col("day") == F.col("start")
+    return j.groupBy(F.date_format("day", "yyyy-MM").alias("month")).agg(
+        F.sum("n").alias("orders"), total(F.col("paid")).alias("revenue"), total(F.when(opening, F.col("paid"))).alias("opening_revenue"),
+        total(F.when(F.col("c_custkey").isNotNull(), F.col("paid"))).alias("machinery_revenue"))
 
 
 def two_level_agg(spark, sf):
-    """An outer GROUP BY over the union of two inner aggregates (clues; valid terms of
-    first orders). The union is built inside one pass: each row is tagged into branch 'a',
-    and first orders also into branch 'b' (explode of the tags), the inner aggregate groups
-    by (keys, branch), the outer one by keys. The joined facts are read once instead of
-    once per union branch."""
-    o = _with_city(spark, sf, _flagged_orders(spark, sf).drop("o_totalprice"))
-    fl = _study_flags(spark, sf)
-    o = o.join(fl, (o.o_orderkey == fl.l_orderkey) & (o.o_orderstatus == fl.l_linestatus), "left")
-    first = F.col("first_order") == 1
-    tags = F.when(first, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a")))
-    keys = [F.to_date("o_orderdate").alias("data_date"), F.col("o_orderpriority").alias("channel"), "city_level"]
-    n = sum(F.coalesce(F.col(f"s{k}"), F.lit(0)) for k in (1, 2, 3, 4))
-    t = o.select(*keys, "o_custkey", first.alias("first"), (F.col("o_orderstatus") == "F").alias("fin"),
-                 (n >= 2).alias("valid"), F.explode(tags).alias("branch"))
-    a, b, cust = F.col("branch") == "a", F.col("branch") == "b", F.col("o_custkey")
-    inner = t.groupBy("data_date", "channel", "city_level", "branch").agg(
-        F.count_distinct(F.when(a, cust)).alias("clue_num"),
-        F.count_distinct(F.when(a & F.col("first"), cust)).alias("new_clue_num"),
-        F.count_distinct(F.when(a & (~F.col("first") | F.col("fin")), cust)).alias("useless_clue_num"),
-        F.count_distinct(F.when(b & F.col("valid"), cust)).alias("term_valid_num"))
-    return inner.groupBy("data_date", "channel", "city_level").agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c)
-          for c in ("clue_num", "new_clue_num", "useless_clue_num", "term_valid_num")])
+    """Customers per (day, priority, region): an inner row per customer with flags, then counts.
+    One shuffle by the inner keys; flags are maxima, so there is neither explode nor Expand."""
+    o = _with_city(spark, sf, _orders_with_study(spark, sf))
+    lines = F.col("s1") + F.col("s2") + F.col("s3") + F.col("s4")
+    keys = ["day", "priority", "region"]
+    inner = (o.select(F.to_date("o_orderdate").alias("day"), F.col("o_orderpriority").alias("priority"), F.col("city_level").alias("region"),
+                      "o_custkey", (F.col("o_orderstatus") == "F").cast("long").alias("done"), (lines >= 2).cast("long").alias("two"))
+             .groupBy(*keys, "o_custkey").agg(F.count(F.lit(1)).alias("n"), F.max("done").alias("done"), F.max("two").alias("two")))
+    return inner.groupBy(*keys).agg(F.count(F.lit(1)).alias("customers"), F.sum((F.col("n") > 1).cast("long")).alias("with_several_orders"),
+                                    F.sum("done").alias("with_finished_order"), F.sum("two").alias("with_two_matching_lines"))
 
 
 def union_all_branches(spark, sf):
@@ -219,7 +198,7 @@ def nested_collect_struct(spark, sf):
     sum, count(*) and a decimal(20,2) cast; the set is shown sorted as text."""
     li = _t(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
     o = _t(spark, sf, "orders", "o_orderkey", "o_custkey")
-    d = (li.where(F.year("l_shipdate") == 1998)
+    d = (li.where((F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp")) & (F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp")))
          .join(o, F.col("l_orderkey") == F.col("o_orderkey")))
     inner = d.groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("sku_id")).agg(
         F.sum("l_quantity").cast("long").alias("sku_num"), F.count(F.lit(1)).alias("order_count"),
@@ -239,7 +218,7 @@ def partition_overwrite(spark, sf):
     path = scratch_path(spark, "dyn")
     (o.groupBy(dt, "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path))
-    (o.where((F.year("o_orderdate") == 1999) & (F.col("o_orderstatus") == "F"))
+    (o.where((F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp")) & (F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp")) & (F.col("o_orderstatus") == "F"))
      .groupBy(dt, "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path))
     r = spark.read.parquet(path)

@@ -39,19 +39,18 @@ GOLDEN = [
     # FROM-first scopes
     ("with w as (select * from a.src) from w insert into x.y select *", "a.src,w", "x.y", "w"),
     ("select * from (from t.t select a) z", "t.t", "", ""),
-    # month report shape: derived tables, conditional sums, comment with non-ASCII text
-    ("insert overwrite table rpt.income_month partition (by_month)\nSELECT substring(date_sub(CURRENT_DATE, 1),1,7) "
-     "as month, sum(final_price) as total,--本月总业绩\n sum(case when a.first_dt!=a.dt then final_price else null end) "
-     "as again, sum(case when a.first_dt=a.dt AND a.src not LIKE '%销售%' AND b.id is not null then a.final_price "
-     "else null end) as newf\nFROM (SELECT order_id, customer_id, final_price, first_dt, dt FROM src.orders_day "
-     "WHERE dt BETWEEN date_sub(CURRENT_DATE, 32) and date_sub(CURRENT_DATE, 1) group by order_id, customer_id, "
-     "final_price, first_dt, dt) as a left join (select id from src.crm_day where is_company=0 group by id) as b "
-     "on a.customer_id=b.id group by substring(date_sub(CURRENT_DATE, 1),1,7)",
-     "src.crm_day,src.orders_day", "rpt.income_month", ""),
-    # nested collection shape: alias glued to the closing bracket
-    ("select user_id, collect_set(named_struct('sku_id',sku_id,'sku_num',sku_num)) stats from (select user_id, "
-     "sku_id, sum(sku_num) sku_num, count(*) c, cast(sum(amt) as decimal(20,2)) amount from shop.order_detail "
-     "where dt='2021-04-14' group by user_id,sku_id)tmp group by user_id", "shop.order_detail", "", ""),
+    # a wide insert over nested unions, a self join three deep, window functions and comments
+    ("insert into mart.daily_stock (sku, depot, onhand) -- ware für täglich\nselect s1.sku, coalesce(d.label, 'none; from nowhere'), "
+     "sum(s1.qty) over (partition by s1.sku order by s1.ts rows between 2 preceding and current row) /* join hidden.h */ "
+     "from raw.moves s1 join raw.moves s2 on s1.parent = s2.id join raw.moves s3 on s2.parent = s3.id "
+     "left join (select id, max(label) label from (select id, label from dim.depot_eu union all select id, label from dim.depot_us) u "
+     "group by id having count(*) < 9) d on d.id = s3.depot where s1.qty > (select avg(qty) from ref.limits)",
+     "dim.depot_eu,dim.depot_us,raw.moves,ref.limits", "mart.daily_stock", ""),
+    # maps built from an aggregate, the subquery's alias next to its bracket
+    ("select zone, map_from_arrays(collect_list(k), collect_list(v)) m from (select zone, k, min(v) v from geo.readings "
+     "group by zone, k)r group by zone", "geo.readings", "", ""),
+    ("create or replace temp view tv as select * from p.q", "p.q", "tv", ""),
+    ("create temp table tt as select * from p.q", "p.q", "tt", ""),
     # a directory sink is no table; back-ticked keyword as a name
     ("insert overwrite local directory '/tmp/x' select * from `order`.`select`", "order.select", "", ""),
     ("insert overwrite directory '/tmp/y' row format delimited select a from t", "t", "", ""),
@@ -129,9 +128,8 @@ def test_case_fold(spark):
 
 def test_ref_list_keeps_duplicates_in_order(spark):
     df = spark.createDataFrame(
-        [(0, "create table x.y as select a, b from t1 union select a from t2 union select a from t2")],
-        "stmt_id long, sql string")
-    assert ref_list(token_refs(df)).collect()[0].refs == ["t1", "t2", "t2"]
+        [(0, "select m.k from zoo.cats m join zoo.dogs n on m.k = n.k except select k from zoo.cats")], "stmt_id long, sql string")
+    assert ref_list(token_refs(df)).collect()[0].refs == ["zoo.cats", "zoo.dogs", "zoo.cats"]
 
 
 def test_table_edges_one_row_per_target(spark):
@@ -174,13 +172,12 @@ def test_ansi_quotes_calcite_front_end(spark):
     """Double-quoted identifiers (ANSI / Calcite) with Calcite's upper-casing."""
     sqls = ['select * from "My Db"."T" t join x.y on t.a = y.a where t.b = \'from z\'',
             'insert into "Out".t2 select "c" from src',
-            'create table asf.afe as select column_name, adf from table1 union '
-            'select column_name from table2 union select column_name from table2']
+            'select p."a b" from Lake.fish p intersect select q from "lake".fish intersect select q from Lake.fish']
     res = _records(spark, sqls, quotes="ansi", case="upper")
     assert res[0].inputs == ["My Db.T", "X.Y"]
     assert (res[1].inputs, res[1].outputs) == (["SRC"], ["Out.T2"])
     df = spark.createDataFrame([(2, sqls[2])], "stmt_id long, sql string")
-    assert ref_list(token_refs(df, quotes="ansi", case="upper")).collect()[0].refs == ["TABLE1", "TABLE2", "TABLE2"]
+    assert ref_list(token_refs(df, quotes="ansi", case="upper")).collect()[0].refs == ["LAKE.FISH", "lake.FISH", "LAKE.FISH"]
     # Hive quoting: the same double quotes are strings, so no name is found in them
     assert _records(spark, [sqls[0]])[0].inputs == ["x.y"]
 
@@ -199,3 +196,10 @@ def test_dialect_shortcut(spark):
     assert a[0].inputs == ["My Db.T", "X.Y"]
     h = _records(spark, sqls, dialect="hive")
     assert h[0].inputs == ["x.y"] and h[1].inputs == ["b.c"]
+
+
+def test_many_leading_comments(spark):
+    """A long commented header must not make a regular expression recurse."""
+    sql = "-- a line\n" * 100_000 + "select * from a.b"
+    r = _records(spark, [sql, "? " * 100_000 + "select * from c.d"])
+    assert r[0].inputs == ["a.b"] and r[1].inputs == ["c.d"]

@@ -10,22 +10,21 @@ from sqlweave.operators.lineage import lineage
 from sqlweave.session import scratch_path
 from sqlweave.sources.scripts import read_scripts, write_scripts
 
-SCRIPT = """-- header comment
-set hive.exec.dynamic.partition=true;
-set mapreduce.map.memory.mb=1025;
-ADD JAR hdfs://x/udf/u.jar;
-drop function ParseIt;
-create function ParseIt as 'a.b.C' USING JAR 'hdfs://x/udf/u.jar';
--- create table commented_out (a string)
+SCRIPT = """-- nightly refresh
+set spark.sql.shuffle.partitions=64;
+use warehouse_nightly;
+add jar /opt/lib/geo.jar;
+msck repair table raw.scans;
+drop table tmp.old_report;
+-- select nothing from retired.table
 ;
 insert overwrite table tmp.report partition (dt)
 
 
-select a.k, nvl(b.v, 0) as v, '%task_date' as dt
-from (select k, row_number() over (partition by k order by ts) rn from src.facts where dt = '%task_date') a
-left join (select k, v from dim.v group by k, v) b on a.k = b.k
+with latest as (select k, max(ts) ts from src.facts group by k)
+select f.k, nvl(p.v, 0) as v, '%run_day' as dt from latest f left join dim.v p on f.k = p.k
 union all
-select k, 0, '%task_date' from src.other;
+select k, -1, '%run_day' from src.other;
 """
 
 
@@ -41,7 +40,7 @@ def test_split_and_clean(spark):
     assert "\n\n" not in sql                       # blank lines collapsed (L5)
     assert st[0].stmt_pos == 6                      # position of the split kept (pieces 0-5 dropped)
     rec = lineage(S.prepare(spark.createDataFrame([(0, sql)], "stmt_id long, sql string"))).collect()[0]
-    assert rec.inputs == ["dim.v", "src.facts", "src.other"] and rec.outputs == ["tmp.report"]
+    assert rec.source_inputs == ["dim.v", "src.facts", "src.other"] and rec.outputs == ["tmp.report"]
 
 
 def test_noise_rules(spark):
