@@ -176,8 +176,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, sample_
         encode = Encoder(tokenizer)
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         if shared:
-            shared.precompute_compress(level=3)  # else each frame would digest the dictionary anew
-        packer = zstandard.ZstdCompressor(level=3, dict_data=shared)
+            shared.precompute_compress(level=1)  # else each frame would digest the dictionary anew
+        packer = zstandard.ZstdCompressor(level=1, dict_data=shared)
         part, shard, before = TaskContext.get().partitionId(), 0, 0
         ids, counts, frames = [], [], []
 
