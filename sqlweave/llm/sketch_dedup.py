@@ -12,8 +12,8 @@ members of buckets that still hold several components are compared further:
 
 1. each representative with the smallest of all its buckets' smallest members,
 2. then with the smallest member of each bucket, where components still differ,
-3. last, in buckets that still hold several components, members of different components are compared in blocks of 256 by
-   256, inside tasks: by registers first, then those with a likely partner on their full sets (counts of shared members by a
+3. last, in buckets that still hold several components, members of different components are compared in blocks of 2,048 by
+   2,048, inside tasks: by registers first, then those with a likely partner on their full sets (counts of shared members by a
    product of 0/1 matrices); only links that connect two components come out, fewer than a block has members.
 
 So every candidate pair is verified, unlikely or already connected, and no step makes a row for each pair.
@@ -32,7 +32,7 @@ from . import common as C
 from .components import components
 
 REGISTERS, PER_BAND, BASE, RATE = 640, 8, 1.02, 20.0
-BLOCK = 256  # members of a bucket compared at once in step 3
+BLOCK = 2048  # members of a bucket compared at once in step 3
 _BATCH = 1 << 20
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_hi", pa.int64()), ("set_lo", pa.int64()),
                      ("bands", pa.list_(pa.int64())), ("judged", pa.binary())])
@@ -161,6 +161,8 @@ def _promising(least: float, percent: int):
         good = np.zeros(len(x), bool)
         for k in left.tolist():
             others = _comparable(x, n, comp, k, right, percent)
+            if good[k]:  # a pair of two that have partners says nothing new
+                others = others[~good[others]]
             if len(others):  # likelihood is worked out only where enough registers are equal for it
                 others = others[(reg[others] == reg[k]).mean(axis=1) >= least - 0.05]
             if len(others):
@@ -193,9 +195,9 @@ def _spanning(size: int, percent: int):
         doc, column = doc[shared], column[shared]
         left, right = _sides(t)
         both = np.zeros((len(left), len(right)), np.float32)
-        for lo in range(0, int(column.max()) + 1 if len(column) else 0, 8192):  # incidence, some columns at a time
-            i, j = np.searchsorted(column, [lo, lo + 8192])
-            has = np.zeros((len(x), 8192), np.float32)
+        for lo in range(0, int(column.max()) + 1 if len(column) else 0, 2048):  # incidence, some columns at a time
+            i, j = np.searchsorted(column, [lo, lo + 2048])
+            has = np.zeros((len(x), 2048), np.float32)
             has[doc[i:j], column[i:j] - lo] = 1
             both += has[left] @ has[right].T
         linked = (100 * both >= percent * (n[left][:, None] + n[right][None, :] - both)) & (comp[left][:, None] != comp[right][None, :])

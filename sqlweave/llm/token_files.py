@@ -46,7 +46,13 @@ _NULL_ID = np.iinfo(np.int64).max
 # In byte-level BPE a white space character between others is a piece of its own or, if it is a blank before a word, leads that
 # word's piece; so texts can be cut at blanks and line ends and the words looked up. Only runs of three, runs that end a text and
 # other kinds of white space, and the special token, go to the tokenizer whole.
-_WHOLE = re.compile(r"<\|endoftext\|>|\s\s\s|\s\s\Z|[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
+_WHOLE = re.compile(r"[ \n][ \n][ \n]|[ \n][ \n]\Z")
+_OTHER_BLANKS = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
+_SPECIAL = "<|endoftext|>"
+
+
+class _OtherBlank(Exception):
+    """A word holds white space other than blanks and line ends."""
 
 
 class _Pieces(dict):
@@ -68,6 +74,8 @@ class _Pieces(dict):
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
         if ids is None:
+            if _OTHER_BLANKS.search(word):
+                raise _OtherBlank
             # letters, then perhaps signs, are one or two pieces of byte-level BPE: the letters go straight to the model
             stem = word.rstrip(_SIGNS)
             if not stem.isalpha() or not (stem.isascii() or max(stem) < "\u0250"):
@@ -102,14 +110,17 @@ class Encoder:
                 self.after[lead] = _Pieces(self.tokenizer, lead, dict(pieces))
         first, later, out = self.after[""], self.after[" "].__getitem__, []
         for text in texts:
-            if _WHOLE.search(text):
+            if _SPECIAL in text or _WHOLE.search(text):
                 out.append(first.whole(text) + self.end)
-            else:
+                continue
+            try:
                 lines = []
                 for line in text.split("\n"):
                     words = line.split(" ")
                     lines.append(first[words[0]] + b"".join(map(later, words[1:])))
                 out.append(self.line.join(lines) + self.end)
+            except _OtherBlank:
+                out.append(first.whole(text) + self.end)
         return out
 
 

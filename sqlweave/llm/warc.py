@@ -109,8 +109,12 @@ def archive_records(content: bytes):
             dictionary = zstandard.ZstdDecompressor().decompress(dictionary, max_output_size=1 << 27)
     reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
     while at < len(data):
-        end = frame_end(data, at)
-        yield parse_record(reader.decompress(data[at:end]))
+        try:
+            end = frame_end(data, at)
+            raw = reader.decompress(data[at:end])
+        except zstandard.ZstdError as e:
+            raise ValueError(f"no whole frame at byte {at}") from e
+        yield parse_record(raw)
         at = end
 
 
