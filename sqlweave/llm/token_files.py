@@ -39,7 +39,7 @@ END_ID = 0
 SAMPLE_DOCS = 512
 DICT_BYTES = 64 << 10
 SHARD_TOKENS = 1 << 18
-_CACHE_ENTRIES = 500_000
+_CACHE_ENTRIES = 200_000
 _SIGNS = '.,;:!?|*&%$#"()[]{}<>=+-_/\\@~^`'
 _NULL_ID = np.iinfo(np.int64).max
 
