@@ -55,8 +55,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: bytes of an Arrow batch on its way to a Python worker (Spark's own bound is 64 MB or 10,000 rows; a row is never cut)
+BATCH_BYTES = "4m"
+
+
 def docs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The two columns the operators read, under fixed names: whatever else is there is left out."""
+    """The two columns the operators read, under fixed names: whatever else is there is left out. The session's Arrow batches
+    are bounded by bytes: each is held by the executor, its worker and the worker's copy at once."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
 
