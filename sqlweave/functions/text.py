@@ -22,14 +22,25 @@ CTAS_PREFIX = "^(create table ([\\w.]+) as )([\\s\\S]+)$"
 
 # Literal / comment mask (L9). Possessive runs keep Java's regex engine from recursing per
 # character on long literals.
+# Block comments nest (to this depth; beyond it, and where one never closes, a comment ends at
+# the first closing mark).
+COMMENT_DEPTH = 4
+
+
+def _comment(depth: int) -> str:
+    inner = f"|{_comment(depth - 1)}" if depth > 1 else ""
+    return f"/\\*(?:[^*/]++|\\*(?!/)|/(?!\\*){inner})*+\\*/"
+
+
+_COMMENT = f"{_comment(COMMENT_DEPTH)}|/\\*(?s:.*?)\\*/"
 MASK = ("'(?:[^'\\\\]++|\\\\.|'')*+'"
         "|\"(?:[^\"\\\\]++|\\\\.)*+\""
-        "|/\\*(?s:.*?)\\*/"
+        f"|{_COMMENT}"
         "|--[^\\r\\n]*")
 # ANSI quoting (Calcite's default): double quotes delimit identifiers, not strings, so
 # they are not masked.
 MASK_ANSI = ("'(?:[^'\\\\]++|\\\\.|'')*+'"
-             "|/\\*(?s:.*?)\\*/"
+             f"|{_COMMENT}"
              "|--[^\\r\\n]*")
 _NAME = "(?:`[^`]+`|[\\p{L}\\p{N}_$]+)"
 _NAME_ANSI = "(?:`[^`]+`|\"[^\"]+\"|[\\p{L}\\p{N}_$]+)"
@@ -119,6 +130,15 @@ KIND_RULES = [
     ("create_database", f"^create\\s+(?:database|schema)\\s+(?:if\\s+not\\s+exists\\s+)?{_N}", 1, "in"),
     ("drop_database", f"^drop\\s+(?:database|schema)\\s+(?:if\\s+exists\\s+)?{_N}", 1, "in"),
     ("alter_database", f"^alter\\s+(?:database|schema)\\s+{_N}\\s+set\\s+(?:db)?properties\\b", 1, "in"),
+    ("replace_table_as", f"^(?:create\\s+or\\s+)?replace\\s+table\\s+{_N}\\b.*\\bas\\s*\\(?\\s*(?:select|with|from|table|values)\\b", 1, "out"),
+    ("cache_table_as", f"^cache\\s+(?:lazy\\s+)?table\\s+{_N}\\b.*\\b(?:select|with|from|values)\\b", 1, "out"),
+    ("cache_table", f"^cache\\s+(?:lazy\\s+)?table\\s+{_N}", 1, "in"),
+    ("load_data", f"^load\\s+data\\b.*\\binto\\s+table\\s+{_N}", 1, "out"),
+    ("analyze_table", f"^analyze\\s+table\\s+{_N}", 1, "out"),
+    ("truncate_table", f"^truncate\\s+table\\s+{_N}", 1, "out"),
+    ("merge", f"^merge\\s+into\\s+{_N}(?:(?:\\s+as)?\\s+(?!using\\b){_N})?\\s+using\\s+(?:{_N}|\\()", 1, "merge"),
+    ("update", f"^update\\s+{_N}", 1, "out"),
+    ("delete", f"^delete\\s+from\\s+{_N}", 1, "out"),
     ("set", "^set\\b", 0, None),
     ("add_jar", "^add\\s+jars?\\b", 0, None),
     ("create_function", "^create\\s+(?:or\\s+replace\\s+)?(?:temporary\\s+)?function\\b", 0, None),
@@ -134,13 +154,18 @@ KIND_LEAD = {"explain": ("explain",), "insert_directory": ("insert",), "insert":
              "recover_partitions": ("alter", "msck"), "drop_table": ("drop",),
              "show_create_table": ("show",), "create_database": ("create",),
              "drop_database": ("drop",), "alter_database": ("alter",), "set": ("set",),
+             "replace_table_as": ("create", "replace"), "cache_table_as": ("cache",), "cache_table": ("cache",),
+             "load_data": ("load",), "analyze_table": ("analyze",), "truncate_table": ("truncate",),
+             "merge": ("merge",), "update": ("update",), "delete": ("delete",),
              "add_jar": ("add",), "create_function": ("create",), "drop_function": ("drop",),
              "query": ("select", "with", "values", "table", "from", "(")}
 # Kinds whose table references come from the kind rule alone (no token walk).
 COMMAND_KINDS = ("create_table_like", "add_partition", "drop_partition", "add_columns",
                  "recover_partitions", "drop_table", "show_create_table", "create_database",
                  "drop_database", "alter_database", "set", "add_jar", "create_function",
-                 "drop_function")
+                 "drop_function", "cache_table", "load_data", "analyze_table", "truncate_table")
+# Kinds whose target comes from the kind rule and whose inputs come from the token walk.
+TARGET_KINDS = ("alter_view_as", "replace_table_as", "cache_table_as", "merge", "update", "delete")
 
 
 def statement_head(sql: Column, quotes: str = "hive") -> Column:
@@ -187,6 +212,10 @@ def command_refs(head: Column, kind: Column) -> tuple[Column, Column]:
             src = _unquote(F.regexp_extract(head, pat, 2))
             ins = F.when(kind == k, src).otherwise(ins)
             outs = F.when(kind == k, name).otherwise(outs)
+        elif role == "merge":   # the source, unless it is a bracket
+            src = _unquote(F.regexp_extract(head, pat, 3))
+            ins = F.when((kind == k) & (src != ""), src).otherwise(ins)
+            outs = F.when(kind == k, name).otherwise(outs)
         elif role == "in":
             ins = F.when(kind == k, name).otherwise(ins)
         else:

@@ -34,7 +34,8 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
       default front end).
     * ``dialect``: 'hive' / 'spark' (case kept, double quotes are strings) or 'calcite'
       (unquoted parts upper-cased, double-quoted identifiers); overrides ``case``/``quotes``.
-    * ``stmt_id`` must identify one statement. ``dedup=True`` first removes re-delivered
+    * ``stmt_id`` should identify one statement; two texts under one id give a record each (copies
+      of one text must be removed first). ``dedup=True`` first removes re-delivered
       copies (same id, same text) with a ``distinct`` that Spark combines on the map side, so
       a statement logged a million times costs one row per map task before any shuffle.
     * ``on_error``: 'empty' gives empty sets for unparsable statements (Hive), 'keep' keeps
@@ -50,7 +51,8 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
     if dedup:
         statements = statements.select(id_col, *carry, sql).distinct()
     st = statement_header(statements, id_col, sql, case, carry, quotes)
-    key = [id_col]
+    # two texts under one id are two statements: the tokens of each stay apart
+    key = [id_col, "_text"]
     if not partitioned and not isinstance(statements.schema[id_col].dataType, (IntegerType, LongType)):
         # Sort and partition the tokens by two 64-bit hashes of a string id (as much room
         # against collisions as an md5 id itself) instead of the 32-char string: narrower
@@ -59,9 +61,9 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
         # partitioning is reused as is.)
         key = ["_k1", "_k2"]
         st = st.select(F.xxhash64(id_col).alias("_k1"),
-                       F.xxhash64(F.lit("k2"), id_col).alias("_k2"), "*")
+                       F.xxhash64(F.lit("k2"), id_col, "_text").alias("_k2"), "*").drop("_text")
     if not partitioned:
-        st = st.repartition(*key)
+        st = st.repartition(key[0])
     # The per-statement header (id, carried columns, kind, command names) rides along with
     # the statement's first token only (null on every other token row, so the sorted rows
     # stay narrow); the record aggregate picks it up. One linear pipeline: one exchange, the
@@ -77,15 +79,17 @@ def lineage(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
 
 def statement_header(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",
                      case: str = "keep", carry: tuple[str, ...] = (), quotes: str = "hive") -> DataFrame:
-    """Per statement, narrow (no shuffle): (stmt_id, *carry, _head, kind, cmd_in, cmd_out).
+    """Per statement, narrow (no shuffle): (stmt_id, *carry, _text, _head, kind, cmd_in, cmd_out).
+    ``_text`` is a hash of the text.
     ``_head`` is the masked, blank-squeezed text the tokens are cut from; kind (L25) and the
     object names of command kinds come from the leading words. Each step is its own
     projection so the masked text and the first word are computed once per statement."""
-    st = statements.select(id_col, *carry, T.statement_head(F.col(sql), quotes).alias("_head"))
+    st = statements.select(id_col, *carry, F.xxhash64(sql).alias("_text"),
+                           T.statement_head(F.col(sql), quotes).alias("_head"))
     st = st.select("*", T.first_word(F.col("_head")).alias("_w"))
-    st = st.select(id_col, *carry, "_head", T.classify_statement(F.col("_head"), F.col("_w")).alias("kind"))
+    st = st.select(id_col, *carry, "_text", "_head", T.classify_statement(F.col("_head"), F.col("_w")).alias("kind"))
     cmd_in, cmd_out = T.command_refs(F.col("_head"), F.col("kind"))
-    return st.select(id_col, *carry, "_head", "kind", fold_case(cmd_in, cmd_in, case).alias("cmd_in"),
+    return st.select(id_col, *carry, "_text", "_head", "kind", fold_case(cmd_in, cmd_in, case).alias("cmd_in"),
                      fold_case(cmd_out, cmd_out, case).alias("cmd_out"))
 
 
@@ -110,14 +114,19 @@ def lineage_from_tokens(labelled: DataFrame, head_cols, key="stmt_id", on_error:
         ((F.min("d") >= 0) & (F.coalesce(F.max_by("d", "pos"), F.lit(0)) == 0)
          & ~F.coalesce(F.max("kw_as_name"), F.lit(False))).alias("balanced"))
     command = F.col("kind").isin(*T.COMMAND_KINDS)
-    inputs = F.when(command, _one(F.col("cmd_in"))).otherwise(F.col("tok_in"))
-    from_inputs = F.when(command, _one(F.col("cmd_in"))).otherwise(F.col("tok_from"))
+    def ins(found):
+        return (F.when(command, _one(F.col("cmd_in")))
+                .when(F.col("kind") == "merge", F.array_sort(F.array_union(F.col(found), _one(F.col("cmd_in")))))
+                .otherwise(F.col(found)))
+
+    inputs, from_inputs = ins("tok_in"), ins("tok_from")
     outputs = (F.when(command, _one(F.col("cmd_out")))
-               .when(F.col("kind") == "alter_view_as",
+               .when(F.col("kind").isin(*T.TARGET_KINDS),
                      F.array_sort(F.array_union(F.col("tok_out"), _one(F.col("cmd_out")))))
                .otherwise(F.col("tok_out")))
     ctes = F.when(command, F.array().cast("array<string>")).otherwise(F.col("ctes"))
-    parse_ok = (F.coalesce(F.col("balanced"), F.lit(True)) & (F.col("kind") != "unknown")
+    found = (F.size("tok_in") > 0) | (F.size("tok_out") > 0)
+    parse_ok = (F.coalesce(F.col("balanced"), F.lit(True)) & ((F.col("kind") != "unknown") | found)
                 & (~F.col("kind").isin("insert", "ctas") | (F.size(outputs) > 0)))
     out = agg.select(*dict.fromkeys((id_col, *key)), *carry, "kind", inputs.alias("inputs"), outputs.alias("outputs"),
                      ctes.alias("ctes"), from_inputs.alias("from_inputs"), parse_ok.alias("parse_ok"))

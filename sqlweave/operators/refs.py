@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sqlweave.functions import text as T
-from sqlweave.operators.tokens import NOT_NAMES, codes, code, expression_nesting, scope_tokens, tokenize
+from sqlweave.operators.tokens import (NOT_NAMES, codes, code, expression_nesting, from_brackets, scope_tokens,
+                                       tokenize)
 
 # ---------------------------------------------------------------------------------------
 # Tokens that stand right before a written table, and before a read table.
 OUT_AFTER = ("table", "into", "exists", "overwrite", "view")
 IN_AFTER = ("from", "join", ",")
+# What may stand before TABLE where "TABLE name" is a query; '' is the start of the statement.
+TABLE_QUERY_AFTER = ("", "(", "as", "union", "all", "except", "intersect", "minus", "distinct")
 # ---------------------------------------------------------------------------------------
 
 
@@ -41,19 +44,31 @@ def label_tokens(scoped: DataFrame, case: str = "keep", id_col="stmt_id") -> Dat
     keeps only references, brackets and each statement's first row, and adds
     ``in_subquery``. The first row keeps statements without references in the result."""
     tok, pv, nx, cl, c = F.col("tok"), F.col("pv"), F.col("nx"), F.col("cl"), F.col("c")
-    is_name = tok.rlike("^[`\"\\p{L}_]") & ~c.isin(*codes(NOT_NAMES))
+    pv2 = F.col("pv2")
+    # names may start with a digit; numbers hold no letter where a name can stand
+    is_name = tok.rlike("[`\"\\p{L}_]") & ~c.isin(*codes(NOT_NAMES))
+    table_query = (pv == code("table")) & (pv2.isin(*codes(TABLE_QUERY_AFTER))
+                                           | ((cl == code("insert")) & ~pv2.isin(*codes(("into", "overwrite")))))
     role = (F.when(is_name & (cl == code("with")) & pv.isin(*codes(("with", ",")))
                    & nx.isin(*codes(("as", "("))), "cte")
+            .when(is_name & (nx != code("(")) & table_query, "in")
             .when(is_name & cl.isin(*codes(("insert", "create"))) & pv.isin(*codes(OUT_AFTER)), "out")
+            .when(is_name & (nx != code("(")) & (pv == code("join")), "in")
             .when(is_name & (nx != code("(")) & F.col("q") & (cl == code("from"))
                   & pv.isin(*codes(IN_AFTER)), "in")
-            .when(is_name & (nx != code("(")) & ~F.col("q") & (F.col("sc") >= 0)
-                  & F.col("opv").isin(*codes(IN_AFTER)) & pv.isin(*codes(("(", "join"))), "in"))
+            # the comma after an inline table's last bracket: "from values (1), (2) as t(x), b"
+            .when(is_name & (nx != code("(")) & F.col("q") & (cl == code("values"))
+                  & (pv == code(",")) & (pv2 == code(")")), "in")
+            # the first name in a bracket: a table if the bracket stands in a FROM list, see below
+            .when(is_name & (nx != code("(")) & ~F.col("q") & (F.col("sc") >= 0) & (pv == code("(")), "bracket"))
     name = fold_case(F.regexp_replace(tok, "[`\"]", ""), tok, case)
     kept = scoped.withColumn("role", role).where(
         F.col("role").isNotNull() | tok.isin("(", ")") | (F.col("pos") == 0) | tok.isNull()
         | F.col("kw_as_name"))
-    return expression_nesting(kept.withColumn("table_name", F.when(F.col("role").isNotNull(), name)), id_col)
+    kept = expression_nesting(from_brackets(kept, id_col), id_col)
+    kept = kept.withColumn("role", F.when((F.col("role") == "bracket") & F.col("in_from"), "in")
+                           .when(F.col("role") != "bracket", F.col("role")))
+    return kept.withColumn("table_name", F.when(F.col("role").isNotNull(), name))
 
 
 def token_refs(statements: DataFrame, id_col: str = "stmt_id", sql: str = "sql",

@@ -36,6 +36,9 @@ NOT_NAMES = MAJOR + ("table", "into", "overwrite", "on", "using", "if", "join",
 # Tokens that may stand right before a bracket that opens a query (not an expression);
 # '' is the start of the statement.
 QUERY_BRACKET_AFTER = ("", "from", "join", "as", "union", "all", "except", "intersect", "minus", "(")
+# Clause words that are names in a select list when ',' or 'from' follows, or after 'as'.
+SOFT = ("where", "group", "having", "order", "lateral", "limit", "window", "sort", "cluster",
+        "distribute", "create", "insert", "with", "values")
 # Every other token the rules look at.
 OTHER_WORDS = ("distinct", "exists", "view", ",", ")")
 # ---------------------------------------------------------------------------------------
@@ -86,7 +89,7 @@ def tokenize(statements: DataFrame, id_col="stmt_id", sql: str = "sql",
 def scope_tokens(tokens: DataFrame, id_col="stmt_id") -> DataFrame:
     """L11 + L13 facts per token (codes are ints, see ``CODE``):
 
-    c (token code), pv/nx (codes of the previous/next token), d (depth; a '(' has the
+    c (token code), pv/pv2/nx (codes of the previous two and the next token), d (depth; a '(' has the
     inner depth, a ')' the outer), kw_as_name (a major keyword used as a name), cl (clause: last major keyword before the token in its scope), sc (scope
     id, -1 at top level), opv (code of the token before the scope's bracket), q (the scope
     holds a query), ex (a '(' opens an expression, not a query) and op (for a ')': ex of
@@ -101,6 +104,7 @@ def scope_tokens(tokens: DataFrame, id_col="stmt_id") -> DataFrame:
                  F.coalesce(F.lag("c", 1).over(w1), F.lit(NONE)).alias("pv"),
                  F.coalesce(F.lag("c", 2).over(w1), F.lit(NONE)).alias("pv2"),
                  F.coalesce(F.lead("c", 1).over(w1), F.lit(NONE)).alias("nx"),
+                 F.coalesce(F.lead("c", 2).over(w1), F.lit(NONE)).alias("nx2"),
                  F.sum(F.when(tok == "(", 1).when(tok == ")", -1).otherwise(0))
                  .over(w1.rowsBetween(_UNB, 0)).cast("int").alias("d"))
 
@@ -108,10 +112,17 @@ def scope_tokens(tokens: DataFrame, id_col="stmt_id") -> DataFrame:
     C, pv = F.col("c"), F.col("pv")
     od = F.when(tok == "(", F.col("d") - 1).otherwise(F.col("d"))
     first = (pv == code("(")) & (C != code(")"))          # first token of a bracket scope
-    kw = F.when(C.isin(*codes(MAJOR)) & ~((C == code("from")) & (pv == code("distinct"))), C)
-    # a major keyword right before a comma can only be a keyword used as a name (e.g.
-    # "select order, b"): the statement is marked unparsable instead of guessed at.
-    kw_as_name = C.isin(*codes(MAJOR)) & (F.col("nx") == code(","))
+    nx = F.col("nx")
+    soft_clause = ("order", "group", "having", "limit", "sort", "cluster", "distribute", "lateral", "window")
+    as_name = ((C.isin(*codes(SOFT)) & nx.isin(*codes((",", "from"))))
+               | (C.isin(*codes(soft_clause)) & (pv == code("as")))
+               | ((C == code("window")) & (F.col("nx2") != code("as")))
+               | ((C == code("lateral")) & (nx != code("view")))
+               | ((C == code("from")) & (pv == code("distinct"))))
+    # "join" only occurs in a FROM list, so it opens one again after a lateral view or VALUES.
+    kw = F.when(C == code("join"), F.lit(code("from"))).when(C.isin(*codes(MAJOR)) & ~as_name, C)
+    # any other major keyword right before a comma: the statement is marked unparsable.
+    kw_as_name = C.isin(*codes(MAJOR)) & ~as_name & (nx == code(","))
     t = t.select("*", od.alias("od"), first.alias("first"), kw.alias("kw"), kw_as_name.alias("kw_as_name"))
     w2 = Window.partitionBy(*ids, "od").orderBy("pos")
     upto = w2.rowsBetween(_UNB, 0)
@@ -135,13 +146,27 @@ def scope_tokens(tokens: DataFrame, id_col="stmt_id") -> DataFrame:
                        | ((ocl == code("with")) & (pv == code(")")))))
     qword = C.isin(code("select"), code("insert")) | starts_query
     qmark = F.when(qword, F.lit(1)).when(F.col("first"), F.lit(0))
-    query_bracket = (pv.isin(*codes(QUERY_BRACKET_AFTER))
+    query_bracket = (pv.isin(*codes(QUERY_BRACKET_AFTER)) | (pv == code("lateral"))
                      | ((pv == code(",")) & (ocl == code("from")))
                      | ocl.isin(code("insert"), code("create")))
     ex = F.when(tok == "(", ~query_bracket)
     t = t.select("*", (F.coalesce(F.last(qmark, ignorenulls=True).over(upto), F.lit(0)) == 1).alias("q"),
                  ex.alias("ex"), F.last(ex, ignorenulls=True).over(upto).alias("op"))
-    return t.drop("pv2", "od", "first", "kw", "cl0")
+    return t.drop("od", "first", "kw", "cl0", "nx2")
+
+
+def from_brackets(rows: DataFrame, id_col="stmt_id") -> DataFrame:
+    """in_from: the last bracket opened before the row stands in a FROM list (after FROM, JOIN or
+    a comma of the list); a bracket right inside another takes over its answer. Read for the
+    first token of a bracket, whose last bracket opened is its own. Same ordering as
+    ``expression_nesting``, so Spark sorts once for both."""
+    pv, cl = F.col("pv"), F.col("cl")
+    opens = F.when((F.col("tok") == "(") & (pv != code("(")),
+                   F.coalesce((pv == code("join"))
+                              | (pv.isin(*codes(("from", ","))) & F.col("q") & (cl == code("from"))),
+                              F.lit(False)))
+    w = Window.partitionBy(*key_cols(id_col)).orderBy("pos").rowsBetween(_UNB, -1)
+    return rows.withColumn("in_from", F.coalesce(F.last(opens, ignorenulls=True).over(w), F.lit(False)))
 
 
 def expression_nesting(rows: DataFrame, id_col="stmt_id") -> DataFrame:

@@ -30,8 +30,8 @@ def start_lineage_stream(spark: SparkSession, log_path: str, sink_path: str, che
            .parquet(log_path))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        # the de-duplication already hash-partitions the batch by stmt_id
-        rec = lineage(batch.dropDuplicates(["stmt_id"]).select("stmt_id", "sql"), partitioned=True)
+        # copies of a row go before the shuffle by stmt_id; another text under a used id stays
+        rec = lineage(batch.select("stmt_id", "sql").distinct().repartition("stmt_id"), partitioned=True)
         rec.write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
 
     w = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
@@ -40,7 +40,7 @@ def start_lineage_stream(spark: SparkSession, log_path: str, sink_path: str, che
 
 
 def read_lineage(spark: SparkSession, sink_path: str) -> DataFrame:
-    return spark.read.parquet(sink_path).drop("batch_id").dropDuplicates(["stmt_id"])
+    return spark.read.parquet(sink_path).drop("batch_id").distinct()
 
 
 def write_query_log(spark: SparkSession, sf_dir: str, path: str, n_files: int | None = None) -> str:

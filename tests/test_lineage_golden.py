@@ -51,6 +51,41 @@ GOLDEN = [
      "group by zone, k)r group by zone", "geo.readings", "", ""),
     ("create or replace temp view tv as select * from p.q", "p.q", "tv", ""),
     ("create temp table tt as select * from p.q", "p.q", "tt", ""),
+    # FROM lists that go on after a lateral view, an inline table or an alias that is a keyword
+    ("select * from a lateral view explode(a.x) e as v join b on a.k = b.k", "a,b", "", ""),
+    ("select * from a lateral view explode(a.x) e as v, w where v > 1", "a", "", ""),
+    ("select * from a, lateral (select * from b where b.k = a.k) x, c", "a,b,c", "", ""),
+    ("select * from ((a join b on 1=1) join c on 1=1)", "a,b,c", "", ""),
+    ("select * from p, (a join b on a.k = b.k), ((c)) z", "a,b,c,p", "", ""),
+    ("select * from values (1),(2) as t(x) join b on b.k = t.x", "b", "", ""),
+    ("select * from values (1),(2) as t(x), c", "c", "", ""),
+    ("select * from t as window join u on t.k = u.k", "t,u", "", ""),
+    ("select sum(a) over w from t join u on t.k = u.k window w as (partition by b order by c)", "t,u", "", ""),
+    # brackets that are no FROM lists
+    ("select a, (b + c), ((d)) from t where (x, y) in ((e, f), (g, h)) and (x) > 1", "t", "", ""),
+    ("select * from values (true), (false) as t(x)", "", "", ""),
+    # TABLE as a query
+    ("table a.b", "a.b", "", ""),
+    ("insert into x.y table a.b", "a.b", "x.y", ""),
+    ("insert into table x.y table a.b", "a.b", "x.y", ""),
+    ("create table x.y as table a.b", "a.b", "x.y", ""),
+    ("select * from (table a.b) q union all table c.d", "a.b,c.d", "", ""),
+    # digit-first names, nested comments, keywords in the select list
+    ("select * from 2020_t join db.30d u on 1 = 1", "2020_t,db.30d", "", ""),
+    ("select /* a /* b */ from zz.t */ 1 from t", "t", "", ""),
+    ("select /* never /* closed */ 1 from t /* b */", "t", "", ""),
+    ("select order, k from t", "t", "", ""),
+    ("select values, k from t", "t", "", ""),
+    ("select sort, cluster from t join u on t.k = u.k", "t,u", "", ""),
+    ("select a as order, b limit from t order by a", "t", "", ""),
+    # clauses after or beside FROM
+    ("select distinct a from t group by a, b grouping sets ((a, b), (a)) having a > 1 limit 3", "t", "", ""),
+    ("select a from t distribute by a sort by b", "t", "", ""),
+    ("select a from t cluster by a", "t", "", ""),
+    ("select a from t except select a from u intersect select a from v", "t,u,v", "", ""),
+    ("cache table c.d as select * from a.b", "a.b", "c.d", ""),
+    ("replace table c.d using parquet as select * from a.b", "a.b", "c.d", ""),
+    ("create or replace table c.d as select * from a.b", "a.b", "c.d", ""),
     # a directory sink is no table; back-ticked keyword as a name
     ("insert overwrite local directory '/tmp/x' select * from `order`.`select`", "order.select", "", ""),
     ("insert overwrite directory '/tmp/y' row format delimited select a from t", "t", "", ""),
@@ -72,6 +107,16 @@ KINDS = [
     ("add jar /x/y.jar", "add_jar", "", ""),
     ("create temporary function f as 'x.Y'", "create_function", "", ""),
     ("drop function f", "drop_function", "", ""),
+    ("load data local inpath '/x' overwrite into table d.t partition (dt='x')", "load_data", "", "d.t"),
+    ("analyze table d.t compute statistics", "analyze_table", "", "d.t"),
+    ("truncate table d.t", "truncate_table", "", "d.t"),
+    ("cache lazy table d.t", "cache_table", "d.t", ""),
+    ("merge into d.t using s.u on t.k = u.k when matched then update set * when not matched then insert *", "merge",
+     "s.u", "d.t"),
+    ("merge into d.t using (select * from s.u join s.w using (k)) x on t.k = x.k when matched then delete", "merge",
+     "s.u,s.w", "d.t"),
+    ("update d.t set a = (select max(k) from s.u) where b in (select c from s.w)", "update", "s.u,s.w", "d.t"),
+    ("delete from d.t where k in (select k from s.u)", "delete", "s.u", "d.t"),
     ("alter view d.v as select * from d.t", "alter_view_as", "d.t", "d.v"),
     ("explain select * from d.t", "explain", "d.t", ""),
     ("insert overwrite directory '/x' select * from d.t", "insert_directory", "d.t", ""),
@@ -113,7 +158,7 @@ def test_kinds_and_command_refs(spark):
 
 def test_unparsable(spark):
     sqls = ["select * from (select a from t", "select a from t)", "frobnicate the tables",
-            "select order, b from t"]
+            "select from, b from t"]
     res = _records(spark, sqls)
     assert all(not r.parse_ok and r.inputs == [] for r in res.values())
     with pytest.raises(Exception):
@@ -121,6 +166,19 @@ def test_unparsable(spark):
         lineage(df, on_error="raise").collect()
 
 
+def test_unknown_kind_keeps_what_was_found(spark):
+    r = _records(spark, ["frobnicate (select * from a.b)"])[0]
+    assert (r.kind, r.inputs, r.parse_ok) == ("unknown", ["a.b"], True)
+
+
+def test_two_texts_under_one_id(spark):
+    rows = [(7, "select * from a.b"), (7, "insert into c.d select * from e.f, g.h"), (8, "select 1")]
+    for typ, conv in (("long", int), ("string", str)):
+        df = spark.createDataFrame([(conv(i), s) for i, s in rows], f"stmt_id {typ}, sql string")
+        got = sorted((int(r.stmt_id), r.inputs, r.outputs, r.parse_ok) for r in lineage(df).collect())
+        assert got == [(7, ["a.b"], [], True), (7, ["e.f", "g.h"], ["c.d"], True), (8, [], [], True)]
+
+
 def test_case_fold(spark):
     r = _records(spark, ["select * from Db.Tab join `Keep`.`Case` on 1=1"], case="upper")[0]
     assert r.inputs == ["DB.TAB", "Keep.Case"]
