@@ -119,29 +119,35 @@ def raw_edges(sink_rows: DataFrame) -> DataFrame:
 def merge_edges(edges: DataFrame) -> DataFrame:
     """Edges of one statement with the same type, the same expression (null = null)
     and the same *set* of sources become one edge with the union of the targets, in
-    first-seen order, at the place of the first edge. edge_pos is 0-based."""
-    key = F.array_sort(F.col("sources"))
+    first-seen order, at the place of the first edge. edge_pos is 0-based. ``ord`` is the first
+    edge's; ``made`` holds each target of each merged edge with that edge's ``ord`` (L33)."""
+    key = F.array_sort(F.transform("sources", lambda s: s["label"]))
     m = edges.groupBy("stmt_id", "edge_type", "expr", key.alias("_key")).agg(
         F.min("ord").alias("ord"),
         F.min_by("sources", "ord").alias("sources"),
         F.array_sort(F.collect_list(F.struct("ord", "targets"))).alias("_t"))
     m = m.withColumn("targets", F.array_distinct(F.flatten(F.transform("_t", lambda x: x["targets"]))))
+    m = m.withColumn("made", F.flatten(F.transform("_t", lambda x: F.transform(
+        x["targets"], lambda t: F.struct(t.alias("label"), x["ord"].alias("ord"))))))
     w = Window.partitionBy("stmt_id").orderBy("ord")
     return m.select("stmt_id", (F.row_number().over(w) - 1).alias("edge_pos"), "edge_type", "expr",
-                    "sources", "targets")
+                    "sources", "targets", "ord", "made")
 
 
 def vertices(merged: DataFrame) -> DataFrame:
     """L33+L38: one vertex per label; ids 0-based, targets of all edges first (edge order),
-    then sources."""
-    t = merged.select("stmt_id", "edge_pos", F.posexplode("targets").alias("p", "label")).select(
-        "stmt_id", "label", F.lit("COLUMN").alias("vertex_type"),
-        F.struct(F.lit(0).alias("phase"), "edge_pos", "p").alias("seen"))
-    s = merged.select("stmt_id", "edge_pos", F.posexplode("sources").alias("p", "v")).select(
+    then sources. The type is that of the vertex's creation: edges in the order before the
+    merge, target before sources."""
+    t = merged.select("stmt_id", "edge_pos", F.posexplode("made").alias("p", "v")).select(
+        "stmt_id", F.col("v.label").alias("label"), F.lit("COLUMN").alias("vertex_type"),
+        F.struct(F.lit(0).alias("phase"), "edge_pos", "p").alias("seen"),
+        F.struct(F.col("v.ord").alias("ord"), F.lit(0).alias("phase"), "p").alias("created"))
+    s = merged.select("stmt_id", "edge_pos", "ord", F.posexplode("sources").alias("p", "v")).select(
         "stmt_id", F.col("v.label").alias("label"), F.col("v.type").alias("vertex_type"),
-        F.struct(F.lit(1).alias("phase"), "edge_pos", "p").alias("seen"))
+        F.struct(F.lit(1).alias("phase"), "edge_pos", "p").alias("seen"),
+        F.struct("ord", F.lit(1).alias("phase"), "p").alias("created"))
     v = t.unionByName(s).groupBy("stmt_id", "label").agg(
-        F.min("seen").alias("seen"), F.min_by("vertex_type", "seen").alias("vertex_type"))
+        F.min("seen").alias("seen"), F.min_by("vertex_type", "created").alias("vertex_type"))
     w = Window.partitionBy("stmt_id").orderBy("seen")
     return v.select("stmt_id", (F.row_number().over(w) - 1).alias("id"), "vertex_type",
                     F.col("label").alias("vertex_id"))

@@ -17,23 +17,26 @@ from pyspark.sql import functions as F
 
 def occurrences(merged: DataFrame) -> DataFrame:
     """One row per (edge, target or source) with the vertex id: targets of all edges first
-    (edge order), then sources (L38)."""
+    (edge order), then sources (L38). A target that edges merged into one share has a row for
+    each of them, as the type of a vertex is that of its creation (L33)."""
     occ = F.concat(
-        F.transform("targets", lambda t, i: F.struct(F.lit(0).alias("phase"), i.alias("p"),
-                                                     t.alias("label"), F.lit("COLUMN").alias("vtype"))),
-        F.transform("sources", lambda s, i: F.struct(F.lit(1).alias("phase"), i.alias("p"),
-                                                     s["label"].alias("label"), s["type"].alias("vtype"))))
+        F.transform("made", lambda t, i: F.struct(F.lit(0).alias("phase"), i.alias("p"), t["label"].alias("label"),
+                                                  F.lit("COLUMN").alias("vtype"), t["ord"].alias("made_by"))),
+        F.transform("sources", lambda s, i: F.struct(F.lit(1).alias("phase"), i.alias("p"), s["label"].alias("label"),
+                                                     s["type"].alias("vtype"), F.col("ord").alias("made_by"))))
     o = merged.select("stmt_id", "edge_pos", "edge_type", "expr", F.explode(occ).alias("o")).select(
         "stmt_id", "edge_pos", "edge_type", "expr", "o.*")
     o = o.withColumn("seen", F.struct("phase", "edge_pos", "p"))
-    o = o.withColumn("first_seen", F.min("seen").over(Window.partitionBy("stmt_id", "label")))
+    by_label = Window.partitionBy("stmt_id", "label")
+    created = F.struct("made_by", "phase", "p", "vtype")
+    o = o.withColumns({"first_seen": F.min("seen").over(by_label), "vtype": F.min(created).over(by_label)["vtype"]})
     return o.withColumn("id", F.dense_rank().over(Window.partitionBy("stmt_id").orderBy("first_seen")) - 1)
 
 
 def _edge_rows(occ: DataFrame) -> DataFrame:
     g = occ.groupBy("stmt_id", "edge_pos", "edge_type", "expr").agg(
         F.array_sort(F.collect_list(F.struct("phase", "p", "id"))).alias("_o"))
-    ids = lambda ph: F.transform(F.filter("_o", lambda x: x["phase"] == ph), lambda x: x["id"])
+    ids = lambda ph: F.array_distinct(F.transform(F.filter("_o", lambda x: x["phase"] == ph), lambda x: x["id"]))
     edge = F.struct(ids(1).alias("sources"), ids(0).alias("targets"),
                     F.col("expr").alias("expression"), F.col("edge_type").alias("edgeType"))
     return g.select("stmt_id", "edge_pos", F.to_json(edge).alias("json"))
@@ -73,7 +76,7 @@ def lineage_json(statements: DataFrame, merged: DataFrame) -> DataFrame:
     g = occ.groupBy("stmt_id", "edge_pos", "edge_type", "expr").agg(
         F.array_sort(F.collect_list(F.struct("phase", "p", "id"))).alias("_o"),
         F.collect_list(vfrag).alias("_v"))
-    ids = lambda ph: F.transform(F.filter("_o", lambda x: x["phase"] == ph), lambda x: x["id"])
+    ids = lambda ph: F.array_distinct(F.transform(F.filter("_o", lambda x: x["phase"] == ph), lambda x: x["id"]))
     edge = F.to_json(F.struct(ids(1).alias("sources"), ids(0).alias("targets"),
                               F.col("expr").alias("expression"), F.col("edge_type").alias("edgeType")))
     per_stmt = g.groupBy("stmt_id").agg(

@@ -19,7 +19,8 @@ deps AS (
          CASE WHEN l_orderkey % 4 = 0 THEN NULL
               WHEN l_orderkey % 5 = 0 AND l_linenumber > 2 THEN 'dw.u' || (l_orderkey % 50)::VARCHAR
               ELSE 'dw.t' || (l_orderkey % 50)::VARCHAR END dest_table,
-         CASE WHEN l_linenumber % 2 = 0 THEN '_u1.c' ELSE 'c' END || l_linenumber::VARCHAR target_field,
+         CASE WHEN l_orderkey % 8 = 0 AND l_linenumber = 3 THEN 'tmp.s'
+              ELSE CASE WHEN l_linenumber % 2 = 0 THEN '_u1.c' ELSE 'c' END || l_linenumber::VARCHAR END target_field,
          CASE WHEN l_returnflag = 'N' THEN NULL ELSE 'sum(x)' END expr,
          CASE WHEN l_linestatus = 'F' THEN ['ods.p' || (l_partkey % 3)::VARCHAR || '.a:COLUMN']
               ELSE ['ods.p' || (l_partkey % 3)::VARCHAR || '.a:COLUMN', 'tmp.s:TABLE'] END srcs
@@ -93,12 +94,18 @@ merged AS (
 ut AS (SELECT stmt_id, edge_pos, unnest(tgts) label, generate_subscripts(tgts, 1) p FROM merged),
 us AS (SELECT stmt_id, edge_pos, unnest(srcs) s, generate_subscripts(srcs, 1) p FROM merged),
 vt AS (
-  SELECT stmt_id, label, 'COLUMN' vtype, edge_pos * 1000 + p seen FROM ut
+  SELECT stmt_id, label, edge_pos * 1000 + p seen FROM ut
   UNION ALL
-  SELECT stmt_id, split_part(s, ':', 1), split_part(s, ':', 2), 1000000000 + edge_pos * 1000 + p FROM us),
+  SELECT stmt_id, split_part(s, ':', 1), 1000000000 + edge_pos * 1000 + p FROM us),
+made AS (
+  SELECT stmt_id, unnest(tgts) label, 'COLUMN' vtype, ord * 2000 created FROM raw
+  UNION ALL
+  SELECT stmt_id, split_part(s, ':', 1), split_part(s, ':', 2), ord * 2000 + p
+  FROM (SELECT stmt_id, ord, unnest(srcs) s, generate_subscripts(srcs, 1) p FROM raw)),
+types AS (SELECT stmt_id, label, arg_min(vtype, created) vtype FROM made GROUP BY stmt_id, label),
 verts AS (
   SELECT stmt_id, row_number() OVER (PARTITION BY stmt_id ORDER BY seen) - 1 id, vtype vertex_type, label vertex_id
-  FROM (SELECT stmt_id, label, min(seen) seen, arg_min(vtype, seen) vtype FROM vt GROUP BY stmt_id, label)),
+  FROM (SELECT stmt_id, label, min(seen) seen FROM vt GROUP BY stmt_id, label) JOIN types USING (stmt_id, label)),
 src_ids AS (
   SELECT us.stmt_id, us.edge_pos, string_agg(v.id::VARCHAR, ',' ORDER BY us.p) ids
   FROM us JOIN verts v ON v.stmt_id = us.stmt_id AND v.vertex_id = split_part(us.s, ':', 1)

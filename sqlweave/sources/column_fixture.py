@@ -32,7 +32,8 @@ def column_deps(spark: SparkSession, sf_dir: str) -> DataFrame:
     dest = (F.when(s % 4 == 0, F.lit(None).cast("string"))
             .when(sink == 1, F.concat(F.lit("dw.u"), _s(s % 50)))
             .otherwise(F.concat(F.lit("dw.t"), _s(s % 50))))
-    field = F.when(n % 2 == 0, F.concat(F.lit("_u1.c"), _s(n))).otherwise(F.concat(F.lit("c"), _s(n)))
+    # without a destination "tmp.s" is also the label of a source table
+    field = F.when((s % 8 == 0) & (n == 3), F.lit("tmp.s")).when(n % 2 == 0, F.concat(F.lit("_u1.c"), _s(n))).otherwise(F.concat(F.lit("c"), _s(n)))
     expr = F.when(F.col("m.l_returnflag") == "N", F.lit(None).cast("string")).otherwise(F.lit("sum(x)"))
     sources = F.array(
         F.struct(F.lit("ods").alias("db"), F.concat(F.lit("p"), _s(F.col("m.l_partkey") % 3)).alias("tbl"),

@@ -19,7 +19,7 @@ def _brute(deps, ents, schemas):
             ent_of.setdefault(e["stmt_id"], e["name"])
     docs = {}
     for sid, rows in by_stmt.items():
-        edges, failed = [], False
+        edges, failed, types = [], False, {}
         for sink in sorted({r["sink_pos"] for r in rows}):
             rs = [r for r in rows if r["sink_pos"] == sink]
             proj = sorted([r for r in rs if r["dep_kind"] == "PROJECTION"], key=lambda r: r["dep_pos"])
@@ -78,20 +78,23 @@ def _brute(deps, ents, schemas):
                 edges.append({"sources": sources, "targets": list(dict.fromkeys(tgts)), "expr": expr, "type": typ})
 
             for i, r in enumerate(proj):
+                types.setdefault(targets[i], "COLUMN")
+                for lab, typ in srcs(r):
+                    types.setdefault(lab, typ)
                 add(srcs(r), [targets[i]], r["expr"], "PROJECTION")
             for r in preds:
+                for lab, typ in srcs(r):
+                    types.setdefault(lab, typ)
                 add(srcs(r), list(dict.fromkeys(targets)), r["expr"], "PREDICATE")
         if failed:
             edges = []
-        ids, types = {}, {}
+        ids = {}
         for e in edges:
             for t in e["targets"]:
                 ids.setdefault(t, len(ids))
-                types.setdefault(t, "COLUMN")
         for e in edges:
             for lab, typ in e["sources"]:
                 ids.setdefault(lab, len(ids))
-                types.setdefault(lab, typ)
         out_edges = []
         for e in edges:
             d = {"sources": [ids[s[0]] for s in e["sources"]], "targets": [ids[t] for t in e["targets"]]}
@@ -114,6 +117,9 @@ def test_graph_matches_sequential_twin(spark, sf_small):
     schemas = {r.table_name: (r.cols, r.partition_keys) for r in sch.collect()}
     want = _brute(rows, [r.asDict() for r in ents.collect()], schemas)
     assert got == want
+    # a label that is first a source table and then a target column stays a table
+    assert any('"vertexType":"TABLE","vertexId":"tmp.s"' in d and '"id":2,"vertexType":"TABLE","vertexId":"tmp.s"' in d
+               for d in got.values())
 
 
 def test_vertex_ids_dense_and_merge_idempotent(spark, sf_small):
