@@ -53,11 +53,49 @@ exp_out AS (
   UNION SELECT id, 'dw.cust_' || o_custkey::VARCHAR || '_b' FROM exp_src WHERE f = 4),
 exp_cte AS (SELECT DISTINCT id, 'w' t FROM exp_src WHERE f = 1),
 cmd AS (
-  SELECT -1 - c_custkey stmt_id, c_custkey % 18 g, 'db_' || c_nationkey::VARCHAR db,
+  SELECT -1 - c_custkey stmt_id, c_custkey % 51 g, 'db_' || c_nationkey::VARCHAR db,
          'db_' || c_nationkey::VARCHAR || '.t_' || c_custkey::VARCHAR tb,
          'db_' || c_nationkey::VARCHAR || '.v_' || c_custkey::VARCHAR vw
   FROM customer),
+forms(g, kind, ins, outs, ctes, ok) AS (VALUES
+  (18, 'query', '', '', '', true),
+  (19, 'load_data', '', '{t}', '', true),
+  (20, 'analyze_table', '', '{t}', '', true),
+  (21, 'truncate_table', '', '{t}', '', true),
+  (22, 'merge', '{b}', '{t}', '', true),
+  (23, 'update', '{b}', '{t}', '', true),
+  (24, 'delete', '{b}', '{t}', '', true),
+  (25, 'replace_table_as', '{b}', '{t}', '', true),
+  (26, 'cache_table_as', '{b}', '{v}', '', true),
+  (27, 'create_view', '{b}', '{v}', '', true),
+  (28, 'unknown', '', '', '', false),
+  (29, 'query', '{t}', '', '', true),
+  (30, 'insert', '{b}', '{t}', '', true),
+  (31, 'query', '{t}', '', '', true),
+  (32, 'query', '{t}', '', '', true),
+  (33, 'query', '{t}', '', '', true),
+  (34, 'query', '{t}', '', '', true),
+  (35, 'query', '{t}', '', '', true),
+  (36, 'query', '{t}', '', '', true),
+  (37, 'query', '{t}', '', '', true),
+  (38, 'query', '{t}', '', '', true),
+  (39, 'query', '{b},{t}', '', '', true),
+  (40, 'query', '{b},{t}', '', '', true),
+  (41, 'query', '{b},{t}', '', '', true),
+  (42, 'query', '{t}', '', '', true),
+  (43, 'query', '{b},{t}', '', '', true),
+  (44, 'query', '{t}', '', '', true),
+  (45, 'query', '{b},{t}', '', '', true),
+  (46, 'query', '{b},{t},{v}', '', '', true),
+  (47, 'query', '{t}', '', '', true),
+  (48, 'query', '{t}', '', '', true),
+  (49, 'insert', '{b},w', '{t}', 'w', true),
+  (50, 'query', '{t}', '', '', true)),
 cmd_exp AS (
+  SELECT stmt_id, kind, replace(replace(replace(ins, '{t}', tb), '{b}', db || '.base'), '{v}', vw) inputs,
+         replace(replace(outs, '{t}', tb), '{v}', vw) outputs, ctes, ok parse_ok
+  FROM cmd JOIN forms USING (g)
+  UNION ALL
   SELECT stmt_id,
          ['create_database','drop_database','alter_database','create_table_like','add_partition',
           'drop_partition','add_columns','recover_partitions','drop_table','show_create_table','set',
@@ -66,7 +104,7 @@ cmd_exp AS (
               WHEN g IN (9,14,16) THEN tb ELSE '' END inputs,
          CASE WHEN g IN (3,4,5,6,7,8) THEN tb WHEN g IN (14,15) THEN vw ELSE '' END outputs,
          '' ctes, g <> 17 parse_ok
-  FROM cmd),
+  FROM cmd WHERE g < 18),
 ord_exp AS (
   SELECT s.stmt_id, CASE s.stmt_id % 6 WHEN 2 THEN 'ctas' WHEN 3 THEN 'query' ELSE 'insert' END kind,
          coalesce((SELECT string_agg(t, ',' ORDER BY t) FROM exp_in e WHERE e.id = s.stmt_id), '') inputs,
@@ -152,7 +190,7 @@ SELECT id stmt_id, string_agg(t, ',' ORDER BY o) ref_string FROM ordered GROUP B
   UNION ALL SELECT stmt_id, outputs FROM cmd_exp WHERE outputs <> ''),
 srcs AS (
   SELECT id stmt_id, string_agg(t, ',' ORDER BY t) sources FROM exp_in WHERE t <> 'w' GROUP BY id
-  UNION ALL SELECT stmt_id, inputs FROM cmd_exp)
+  UNION ALL SELECT stmt_id, regexp_replace(inputs, ',w$', '') FROM cmd_exp)
 SELECT o.stmt_id, o.target, coalesce(s.sources, '') sources FROM outs o LEFT JOIN srcs s USING (stmt_id)"""
     o["query_hash"] = _with(CORPUS) + "SELECT stmt_id, md5(sql) query_hash FROM corpus"
     o["ctas_strip"] = _with(CORPUS) + r""", norm AS (

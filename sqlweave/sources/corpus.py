@@ -11,6 +11,8 @@ many orders a customer has).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,15 +64,55 @@ def statement_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("stmt_id", "o_custkey", sql.alias("sql"))
 
 
+# Statement forms of the command corpus after its first 18 (t, v: a table and a view of the customer,
+# b: a table of the nation).
+CONSTRUCTS = (
+    "select 1",
+    "load data inpath '/x' into table {t}",
+    "analyze table {t} compute statistics",
+    "truncate table {t}",
+    "merge into {t} using {b} on {t}.k = {b}.k when matched then delete",
+    "update {t} set a = (select max(k) from {b})",
+    "delete from {t} where k in (select k from {b})",
+    "replace table {t} as select * from {b}",
+    "cache table {v} as select * from {b}",
+    "create or replace temp view {v} as select * from {b}",
+    "frobnicate {t}",
+    "table {t}",
+    "insert into {t} table {b}",
+    "select a, b, sum(c) s from {t} group by a, b grouping sets ((a, b), (a))",
+    "select distinct a from {t}",
+    "select a from {t} sort by a",
+    "select a from {t} order by a limit 3",
+    "select a from {t} distribute by a sort by b",
+    "select a from {t} cluster by a",
+    "select sum(a) over w from {t} window w as (partition by b)",
+    "select a as order, b as x from {t} as y",
+    "select a from {t} group by a having a > (select max(k) from {b})",
+    "select a from {t} intersect select a from {b}",
+    "select a from {t} except select a from {b}",
+    "select a from {t} tablesample (10 percent) s",
+    "select /*+ broadcast(b) */ a from {t} join {b} b on {t}.k = b.k",
+    "select x from values (1), (2) as w(x) join {t} on {t}.k = w.x",
+    "select a from {t} lateral view explode(a) e as v join {b} on {t}.k = v",
+    "select a from (({t} x join {b} on x.k = 1) join {v} on x.k = 2)",
+    "select order, k from {t}",
+    "select a, (b + c) d from {t} where (a, b) in ((c, d), (e, f))",
+    "with w as (select * from {b}) insert into {t} select * from w",
+    "select /* a /* b */ from hidden.h */ 1 from {t}",
+)
+
+
 def command_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DDL and command statements, one per customer: (stmt_id = -1 - c_custkey, sql).
-    The kind is c_custkey % 18 (see KIND_BY_CODE); code 17 is cut short on purpose."""
+    The form is c_custkey modulo their number: the commands below, then CONSTRUCTS; code 17 is cut
+    short and code 28 is no SQL, on purpose."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n, k = _s("c_nationkey"), _s("c_custkey")
     db = F.concat(F.lit("db_"), n)
     t = F.concat(db, F.lit(".t_"), k)
     v = F.concat(db, F.lit(".v_"), k)
-    g = F.col("c_custkey") % 18
+    base = F.concat(db, F.lit(".base"))
     texts = [
         F.concat(F.lit("create database if not exists "), db),
         F.concat(F.lit("drop database "), db),
@@ -91,19 +133,16 @@ def command_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("explain select * from "), t),
         F.concat(F.lit("select * from (select c_custkey from "), t),
     ]
+    names = {"t": t, "b": base, "v": v}
+    texts += [F.concat(*[names[p[1]] if p in ("{t}", "{b}", "{v}") else F.lit(p)
+                         for p in re.split(r"(\{[tbv]\})", form) if p]) for form in CONSTRUCTS]
+    g = F.col("c_custkey") % len(texts)
     sql = texts[-1]
     for i in range(len(texts) - 2, -1, -1):
         sql = F.when(g == i, texts[i]).otherwise(sql)
     return c.select((F.lit(-1) - F.col("c_custkey")).alias("stmt_id"), sql.alias("sql"))
 
 
-# Kind of each code of the command corpus, in code order.
-KIND_BY_CODE = ("create_database", "drop_database", "alter_database", "create_table_like",
-                "add_partition", "drop_partition", "add_columns", "recover_partitions",
-                "drop_table", "show_create_table", "set", "add_jar", "create_function",
-                "drop_function", "create_view", "alter_view_as", "explain", "query")
-
-
 def sample_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both corpora: (stmt_id, sql)."""
     return (statement_corpus(spark, sf_dir).select("stmt_id", "sql")
