@@ -4,15 +4,18 @@ The reference emits lineage from a post-execution hook, one query at a time, and
 lets a failure break the query. Here the log (files of (stmt_id, ts, sql) rows) is read
 with ``readStream``; each micro-batch runs the batch lineage job inside ``foreachBatch``
 (the token windows are not time windows, so they belong inside the batch). Delivery is
-made idempotent twice over: rows are de-duplicated by ``stmt_id`` inside the batch, and
-each batch writes to its own ``batch_id=N`` folder with overwrite, so a replayed batch
-replaces its own output. Readers de-duplicate by ``stmt_id`` across batches (a record is
-a pure function of the statement, so copies are identical). No streaming state is kept,
+made idempotent twice over: copies of a row go inside the batch, and each batch writes to
+its own ``run=ID/batch_id=N`` folder with overwrite, so a replayed batch replaces its own
+output (the ID is the checkpoint's, so a new checkpoint over an old sink adds to it).
+Readers drop equal records across batches (a record is a pure function of the statement,
+so copies are identical). Batches are bounded by bytes, whatever the length of the log. No streaming state is kept,
 so nothing grows with the log and no late row is ever dropped.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,15 +27,18 @@ LOG_SCHEMA = "stmt_id long, ts timestamp, sql string"
 
 
 def start_lineage_stream(spark: SparkSession, log_path: str, sink_path: str, checkpoint: str,
-                         files_per_trigger: int = 1, available_now: bool = True):
+                         bytes_per_trigger: int = 1 << 30, available_now: bool = True):
     """Start the stream; returns the StreamingQuery."""
-    src = (spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
+    src = (spark.readStream.schema(LOG_SCHEMA).option("maxBytesPerTrigger", bytes_per_trigger)
            .parquet(log_path))
+    run: list[str] = []
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         # copies of a row go before the shuffle by stmt_id; another text under a used id stays
         rec = lineage(batch.select("stmt_id", "sql").distinct().repartition("stmt_id"), partitioned=True)
-        rec.write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
+        if not run:  # a fixed file of the checkpoint holds the id of the stream
+            run.append(json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"])
+        rec.write.mode("overwrite").parquet(f"{sink_path}/run={run[0]}/batch_id={batch_id}")
 
     w = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -40,7 +46,7 @@ def start_lineage_stream(spark: SparkSession, log_path: str, sink_path: str, che
 
 
 def read_lineage(spark: SparkSession, sink_path: str) -> DataFrame:
-    return spark.read.parquet(sink_path).drop("batch_id").distinct()
+    return spark.read.parquet(sink_path).drop("run", "batch_id").distinct()
 
 
 def write_query_log(spark: SparkSession, sf_dir: str, path: str, n_files: int | None = None) -> str:
@@ -54,12 +60,10 @@ def write_query_log(spark: SparkSession, sf_dir: str, path: str, n_files: int |
     return path
 
 
-def stream_lineage(spark, sf, batches: int = 4):
+def stream_lineage(spark, sf):
     base = scratch_path(spark, "stream")
     log = write_query_log(spark, sf, f"{base}/log")
-    n = len(spark.read.parquet(log).inputFiles())          # driver-side listing only
-    q = start_lineage_stream(spark, log, f"{base}/sink", f"{base}/checkpoint",
-                             files_per_trigger=max(1, -(-n // batches)))
+    q = start_lineage_stream(spark, log, f"{base}/sink", f"{base}/checkpoint")
     q.awaitTermination()
     rec = read_lineage(spark, f"{base}/sink")
     csv = [F.array_join(c, ",").alias(c) for c in ("inputs", "outputs", "ctes")]

@@ -10,7 +10,7 @@ from sqlweave.streaming.query_log import read_lineage, start_lineage_stream, wri
 def test_stream_equals_batch_and_replay_is_idempotent(spark, sf_small):
     base = scratch_path(spark, "t-stream")
     log = write_query_log(spark, sf_small, f"{base}/log", n_files=3)
-    q = start_lineage_stream(spark, log, f"{base}/sink", f"{base}/ckpt")
+    q = start_lineage_stream(spark, log, f"{base}/sink", f"{base}/ckpt", bytes_per_trigger=1 << 14)
     q.awaitTermination()
     got = read_lineage(spark, f"{base}/sink")
     want = lineage(spark.read.parquet(log).select("stmt_id", "sql"))
@@ -24,6 +24,12 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, sf_small):
     again = read_lineage(spark, f"{base}/sink")
     assert again.count() == want.count()
     assert again.where(F.col("stmt_id").isNull()).count() == 0
+    # a new checkpoint over the same sink adds to it, and another text under a used id is kept
+    more = f"{base}/more"
+    spark.sql("SELECT 1L stmt_id, timestamp '2024-01-01' ts, 'select * from new.t' sql").write.parquet(more)
+    q = start_lineage_stream(spark, more, f"{base}/sink", f"{base}/ckpt2")
+    q.awaitTermination()
+    assert read_lineage(spark, f"{base}/sink").count() == want.count() + 1
 
 
 def test_processing_time_trigger(spark, sf_small):
