@@ -155,6 +155,7 @@ def oracles() -> dict[str, str]:
   SELECT stmt_id, '{"edges":[' || coalesce(string_agg(e.json, ',' ORDER BY e.edge_pos), '') || ']' e
   FROM (SELECT DISTINCT stmt_id FROM deps) s LEFT JOIN ejson e USING (stmt_id) GROUP BY stmt_id)
 SELECT stmt_id, e || ',"vertices":' || coalesce(v.json, '[]') || '}' json FROM docs LEFT JOIN vjson v USING (stmt_id)"""
+    o["document_sink"] = f"SELECT json FROM ({o['lineage_json']})"
     o["job_ids"] = """
 SELECT l_orderkey stmt_id,
        coalesce(string_agg(CASE WHEN l_linestatus = 'F' THEN NULL

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sqlweave.operators import columns as G
 from sqlweave.operators import export as X
 from sqlweave.operators.lineage import lineage
+from sqlweave.session import scratch_path
 from sqlweave.sources import column_fixture as CF
 from sqlweave.sources.corpus import sample_statements
 
@@ -101,6 +102,12 @@ def lineage_json(spark, sf):
     return X.lineage_json(CF.fixture_statements(spark, sf), merged)
 
 
+def document_sink(spark, sf):
+    """L41 sink: the documents written as JSON Lines and read back."""
+    path = X.write_documents(lineage_json(spark, sf), scratch_path(spark, "documents"))
+    return spark.read.text(path).select(F.col("value").alias("json"))
+
+
 def job_ids(spark, sf):
     return G.job_ids(CF.task_log(spark, sf)).select("stmt_id", _csv("job_ids").alias("job_ids"))
 
@@ -108,4 +115,4 @@ def job_ids(spark, sf):
 QUERIES = {f.__name__: f for f in (
     op_filter, dest_resolve, dynamic_partition_fields, field_count_check, target_labels,
     source_vertices, projection_edges, predicate_edges, edge_merge, vertex_ids, edges_json, vertices_json,
-    lineage_json, job_ids)}
+    lineage_json, document_sink, job_ids)}

@@ -168,6 +168,15 @@ def oracles() -> dict[str, str]:
     o["refs_ctes"] = base + _agg("exp_cte", "ctes")
     o["lineage_source_inputs"] = base + _agg("(SELECT * FROM exp_in WHERE t <> 'w')", "source_inputs")
     o["lineage_records"] = base + "SELECT stmt_id, kind, inputs, outputs, ctes, parse_ok FROM all_exp"
+    o["io_pairs"] = base + "SELECT stmt_id, inputs, outputs FROM all_exp"
+    o["semicolon_cut"] = _with(CORPUS) + "SELECT stmt_id, sql FROM corpus"
+    o["unread_script_report"] = "SELECT 'absent_' || n_nationkey::VARCHAR || '.sql' sql_file FROM nation"
+    o["script_quote_aware_split"] = """
+SELECT 'quoted_' || c_custkey::VARCHAR || '.sql' sql_file, p::INTEGER stmt_pos,
+       CASE p WHEN 0 THEN 'select ''a;' || c_custkey::VARCHAR || ''' c from t_' || c_custkey::VARCHAR
+              WHEN 1 THEN chr(10) || 'select "x;y" /* ; */ from u_' || c_custkey::VARCHAR || ' -- no; end' || chr(10)
+              ELSE 'select 1' END sql
+FROM customer, range(3) r(p)"""
     o["statement_kinds"] = base + "SELECT stmt_id, kind FROM all_exp"
     o["unparsable_quarantine"] = base + "SELECT stmt_id, kind FROM all_exp WHERE NOT parse_ok"
     o["case_fold"] = base + ("SELECT id stmt_id, string_agg(upper(t), ',' ORDER BY upper(t)) inputs "

@@ -13,7 +13,8 @@ from sqlweave.operators import refs as R
 from sqlweave.operators import statements as S
 from sqlweave.session import scratch_path
 from sqlweave.sources import corpus as C
-from sqlweave.sources.scripts import file_name, read_scripts, write_scripts
+from sqlweave.sources.scripts import file_name, read_scripts, unread_files, write_scripts
+from sqlweave.sources.tables import read_table
 
 
 def _csv(c: str) -> F.Column:
@@ -33,6 +34,27 @@ def script_split(spark, sf):
     return S.split_statements(C.script_corpus(spark, sf)).select("sql_file", "stmt_pos", "sql")
 
 
+def script_quote_aware_split(spark, sf):
+    """L2 with semicolons inside literals and comments left alone."""
+    return S.split_statements(C.quoted_scripts(spark, sf), quote_aware=True).select("sql_file", "stmt_pos", "sql")
+
+
+def unread_script_report(spark, sf):
+    """Listed script files that gave no content (here one a nation, which nobody wrote)."""
+    made = C.script_corpus(spark, sf)
+    path = write_scripts(made, scratch_path(spark, "scripts"))
+    absent = read_table(spark, sf, "nation").select(
+        F.concat(F.lit("absent_"), F.col("n_nationkey").cast("string"), F.lit(".sql")).alias("sql_file"))
+    read = read_scripts(spark, path).select(file_name("sql_file").alias("sql_file"))
+    return unread_files(made.select("sql_file").unionByName(absent), read)
+
+
+def semicolon_cut(spark, sf):
+    """L7 on statements as a log holds them: a semicolon at the end, some with blanks after it."""
+    log = F.concat("sql", F.lit(";"), F.expr("repeat(' ', int(stmt_id % 3))"), F.expr("repeat('\\n', int(stmt_id % 2))"))
+    return S.prepare(C.statement_corpus(spark, sf).select("stmt_id", log.alias("sql")))
+
+
 def script_comment_strip(spark, sf):
     return script_split(spark, sf).withColumn("sql", T.strip_comments(F.col("sql")))
 
@@ -85,6 +107,10 @@ def lineage_records(spark, sf):
                                       _csv("ctes"), "parse_ok")
 
 
+def io_pairs(spark, sf):
+    return L.io_pair(_records(spark, sf)).select("stmt_id", _csv("inputs"), _csv("outputs"))
+
+
 def lineage_source_inputs(spark, sf):
     rec = L.lineage(C.statement_corpus(spark, sf).select("stmt_id", "sql"))
     return rec.select("stmt_id", _csv("source_inputs"))
@@ -141,7 +167,7 @@ def script_lineage_of(spark, path: str, task: str | None = None) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    script_split, script_comment_strip, script_noise_filter, script_blank_lines, ctas_strip,
+    script_split, script_quote_aware_split, unread_script_report, semicolon_cut, io_pairs, script_comment_strip, script_noise_filter, script_blank_lines, ctas_strip,
     tokens_depth, refs_inputs, refs_from_only, refs_outputs, refs_ctes, lineage_records,
     lineage_source_inputs, ref_counts, ref_list, ref_string, case_fold, statement_kinds,
     unparsable_quarantine, table_edges, query_hash, script_lineage)}

@@ -143,6 +143,15 @@ def command_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select((F.lit(-1) - F.col("c_custkey")).alias("stmt_id"), sql.alias("sql"))
 
 
+def quoted_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Script files (sql_file, content), one per customer, with semicolons in literals and comments."""
+    k = _s(F.col("c_custkey"))
+    return read_table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("quoted_"), k, F.lit(".sql")).alias("sql_file"),
+        F.concat(F.lit("select 'a;"), k, F.lit("' c from t_"), k, F.lit(";\nselect \"x;y\" /* ; */ from u_"), k,
+                 F.lit(" -- no; end\n;select 1")).alias("content"))
+
+
 def sample_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both corpora: (stmt_id, sql)."""
     return (statement_corpus(spark, sf_dir).select("stmt_id", "sql")
