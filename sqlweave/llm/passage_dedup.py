@@ -8,7 +8,7 @@ each start, and an exact copy always.
 
 Signatures that only one block of documents holds leave first (``exchange``); each remaining run is linked with the run of the smallest doc_id of its
 signature, aligned at the smallest shingle. Runs of a pair of documents with one alignment are merged, and verified: a start counts where its
-window's aligned shingles give a Jaccard similarity of 0.8 or more, or all of a run counts where its two shingle sets do.
+window's set of shingles and that of the other document's window at that alignment have a Jaccard similarity of 0.8 or more.
 
 So a group of copies gives a link per member, not per pair. A run whose smallest-id partner turns out not to be similar has no second choice; a passage has many runs
 in four signatures, so this needs the same two smallest shingles in an unlike passage for all of them.
@@ -132,10 +132,25 @@ def _wanted_shingles(batches):
                                                   "h": pa.array([small[bound[k]:bound[k + 1]].tobytes() for k in own], pa.binary())})
 
 
-def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    u, v = np.unique(x), np.unique(y)
-    same = len(np.intersect1d(u, v, assume_unique=True))
-    return 100 * same >= percent * (len(u) + len(v) - same)
+def _distinct(x: np.ndarray, width: int, step: int = 1) -> np.ndarray:
+    """Distinct values of each window of ``width``, a window at every ``step``-th place."""
+    order = np.argsort(x, kind="stable")
+    before = np.full(len(x), -1)
+    again = x[order[1:]] == x[order[:-1]]
+    before[order[1:][again]] = order[:-1][again]
+    at = np.arange(len(x))
+    n = len(x) - width + 1  # a value counts in the windows that hold it, but not its last place before
+    first, last = np.maximum(np.maximum(before, at - width) + 1, 0), np.minimum(at + 1, n)
+    on = first < last
+    return np.cumsum(np.bincount(first[on], minlength=n + 1) - np.bincount(last[on], minlength=n + 1))[:n:step]
+
+
+def _alike(x: np.ndarray, y: np.ndarray, width: int, percent: int) -> np.ndarray:
+    """For each window of x and that of y at the same place: whether their sets of shingles are similar."""
+    if np.array_equal(x, y):
+        return np.ones(len(x) - width + 1, bool)
+    union = _distinct(np.stack([x, y], axis=1).ravel(), 2 * width, 2)
+    return 100 * (_distinct(x, width) + _distinct(y, width) - union) >= percent * union
 
 
 def _stretches(good: np.ndarray) -> list[tuple[int, int]]:
@@ -146,7 +161,6 @@ def _stretches(good: np.ndarray) -> list[tuple[int, int]]:
 def verified_spans(a: np.ndarray, b: np.ndarray, runs, width: int, percent: int) -> list[tuple[int, int, int]]:
     """(first word, end, alignment) of the passages of a with a near copy in b; runs are (first start, last start, alignment)."""
     words = width + SHINGLE - 1
-    need = -(-2 * width * percent // (100 + percent))  # aligned equal shingles for that Jaccard similarity
     merged: list[list[int]] = []
     for shift, s, t in sorted((r[2], r[0], r[1]) for r in runs):
         if merged and merged[-1][0] == shift and s <= merged[-1][2] + 1:
@@ -159,16 +173,11 @@ def verified_spans(a: np.ndarray, b: np.ndarray, runs, width: int, percent: int)
         if s > t:
             continue
         x, y = a[s:t + width], b[s - shift:t - shift + width]
-        equal = np.concatenate([[0], np.cumsum(x == y)])
-        good = equal[width:] - equal[:-width] >= need
-        if not good.any():
-            good[:] = _similar(x, y, percent)
-        for i, j in _stretches(good):
-            if _similar(x[i:j - 1 + width], y[i:j - 1 + width], percent):
+        for i, j in _stretches(_alike(x, y, width, percent)):
+            if _alike(x[i:j - 1 + width], y[i:j - 1 + width], j - i - 1 + width, percent)[0]:
                 out.append((s + i, s + j - 1 + words, shift))
-            else:  # repetitive text: few distinct shingles, and the unequal ones weigh more; what is equal throughout remains
-                out += [(s + i + p, s + i + q - 1 + words, shift)
-                        for p, q in _stretches(equal[i + width:j + width] - equal[i:j] == width)]
+            else:  # repetitive text: each window is similar, their union isn't; windows side by side hold the same words
+                out += [(s + k, s + k + words, shift) for k in [*range(i, j - 1, words), j - 1]]
     return out
 
 

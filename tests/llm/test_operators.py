@@ -116,6 +116,45 @@ def test_passages(spark, docs):
     assert passage_dedup.near_duplicate_passages(empty(spark)).count() == 0
 
 
+def changed_passages():
+    """Passages of 50, 60 and 80 words inside unlike text, and their copies with a word substituted, inserted or deleted in the middle."""
+    n = 0
+    for length in (50, 60, 80):
+        for kind in ("substituted", "inserted", "deleted"):
+            passage = [f"p{n}_{i}" for i in range(length)]
+            copy = passage[:length // 2] + ([] if kind == "deleted" else ["other"]) + passage[length // 2 + (kind != "inserted"):]
+            yield length, kind, *([f"{side}{n}_{i}" for i in range(30)] + body + [f"{side}{n}_{i}" for i in range(30, 60)]
+                                  for side, body in (("x", passage), ("y", copy)))
+            n += 1
+
+
+def jaccard(a, b):
+    x, y = ({tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+@pytest.mark.parametrize("shift", [-1, 0, 1])
+def test_every_window_of_a_run_is_compared(shift):
+    rng = np.random.default_rng(5)
+    pairs = [(b, a) for _, _, a, b in changed_passages()]
+    pairs += [([f"r{k}" for k in rng.integers(0, 3, 150)], [f"r{k}" for k in rng.integers(0, 3, 150)]), (["r"] * 100, ["r"] * 90)]
+    for a, b in pairs:
+        x, y = (np.array([hash(tuple(w[i:i + 5])) & 0xFFFFFFFF for i in range(len(w) - 4)], np.uint32) for w in (a, b))
+        got = {w for s, e, k in passage_dedup.verified_spans(x, y, [(0, len(x), shift)], 46, 80) for w in range(s, e)}
+        good = [i for i in range(max(0, shift), min(len(a), len(b) + shift) - 49) if jaccard(a[i:i + 50], b[i - shift:i - shift + 50]) >= 0.8]
+        assert got == {w for i in good for w in range(i, i + 50)}
+
+
+def test_passages_with_a_changed_word(spark):
+    rows, want = [], {}
+    for n, (length, kind, a, b) in enumerate(changed_passages()):
+        rows += [(2 * n, " ".join(a)), (2 * n + 1, " ".join(b))]
+        if any(jaccard(b[i:i + 50], a[j:j + 50]) >= 0.8 for i in range(len(b) - 49) for j in range(len(a) - 49)):
+            want[2 * n + 1] = (length, kind)
+    got = {r.doc_id for r in passage_dedup.near_duplicate_passages(spark.createDataFrame(rows, "doc_id long, text string"), 50).collect()}
+    assert len(want) >= 8 and got == set(want), [want[k] for k in set(want) - got]
+
+
 def test_token_files(spark, docs, tmp_path):
     from tokenizers import Tokenizer
     import public_tokenizers
