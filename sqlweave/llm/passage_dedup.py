@@ -10,8 +10,9 @@ Signatures that only one block of documents holds leave first (``exchange``); ea
 signature, aligned at the smallest shingle. Runs of a pair of documents with one alignment are merged, and verified: a start counts where its
 window's set of shingles and that of the other document's window at that alignment have a Jaccard similarity of 0.8 or more.
 
-So a group of copies gives a link per member, not per pair. A run whose smallest-id partner turns out not to be similar has no second choice; a passage has many runs
-in four signatures, so this needs the same two smallest shingles in an unlike passage for all of them.
+So a group of copies gives a link per member, not per pair. Runs with starts that no link has covered are then compared, inside tasks, with every run of their signature
+of a smaller doc_id, until each start is covered or no run is left; only the passages found come out. Windows that share too few shingles with all of the others for
+any similarity of 0.8 leave first, and signatures of more than ``BLOCK`` runs are dealt as pairs of blocks. This work grows with the square of such a signature's open runs.
 
 Defined results: null texts and texts of fewer words have no passages; rows with null ids take no part, rows that share an id are never compared with one another;
 an empty table gives no rows; other columns are ignored."""
@@ -27,6 +28,8 @@ from . import common as C
 from . import exchange as X
 
 SHINGLE, PAIRS, RUNS = 5, 4, 9
+#: runs of a signature compared in one task
+BLOCK = 4096
 _NULL_ID = np.iinfo(np.int64).max
 
 
@@ -132,8 +135,8 @@ def _wanted_shingles(batches):
                                                   "h": pa.array([small[bound[k]:bound[k + 1]].tobytes() for k in own], pa.binary())})
 
 
-def _distinct(x: np.ndarray, width: int, step: int = 1) -> np.ndarray:
-    """Distinct values of each window of ``width``, a window at every ``step``-th place."""
+def _distinct(x: np.ndarray, width: int, step: int = 1, counted: np.ndarray | None = None) -> np.ndarray:
+    """Distinct values (of those ``counted``, where given) of each window of ``width``, a window at every ``step``-th place."""
     order = np.argsort(x, kind="stable")
     before = np.full(len(x), -1)
     again = x[order[1:]] == x[order[:-1]]
@@ -141,7 +144,7 @@ def _distinct(x: np.ndarray, width: int, step: int = 1) -> np.ndarray:
     at = np.arange(len(x))
     n = len(x) - width + 1  # a value counts in the windows that hold it, but not its last place before
     first, last = np.maximum(np.maximum(before, at - width) + 1, 0), np.minimum(at + 1, n)
-    on = first < last
+    on = first < last if counted is None else (first < last) & counted
     return np.cumsum(np.bincount(first[on], minlength=n + 1) - np.bincount(last[on], minlength=n + 1))[:n:step]
 
 
@@ -158,9 +161,18 @@ def _stretches(good: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(flips[::2].tolist(), flips[1::2].tolist()))
 
 
+def _passages(x: np.ndarray, y: np.ndarray, good: np.ndarray, width: int, percent: int):
+    """(first word, end) of the passages of x that the good starts make up."""
+    words = width + SHINGLE - 1
+    for i, j in _stretches(good):
+        if _alike(x[i:j - 1 + width], y[i:j - 1 + width], j - i - 1 + width, percent)[0]:
+            yield i, j - 1 + words
+        else:  # repetitive text: each window is similar, their union isn't; windows side by side hold the same words
+            yield from ((k, k + words) for k in [*range(i, j - 1, words), j - 1])
+
+
 def verified_spans(a: np.ndarray, b: np.ndarray, runs, width: int, percent: int) -> list[tuple[int, int, int]]:
     """(first word, end, alignment) of the passages of a with a near copy in b; runs are (first start, last start, alignment)."""
-    words = width + SHINGLE - 1
     merged: list[list[int]] = []
     for shift, s, t in sorted((r[2], r[0], r[1]) for r in runs):
         if merged and merged[-1][0] == shift and s <= merged[-1][2] + 1:
@@ -173,11 +185,7 @@ def verified_spans(a: np.ndarray, b: np.ndarray, runs, width: int, percent: int)
         if s > t:
             continue
         x, y = a[s:t + width], b[s - shift:t - shift + width]
-        for i, j in _stretches(_alike(x, y, width, percent)):
-            if _alike(x[i:j - 1 + width], y[i:j - 1 + width], j - i - 1 + width, percent)[0]:
-                out.append((s + i, s + j - 1 + words, shift))
-            else:  # repetitive text: each window is similar, their union isn't; windows side by side hold the same words
-                out += [(s + k, s + k + words, shift) for k in [*range(i, j - 1, words), j - 1]]
+        out += [(s + i, s + j, shift) for i, j in _passages(x, y, _alike(x, y, width, percent), width, percent)]
     return out
 
 
@@ -197,6 +205,162 @@ def _verify(width: int, percent: int):
     return rows
 
 
+_RUN = "sig long, doc_id long, s int, t int, c int, k long, open binary"
+
+
+def _open_starts(words: int):
+    """Runs of a block, with a byte for each start: whether no passage found so far holds it (empty where all are held)."""
+    def rows(batches):
+        for b in batches:
+            for block, runs, cover in zip(*(b.column(k) for k in ("block_id", "runs", "cover"))):
+                runs = runs.values
+                doc, s, t = (runs.field(k).to_numpy() for k in ("doc_id", "s", "t"))
+                docs, which = np.unique(doc, return_inverse=True)
+                size = np.zeros(len(docs), np.int64)
+                np.maximum.at(size, which, t + 2)
+                begin = np.concatenate([[0], np.cumsum(size)])
+                step = np.zeros(begin[-1] + 1, np.int64)
+                if cover.is_valid:
+                    d, first, end = (cover.values.field(k).to_numpy() for k in ("doc_id", "start", "end"))
+                    at = np.minimum(np.searchsorted(docs, d), len(docs) - 1)
+                    on = docs[at] == d
+                    at, first, end = at[on], first[on], end[on]
+                    np.add.at(step, begin[at] + np.minimum(first, size[at] - 1), 1)
+                    np.add.at(step, begin[at] + np.minimum(end - words + 1, size[at] - 1), -1)
+                free = np.cumsum(step) <= 0
+                count = np.concatenate([[0], np.cumsum(free)])
+                lo, hi = begin[which] + s, begin[which] + t + 1
+                some = count[hi] > count[lo]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block.as_py()] * len(doc), pa.int64()), *(runs.field(k) for k in ("sig", "doc_id", "s", "t", "c", "k")),
+                     pa.array([free[i:j].tobytes() if o else b"" for i, j, o in zip(lo.tolist(), hi.tolist(), some.tolist())], pa.binary())],
+                    names=["block_id", "sig", "doc_id", "s", "t", "c", "k", "open"])
+    return rows
+
+
+def _with_shingles(width: int):
+    """Runs of a block with the shingles of all of their windows."""
+    def rows(batches):
+        for b in batches:
+            for row, runs in zip(b.drop_columns(["runs"]).to_pylist(), b.column("runs")):
+                ids, buf, off = X.unpack(row)
+                runs = runs.values
+                doc, s, t = (runs.field(k).to_numpy() for k in ("doc_id", "s", "t"))
+                order = np.argsort(doc, kind="stable")
+                for lo, hi in C.pieces(off):
+                    h, of = _shingled(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
+                    bound = np.searchsorted(of, np.arange(hi - lo + 1))
+                    small = (h >> np.uint64(32)).astype(np.uint32)
+                    left, right = (np.searchsorted(doc[order], ids[lo:hi], side) for side in ("left", "right"))
+                    # texts that share an id: a run of one may be cut from another, which is then compared as it is
+                    mine = [(r, bound[k] + s[r], bound[k] + t[r] + width) for k in np.flatnonzero(left < right).tolist()
+                            for r in order[left[k]:right[k]].tolist() if bound[k] + t[r] + width <= bound[k + 1]]
+                    if mine:
+                        own = runs.take(pa.array([m[0] for m in mine], pa.int64()))
+                        yield pa.RecordBatch.from_arrays(
+                            [*(own.field(k) for k in ("sig", "doc_id", "s", "t", "c", "k", "open")),
+                             pa.array([small[i:j].tobytes() for _, i, j in mine], pa.binary())],
+                            names=["sig", "doc_id", "s", "t", "c", "k", "open", "h"])
+    return rows
+
+
+def _compared(width: int, percent: int):
+    """Passages at the open starts of runs that have a near copy in a run of the same signature and a smaller doc_id."""
+    def spans(table: pa.Table) -> pa.Table:
+        sig, doc, s, c, own = (table[k].to_numpy() for k in ("sig", "doc_id", "s", "c", "own"))
+        apart = table["i"][0].as_py() != table["j"][0].as_py()  # pairs of one block have a group of their own
+        buf, off = C.binary_arrays(table["h"])
+        tok, off = np.frombuffer(buf.tobytes(), np.uint32), off // 4
+        run = np.repeat(np.arange(len(doc)), np.diff(off))
+        name = np.unique(np.unique(sig, return_inverse=True)[1][run] << 32 | tok, return_inverse=True)[1]
+        least = np.full(name.max() + 1, _NULL_ID)
+        np.minimum.at(least, name, doc[run])
+        each = np.unique(run << 32 | name, return_inverse=True)[1]
+        n = _distinct(each, width)
+        common = _distinct(each, width, counted=least[name] < doc[run])
+        whole = np.flatnonzero(run[:len(n)] == run[width - 1:])  # windows inside a run: one for each of its starts
+        n, common, at = n[whole], common[whole], run[whole]
+        _, of = np.unique(sig, return_inverse=True)
+        fewest = np.full(of.max() + 1, width)
+        np.minimum.at(fewest, of[at], n)
+        # equal shingles that a similar window has, at least
+        need = np.maximum(-(-percent * n // 100), -(-percent * (n + fewest[of[at]]) // (100 + percent)))
+        window = np.searchsorted(at, np.arange(len(doc) + 1))
+        flags, flag_off = C.binary_arrays(table["open"])
+        open_ = np.zeros(len(at), bool)
+        for r in np.flatnonzero(np.diff(flag_off)).tolist():
+            open_[window[r]:window[r + 1]] = flags[flag_off[r]:flag_off[r + 1]]
+        open_ &= common >= need
+        order = np.lexsort((run, name))
+        held, holder = name[order], run[order]
+        new = np.concatenate([[True], (held[1:] != held[:-1]) | (holder[1:] != holder[:-1])])
+        held, holder = held[new], holder[new]
+        post = np.searchsorted(held, np.arange(len(least) + 1))
+        out = []
+        for r in np.unique(at[open_]).tolist():
+            left = open_[window[r]:window[r + 1]].copy()
+            own_need = need[window[r]:window[r + 1]]
+            mine = name[off[r]:off[r + 1]]
+            with_ = [holder[post[m]:post[m + 1]] for m in mine.tolist()]
+            others = np.unique(np.concatenate(with_))
+            others = others[(doc[others] < doc[r]) & ((own[others] != own[r]) if apart else True)]
+            if not len(others):
+                continue
+            # for each other run, which of these shingles it holds
+            has = np.zeros((len(others), len(mine) + 1), np.int32)
+            for k, w in enumerate(with_):
+                p = np.minimum(np.searchsorted(others, w), len(others) - 1)
+                has[p[others[p] == w], k + 1] = 1
+            np.cumsum(has, axis=1, out=has)
+            fit = (has[:, width:] - has[:, :-width]) >= own_need
+            others, fit = others[(fit & left).any(axis=1)], fit[(fit & left).any(axis=1)]
+            by = np.argsort(doc[others], kind="stable")
+            for q, may in zip(others[by].tolist(), fit[by]):
+                if not (may & left).any():
+                    continue
+                shift = int((c[r] - s[r]) - (c[q] - s[q]))
+                lo, hi = max(0, shift), min(len(left), window[q + 1] - window[q] + shift)  # starts of r with a start of q at that alignment
+                if lo >= hi:
+                    continue
+                x, y = tok[off[r] + lo:off[r] + hi - 1 + width], tok[off[q] + lo - shift:off[q] + hi - shift - 1 + width]
+                good = _alike(x, y, width, percent) & left[lo:hi]
+                for i, j in _passages(x, y, good, width, percent):
+                    start = int(s[r]) + lo + i
+                    out.append((int(doc[r]), int(doc[q]), start, int(s[r]) + lo + j, start - int(s[r]) - shift + int(s[q])))
+                left[lo:hi] &= ~good
+                if not left.any():
+                    break
+        every = np.array(sorted(set(out)), np.int64).reshape(-1, 5)
+        return pa.table({k: every[:, m] for m, k in enumerate(("doc_id", "other_id", "start", "end", "other_start"))})
+    return spans
+
+
+def _further(blocks: DataFrame, runs: DataFrame, pairs: DataFrame, shingles: DataFrame, spans: DataFrame, words: int, percent: int) -> DataFrame:
+    """Passages that the links with the smallest documents have left."""
+    spark = runs.sparkSession
+    width = words - SHINGLE + 1
+    alone = (pairs.groupBy("doc_id").agg(F.min("block_id").alias("block_id"), F.max("last_block").alias("last_block")).where("block_id = last_block")
+             .join(shingles.groupBy("doc_id").count().where("count = 1"), "doc_id", "left_semi"))  # an id of several texts says nothing of each
+    cover = (spans.join(alone.select("doc_id", "block_id"), "doc_id").groupBy("block_id")
+             .agg(F.collect_list(F.struct("doc_id", "start", "end")).alias("cover")))  # passages of one block
+    several = runs.groupBy("sig").agg(F.count("*").alias("k")).where("k > 2")
+    by_block = runs.join(several, "sig").groupBy("block_id").agg(F.collect_list(F.struct("sig", "doc_id", "s", "t", "c", "k")).alias("runs"))
+    placed = C.saved(by_block.join(cover, "block_id", "left").mapInArrow(_open_starts(words), "block_id long, " + _RUN), "open-runs")
+    C.release(spark)
+    left = placed.join(placed.where("length(open) > 0").select("sig").distinct(), "sig", "left_semi")
+    again = left.groupBy("block_id").agg(F.collect_list(F.struct("sig", "doc_id", "s", "t", "c", "k", "open")).alias("runs"))
+    members = C.saved(blocks.join(again.hint("shuffle_hash"), "block_id").mapInArrow(_with_shingles(width), _RUN + ", h binary"), "open-members")
+    C.release(spark)
+    groups = members.count() // BLOCK + 1
+    own = F.pmod(F.xxhash64("doc_id", "s"), F.col("blocks")).cast("int")
+    dealt = (members.withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int")).withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select(F.when(F.col("blocks") > 1, F.col("sig")).otherwise(F.pmod(F.xxhash64("sig"), F.lit(groups))).alias("g"), "blocks",
+                     F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sig", "doc_id", "s", "c", "open", "h"))
+    return dealt.groupBy("g", "blocks", "i", "j").applyInArrow(
+        _compared(width, percent), "doc_id long, other_id long, start long, end long, other_start long").distinct()
+
+
 def near_duplicate_passages(docs: DataFrame, words: int = 50, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
                             block_bytes: int = 2 << 20) -> DataFrame:
     """doc_id, other_id, start, end, other_start: words [start, end) of doc_id have a near copy at other_start of other_id, a smaller id."""
@@ -218,15 +382,18 @@ def near_duplicate_passages(docs: DataFrame, words: int = 50, percent: int = 80,
         F.greatest(F.col("s"), F.col("e.s") + shift).alias("s"), F.least(F.col("t"), F.col("e.t") + shift).alias("t")).where("s <= t"))
     # the runs of a document with one other one: no more than its own
     pairs = C.saved(linked.groupBy("doc_id", "other_id").agg(F.collect_set(F.struct("s", "t", "shift")).alias("runs"),
-                                                             F.min("block_id").alias("block_id"), F.min("other_block").alias("other_block")), "pairs")
+                                                             F.min("block_id").alias("block_id"), F.max("block_id").alias("last_block"),
+                                                             F.min("other_block").alias("other_block")), "pairs")
     wanted = (pairs.select("block_id", "doc_id").unionByName(pairs.select(F.col("other_block").alias("block_id"), F.col("other_id").alias("doc_id")))
               .groupBy("block_id").agg(F.collect_set("doc_id").alias("wanted")))  # ids of one block
     shingles = C.saved(blocks.join(wanted.hint("shuffle_hash"), "block_id").mapInArrow(_wanted_shingles, "doc_id long, h binary"), "shingles")
     C.release(spark)
-    return (pairs.select("doc_id", "other_id", "runs").join(shingles.withColumnRenamed("h", "x"), "doc_id")
-            .join(shingles.select(F.col("doc_id").alias("other_id"), F.col("h").alias("y")), "other_id")
-            .select("doc_id", "other_id", "runs", "x", "y")
-            .mapInArrow(_verify(width, percent), "doc_id long, other_id long, start long, end long, other_start long"))
+    spans = C.saved(pairs.select("doc_id", "other_id", "runs").join(shingles.withColumnRenamed("h", "x"), "doc_id")
+                    .join(shingles.select(F.col("doc_id").alias("other_id"), F.col("h").alias("y")), "other_id")
+                    .select("doc_id", "other_id", "runs", "x", "y")
+                    .mapInArrow(_verify(width, percent), "doc_id long, other_id long, start long, end long, other_start long"), "passages")
+    C.release(spark)
+    return spans.unionByName(_further(blocks, runs, pairs, shingles, spans, words, percent))
 
 
 def op3_compact_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
