@@ -1,8 +1,9 @@
 """Web archives (WARC 1.1) under zstandard: dictionary in a leading skippable frame, one frame a record.
 
 An archive starts with a skippable frame (magic 0x184D2A5D) that holds the dictionary, raw or itself compressed; each record is one
-frame under that dictionary. Reading finds each frame's end from its block headers, decodes it alone, and validates: version line, the four
-required headers, Content-Length against the block, the blank lines after it, and for responses the payload's length and digest.
+frame under that dictionary. Reading finds each frame's end from its block headers and decodes it alone; other skippable frames are passed over. Each record is validated:
+version line, the four required headers, Content-Length against the block, the blank lines after it, and, where the record carries them, its digests
+and for HTTP responses the payload's length (chunked bodies are joined). Records of other types come out with their whole block as payload.
 
 Records with equal payloads of at least ``least_bytes``: that of the largest page_id is a response with the payload, the others are revisits that refer to
 it, with the HTTP header only. Archives are rows (archive, content) in Parquet below the shared folder, written by Spark tasks; ``read_archives``
@@ -31,6 +32,7 @@ from sqlweave.session import scratch_path
 
 SKIPPABLE = 0x184D2A5D
 FRAME = 0xFD2FB528
+DICTIONARY = 0xEC30A437
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 REQUIRED = ("warc-type", "warc-record-id", "warc-date", "content-length")
 ARCHIVE_BYTES = 4 << 20
@@ -74,53 +76,132 @@ def frame_end(data: memoryview, at: int) -> int:
     return end + (4 if params.has_checksum else 0)
 
 
-def parse_record(raw: bytes) -> dict:
-    """Fields of a record; raises ValueError where it isn't valid."""
-    head, sep, rest = raw.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
-    if not sep or not lines[0].startswith("WARC/1."):
+def _unchunked(body: bytes) -> bytes:
+    """The body that chunks carry; raises ValueError where they aren't whole."""
+    out, at = [], 0
+    while True:
+        end = body.index(b"\r\n", at)
+        size = int(body[at:end].split(b";")[0], 16)
+        if not size:
+            return b"".join(out)
+        out.append(body[end + 2:end + 2 + size])
+        at = end + 4 + size
+        if body[at - 2:at] != b"\r\n":
+            raise ValueError("a chunk is cut off")
+
+
+def _fits(stated: str, *contents: bytes) -> bool:
+    """Whether a stated digest (hex or base32) is that of one of the contents; one of an unknown algorithm can't be checked."""
+    algorithm, _, value = stated.partition(":")
+    try:
+        digests = [hashlib.new(algorithm.lower().replace("-", ""), c).digest() for c in contents]
+    except (ValueError, TypeError):
+        return True
+    return any(value.lower() == d.hex() or value.upper().rstrip("=") == base64.b32encode(d).decode().rstrip("=") for d in digests)
+
+
+def _sha1_hex(stated: str) -> str | None:
+    algorithm, _, value = stated.partition(":")
+    if algorithm.lower().replace("-", "") != "sha1":
+        return None
+    return value.lower() if len(value) == 40 else base64.b32decode(value.upper()).hex()
+
+
+def _record_end(raw: bytes) -> tuple[dict, int, int] | None:
+    """(header fields, start, end of the block) of the record in front of ``raw``; None where more bytes are needed."""
+    at = raw.find(b"\r\n\r\n")
+    if at < 0:
+        return None
+    lines = raw[:at].decode(errors="replace").replace("\r\n ", " ").replace("\r\n\t", " ").split("\r\n")
+    if not lines[0].startswith("WARC/1.") or not all(":" in x for x in lines[1:]):
         raise ValueError("no WARC header")
     fields = {k.strip().lower(): v.strip() for k, v in (x.split(":", 1) for x in lines[1:])}
     if missing := [k for k in REQUIRED if k not in fields]:
         raise ValueError(f"missing {missing}")
-    block = rest[:int(fields["content-length"])]
-    if len(block) != int(fields["content-length"]) or rest[len(block):] != b"\r\n\r\n":
+    end = at + 4 + int(fields["content-length"])
+    if len(raw) < end + 4:
+        return None
+    if raw[end:end + 4] != b"\r\n\r\n":
         raise ValueError("wrong Content-Length")
-    http, _, payload = block.partition(b"\r\n\r\n")
-    size = next((int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), -1)
-    algorithm, _, digest = fields.get("warc-payload-digest", "").partition(":")
-    if algorithm != "sha1":
-        raise ValueError("no sha1 payload digest")
-    hexed = base64.b32decode(digest).hex()
-    if fields["warc-type"] == "response" and (size != len(payload) or hashlib.sha1(payload).hexdigest() != hexed):
-        raise ValueError("the payload doesn't fit its length or digest")
-    return {"id": fields["warc-record-id"], "type": fields["warc-type"], "digest": hexed, "bytes": size,
+    return fields, at + 4, end
+
+
+def _record(fields: dict, block: bytes) -> dict:
+    kind, stated = fields["warc-type"], fields.get("warc-payload-digest", "")
+    if not _fits(fields.get("warc-block-digest", ""), block):
+        raise ValueError("the block doesn't fit its digest")
+    payload, size = block, len(block)
+    if kind in ("response", "revisit") and (fields.get("content-type", "").lower().startswith("application/http") or block.startswith(b"HTTP/")):
+        http, _, body = block.partition(b"\r\n\r\n")
+        lines = {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in http.split(b"\r\n")[1:])}
+        size = int(lines[b"content-length"]) if lines.get(b"content-length", b"").isdigit() else None
+        payload = body
+        if b"chunked" in lines.get(b"transfer-encoding", b"").lower():
+            size = None
+            try:
+                payload = _unchunked(body)
+            except ValueError:  # stored joined already, under the header it came with, or cut off
+                pass
+        if kind == "response":
+            if size not in (None, len(body)) and "warc-truncated" not in fields:
+                raise ValueError("the payload doesn't fit its length")
+            if not _fits(stated, payload, body):
+                raise ValueError("the payload doesn't fit its digest")
+            size = len(payload)
+    elif kind == "revisit":
+        size = None
+    digest = _sha1_hex(stated)
+    if kind == "response" and digest is None:
+        digest = hashlib.sha1(payload).hexdigest()
+    return {"id": fields["warc-record-id"], "type": kind, "digest": digest, "bytes": size,
             "refers_to": fields.get("warc-refers-to"), "url": fields.get("warc-target-uri"), "payload": payload}
 
 
+def parse_record(raw: bytes) -> dict:
+    """Fields of a record; raises ValueError where it isn't valid."""
+    got = _record_end(raw)
+    if got is None or got[2] + 4 != len(raw):
+        raise ValueError("wrong Content-Length" if b"\r\n\r\n" in raw else "no WARC header")
+    return _record(got[0], raw[got[1]:got[2]])
+
+
 def archive_records(content: bytes):
     """Records of an archive, frame by frame."""
     data = memoryview(content)
-    dictionary, at = b"", 0
-    if len(data) >= 8 and struct.unpack_from("<I", data)[0] == SKIPPABLE:
-        size = struct.unpack_from("<I", data, 4)[0]
-        dictionary, at = bytes(data[8:8 + size]), 8 + size
-        if dictionary[:4] == struct.pack("<I", FRAME):
-            dictionary = zstandard.ZstdDecompressor().decompress(dictionary, max_output_size=1 << 27)
-    reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
+    reader, at, frames, rest = zstandard.ZstdDecompressor(max_window_size=1 << 31), 0, 0, b""
     while at < len(data):
         try:
-            end = frame_end(data, at)
-            raw = reader.decompress(data[at:end])
-        except zstandard.ZstdError as e:
+            magic = struct.unpack_from("<I", data, at)[0]
+            if magic & ~15 == SKIPPABLE & ~15:
+                end = at + 8 + struct.unpack_from("<I", data, at + 4)[0]
+                if end > len(data):
+                    raise ValueError(f"no whole frame at byte {at}")
+                held = bytes(data[at + 8:end])
+                if magic == SKIPPABLE and held[:4] == struct.pack("<I", FRAME):
+                    held = zstandard.ZstdDecompressor().decompressobj().decompress(held)
+                # the leading one, or that of another archive joined to this one
+                if magic == SKIPPABLE and held and (not frames or held[:4] == struct.pack("<I", DICTIONARY)):
+                    reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(held), max_window_size=1 << 31)
+            else:
+                end = frame_end(data, at)
+                if end > len(data):
+                    raise ValueError(f"no whole frame at byte {at}")
+                rest += reader.decompressobj().decompress(data[at:end])
+                frames += 1
+        except (zstandard.ZstdError, struct.error) as e:
             raise ValueError(f"no whole frame at byte {at}") from e
-        yield parse_record(raw)
         at = end
+        while rest and (got := _record_end(rest)):
+            yield _record(got[0], rest[got[1]:got[2]])
+            rest = rest[got[2] + 4:]
+    if rest:
+        raise ValueError("cut off in a record")
 
 
 def _page(record: str | None):
-    value = record.removeprefix("<urn:x-page:").removesuffix(">") if record else "null"
-    return None if value == "null" else int(value)
+    """page_id of a record that ``write_archives`` made; null for any other."""
+    value = (record or "").removeprefix("<urn:x-page:").removesuffix(">")
+    return int(value) if record == f"<urn:x-page:{value}>" and value.removeprefix("-").isdecimal() else None
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 1000, sample_pages: int = SAMPLE_PAGES,
@@ -172,7 +253,9 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 1000, sample_
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
-    """Records of archives (a column ``content``): page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload."""
+    """Records of archives (a column ``content``): page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload, record_id, refers_to_id.
+
+    page_id and refers_to are null where the ids aren't of ``write_archives``; payload_digest is the SHA-1 the record states, a response's own where it states none."""
     def rows(batches):
         for b in batches:
             for content in b.column(0):
@@ -181,11 +264,13 @@ def read_archives(archives: DataFrame) -> DataFrame:
                     pa.array([_page(r["id"]) for r in records], pa.int64()), pa.array([r["url"] for r in records], pa.string()),
                     pa.array([r["type"] for r in records], pa.string()), pa.array([r["bytes"] for r in records], pa.int64()),
                     pa.array([r["digest"] for r in records], pa.string()),
-                    pa.array([_page(r["refers_to"]) if r["refers_to"] else None for r in records], pa.int64()),
-                    pa.array([r["payload"] if r["type"] == "response" else None for r in records], pa.binary())],
-                    names=["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"])
+                    pa.array([_page(r["refers_to"]) for r in records], pa.int64()),
+                    pa.array([r["payload"] if r["type"] != "revisit" else None for r in records], pa.binary()),
+                    pa.array([r["id"] for r in records], pa.string()), pa.array([r["refers_to"] for r in records], pa.string())],
+                    names=["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload", "record_id", "refers_to_id"])
     return archives.select("content").mapInArrow(
-        rows, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary")
+        rows, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary, "
+              "record_id string, refers_to_id string")
 
 
 def op9_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:

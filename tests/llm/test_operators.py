@@ -328,6 +328,39 @@ def test_warc(spark, tmp_path):
     assert base64.b32encode(hashlib.sha1(b"payload").digest()) in raw
 
 
+def test_warc_of_other_writers(spark, tmp_path):
+    """Skippable frames, frames without a content size, uuid ids, other record types, chunked and length-less responses."""
+    import zstandard
+
+    def record(kind, n, block, *more):
+        head = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{n:08d}-0000-4000-8000-000000000000>", "WARC-Date: 2024-01-01T00:00:00Z",
+                f"Content-Length: {len(block)}", *more]
+        return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    http = "Content-Type: application/http; msgtype=response"
+    sha1 = "WARC-Payload-Digest: sha1:" + base64.b32encode(hashlib.sha1(b"hello world").digest()).decode()
+    records = [record("warcinfo", 1, b"software: x\r\n", "Content-Type: application/warc-fields"),
+               record("request", 2, b"GET / HTTP/1.1\r\nHost: a.example\r\n\r\n", "Content-Type: application/http; msgtype=request"),
+               record("response", 3, b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n6\r\nhello \r\n5\r\nworld\r\n0\r\n\r\n", http, sha1),
+               record("response", 4, b"HTTP/1.1 200 OK\r\n\r\nno length", http),
+               record("metadata", 5, b"k: v\r\n"),
+               record("revisit", 6, b"HTTP/1.1 200 OK\r\n\r\n", http, sha1, "WARC-Refers-To: <urn:uuid:00000003-0000-4000-8000-000000000000>")]
+    packer = zstandard.ZstdCompressor(write_content_size=False)
+    skip = b"\x50\x2a\x4d\x18\x03\x00\x00\x00abc"
+    frames = []
+    for r in records:
+        stream = packer.compressobj()
+        frames += [stream.compress(r) + stream.flush(), skip]
+    (tmp_path / "a.warc.zst").write_bytes(skip + b"".join(frames))
+    got = {int(r.record_id[10:18]): r for r in warc.read_archives(spark.read.format("binaryFile").load(str(tmp_path / "a.warc.zst"))).collect()}
+    assert [got[n].record_type for n in range(1, 7)] == ["warcinfo", "request", "response", "response", "metadata", "revisit"]
+    assert bytes(got[3].payload) == b"hello world" and bytes(got[4].payload) == b"no length" and bytes(got[5].payload) == b"k: v\r\n"
+    assert got[3].payload_digest == got[6].payload_digest == hashlib.sha1(b"hello world").hexdigest()
+    assert got[6].refers_to_id == got[3].record_id and got[6].payload is None and got[3].page_id is None
+    with pytest.raises(ValueError):
+        list(warc.archive_records(packer.compress(records[2].replace(b"world\r", b"wordl\r"))))
+
+
 def test_url_filter(spark):
     urls = ["http://Ads.Spam.NET/x", "http://example.net/en/1", "https://a.example.net/en/", "http://example.net/de/", "http://x.example.com/de/1?q", "http://notnet/x",
             "http://b.org/fr/1#x", "http://b.net", None, "nothing", "http://spamads.example.com/en/3", "://", "http://goodnews.example.org/en/5"]
