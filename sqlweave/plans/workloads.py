@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, StringType
 
-from sqlweave.operators.reporting import first_last_per_key, flag_first, money, total
+from sqlweave.operators.reporting import first_last_per_key, money, total
 from sqlweave.session import scratch_path
 from sqlweave.sources.tables import read_table
 
@@ -110,12 +110,6 @@ def inner_joins(spark, sf):
         F.sum("n").alias("n_lines"), F.sum("q").cast("double").alias("sum_qty"))
 
 
-def _flagged_orders(spark, sf):
-    o = _t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
-           "o_orderdate", "o_totalprice")
-    return flag_first(o, "o_custkey", "o_orderdate", "o_orderkey", first_value="first_ts")
-
-
 def conditional_count_distinct(spark, sf):
     """Customers of each priority, those with an order still open, and those with an order above
     200,000: one row per (priority, customer) with flags, then sums; no Expand."""
@@ -163,6 +157,73 @@ def two_level_agg(spark, sf):
                                     F.sum("done").alias("with_finished_order"), F.sum("two").alias("with_two_matching_lines"))
 
 
+def _first_days(o: DataFrame) -> DataFrame:
+    """One row per customer, pre-reduced by the map side: what its first order is (by date, then key)."""
+    return (o.groupBy("o_custkey").agg(F.min(F.struct("o_orderdate", "o_orderkey")).alias("m"))
+            .select(F.col("o_custkey").alias("customer"), F.col("m.o_orderdate").alias("first_ts"), F.col("m.o_orderkey").alias("first_key")))
+
+
+def first_order_customers(spark, sf):
+    """Customers of each priority, those with an order still open, those with an order above 200,000, those whose first order has
+    that priority, and those with a later or a finished order in it: one row per (priority, customer) with flags and its smallest and
+    largest order, which tell with the customer's first order whether that is among them; then sums. No Expand, no join of all orders."""
+    o = _t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice").where("o_custkey IS NOT NULL")
+    place = F.struct("o_orderdate", "o_orderkey")
+    each = o.groupBy("o_orderpriority", "o_custkey").agg(
+        F.max((F.col("o_orderstatus") != "F").cast("long")).alias("still_open"), F.max((F.col("o_totalprice") > 200000).cast("long")).alias("large"),
+        F.max((F.col("o_orderstatus") == "F").cast("long")).alias("finished"), F.min(place).alias("lo"), F.max(place).alias("hi"))
+    j = each.join(_first_days(o), F.col("o_custkey") == F.col("customer"))
+    start = F.struct(F.col("first_ts").alias("o_orderdate"), F.col("first_key").alias("o_orderkey"))
+    later = (F.col("hi") > start) | (F.col("finished") == 1)
+    return j.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("customers"), F.coalesce(F.sum("still_open"), F.lit(0)).alias("with_open"), F.coalesce(F.sum("large"), F.lit(0)).alias("with_large"),
+        F.sum((F.col("lo") == start).cast("long")).alias("newcomers"), F.sum(F.coalesce(later, F.lit(False)).cast("long")).alias("with_later_or_finished"))
+
+
+def opening_month_report(spark, sf):
+    """W7+W19: per month, what customers paid on the first day they ever ordered, later, and from which segment and how urgently;
+    orders are summed per (customer, day, urgent) before a customer's first day is looked up."""
+    o = _t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
+    daily = (o.groupBy("o_custkey", F.to_date("o_orderdate").alias("day"), F.col("o_orderpriority").like("%URGENT%").alias("urgent"))
+             .agg(F.sum(money("o_totalprice")).alias("paid"), F.count(F.lit(1)).alias("n")))
+    start = _first_days(o).select("customer", F.to_date("first_ts").alias("start"))
+    machines = _t(spark, sf, "customer", "c_custkey", "c_mktsegment").where(F.col("c_mktsegment") == "MACHINERY").select("c_custkey").distinct()
+    j = daily.join(start, F.col("o_custkey") == F.col("customer"), "left").join(machines, F.col("o_custkey") == F.col("c_custkey"), "left")
+    opening, machinery = F.col("day") == F.col("start"), F.col("c_custkey").isNotNull()
+    return j.groupBy(F.date_format("day", "yyyy-MM").alias("month")).agg(
+        F.sum("n").alias("orders"), total(F.col("paid")).alias("revenue"), total(F.when(opening, F.col("paid"))).alias("opening_revenue"),
+        total(F.when(machinery, F.col("paid"))).alias("machinery_revenue"),
+        total(F.when(F.col("day") != F.col("start"), F.col("paid"))).alias("returning_revenue"),
+        total(F.when(opening & ~F.col("urgent") & machinery, F.col("paid"))).alias("opening_machinery_revenue"),
+        total(F.when(opening & ~F.col("urgent") & ~machinery, F.col("paid"))).alias("opening_other_revenue"),
+        total(F.when(opening & F.col("urgent"), F.col("paid"))).alias("opening_urgent_revenue"))
+
+
+def two_level_union(spark, sf):
+    """An outer aggregate per (day, priority, region) over the union of two inner ones: customers by what their orders are, and customers
+    whose first order has two matching lines. One row per customer and keys with flags (maxima) comes before both branches, and the customer's
+    first order is looked up for that row; no explode, no Expand."""
+    o = _with_city(spark, sf, _orders_with_study(spark, sf))
+    lines = F.col("s1") + F.col("s2") + F.col("s3") + F.col("s4")
+    keys = ["day", "priority", "region"]
+    place = F.struct("o_orderdate", "o_orderkey")
+    each = (o.select(F.to_date("o_orderdate").alias("day"), F.col("o_orderpriority").alias("priority"), F.col("city_level").alias("region"),
+                     "o_custkey", "o_orderdate", "o_orderkey", (F.col("o_orderstatus") == "F").cast("long").alias("done"), (lines >= 2).cast("long").alias("two"))
+            .groupBy(*keys, "o_custkey").agg(F.count(F.lit(1)).alias("n"), F.max("done").alias("done"), F.max("two").alias("two"),
+                                             F.min(F.struct("o_orderdate", "o_orderkey", "two")).alias("lo"), F.max(place).alias("hi")))
+    firsts = _first_days(_t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate"))
+    j = each.join(firsts, F.col("o_custkey") == F.col("customer"), "left")
+    opens = F.coalesce(F.col("lo.o_orderkey") == F.col("first_key"), F.lit(False))
+    later = (F.col("done") == 1) | (F.col("n") > 1) | ~opens
+    visits = j.groupBy(*keys).agg(F.count(F.lit(1)).alias("customers"), F.sum((F.col("n") > 1).cast("long")).alias("with_several_orders"),
+                                  F.sum("done").alias("with_finished_order"), F.sum("two").alias("with_two_matching_lines"),
+                                  F.sum(opens.cast("long")).alias("newcomers"), F.sum(later.cast("long")).alias("with_later_or_finished"),
+                                  F.lit(0).cast("long").alias("newcomers_with_two_lines"))
+    starts = j.where(opens).groupBy(*keys).agg(*[F.lit(0).cast("long").alias(c) for c in visits.columns[3:-1]],
+                                               F.sum("lo.two").alias("newcomers_with_two_lines"))
+    return visits.unionByName(starts).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in visits.columns[3:]])
+
+
 def union_all_branches(spark, sf):
     """Four top-level branches, the first two each over an inner union."""
     o = _t(spark, sf, "orders", "o_orderpriority", "o_orderstatus")
@@ -336,6 +397,7 @@ def _as_text(fn):
 
 QUERIES = {f.__name__: _as_text(f) for f in (
     first_row_per_key, dim_dedup_left_join, multi_key_left_joins, if_arithmetic, inner_joins,
-    conditional_count_distinct, conditional_sum, month_report, two_level_agg, union_all_branches,
+    conditional_count_distinct, conditional_sum, month_report, two_level_agg,
+    first_order_customers, opening_month_report, two_level_union, union_all_branches,
     union_distinct_ctas, nested_collect_struct, partition_overwrite, orc_roundtrip, case_tiering,
     sum_of_differences, conditional_predicate, predicates_scalars, run_date_param, udf_surface)}

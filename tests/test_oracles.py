@@ -45,3 +45,17 @@ def test_column_types_match_oracle(spark, sf_small, con, name):
     rel = con.sql(E.oracle_sql()[name])
     dt = dict(zip(rel.columns, [str(t) for t in rel.types]))
     assert {c: SPARK_TO_DUCK.get(t, t.upper()) for c, t in st.items()} == dt
+
+
+def test_first_order_measures(spark, sf_small):
+    """The measures that depend on a customer's first order, against pandas."""
+    o = spark.read.parquet(f"{sf_small}/orders.parquet").toPandas().sort_values(["o_orderdate", "o_orderkey"])
+    o["first"] = ~o.duplicated("o_custkey")
+    got = {r.o_orderpriority: r for r in registry.queries()["first_order_customers"](spark, sf_small).collect()}
+    for priority, g in o.groupby("o_orderpriority"):
+        assert got[priority].newcomers == g["first"].sum()
+        assert got[priority].with_later_or_finished == g[~g["first"] | (g.o_orderstatus == "F")].o_custkey.nunique()
+    cells = registry.queries()["two_level_union"](spark, sf_small).collect()
+    assert sum(r.newcomers for r in cells) == o.o_custkey.nunique()
+    opening = registry.queries()["opening_month_report"](spark, sf_small).toPandas()
+    assert abs((opening.opening_revenue.fillna(0) + opening.returning_revenue.fillna(0) - opening.revenue).sum()) < 0.01
