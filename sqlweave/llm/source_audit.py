@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-#: fixed by the query's contract
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: fixed by the query's contract: what stands between terms
+BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS = 30
 TOP_TERMS = 50
 PRIOR = 5
@@ -43,10 +43,10 @@ BLOCK = 1 << 19
 
 
 def terms_of(text: Column) -> Column:
-    """All terms of a text, in order."""
+    """All terms of a text, in order, and empty strings at its ends."""
     # lower() is the quicker one, but it changes more than A-Z where a text isn't plain ASCII
     low = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
-    return F.regexp_extract_all(low, F.lit(TERM), 0)
+    return F.split(low, BETWEEN)  # about six times as quick as the extraction of all matches
 
 
 def share(count: Column, total: Column, n_terms: Column) -> Column:
@@ -63,10 +63,10 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     given = docs.select(empty(lang_col).alias("lang"), empty(source_col).alias("source"), terms_of(empty(text_col)).alias("terms"))
     groups = C.saved(given.select("lang", "source").distinct(), "groups")
-    held = given.select("lang", F.explode(F.array_distinct("terms")).alias("term"))
+    held = given.select("lang", F.explode(F.array_distinct("terms")).alias("term")).where("term != ''")
     kept = C.saved(held.groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs).select("lang", "term"), "kept-terms")
     size = kept.agg(F.sum(F.octet_length("lang") + F.octet_length("term") + 32)).first()[0] or 0
-    each = given.select("lang", "source", F.explode("terms").alias("term"))
+    each = given.select("lang", "source", F.explode("terms").alias("term")).where("term != ''")
     key = ["lang", "source", "term"]
     if size <= broadcast_bytes:
         counts = each.join(F.broadcast(kept), ["lang", "term"], "left_semi").groupBy(*key).agg(F.count("*").alias("n"))
