@@ -66,15 +66,31 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     held = given.select("lang", F.explode(F.array_distinct("terms")).alias("term")).where("term != ''")
     kept = C.saved(held.groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs).select("lang", "term"), "kept-terms")
     size = kept.agg(F.sum(F.octet_length("lang") + F.octet_length("term") + 32)).first()[0] or 0
-    each = given.select("lang", "source", F.explode("terms").alias("term")).where("term != ''")
-    key = ["lang", "source", "term"]
+    seed = _key_seed(groups)
+    of_lang, of_group = _key(seed, "lang").alias("l"), _key(seed, "lang", "source").alias("g")
+    each = given.select(of_lang, of_group, F.explode("terms").alias("term")).where("term != ''")
+    wanted = kept.select(of_lang, "term")
     if size <= broadcast_bytes:
-        counts = each.join(F.broadcast(kept), ["lang", "term"], "left_semi").groupBy(*key).agg(F.count("*").alias("n"))
+        counts = each.join(F.broadcast(wanted), ["l", "term"], "left_semi").groupBy("g", "term").agg(F.count("*").alias("n"))
     else:
-        counts = each.groupBy(*key).agg(F.count("*").alias("n")).join(kept, ["lang", "term"], "left_semi").select(*key, "n")
+        counts = each.groupBy("l", "g", "term").agg(F.count("*").alias("n")).join(wanted, ["l", "term"], "left_semi")
+    counts = counts.join(groups.withColumn("g", of_group), "g").select("lang", "source", "term", "n")
     return groups, kept, C.saved(counts, "term-counts")
 
 
+def _key(seed: int, *names: str) -> Column:
+    return F.xxhash64(F.lit(seed), *names)
+
+
+def _key_seed(groups: DataFrame) -> int:
+    """The first seed under which no two languages and no two groups share a key: numbers are quicker to count by than strings."""
+    for seed in range(1 << 10):
+        n = groups.agg(F.count("*"), F.count_distinct(_key(seed, "lang", "source")), F.count_distinct("lang"), F.count_distinct(_key(seed, "lang"))).first()
+        if n[0] == n[1] and n[2] == n[3]:
+            return seed
+    raise ValueError("too many groups for keys of 64 bits")
+
+
 def with_totals(groups: DataFrame, kept: DataFrame, counts: DataFrame, tile: int = TILE) -> DataFrame:
     """lang, source, total, lang_total, n_terms, idx (place of the source in its language, from 0), tiles."""
     total = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
