@@ -131,8 +131,10 @@ _NOT_ALNUM = np.ones(256, bool)
 _NOT_ALNUM[0x30:0x3A] = _NOT_ALNUM[0x61:0x7B] = _NOT_ALNUM[0x80:] = False
 _SYMBOL = ~_SPACE
 _SYMBOL[~_NOT_ALNUM] = _SYMBOL[0x41:0x5B] = False
-#: which bytes part words: blanks; all but digits, letters and bytes from 0x80; all but the remaining signs
-_PARTS = {"space": _SPACE, "alnum": _NOT_ALNUM, "symbol": ~_SYMBOL}
+_NOT_LETTER = np.ones(256, bool)
+_NOT_LETTER[0x61:0x7B] = _NOT_LETTER[0x80:] = False
+#: which bytes part words: blanks; all but digits, letters and bytes from 0x80; all but the remaining signs; all but letters and bytes from 0x80
+_PARTS = {"space": _SPACE, "alnum": _NOT_ALNUM, "symbol": ~_SYMBOL, "letter": _NOT_LETTER}
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
@@ -155,7 +157,7 @@ def words(buf: np.ndarray, offsets: np.ndarray, kind: str = "space"):
     """Words of A-Z-lower-cased texts: (64-bit hash, text number, start, end) per word, in order.
 
     Words are runs without the six ASCII blanks or, with kind "alnum", runs of digits, letters and bytes
-    from 0x80 or, with kind "symbol", runs of what is neither."""
+    from 0x80 or, with kind "symbol", runs of what is neither or, with kind "letter", runs of letters and bytes from 0x80."""
     n = len(buf)
     if not n:
         z = np.zeros(0, np.int64)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ("suffix_dedup", "mixing", "passage_dedup", "token_files", "sketch_dedup", "decontaminate", "topk", "quality",
-           "warc", "url_filter", "fill_middle", "source_audit")
+           "warc", "url_filter", "fill_middle", "source_audit", "language_crf")
 
 
 def _gathered(attribute: str) -> dict:
