@@ -42,6 +42,17 @@ MASK = ("'(?:[^'\\\\]++|\\\\.|'')*+'"
 MASK_ANSI = ("'(?:[^'\\\\]++|\\\\.|'')*+'"
              f"|{_COMMENT}"
              "|--[^\\r\\n]*")
+# Lexing of a statement: what is quoted stays whole while comments become blanks, then literals become marks.
+_LITERAL = "'(?:[^'\\\\]++|\\\\(?s:.)|'')*+'|\"(?:[^\"\\\\]++|\\\\(?s:.))*+\""
+_LITERAL_ANSI = "'(?:[^'\\\\]++|\\\\(?s:.)|'')*+'"
+_QUOTED_NAME = "`[^`]*+`"
+_QUOTED_NAME_ANSI = "`[^`]*+`|\"[^\"]*+\""
+_FLAT_COMMENT = "/\\*(?:[^*]++|\\*(?!/))*+\\*/|--[^\\r\\n]*"
+# an opening comment mark and a second one before any closing mark
+_NESTED = "/\\*(?:[^*/]++|\\*(?!/)|/(?!\\*))*+/\\*"
+# the pieces that can change a lexer's state, and the runs between them
+_LEXEME = "--|/\\*|\\*/|\\\\['\"\\\\]|['\"`\\r\\n]|[^-'\"`\\\\/*\\r\\n]++|(?s:.)"
+_HELD = "\u0001"
 _NAME = "(?:`[^`]+`|[\\p{L}\\p{N}_$]+)"
 _NAME_ANSI = "(?:`[^`]+`|\"[^\"]+\"|[\\p{L}\\p{N}_$]+)"
 # Token pattern (L10): dotted name, bracket/comma/semicolon/mask mark, operator run.
@@ -80,10 +91,48 @@ def cut_semicolon(c: Column) -> Column:
     return F.regexp_replace(c, ";[\\x00-\\x20]*$", "")
 
 
+def _replace_unheld(c: Column, held: str, gone: str, mark: str) -> Column:
+    """Every ``gone`` outside of ``held`` text becomes ``mark``. Java's replacement text can't depend on the alternative that matched:
+    a control character goes behind both, is taken off again behind held text, and what is left of it becomes the mark."""
+    c = F.regexp_replace(c, f"({held})|{gone}", f"$1{_HELD}")
+    return F.regexp_replace(F.regexp_replace(c, f"({held}){_HELD}", "$1"), _HELD, mark)
+
+
+def _without_nested_comments(c: Column, held: str) -> Column:
+    """Comments as blanks by one pass over the pieces, at any depth: modes 0 text, 1 to 3 inside quotes (single, double, back), 4 line
+    comment, 4 + d block comment of depth d. From a block comment that never closes on (``at``), comments end at their first closing mark."""
+    def step(state: Column, piece: Column) -> Column:
+        m = state["mode"]
+        opened = (F.when(piece == "'", 1).when(piece == '"', 2).when(piece == "`", 3).when(piece == "--", 4).when(piece == "/*", 5).otherwise(0))
+        closes = ((m == 1) & (piece == "'")) | ((m == 2) & (piece == '"')) | ((m == 3) & (piece == "`")) | ((m == 4) & piece.isin("\r", "\n"))
+        depth = F.when(piece == "/*", m + 1).when(piece == "*/", F.when(m == 5, 0).otherwise(m - 1)).otherwise(m)
+        now = F.when(m == 0, opened).when(m >= 5, depth).when(closes, 0).otherwise(m)
+        kept = F.when((m == 0) & (now >= 4), " ").when((m >= 5) | ((m == 4) & (now == 4)), "").otherwise(piece)
+        at = F.when((m == 0) & (now == 5), state["read"]).otherwise(state["at"])
+        return F.struct(F.concat(state["out"], kept).alias("out"), now.alias("mode"), (state["read"] + F.length(piece)).alias("read"), at.alias("at"))
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("mode"), F.lit(0).alias("read"), F.lit(0).alias("at"))
+    end = F.aggregate(F.regexp_extract_all(c, F.lit(_LEXEME), 0), start, step)
+    rest = _replace_unheld(F.substr(c, end["at"] + 1), held, _FLAT_COMMENT, " ")
+    return F.when(end["mode"] >= 5, F.concat(end["out"], rest)).otherwise(end["out"])
+
+
+def blank_comments(c: Column, quotes: str = "hive") -> Column:
+    """Both comment kinds become a blank; block comments nest to any depth. Comment marks in quoted text stay. Texts without
+    comment marks, most of them, pass through; only nested ones take the piecewise pass."""
+    held = f"{_LITERAL_ANSI}|{_QUOTED_NAME_ANSI}" if quotes == "ansi" else f"{_LITERAL}|{_QUOTED_NAME}"
+    return (F.when(~(c.contains("--") | c.contains("/*")), c).when(c.rlike(_NESTED), _without_nested_comments(c, held))
+            .otherwise(_replace_unheld(c, held, _FLAT_COMMENT, " ")))
+
+
 def mask_literals(c: Column, quotes: str = "hive") -> Column:
-    """String literals, quoted text and both comment kinds become ' ? '. With
-    ``quotes='ansi'`` double-quoted text is an identifier and stays."""
-    return F.regexp_replace(c, MASK_ANSI if quotes == "ansi" else MASK, " ? ")
+    """Comments become a blank, string literals ' ? '. With ``quotes='ansi'`` double-quoted text is an identifier and stays.
+    A comment leaves no mark, so what the rules see next to a word doesn't depend on comments."""
+    text = blank_comments(c, quotes)
+    held, literal = (_QUOTED_NAME_ANSI, _LITERAL_ANSI) if quotes == "ansi" else (_QUOTED_NAME, _LITERAL)
+    quoted = c.contains("'") | c.contains('"')
+    # quotes inside quoted names open no literal
+    return (F.when(~quoted, text).when(c.contains("`") | F.lit(quotes == "ansi"), _replace_unheld(text, held, literal, " ? "))
+            .otherwise(F.regexp_replace(text, literal, " ? ")))
 
 
 def normalise_sql(c: Column) -> Column:
@@ -125,6 +174,18 @@ KIND_RULES = [
     ("drop_partition", f"^alter\\s+table\\s+{_N}\\s+drop\\s+(?:if\\s+exists\\s+)?partition\\b", 1, "out"),
     ("add_columns", f"^alter\\s+table\\s+{_N}\\s+add\\s+columns\\b", 1, "out"),
     ("recover_partitions", f"^(?:alter\\s+table\\s+{_N}\\s+recover\\s+partitions|msck\\s+repair\\s+table\\s+{_N})", -1, "out"),
+    ("rename_table", f"^alter\\s+(?:table|view)\\s+{_N}\\s+rename\\s+to\\s+{_N}", 1, "rename"),
+    ("set_properties", f"^alter\\s+(?:table|view)\\s+{_N}\\s+(?:un)?set\\s+tblproperties\\b", 1, "out"),
+    ("alter_table", f"^alter\\s+table\\s+{_N}", 1, "out"),
+    ("alter_view", f"^alter\\s+view\\s+{_N}", 1, "out"),
+    ("drop_view", f"^drop\\s+view\\s+(?:if\\s+exists\\s+)?{_N}", 1, "out"),
+    ("describe_query", "^desc(?:ribe)?\\s+(?:query\\s+)?(?:select|with|from|values|table\\s+\\S+\\s+(?:union|where))\\b", 0, None),
+    ("describe", "^desc(?:ribe)?\\s+(?:function|database|schema|catalog|namespace|procedure)\\b", 0, None),
+    ("describe_table", f"^desc(?:ribe)?\\s+(?:table\\s+)?(?:(?:extended|formatted)\\s+)?{_N}", 1, "in"),
+    ("refresh", "^refresh\\s+(?:function\\b|[^\\p{L}`\"_])", 0, None),
+    ("refresh_table", f"^refresh\\s+(?:table\\s+)?{_N}", 1, "in"),
+    ("uncache_table", f"^uncache\\s+table\\s+(?:if\\s+exists\\s+)?{_N}", 1, "in"),
+    ("comment_on_table", f"^comment\\s+on\\s+(?:table|view)\\s+{_N}\\s+is\\b", 1, "out"),
     ("drop_table", f"^drop\\s+table\\s+(?:if\\s+exists\\s+)?{_N}", 1, "out"),
     ("show_create_table", f"^show\\s+create\\s+table\\s+{_N}", 1, "in"),
     ("create_database", f"^create\\s+(?:database|schema)\\s+(?:if\\s+not\\s+exists\\s+)?{_N}", 1, "in"),
@@ -139,7 +200,9 @@ KIND_RULES = [
     ("merge", f"^merge\\s+into\\s+{_N}(?:(?:\\s+as)?\\s+(?!using\\b){_N})?\\s+using\\s+(?:{_N}|\\()", 1, "merge"),
     ("update", f"^update\\s+{_N}", 1, "out"),
     ("delete", f"^delete\\s+from\\s+{_N}", 1, "out"),
-    ("set", "^set\\b", 0, None),
+    ("show", "^show\\b", 0, None),
+    ("use", "^use\\b", 0, None),
+    ("set", "^(?:re)?set\\b", 0, None),
     ("add_jar", "^add\\s+jars?\\b", 0, None),
     ("create_function", "^create\\s+(?:or\\s+replace\\s+)?(?:temporary\\s+)?function\\b", 0, None),
     ("drop_function", "^drop\\s+(?:temporary\\s+)?function\\b", 0, None),
@@ -153,7 +216,11 @@ KIND_LEAD = {"explain": ("explain",), "insert_directory": ("insert",), "insert":
              "drop_partition": ("alter",), "add_columns": ("alter",),
              "recover_partitions": ("alter", "msck"), "drop_table": ("drop",),
              "show_create_table": ("show",), "create_database": ("create",),
-             "drop_database": ("drop",), "alter_database": ("alter",), "set": ("set",),
+             "drop_database": ("drop",), "alter_database": ("alter",), "set": ("set", "reset"),
+             "rename_table": ("alter",), "set_properties": ("alter",), "alter_table": ("alter",), "alter_view": ("alter",),
+             "drop_view": ("drop",), "describe_query": ("describe", "desc"), "describe": ("describe", "desc"),
+             "describe_table": ("describe", "desc"), "refresh": ("refresh",), "refresh_table": ("refresh",),
+             "uncache_table": ("uncache",), "comment_on_table": ("comment",), "show": ("show",), "use": ("use",),
              "replace_table_as": ("create", "replace"), "cache_table_as": ("cache",), "cache_table": ("cache",),
              "load_data": ("load",), "analyze_table": ("analyze",), "truncate_table": ("truncate",),
              "merge": ("merge",), "update": ("update",), "delete": ("delete",),
@@ -163,7 +230,8 @@ KIND_LEAD = {"explain": ("explain",), "insert_directory": ("insert",), "insert":
 COMMAND_KINDS = ("create_table_like", "add_partition", "drop_partition", "add_columns",
                  "recover_partitions", "drop_table", "show_create_table", "create_database",
                  "drop_database", "alter_database", "set", "add_jar", "create_function",
-                 "drop_function", "cache_table", "load_data", "analyze_table", "truncate_table")
+                 "drop_function", "cache_table", "rename_table", "set_properties", "alter_table", "alter_view", "drop_view",
+                 "describe", "describe_table", "refresh", "refresh_table", "uncache_table", "comment_on_table", "show", "use", "load_data", "analyze_table", "truncate_table")
 # Kinds whose target comes from the kind rule and whose inputs come from the token walk.
 TARGET_KINDS = ("alter_view_as", "replace_table_as", "cache_table_as", "merge", "update", "delete")
 
@@ -171,8 +239,7 @@ TARGET_KINDS = ("alter_view_as", "replace_table_as", "cache_table_as", "merge",
 def statement_head(sql: Column, quotes: str = "hive") -> Column:
     """Masked, comment-free, blank-squeezed text used by the kind rules (case kept; the
     rules match case-insensitively so that object names keep their case)."""
-    squeezed = F.trim(F.regexp_replace(mask_literals(sql, quotes), "\\s+", " "))
-    return F.regexp_replace(squeezed, "^[?\\s]+", "")
+    return F.trim(F.regexp_replace(mask_literals(sql, quotes), "\\s+", " "))
 
 
 def first_word(head: Column) -> Column:
@@ -212,6 +279,9 @@ def command_refs(head: Column, kind: Column) -> tuple[Column, Column]:
             src = _unquote(F.regexp_extract(head, pat, 2))
             ins = F.when(kind == k, src).otherwise(ins)
             outs = F.when(kind == k, name).otherwise(outs)
+        elif role == "rename":   # the old name is read, the new one written
+            ins = F.when(kind == k, name).otherwise(ins)
+            outs = F.when(kind == k, _unquote(F.regexp_extract(head, pat, 2))).otherwise(outs)
         elif role == "merge":   # the source, unless it is a bracket
             src = _unquote(F.regexp_extract(head, pat, 3))
             ins = F.when((kind == k) & (src != ""), src).otherwise(ins)

@@ -46,10 +46,23 @@ def by_statement(df: DataFrame) -> DataFrame:
     return df.repartition("stmt_id")
 
 
-def sinks(deps: DataFrame, entities: DataFrame, schemas: DataFrame) -> DataFrame:
+def result_schema(result_fields: DataFrame) -> DataFrame:
+    """Rows (stmt_id, pos, name) of the statements' result schemas -> (stmt_id, names in order)."""
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "name")))
+    return result_fields.groupBy("stmt_id").agg(F.transform(ordered, lambda x: x["name"]).alias("result_names"))
+
+
+def sinks(deps: DataFrame, entities: DataFrame, schemas: DataFrame, result_fields: DataFrame | None = None) -> DataFrame:
     """L27-L30 per sink: dest (L27), fields with dynamic-partition keys appended (L28),
     ok = field count check (L29), targets = target labels (L30), plus the sorted
     projection and predicate dependencies. ``deps`` should come through ``by_statement``.
+
+    ``result_fields`` (stmt_id, pos, name) is the statements' result schema: the fields of a sink
+    that has no table of its own. The number of its dependencies is checked against them, so a
+    statement whose plan lost or gained a column gives no edges there (a statement without rows
+    has no fields). Without this input the dependencies' own field names stand in and such sinks
+    always pass.
+
     The schema lookup (one row per table) is left to the planner's size-checked broadcast;
     the entity lookup is keyed by stmt_id like everything else."""
     proj = F.col("dep_kind") == "PROJECTION"
@@ -66,9 +79,13 @@ def sinks(deps: DataFrame, entities: DataFrame, schemas: DataFrame) -> DataFrame
     s = s.join(schemas.withColumnRenamed("table_name", "dest"), "dest", "left")
     t_cols = F.coalesce(F.col("cols"), _empty_s())
     t_keys = F.coalesce(F.col("partition_keys"), _empty_s())
-    result_fields = F.transform("proj", lambda x: x["target_field"])
+    if result_fields is None:
+        result_names = F.transform("proj", lambda x: x["target_field"])
+    else:
+        s = s.join(result_schema(result_fields), "stmt_id", "left")
+        result_names = F.coalesce(F.col("result_names"), _empty_s())
     from_deps = F.col("dest_table").isNotNull()
-    base = F.when(from_deps, t_cols).otherwise(result_fields)
+    base = F.when(from_deps, t_cols).otherwise(result_names)
     col_names = F.when(~from_deps & F.col("ent_table").isNotNull() & (F.size(t_cols) > 0), t_cols)
     dyn = F.col("n_deps") - F.size(base)
     off = F.size(t_keys) - dyn
@@ -85,6 +102,15 @@ def sinks(deps: DataFrame, entities: DataFrame, schemas: DataFrame) -> DataFrame
     return s.withColumn("failed", F.max(bad_label).over(Window.partitionBy("stmt_id")))
 
 
+def count_mismatches(sink_rows: DataFrame) -> DataFrame:
+    """L29 log: the sinks that fail the check, (stmt_id, sink_pos, n_deps, n_fields, message)."""
+    n_fields = F.size("fields").cast("long")
+    return sink_rows.where(~F.col("ok")).select(
+        "stmt_id", "sink_pos", "n_deps", n_fields.alias("n_fields"),
+        F.concat(F.lit("result schema: "), n_fields.cast("string"), F.lit(" fields, dependencies: "),
+                 F.col("n_deps").cast("string")).alias("message"))
+
+
 def target_labels(fields: Column, dest: Column, col_names: Column) -> Column:
     """Dest.lastpart(field), or dest.col_names[i] when the last part is not among the
     table's columns; without a destination '_uN.name' -> 'name', else the field."""
@@ -153,10 +179,11 @@ def vertices(merged: DataFrame) -> DataFrame:
                     F.col("label").alias("vertex_id"))
 
 
-def column_graph(deps: DataFrame, entities: DataFrame, schemas: DataFrame) -> tuple[DataFrame, DataFrame]:
+def column_graph(deps: DataFrame, entities: DataFrame, schemas: DataFrame,
+                 result_fields: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(merged edges, vertices) of every statement over all its sinks. ``deps`` should
     come through ``by_statement`` (pass the same frame to ``export.lineage_json``)."""
-    merged = merge_edges(raw_edges(sinks(deps, entities, schemas)))
+    merged = merge_edges(raw_edges(sinks(deps, entities, schemas, result_fields)))
     return merged, vertices(merged)
 
 

@@ -59,8 +59,9 @@ def label_tokens(scoped: DataFrame, case: str = "keep", id_col="stmt_id") -> Dat
             # the comma after an inline table's last bracket: "from values (1), (2) as t(x), b"
             .when(is_name & (nx != code("(")) & F.col("q") & (cl == code("values"))
                   & (pv == code(",")) & (pv2 == code(")")), "in")
-            # the first name in a bracket: a table if the bracket stands in a FROM list, see below
-            .when(is_name & (nx != code("(")) & ~F.col("q") & (F.col("sc") >= 0) & (pv == code("(")), "bracket"))
+            # a name first in a bracket or behind a comma of it: a table if the bracket stands in a FROM list, see below
+            .when(is_name & (nx != code("(")) & ~F.col("q") & (F.col("sc") >= 0) & pv.isin(*codes(("(", ",")))
+                  & (cl.isNull() | (cl == code("from"))), "bracket"))
     name = fold_case(F.regexp_replace(tok, "[`\"]", ""), tok, case)
     kept = scoped.withColumn("role", role).where(
         F.col("role").isNotNull() | tok.isin("(", ")") | (F.col("pos") == 0) | tok.isNull()

@@ -40,15 +40,15 @@ QUERY_BRACKET_AFTER = ("", "from", "join", "as", "union", "all", "except", "inte
 SOFT = ("where", "group", "having", "order", "lateral", "limit", "window", "sort", "cluster",
         "distribute", "create", "insert", "with", "values")
 # Every other token the rules look at.
-OTHER_WORDS = ("distinct", "exists", "view", ",", ")")
+OTHER_WORDS = ("distinct", "exists", "view", "trim", ",", ")")
 # ---------------------------------------------------------------------------------------
 
 # Small integer codes of the tokens the rules test (0 = any other token, NONE = no token:
 # before the first or after the last one).
 _VOCAB = tuple(dict.fromkeys(NOT_NAMES + tuple(w for w in QUERY_BRACKET_AFTER if w) + OTHER_WORDS))
 CODE = {w: i + 1 for i, w in enumerate(_VOCAB)}
-NONE = 0 - 1
-RESET = 0 - 2
+NONE = -1
+RESET = -2
 
 
 def _code_map():
@@ -136,13 +136,13 @@ def scope_tokens(tokens: DataFrame, id_col="stmt_id") -> DataFrame:
     cl = F.when(F.col("first") | (F.col("cl0") == RESET), F.lit(None).cast("int")).otherwise(F.col("cl0"))
     t = t.withColumn("cl", cl)
     # Query scope: a select/insert, or a FROM that starts a query (first word of the
-    # statement, first word of a bracket in query position, or right after a WITH list),
+    # statement, first word of a bracket but that of trim(from ..), or right after a WITH list),
     # seen so far in this scope. Every FROM-clause name of a query follows such a word, so
     # the running flag equals the whole-scope flag where the rules read it, without any
     # forward-looking frame (those cost O(n^2) per partition in Spark).
     ocl = F.coalesce(F.col("cl"), F.lit(NONE))
     starts_query = ((C == code("from"))
-                    & ((pos == 0) | (F.col("first") & F.col("opv").isin(*codes(QUERY_BRACKET_AFTER)))
+                    & ((pos == 0) | (F.col("first") & (F.col("opv") != code("trim")))
                        | ((ocl == code("with")) & (pv == code(")")))))
     qword = C.isin(code("select"), code("insert")) | starts_query
     qmark = F.when(qword, F.lit(1)).when(F.col("first"), F.lit(0))

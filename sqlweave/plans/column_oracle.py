@@ -34,11 +34,14 @@ ents AS (
   SELECT o_orderkey stmt_id, CASE o_orderkey % 3 WHEN 0 THEN 'dw.o' || (o_orderkey % 7)::VARCHAR
                                                  WHEN 1 THEN 'dw.p' || (o_orderkey % 5)::VARCHAR END ent_table
   FROM orders),
+res AS (
+  SELECT stmt_id, CASE WHEN stmt_id % 16 = 0 THEN f[1:len(f) - 1] ELSE f END result_fields
+  FROM (SELECT stmt_id, list(target_field ORDER BY dep_pos) f FROM deps WHERE dep_kind = 'PROJECTION' GROUP BY stmt_id)),
 sk AS (
-  SELECT stmt_id, sink_pos, max(dest_table) dest_table,
+  SELECT d.stmt_id, sink_pos, max(dest_table) dest_table,
          count(*) FILTER (WHERE dep_kind = 'PROJECTION') n_deps,
-         coalesce(list(target_field ORDER BY dep_pos) FILTER (WHERE dep_kind = 'PROJECTION'), []::VARCHAR[]) result_fields
-  FROM deps GROUP BY stmt_id, sink_pos),
+         coalesce(any_value(res.result_fields), []::VARCHAR[]) result_fields
+  FROM deps d LEFT JOIN res ON d.stmt_id = res.stmt_id GROUP BY d.stmt_id, sink_pos),
 sk2 AS (
   SELECT sk.*, e.ent_table, coalesce(sk.dest_table, e.ent_table) dest,
          regexp_extract(coalesce(sk.dest_table, e.ent_table), '(\d+)$', 1)::INTEGER num
@@ -138,6 +141,9 @@ def oracles() -> dict[str, str]:
     o["dest_resolve"] = _w() + "SELECT stmt_id, sink_pos, dest FROM sinks"
     o["dynamic_partition_fields"] = _w() + "SELECT stmt_id, sink_pos, array_to_string(fields, ',') fields FROM sinks"
     o["field_count_check"] = _w() + "SELECT stmt_id, sink_pos, n_deps, len(fields)::BIGINT n_fields, ok FROM sinks"
+    o["field_count_mismatches"] = _w() + (
+        "SELECT stmt_id, sink_pos, n_deps, len(fields)::BIGINT n_fields, 'result schema: ' || len(fields)::VARCHAR "
+        "|| ' fields, dependencies: ' || n_deps::VARCHAR message FROM sinks WHERE NOT ok")
     o["target_labels"] = _w() + "SELECT stmt_id, sink_pos, array_to_string(targets, ',') targets FROM sinks WHERE ok"
     o["source_vertices"] = _w() + ("SELECT stmt_id, sink_pos, dep_pos, dep_kind, array_to_string(srcs, ',') sources "
                                    "FROM deps")

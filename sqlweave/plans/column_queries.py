@@ -14,7 +14,7 @@ from sqlweave.sources.corpus import sample_statements
 
 def _inputs(spark, sf):
     deps = G.by_statement(CF.column_deps(spark, sf))
-    return deps, CF.write_entities(spark, sf), CF.table_schemas(spark, sf)
+    return deps, CF.write_entities(spark, sf), CF.table_schemas(spark, sf), CF.result_fields(spark, sf)
 
 
 def _sinks(spark, sf):
@@ -22,8 +22,8 @@ def _sinks(spark, sf):
 
 
 def _graph(spark, sf):
-    deps, ents, sch = _inputs(spark, sf)
-    merged, verts = G.column_graph(deps, ents, sch)
+    deps, *others = _inputs(spark, sf)
+    merged, verts = G.column_graph(deps, *others)
     return deps, merged, verts
 
 
@@ -52,6 +52,10 @@ def field_count_check(spark, sf):
                                     F.size("fields").cast("long").alias("n_fields"), "ok")
 
 
+def field_count_mismatches(spark, sf):
+    return G.count_mismatches(_sinks(spark, sf))
+
+
 def target_labels(spark, sf):
     return _sinks(spark, sf).where("ok").select("stmt_id", "sink_pos", _csv("targets").alias("targets"))
 
@@ -113,6 +117,6 @@ def job_ids(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op_filter, dest_resolve, dynamic_partition_fields, field_count_check, target_labels,
+    op_filter, dest_resolve, dynamic_partition_fields, field_count_check, field_count_mismatches, target_labels,
     source_vertices, projection_edges, predicate_edges, edge_merge, vertex_ids, edges_json, vertices_json,
     lineage_json, document_sink, job_ids)}

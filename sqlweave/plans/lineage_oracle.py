@@ -53,7 +53,7 @@ exp_out AS (
   UNION SELECT id, 'dw.cust_' || o_custkey::VARCHAR || '_b' FROM exp_src WHERE f = 4),
 exp_cte AS (SELECT DISTINCT id, 'w' t FROM exp_src WHERE f = 1),
 cmd AS (
-  SELECT -1 - c_custkey stmt_id, c_custkey % 51 g, 'db_' || c_nationkey::VARCHAR db,
+  SELECT -1 - c_custkey stmt_id, c_custkey % 69 g, 'db_' || c_nationkey::VARCHAR db,
          'db_' || c_nationkey::VARCHAR || '.t_' || c_custkey::VARCHAR tb,
          'db_' || c_nationkey::VARCHAR || '.v_' || c_custkey::VARCHAR vw
   FROM customer),
@@ -90,7 +90,25 @@ forms(g, kind, ins, outs, ctes, ok) AS (VALUES
   (47, 'query', '{t}', '', '', true),
   (48, 'query', '{t}', '', '', true),
   (49, 'insert', '{b},w', '{t}', 'w', true),
-  (50, 'query', '{t}', '', '', true)),
+  (50, 'query', '{t}', '', '', true),
+  (51, 'query', '{b},{t}', '', '', true),
+  (52, 'query', '{b},{t}', '', '', true),
+  (53, 'query', '{b},{t}', '', '', true),
+  (54, 'insert', '{b}', '{t}', '', true),
+  (55, 'insert', '{b}', '{t}', '', true),
+  (56, 'ctas', '{b}', '{t}', '', true),
+  (57, 'query', '{b},w', '', 'w', true),
+  (58, 'query', '{b},{t}', '', '', true),
+  (59, 'query', '{b},{t}', '', '', true),
+  (60, 'query', '{t}', '', '', true),
+  (61, 'rename_table', '{t}', '{v}', '', true),
+  (62, 'set_properties', '', '{t}', '', true),
+  (63, 'drop_view', '', '{v}', '', true),
+  (64, 'describe_table', '{t}', '', '', true),
+  (65, 'refresh_table', '{t}', '', '', true),
+  (66, 'query', '{b},{t},{v}', '', '', true),
+  (67, 'alter_table', '', '{t}', '', true),
+  (68, 'uncache_table', '{v}', '', '', true)),
 cmd_exp AS (
   SELECT stmt_id, kind, replace(replace(replace(ins, '{t}', tb), '{b}', db || '.base'), '{v}', vw) inputs,
          replace(replace(outs, '{t}', tb), '{v}', vw) outputs, ctes, ok parse_ok

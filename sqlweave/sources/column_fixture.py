@@ -5,12 +5,14 @@
 * ``write_entities`` - the statement's written entities (DFS_DIR / TABLE / PARTITION);
 * ``table_schemas`` - columns and partition keys of every destination table (the
                      metastore lookup), derived from the table names that occur;
+* ``result_fields`` - the result schema of every statement (one field per order line; statements
+                     with key % 16 = 0 lack the last one, as after a plan that lost a column);
 * ``task_log``     - job ids of the tasks of every statement (nulls for local tasks).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sqlweave.sources.tables import read_table
@@ -22,6 +24,20 @@ def _s(c):
     return c.cast("string")
 
 
+def _target_field(s, n):
+    # without a destination "tmp.s" is also the label of a source table
+    return (F.when((s % 8 == 0) & (n == 3), F.lit("tmp.s")).when(n % 2 == 0, F.concat(F.lit("_u1.c"), _s(n)))
+            .otherwise(F.concat(F.lit("c"), _s(n))))
+
+
+def result_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s, n = F.col("l_orderkey"), F.col("l_linenumber")
+    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    last = F.max("l_linenumber").over(Window.partitionBy("l_orderkey"))
+    return (lines.withColumn("last", last).where((s % 16 != 0) | (n < F.col("last")))
+            .select(s.alias("stmt_id"), n.alias("pos"), _target_field(s, n).alias("name")))
+
+
 def column_deps(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
@@ -32,8 +48,7 @@ def column_deps(spark: SparkSession, sf_dir: str) -> DataFrame:
     dest = (F.when(s % 4 == 0, F.lit(None).cast("string"))
             .when(sink == 1, F.concat(F.lit("dw.u"), _s(s % 50)))
             .otherwise(F.concat(F.lit("dw.t"), _s(s % 50))))
-    # without a destination "tmp.s" is also the label of a source table
-    field = F.when((s % 8 == 0) & (n == 3), F.lit("tmp.s")).when(n % 2 == 0, F.concat(F.lit("_u1.c"), _s(n))).otherwise(F.concat(F.lit("c"), _s(n)))
+    field = _target_field(s, n)
     expr = F.when(F.col("m.l_returnflag") == "N", F.lit(None).cast("string")).otherwise(F.lit("sum(x)"))
     sources = F.array(
         F.struct(F.lit("ods").alias("db"), F.concat(F.lit("p"), _s(F.col("m.l_partkey") % 3)).alias("tbl"),

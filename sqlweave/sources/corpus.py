@@ -100,6 +100,24 @@ CONSTRUCTS = (
     "select a, (b + c) d from {t} where (a, b) in ((c, d), (e, f))",
     "with w as (select * from {b}) insert into {t} select * from w",
     "select /* a /* b */ from hidden.h */ 1 from {t}",
+    "select * from -- main\n {t} join {b} b on 1 = 1",
+    "select * from {t}, -- old: z\n {b}",
+    "select * from {t} join /* dim */ {b} b on 1 = 1",
+    "insert into /* x */ {t} select * from {b}",
+    "insert overwrite table -- x\n {t} select * from {b}",
+    "create table /* x */ {t} as select * from {b}",
+    "with /* c */ w as (select * from {b}) select * from w",
+    "select * from {t} where x in (from {b} select y)",
+    "select a from {t} where exists (from {b} select 1)",
+    "select /* 1 /* 2 /* 3 /* 4 /* 5 /* don't */ */ */ */ */ from hidden.h */ a from {t} where c = 'it''s'",
+    "alter table {t} rename to {v}",
+    "alter table {t} set tblproperties ('a' = 'b')",
+    "drop view if exists {v}",
+    "describe table {t}",
+    "refresh table {t}",
+    "select a from ({t}, {b}) join {v} on a = 1",
+    "alter table {t} set location '/x'",
+    "uncache table if exists {v}",
 )
 
 

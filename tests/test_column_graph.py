@@ -8,7 +8,7 @@ from sqlweave.operators import export as X
 from sqlweave.sources import column_fixture as CF
 
 
-def _brute(deps, ents, schemas):
+def _brute(deps, ents, schemas, results=None):
     """Sequential reference semantics, one statement at a time, sinks in order."""
     by_stmt = {}
     for d in deps:
@@ -28,7 +28,8 @@ def _brute(deps, ents, schemas):
             ent = ent_of.get(sid)
             dest = dest_table or ent
             cols, keys = schemas.get(dest, ([], []))
-            fields = list(cols) if dest_table else [r["target_field"] for r in proj]
+            fields = list(cols) if dest_table else (
+                [r["target_field"] for r in proj] if results is None else list(results.get(sid, [])))
             col_names = list(cols) if (not dest_table and ent and cols) else None
             if dest and len(proj) > len(fields):
                 dyn = len(proj) - len(fields)
@@ -122,6 +123,41 @@ def test_graph_matches_sequential_twin(spark, sf_small):
                for d in got.values())
 
 
+def test_result_schema_against_sequential_twin(spark, sf_small):
+    """Sinks without a table of their own are checked against the result schema of the statement."""
+    deps, ents, sch = G.by_statement(CF.column_deps(spark, sf_small)), CF.write_entities(spark, sf_small), CF.table_schemas(spark, sf_small)
+    res = CF.result_fields(spark, sf_small)
+    merged, _ = G.column_graph(deps, ents, sch, res)
+    got = {r.stmt_id: r.json for r in X.lineage_json(CF.fixture_statements(spark, sf_small), merged).collect()}
+    results = {}
+    for r in sorted(res.collect()):
+        results.setdefault(r.stmt_id, []).append(r.name)
+    want = _brute([r.asDict(recursive=True) for r in deps.collect()], [r.asDict() for r in ents.collect()],
+                  {r.table_name: (r.cols, r.partition_keys) for r in sch.collect()}, results)
+    assert got == want
+    sinks = G.sinks(deps, ents, sch, res)
+    own = sinks.where("dest_table IS NULL").groupBy("ok").count().collect()
+    assert len(own) == 2  # both outcomes occur where the sink has no table
+    bad = G.count_mismatches(sinks).where("stmt_id % 4 = 0").collect()
+    assert bad and all(r.n_deps != r.n_fields and str(r.n_fields) in r.message for r in bad)
+
+
+def test_result_schema_cases(spark):
+    """Equal, one lost, one too many, no rows at all, and a destination whose partition keys fill the gap."""
+    dep = "stmt_id long, sink_pos int, dep_pos int, dep_kind string, dest_table string, target_field string, expr string, sources " + CF.SOURCES_TYPE
+    src = [("o", "p", "a", False)]
+    deps = spark.createDataFrame([(i, 0, k, "PROJECTION", None, f"c{k}", None, src) for i in range(1, 6) for k in (1, 2)], dep)
+    ents = spark.createDataFrame([(5, 0, "TABLE", "d.t")], "stmt_id long, pos int, entity_type string, name string")
+    sch = spark.createDataFrame([("d.t", ["c1"], ["dt"])], "table_name string, cols array<string>, partition_keys array<string>")
+    names = {1: ["c1", "c2"], 2: ["c1"], 3: ["c1", "c2", "c3"], 5: ["c1"]}
+    res = spark.createDataFrame([(i, k, n) for i, ns in names.items() for k, n in reversed(list(enumerate(ns)))], "stmt_id long, pos int, name string")
+    got = {r.stmt_id: (r.ok, r.fields, r.targets) for r in G.sinks(deps, ents, sch, res).collect()}
+    assert {i: x[0] for i, x in got.items()} == {1: True, 2: False, 3: False, 4: False, 5: True}
+    assert got[1][2] == ["c1", "c2"] and got[4][1] == [] and got[5][2] == ["d.t.c1", "d.t.dt"]
+    assert {r.stmt_id for r in G.raw_edges(G.sinks(deps, ents, sch, res)).collect()} == {1, 5}
+    assert sorted(r.stmt_id for r in G.count_mismatches(G.sinks(deps, ents, sch, res)).collect()) == [2, 3, 4]
+
+
 def test_vertex_ids_dense_and_merge_idempotent(spark, sf_small):
     deps = CF.column_deps(spark, sf_small)
     ents = CF.write_entities(spark, sf_small)

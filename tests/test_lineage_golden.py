@@ -256,6 +256,86 @@ def test_dialect_shortcut(spark):
     assert h[0].inputs == ["x.y"] and h[1].inputs == ["b.c"]
 
 
+COMMENTED = [
+    # sql, inputs, outputs, ctes: a comment between any two words leaves the record unchanged
+    ("select * from -- main\n a join b on 1=1", "a,b", "", ""),
+    ("select * from a, -- old: z\n b", "a,b", "", ""),
+    ("select * from a join /* dim */ b on 1=1", "a,b", "", ""),
+    ("insert into /* x */ t select * from a", "a", "t", ""),
+    ("insert overwrite table -- x\n t select * from a", "a", "t", ""),
+    ("create table /* x */ t as select * from a", "a", "t", ""),
+    ("with /* c */ w as (select * from a) select * from w", "a,w", "", "w"),
+    ("/* head */ -- two\ninsert/**/into/***/t select/* a */*/* b */from/* c */a", "a", "t", ""),
+    ("select '-- no' x, \"/* no\" y from a, /* ' */ b where c = '*/' -- ' d\n and e in (select 1 from f)", "a,b,f", "", ""),
+    ("select `a--b`, `c/*d` from `x--y`.`z*/` where k = 'from q'", "x--y.z*/", "", ""),
+    ("select `it's` from a where b = 'from c' and `d'` = 1", "a", "", ""),
+    ("select 'it''s /* in */ -- here', 'back\\' -- from z' from a", "a", "", ""),
+    ("select /* 1 /* 2 /* 3 /* 4 /* 5 /* 6 from h */ */ */ */ don't */ -- */ */ k from a /* /* \" */ */ join b", "a,b", "", ""),
+    ("select k from a /*/ from b */ , c /**/ , d", "a,c,d", "", ""),
+    ("select k -- /* from b\n from a -- */ , c\n , d", "a,d", "", ""),
+    ("select k /* /* */ -- */ from b\n from a", "a,b", "", ""),
+    ("select /* a /* b */ from h */ k from c, /* never /* closed */ d", "c,d", "", ""),
+]
+FROM_FIRST = [
+    ("select * from a where x in (from b select y)", "a,b"),
+    ("select * from a where exists (from c select 1) and not exists (from d, e select 1)", "a,c,d,e"),
+    ("select (from b select max(k)) m from a", "a,b"),
+    ("select trim(from s), trim(both from s), extract(year from ts), substring(s from 2) from a", "a"),
+    ("select * from (a, b) join c", "a,b,c"),
+    ("select * from (a x, b y) join c on f(p, q) = 1 join d using (k, l)", "a,b,c,d"),
+]
+
+
+def test_comments_leave_no_mark(spark):
+    res = _records(spark, [c[0] for c in COMMENTED])
+    for i, (sql, *want) in enumerate(COMMENTED):
+        r = res[i]
+        assert [",".join(r.inputs), ",".join(r.outputs), ",".join(r.ctes)] == want and r.parse_ok, sql
+
+
+def test_ansi_comments(spark):
+    r = _records(spark, ["select \"a--b\" from \"x /* y\".z /* /* \" */ */ join /* c */ \"it's\" on k = 'from q'"], dialect="calcite")[0]
+    assert sorted(r.inputs) == ["it's", "x /* y.Z"]
+
+
+def test_deep_nesting_is_linear_enough(spark):
+    """No depth at which nesting ends; a comment of 20,000 marks in one statement."""
+    deep = "/* " * 10_000 + "from x" + " */" * 10_000
+    r = _records(spark, [f"select k from {deep} a"])[0]
+    assert r.inputs == ["a"] and r.parse_ok
+
+
+def test_from_first_brackets_and_bracketed_lists(spark):
+    res = _records(spark, [c[0] for c in FROM_FIRST])
+    for i, (sql, want) in enumerate(FROM_FIRST):
+        assert ",".join(res[i].inputs) == want and res[i].parse_ok, sql
+
+
+def test_further_commands(spark):
+    """Statements that Spark's parser accepts: kind, input, output."""
+    rows = [
+        ("alter table d.a rename to d.b", "rename_table", "d.a", "d.b"),
+        ("alter view d.a rename to b", "rename_table", "d.a", "b"),
+        ("alter table `d`.`a` set tblproperties ('x' = 'y')", "set_properties", "", "d.a"),
+        ("alter view v unset tblproperties if exists ('x')", "set_properties", "", "v"),
+        ("alter table d.a alter column x type int", "alter_table", "", "d.a"),
+        ("alter table d.a partition (dt = '1') set location '/x'", "alter_table", "", "d.a"),
+        ("drop view if exists d.v", "drop_view", "", "d.v"),
+        ("describe table extended d.a", "describe_table", "d.a", ""), ("desc formatted d.a", "describe_table", "d.a", ""),
+        ("describe /* x */ d.a", "describe_table", "d.a", ""), ("describe function f", "describe", "", ""), ("desc database d", "describe", "", ""),
+        ("describe query select * from d.a", "describe_query", "d.a", ""),
+        ("refresh table d.a", "refresh_table", "d.a", ""), ("refresh function f", "refresh", "", ""), ("refresh '/x/y'", "refresh", "", ""),
+        ("uncache table if exists d.a", "uncache_table", "d.a", ""), ("comment on table d.a is 'x'", "comment_on_table", "", "d.a"),
+        ("show tables in d", "show", "", ""), ("use d", "use", "", ""), ("reset", "set", "", ""),
+    ]
+    parser = spark._jsparkSession.sessionState().sqlParser()
+    res = _records(spark, [r[0] for r in rows])
+    for i, (sql, kind, ins, outs) in enumerate(rows):
+        parser.parsePlan(sql)
+        r = res[i]
+        assert (r.kind, ",".join(r.inputs), ",".join(r.outputs), r.parse_ok) == (kind, ins, outs, True), sql
+
+
 def test_many_leading_comments(spark):
     """A long commented header must not make a regular expression recurse."""
     sql = "-- a line\n" * 100_000 + "select * from a.b"

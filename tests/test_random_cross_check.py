@@ -155,6 +155,37 @@ def test_random_statements_more_constructs(spark):
     _check(spark, Gen2(4242), 150, 100)
 
 
+def _with_comments(r, sql):
+    """A comment in some of the gaps between words (literals and hints stay whole)."""
+    marks = ["/* from c.c */", "/**/", "/* it's */", "/* a /* b */ \" from c.c */", "/* 1 /* 2 /* 3 /* 4 /* 5 /* 6 */ */ */ */ */ , c.c */",
+             "-- from c.c, 'x\n", "-- */ /*\n", "/* -- */", "/* , */"]
+    parts = re.split(r"('[^']*'|/\*.*?\*/)", sql)
+    for i in range(0, len(parts), 2):
+        parts[i] = re.sub(r" |(?<=[(),])", lambda m: f" {r.choice(marks)} " if r.random() < 0.5 else m[0], parts[i])
+    return "".join(parts)
+
+
+def test_comments_at_every_gap(spark):
+    """Random statements with comments put between their words: same record, same relations for Spark's parser."""
+    g, r = Gen2(99), random.Random(5)
+    plain = [g.statement() for _ in range(150)]
+    noisy = [_with_comments(r, s) for s in plain]
+    df = spark.createDataFrame(list(enumerate(plain + noisy)), "stmt_id long, sql string")
+    rec = {x.stmt_id: x for x in lineage(df).collect()}
+    parser = spark._jsparkSession.sessionState().sqlParser()
+    checked = 0
+    for i, (a, b) in enumerate(zip(plain, noisy)):
+        x, y = rec[i], rec[len(plain) + i]
+        assert x[1:] == y[1:], b
+        try:
+            names = _relations(parser, b)
+        except Exception:
+            continue
+        checked += 1
+        assert set(y.inputs) <= names <= set(y.inputs) | set(y.outputs), b
+    assert checked >= 100
+
+
 def test_random_ansi_quoted_names(spark):
     """quotes='ansi' against Spark's parser with double-quoted identifiers switched on."""
     quoted = ['"db"."t1"', 'db."T2"', '"s"."my orders"', "s.items", '"t3"', "t4", 'x."y"']
