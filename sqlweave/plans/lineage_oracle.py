@@ -237,6 +237,9 @@ SELECT stmt_id, count(*)::BIGINT n_tokens, max(depth)::BIGINT max_depth, sum(dep
 FROM d GROUP BY stmt_id"""
     scripts = _with(CORPUS, SCRIPTS)
     o["script_split"] = scripts + "SELECT sql_file, stmt_pos, raw sql FROM pieces"
+    # Spark's text writer ends each file with a line feed
+    o["script_block_split"] = scripts + """SELECT sql_file, stmt_pos,
+  raw || CASE WHEN stmt_pos = max(stmt_pos) OVER (PARTITION BY sql_file) THEN chr(10) ELSE '' END sql FROM pieces"""
     o["script_comment_strip"] = scripts + "SELECT sql_file, stmt_pos, sql FROM stripped"
     o["script_noise_filter"] = scripts + "SELECT sql_file, stmt_pos, sql FROM kept"
     o["script_blank_lines"] = scripts + "SELECT sql_file, stmt_pos, sql FROM collapsed"

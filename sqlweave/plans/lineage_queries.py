@@ -13,7 +13,7 @@ from sqlweave.operators import refs as R
 from sqlweave.operators import statements as S
 from sqlweave.session import scratch_path
 from sqlweave.sources import corpus as C
-from sqlweave.sources.scripts import file_name, read_scripts, unread_files, write_scripts
+from sqlweave.sources.scripts import file_name, read_script_lines, read_scripts, unread_files, write_scripts
 from sqlweave.sources.tables import read_table
 
 
@@ -49,6 +49,12 @@ def unread_script_report(spark, sf):
     return unread_files(made.select("sql_file").unionByName(absent), read)
 
 
+def script_block_split(spark, sf):
+    """L2 from files that many tasks read, a block each."""
+    path = write_scripts(C.script_corpus(spark, sf), scratch_path(spark, "scripts"))
+    return S.split_lines(read_script_lines(spark, path)).select(file_name("sql_file").alias("sql_file"), "stmt_pos", "sql")
+
+
 def semicolon_cut(spark, sf):
     """L7 on statements as a log holds them: a semicolon at the end, some with blanks after it."""
     log = F.concat("sql", F.lit(";"), F.expr("repeat(' ', int(stmt_id % 3))"), F.expr("repeat('\\n', int(stmt_id % 2))"))
@@ -167,7 +173,7 @@ def script_lineage_of(spark, path: str, task: str | None = None) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    script_split, script_quote_aware_split, unread_script_report, semicolon_cut, io_pairs, script_comment_strip, script_noise_filter, script_blank_lines, ctas_strip,
+    script_split, script_quote_aware_split, script_block_split, unread_script_report, semicolon_cut, io_pairs, script_comment_strip, script_noise_filter, script_blank_lines, ctas_strip,
     tokens_depth, refs_inputs, refs_from_only, refs_outputs, refs_ctes, lineage_records,
     lineage_source_inputs, ref_counts, ref_list, ref_string, case_fold, statement_kinds,
     unparsable_quarantine, table_edges, query_hash, script_lineage)}

@@ -8,7 +8,7 @@ from sqlweave.functions import text as T
 from sqlweave.operators import statements as S
 from sqlweave.operators.lineage import lineage
 from sqlweave.session import scratch_path
-from sqlweave.sources.scripts import read_scripts, write_scripts
+from sqlweave.sources.scripts import read_report, read_script_lines, read_scripts, unread_files, write_scripts
 
 SCRIPT = """-- nightly refresh
 set spark.sql.shuffle.partitions=64;
@@ -89,3 +89,41 @@ def test_unread_files_report(spark):
     got = read_scripts(spark, path)
     listed = got.select("sql_file").union(spark.createDataFrame([("file:/gone/x.sql",)], "sql_file string"))
     assert [r.sql_file for r in unread_files(listed, got).collect()] == ["file:/gone/x.sql"]
+
+
+TEXTS = ["", ";", "a", "a;\nb;\n", "a;b\nc;;\n\n;d", "\n\n;\n", "select ';' ;\r\nx\r\n;", "no mark\nat all\n", "ä;ö\nü", "x;\n" * 300 + "tail"]
+
+
+def test_split_lines_gives_the_rows_of_the_whole_file_split(spark, tmp_path):
+    """Files read in blocks of 64 bytes: statements run over many blocks and tasks."""
+    for i, t in enumerate(TEXTS):
+        (tmp_path / f"f{i}.sql").write_bytes(t.encode())
+    saved = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in saved:
+            spark.conf.set(k, "64")
+        lines = read_script_lines(spark, str(tmp_path))
+        assert lines.select("sql_file", "block").distinct().count() > 2 * len(TEXTS)
+        got = sorted((r.sql_file.rsplit("/", 1)[1], r.stmt_pos, r.sql) for r in S.split_lines(lines).collect())
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    want = sorted((f"f{i}.sql", k, p) for i, t in enumerate(TEXTS) if t for k, p in enumerate(t.split(";")))  # an empty file has no line
+    assert got == want
+
+
+def test_read_report(spark, tmp_path):
+    """One damaged and one missing file among good ones: the others are read."""
+    import gzip
+    good = gzip.compress(b"select * from a.b;\n" * 500)
+    (tmp_path / "good.sql.gz").write_bytes(good)
+    (tmp_path / "cut.sql.gz").write_bytes(good[:len(good) // 2])
+    (tmp_path / "noise.sql.gz").write_bytes(b"this is no gzip file")
+    (tmp_path / "plain.sql").write_text("select 1")
+    (tmp_path / "empty.sql").write_text("")
+    expected = spark.createDataFrame([(f"file:{tmp_path}/plain.sql",), (f"file:{tmp_path}/gone.sql",)], "sql_file string")
+    expected = expected.selectExpr("replace(sql_file, 'file:/', 'file:///') sql_file")
+    got = {r.sql_file.rsplit("/", 1)[1]: r.verdict for r in read_report(spark, str(tmp_path), expected).collect()}
+    assert got == {"good.sql.gz": "read", "cut.sql.gz": "damaged", "noise.sql.gz": "damaged", "plain.sql": "read", "gone.sql": "missing"}
+    texts = {r.sql_file.rsplit("/", 1)[1]: r.content for r in read_scripts(spark, str(tmp_path)).collect()}
+    assert texts["good.sql.gz"].count("a.b") == 500 and texts["plain.sql"] == "select 1"
