@@ -111,9 +111,14 @@ def _without_nested_comments(c: Column, held: str) -> Column:
         at = F.when((m == 0) & (now == 5), state["read"]).otherwise(state["at"])
         return F.struct(F.concat(state["out"], kept).alias("out"), now.alias("mode"), (state["read"] + F.length(piece)).alias("read"), at.alias("at"))
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("mode"), F.lit(0).alias("read"), F.lit(0).alias("at"))
-    end = F.aggregate(F.regexp_extract_all(c, F.lit(_LEXEME), 0), start, step)
-    rest = _replace_unheld(F.substr(c, end["at"] + 1), held, _FLAT_COMMENT, " ")
-    return F.when(end["mode"] >= 5, F.concat(end["out"], rest)).otherwise(end["out"])
+
+    def finish(end: Column) -> Column:
+        rest = _replace_unheld(F.substr(c, end["at"] + 1), held, _FLAT_COMMENT, " ")
+        return F.when(end["mode"] >= 5, F.concat(end["out"], rest)).otherwise(end["out"])
+    # arrays of one text, or of none: Spark computes the body of a lambda for each element alone, and never ahead of the condition
+    texts = F.when(c.contains("/*") & c.rlike(_NESTED), F.array(c)).otherwise(F.array().cast("array<string>"))
+    ends = F.transform(texts, lambda x: F.aggregate(F.regexp_extract_all(x, F.lit(_LEXEME), 0), start, step))
+    return F.get(F.transform(ends, finish), F.lit(0))
 
 
 def blank_comments(c: Column, quotes: str = "hive") -> Column:
@@ -124,15 +129,23 @@ def blank_comments(c: Column, quotes: str = "hive") -> Column:
             .otherwise(_replace_unheld(c, held, _FLAT_COMMENT, " ")))
 
 
+def _out_of_line(c: Column, f) -> Column:
+    """f(c) as the body of a lambda over one element. Spark generates no code for such a body: a long chain of conditions would make
+    the generated method of the whole stage, with its loop over tokens, too long for the JVM to compile."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def mask_literals(c: Column, quotes: str = "hive") -> Column:
     """Comments become a blank, string literals ' ? '. With ``quotes='ansi'`` double-quoted text is an identifier and stays.
     A comment leaves no mark, so what the rules see next to a word doesn't depend on comments."""
-    text = blank_comments(c, quotes)
     held, literal = (_QUOTED_NAME_ANSI, _LITERAL_ANSI) if quotes == "ansi" else (_QUOTED_NAME, _LITERAL)
-    quoted = c.contains("'") | c.contains('"')
-    # quotes inside quoted names open no literal
-    return (F.when(~quoted, text).when(c.contains("`") | F.lit(quotes == "ansi"), _replace_unheld(text, held, literal, " ? "))
-            .otherwise(F.regexp_replace(text, literal, " ? ")))
+
+    def masked(text: Column) -> Column:
+        # quotes inside quoted names open no literal
+        return (F.when(~(text.contains("'") | text.contains('"')), text)
+                .when(text.contains("`") | F.lit(quotes == "ansi"), _replace_unheld(text, held, literal, " ? "))
+                .otherwise(F.regexp_replace(text, literal, " ? ")))
+    return _out_of_line(_out_of_line(c, lambda x: blank_comments(x, quotes)), masked)
 
 
 def normalise_sql(c: Column) -> Column:
@@ -252,10 +265,13 @@ def classify_statement(head: Column, first: Column | None = None) -> Column:
     ``first`` (``first_word(head)`` as a column of its own) so that it is computed once; a
     rule's regex is only tried on statements whose first word can start that kind."""
     first = first_word(head) if first is None else first
-    out = F.lit("unknown")
-    for kind, pat, _, _ in reversed(KIND_RULES):
-        out = F.when(first.isin(*KIND_LEAD[kind]) & head.rlike("(?i)" + pat), F.lit(kind)).otherwise(out)
-    return out
+
+    def chain(s: Column) -> Column:
+        out = F.lit("unknown")
+        for kind, pat, _, _ in reversed(KIND_RULES):
+            out = F.when(s["first"].isin(*KIND_LEAD[kind]) & s["head"].rlike("(?i)" + pat), F.lit(kind)).otherwise(out)
+        return out
+    return _out_of_line(F.struct(head.alias("head"), first.alias("first")), chain)
 
 
 def _unquote(c: Column) -> Column:
@@ -264,6 +280,12 @@ def _unquote(c: Column) -> Column:
 
 def command_refs(head: Column, kind: Column) -> tuple[Column, Column]:
     """(input name, output name) that the kind rule itself gives, else nulls."""
+    names = _out_of_line(F.struct(head.alias("head"), kind.alias("kind")), lambda s: F.struct(*(
+        c.alias(n) for c, n in zip(_names_by_rule(s["head"], s["kind"]), ("ins", "outs")))))
+    return names["ins"], names["outs"]
+
+
+def _names_by_rule(head: Column, kind: Column) -> tuple[Column, Column]:
     ins, outs = F.lit(None).cast("string"), F.lit(None).cast("string")
     for k, pat, grp, role in KIND_RULES:
         if role is None:
