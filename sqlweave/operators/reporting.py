@@ -2,8 +2,6 @@
 
 * first/last row per key (W1) is an arg-min / arg-max aggregate, so each key is pre-reduced
   on the map side and a key that holds a third of all rows never lands in one sort;
-* flags that need a per-key value (first order of a customer) join the one-row-per-key
-  aggregate back: the hot key has one row on the small side, which AQE's skew-join can split;
 * broadcast is used only for dimensions whose size is bounded by the schema (nation: 25
   rows, region: 5 rows); every other join is left to Spark's size-checked planning.
 """
@@ -23,19 +21,6 @@ def first_last_per_key(df: DataFrame, key: str, order: list[str], cols: list[str
                       *[F.col(f"_l.{c}").alias(f"last_{c}") for c in cols])
 
 
-def flag_first(df: DataFrame, key: str, order_col: str, unique_col: str,
-               flag: str = "first_order", first_value: str | None = None) -> DataFrame:
-    """``row_number() over (partition by key order by order_col, unique_col) = 1`` as a 1/0
-    flag, computed as arg-min per key joined back (no per-key sort)."""
-    firsts = df.groupBy(key).agg(F.min(F.struct(order_col, unique_col)).alias("_m"))
-    cols = [F.col(key).alias("_k"), F.col(f"_m.{unique_col}").alias("_first")]
-    if first_value:
-        cols.append(F.col(f"_m.{order_col}").alias(first_value))
-    firsts = firsts.select(*cols)
-    out = df.join(firsts, df[key] == firsts["_k"])
-    return out.withColumn(flag, (F.col(unique_col) == F.col("_first")).cast("int")).drop("_k", "_first")
-
-
 def money(c: Column | str) -> Column:
     """Exact cents: sums of decimals do not depend on the order the partial sums arrive in."""
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(20,2)")
