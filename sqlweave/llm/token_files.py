@@ -18,6 +18,7 @@ a doc_id are in order of a hash of their texts; an empty table writes files with
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import re
 
@@ -66,7 +67,8 @@ class _Pieces(dict):
         self.signs: dict[str, bytes] = {}
         # how byte-level BPE shows bytes: the printable ones as they are, the others from U+0100 on, in order
         printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-        self.shown = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in printable)}
+        others = iter(range(0x100, 0x200))
+        self.shown = "".join(chr(b if b in printable else next(others)) for b in range(256))
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -74,14 +76,14 @@ class _Pieces(dict):
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            if _OTHER_BLANKS.search(word):
-                raise _OtherBlank
             # letters, then perhaps signs, are one or two pieces of byte-level BPE: the letters go straight to the model
             stem = word.rstrip(_SIGNS)
             if not stem.isalpha() or not (stem.isascii() or max(stem) < "\u0250"):
+                if _OTHER_BLANKS.search(word):
+                    raise _OtherBlank
                 ids = self.whole(self.lead + word)
             elif len(stem) == len(word):
-                seen = word if word.isascii() else word.encode().decode("latin-1").translate(self.shown)
+                seen = word if word.isascii() else codecs.charmap_decode(word.encode(), "strict", self.shown)[0]
                 raw = self.raw
                 ids = b"".join([raw[t.id] for t in self.tokenize(self.shown_lead + seen)])
             else:
