@@ -59,10 +59,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
 BATCH_BYTES = "4m"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def fresh_name(columns: list[str], name: str) -> str:
+    """``name``, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def docs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns the operators read, under fixed names: whatever else is there is left out. The session's Arrow batches
     are bounded by bytes: each is held by the executor, its worker and the worker's copy at once."""
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
 

@@ -9,7 +9,8 @@ A window is ``width`` consecutive words of an item; an item with fewer, but not
 is checked: above ``MAX_BENCHMARK_WORDS`` words it is searched in groups of items, one pass each, and the word hits are merged.
 
 Defined results: a null text, or one without words, has no words and no hits; an item without words has no windows; without
-items, nothing is hit; null ids stay null; items with equal texts are all named; other columns are ignored."""
+items, nothing is hit; null ids stay null; items with equal texts are all named, those with a null id are searched (their words
+are hit) but not named or counted; other columns are ignored. The pipeline's stage judges each row by its own text."""
 
 from __future__ import annotations
 
@@ -120,7 +121,7 @@ class Windows:
         texts = [(t or "").encode() for _, t in items]
         off = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         word, doc, _, _ = C.words(np.frombuffer(b"".join(texts), np.uint8), off, "alnum")
-        self.names = [str(i) for i, _ in items]
+        self.names = [i for i, _ in items]
         self.alphabet, number = np.unique(word, return_inverse=True)
         rows, self.item, lengths = [], [], []
         for k in range(len(items)):
@@ -191,7 +192,7 @@ class Windows:
 
 def _groups(spark: SparkSession, benchmark: DataFrame, width: int, most_words: int) -> list[Windows]:
     """Items in groups of at most ``most_words`` words (an item has at least one group to itself)."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").cast("string").alias("t")).where("i IS NOT NULL")
+    rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").cast("string").alias("t"))
     out, held, n = [], [], 0
     for r in rows.orderBy("i", F.xxhash64("t")).toLocalIterator():
         size = len((r.t or "").split()) + 1
@@ -203,6 +204,22 @@ def _groups(spark: SparkSession, benchmark: DataFrame, width: int, most_words: i
     return out + ([Windows(held, width)] if held else [])
 
 
+def _spans(groups: list[Windows], buf: np.ndarray, off: np.ndarray):
+    """Words of each text; text number, first word and end of each merged span; (text, item) pairs of each group."""
+    n = len(off) - 1
+    count = np.bincount(C.words(buf, off, "alnum")[1], minlength=n) if not groups else None
+    doc, place, pairs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+    for g in groups:
+        count, d, p, found = g.hits(buf, off)
+        doc.append(d), place.append(p), pairs.append(found)
+    d, p = C.distinct_in(np.concatenate(doc), np.concatenate(place))
+    new = np.ones(len(d), bool)
+    new[1:] = (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(d))[:len(first)] - 1
+    return count, d[first], p[first], p[last] + 1, pairs
+
+
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = 13, most_words: int = MAX_BENCHMARK_WORDS,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, spans (word places [start, end) covered by benchmark windows, merged), items (ids of the items, as sorted strings)."""
@@ -211,24 +228,18 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = 13, most_
     def rows(batches):
         for ids, buf, off in C.text_pieces(batches):
             n = len(ids)
-            count = np.bincount(C.words(buf, off, "alnum")[1], minlength=n) if not groups else None
-            doc, place, named = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [[] for _ in range(n)]
-            for g in groups:
-                count, d, p, pairs = g.hits(buf, off)
-                doc.append(d), place.append(p)
-                for k, i in pairs.tolist():
-                    named[k].append(g.names[i])
-            d, p = C.distinct_in(np.concatenate(doc), np.concatenate(place))
-            new = np.ones(len(d), bool)
-            new[1:] = (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1)
-            first = np.flatnonzero(new)
-            last = np.append(first[1:], len(d))[:len(first)] - 1
-            bound = np.concatenate([[0], np.cumsum(np.bincount(d[first], minlength=n))])
+            count, doc, start, end, pairs = _spans(groups, buf, off)
+            named = [set() for _ in range(n)]
+            for g, found in zip(groups, pairs):
+                for k, i in found.tolist():
+                    if g.names[i] is not None:
+                        named[k].add(g.names[i])
+            bound = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=n))])
             spans = pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.StructArray.from_arrays(
-                [pa.array(p[first], pa.int64()), pa.array(p[last] + 1, pa.int64())], names=["start", "end"]))
+                [pa.array(start, pa.int64()), pa.array(end, pa.int64())], names=["start", "end"]))
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.int64(), mask=ids == np.iinfo(np.int64).max), pa.array(count.astype(np.int64)), spans,
-                pa.array([sorted(set(x)) for x in named], pa.list_(pa.string()))], names=["doc_id", "n_words", "spans", "items"])
+                pa.array([sorted(x) for x in named], pa.list_(pa.string()))], names=["doc_id", "n_words", "spans", "items"])
 
     return C.docs_of(docs, id_col, text_col).mapInArrow(
         rows, "doc_id long, n_words long, spans array<struct<start: long, end: long>>, items array<string>")
@@ -242,9 +253,20 @@ def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that aren't contaminated."""
-    bad = judged(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """Pipeline stage: rows that aren't contaminated, each judged by its own text; all columns as they were."""
+    groups = _groups(spark, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 13, MAX_BENCHMARK_WORDS)
+
+    def clean(batches):
+        for b in batches:
+            buf, off = C.binary_arrays(b.column("text"))
+            bad = [np.zeros(0, bool)]
+            for lo, hi in C.pieces(off):
+                count, doc, start, end, _ = _spans(groups, buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
+                hit = np.bincount(doc, weights=end - start, minlength=hi - lo).astype(np.int64)
+                bad.append((hit > 0) & (20 * hit >= count))
+            yield b.filter(pa.array(~np.concatenate(bad)))
+    C.bounded_batches(spark)
+    return docs.mapInArrow(clean, docs.schema)
 
 
 def op6_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
