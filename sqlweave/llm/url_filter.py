@@ -4,8 +4,8 @@ A rule (action, host/path) fits its host and all subdomains where the url's path
 judged by naive Bayes over the words of host and path, trained on the urls that rules decide.
 
 Host labels are concatenated names: a unigram model cuts each into the most probable words (Viterbi). The model counts the words of all pages' html; a
-label's substrings meet these counts in a join, so the vocabulary is never sent around, and only distinct labels are cut. A stretch of m letters
-that is no known word has probability 10 / (N * 10^m), N all words counted.
+label's substrings, of the lengths that counted words have, meet these counts in a join, so the vocabulary is never sent around, and only distinct labels are
+cut. A stretch of m letters, of any length, that is no known word has probability 10 / (N * 10^m), N all words counted.
 
 Hosts, paths and words are handled once each, with counts, so a host or word that a third of all urls share is one row. Weights are whole micro-nats, so sums
 don't depend on order.
@@ -27,7 +27,6 @@ from . import common as C
 
 #: fixed by the query's contract
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-MAX_WORD = 20
 _LETTERS = np.zeros(256, bool)
 _LETTERS[0x61:0x7B] = True
 
@@ -53,14 +52,14 @@ def matched_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 
 
 def _word_counts(batches):
-    """Counts of the a-z words of at most MAX_WORD letters, a piece of text at a time."""
+    """Counts of the a-z words, a piece of text at a time."""
     for b in batches:
         buf, off = C.binary_arrays(b.column(0))
         for lo, hi in C.pieces(off):
             part = np.ascontiguousarray(buf[off[lo]:off[hi]])
             h, _, start, end = C.words(part, off[lo:hi + 1] - off[lo], "alnum")
             plain = np.concatenate([[0], np.cumsum(~_LETTERS[C.lowered(part)])])
-            ok = (end - start <= MAX_WORD) & (plain[end] == plain[start])
+            ok = plain[end] == plain[start]
             _, first, n = np.unique(h[ok], return_index=True, return_counts=True)
             raw = C.lowered(part).tobytes()
             s, e = start[ok][first].tolist(), end[ok][first].tolist()
@@ -68,15 +67,23 @@ def _word_counts(batches):
 
 
 def _cut(label: str, known: dict, total: float) -> list[str]:
-    """Most probable words of a label; ties go to the longer last word."""
-    best = [0.0] + [-math.inf] * len(label)
-    back = [0] * (len(label) + 1)
+    """Most probable words of a label; known is {(start, length): count}. Ties go to the longer last word."""
+    ending: dict[int, list[tuple[int, int]]] = {}
+    for (start, size), n in sorted(known.items()):
+        ending.setdefault(start + size, []).append((start, n))
+    ten = math.log(10)
+    best, back = [0.0], [0]
+    from_, unknown = 0, 0.0  # where the best unknown word that ends here starts, and best[start] + start * ten
     for end in range(1, len(label) + 1):
-        for start in range(max(0, end - MAX_WORD), end):
-            n = known.get((start, end - start))
-            p = math.log(n / total) if n else math.log(10 / total) - (end - start) * math.log(10)
-            if best[start] + p > best[end]:
-                best[end], back[end] = best[start] + p, start
+        start, value = from_, unknown + math.log(10 / total) - end * ten
+        for s, n in ending.get(end, ()):
+            p = best[s] + math.log(n / total)
+            if p > value or p == value and s < start:
+                start, value = s, p
+        best.append(value)
+        back.append(start)
+        if value + end * ten > unknown:
+            from_, unknown = end, value + end * ten
     out, end = [], len(label)
     while end:
         out.append(label[back[end]:end])
@@ -89,10 +96,14 @@ def segmented(labels: DataFrame, pages: DataFrame) -> DataFrame:
     counts = C.saved(pages.select(F.col("html").cast("string")).mapInArrow(_word_counts, "word string, n long")
                      .groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
     total = float(counts.agg(F.sum("n")).first()[0] or 1)
-    # at most MAX_WORD substrings a letter
+    labels = labels.where("label != ''")
+    longest = labels.agg(F.max(F.length("label"))).first()[0] or 0
+    # lengths of counted words: no more than the longest label has letters
+    sizes = [r.size for r in counts.select(F.length("word").alias("size")).where(F.col("size") <= longest).distinct().orderBy("size").collect()]
+    lengths = F.split(F.lit(",".join(map(str, sizes))), ",").cast("array<int>") if sizes else F.array().cast("array<int>")
     start = F.explode(F.sequence(F.lit(0), F.length("label") - 1)).alias("start")
-    size = F.explode(F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), F.length("label") - F.col("start")))).alias("size")
-    parts = labels.where("label != ''").select("label", start).select("label", "start", size).withColumn("word", F.substr("label", F.col("start") + 1, F.col("size")))
+    size = F.explode_outer(F.filter(lengths, lambda n: n <= F.length("label") - F.col("start"))).alias("size")
+    parts = labels.select("label", start).select("label", "start", size).withColumn("word", F.substr("label", F.col("start") + 1, F.col("size")))
     known = (parts.join(counts, "word", "left").groupBy("label").agg(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("start", "size", "n"))).alias("known")))
 
     def rows(batches):
