@@ -131,6 +131,12 @@ def grades_of(model, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     return _sigmoid(s[:, None] - cuts[None, :])
 
 
+def tails_of(model, texts: pa.Array) -> np.ndarray:
+    """grades_of a column of texts, some at a time."""
+    buf, off = C.binary_arrays(texts)
+    return np.concatenate([grades_of(model, buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]) for lo, hi in C.pieces(off)])
+
+
 def scored(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
     """All columns of docs, and expected_grade, p_good, keep (these replace columns of the same names)."""
     docs = docs.drop("expected_grade", "p_good", "keep")
@@ -140,8 +146,7 @@ def scored(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
     def rows(batches):
         for b in batches:
             if b.num_rows:
-                buf, off = C.binary_arrays(b.column(text_col))
-                tails = np.concatenate([grades_of(model, buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]) for lo, hi in C.pieces(off)])
+                tails = tails_of(model, b.column(text_col))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, -1]),
                                                   pa.array(tails[:, -1] >= 0.5)],
                                                  names=[*b.schema.names, "expected_grade", "p_good", "keep"])
@@ -149,9 +154,15 @@ def scored(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents of grade 2."""
+    """Pipeline stage: documents of grade 2, each row judged by its own text; all columns as they were."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored(docs, model).where("keep").select(*docs.columns)
+
+    def kept(batches):
+        for b in batches:
+            if b.num_rows:
+                yield b.filter(pa.array(tails_of(model, b.column("text"))[:, -1] >= 0.5))
+    C.bounded_batches(spark)
+    return docs.mapInArrow(kept, docs.schema)
 
 
 def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -311,10 +311,44 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, id_col
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+def one_of_each_group(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """Rows of docs, one of each group of near copies: that of the smallest doc_id (null is the largest).
+
+    Rows are judged one by one: those with a null doc_id, or one that other rows have too, get a number of their own. Of rows that share doc_id and text one
+    stays, whichever; texts without words are copies of nothing and all stay."""
+    spark, columns = docs.sparkSession, docs.columns
+    key, of = C.fresh_name(columns, "row_key"), C.fresh_name(columns, "shared_id")
+    own_id = F.col("doc_id").cast("long")
+    ids = docs.groupBy(own_id.alias("i")).agg(F.count("*").alias("n"))
+    shared = C.saved(ids.where("n > 1 OR i IS NULL").select(F.col("i").alias(of)), "shared-ids")
+    low, high = ids.where("n = 1").agg(F.min("i"), F.max("i")).first()
+    single = docs.join(shared, own_id == F.col(of), "left_anti").where(own_id.isNotNull()).withColumn(key, own_id)
+    among = docs.join(shared, own_id.eqNullSafe(F.col(of)), "left_semi")
+    wordless = ~F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    copies = among.where(~wordless).dropDuplicates(["doc_id", "text"])
+    # numbered once, in a written table, so that a task run again can't number anew
+    numbered = C.saved(copies.withColumn(key, F.monotonically_increasing_id()), "shared-rows")
+    most = numbered.agg(F.max(key)).first()[0]
+    if most is not None and low is not None:
+        if low - 1 - most >= -(1 << 63):
+            numbered = numbered.withColumn(key, F.lit(low - 1) - F.col(key))
+        elif high + 1 + most < 1 << 63:
+            numbered = numbered.withColumn(key, F.lit(high + 1) + F.col(key))
+        else:
+            raise ValueError("doc_id covers all long numbers: none is left for rows that share an id")
+    keyed = single.unionByName(numbered)
+    found = near_duplicates(keyed, shingle, percent, id_col=key).select(F.col("doc_id").alias("k"), F.col("component_id").alias("c"))
+    found = C.saved(found, "groups").join(numbered.select(F.col(key).alias("k"), own_id.alias("i"), F.lit(True).alias("named")), "k", "left")
+    real = F.when(F.col("named"), F.col("i")).otherwise(F.col("k"))
+    stays = F.min(F.struct(real.isNull().alias("null_id"), real.alias("i"), F.col("k")))
+    grouped = found.groupBy("c").agg(F.count("*").alias("n"), stays.alias("stays")).where("n > 1")
+    gone = found.join(grouped, "c").where("k != stays.k").select(F.col("k").alias(key))
+    return keyed.join(gone, key, "left_anti").select(*columns).unionByName(among.where(wordless).select(*columns))
+
+
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document (the smallest id) of each group of near copies, by five-word shingles at 0.8."""
-    gone = near_duplicates(docs, 5, 80).where("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Pipeline stage: one document of each group of near copies, by five-word shingles at 0.8; all columns as they were."""
+    return one_of_each_group(docs, 5, 80)
 
 
 def op5_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
