@@ -111,7 +111,7 @@ def test_passages(spark, docs):
         w = t.lower().split()
         own = [tuple(w[i:i + 50]) for i in range(len(w) - 49)]
         missed = {p for i, s in enumerate(own) if s in seen for p in range(i, i + 50)} - found[d]
-        assert not missed or d in (900_006, 900_007), d  # one document may repeat in itself
+        assert not missed or d == 900_006, d  # one document may repeat in itself
         seen.update(own)
     assert passage_dedup.near_duplicate_passages(empty(spark)).count() == 0
 
@@ -212,7 +212,8 @@ def test_encoder_on_odd_white_space():
 def test_decontamination(spark, docs):
     df, rows = docs
     item = " ".join(rows[0][1].split()[2:20])
-    items = [(1, item), (2, "one two"), (10, None), (11, " ., "), (12, item), (13, "no id")]
+    unnamed = " ".join(rows[1][1].split()[5:30])
+    items = [(1, item), (2, "one two"), (10, None), (11, " ., "), (12, item), (13, "no id"), (None, unnamed)]
     bench = spark.createDataFrame(items, "item_id long, text string")
     word = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     split = lambda t: word.findall((t or "").encode().lower())
@@ -227,7 +228,7 @@ def test_decontamination(spark, docs):
                 for k in range(len(w) - m + 1):
                     if tuple(w[k:k + m]) in windows:
                         hit.update(range(k, k + m))
-                        named.add(str(i))
+                        named.update([str(i)] if i is not None else [])
             r = got[d]
             assert (r.n_words, {p for s in r.spans for p in range(s.start, s.end)}, r.items) == (len(w), hit, sorted(named))
     assert decontaminate.judged(empty(spark), bench).count() == 0
@@ -268,9 +269,13 @@ def test_mixing(spark, docs):
                 used += n
                 if n:
                     assert taken[(r.doc_id, r.text)] == by[s].passes + (used <= left), (budget, s)
-    share = mixing.plan_mixture(df, "tokens", target_entropy=1.5).where("weight > 0").collect()
-    entropy = -sum(r.weight * np.log(r.weight) for r in share)
-    assert entropy <= 1.5001 or max(r.tokens for r in share) / sum(r.tokens for r in share) < 0.5
+    for target in (1.5, 0.5, 0.01, 99.0):  # the natural one lies between
+        share = mixing.plan_mixture(df, "tokens", target_entropy=target).where("weight > 0").collect()
+        entropy = -sum(r.weight * np.log(r.weight) for r in share)
+        assert abs(entropy - min(target, np.log(len(share)))) < 1e-6 and abs(sum(r.weight for r in share) - 1) < 1e-9
+    twins = spark.createDataFrame([(1, "a b", "x"), (2, "c d", "y"), (3, "e", "z")], "doc_id long, text string, source string")
+    with pytest.raises(ValueError):  # two equal largest sources have log 2 however large the exponent
+        mixing.plan_mixture(twins, "tokens", target_entropy=0.5)
     assert mixing.mixture(empty(spark), mixing.plan_mixture(empty(spark))).count() == 0
 
 
@@ -283,25 +288,58 @@ def test_quality(spark, sf_small):
                  F.avg(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), F.col("keep").cast("int"))).alias("bad")).first()
     assert r.good > 0.97 and r.bad < 0.2
     assert quality.train(docs, labels.limit(0)) is None
+    # features and score of some texts, counted in Python
+    weights, cuts = model
+    some = docs.orderBy("doc_id").limit(40).collect()
+    judged = {r.doc_id: r for r in quality.scored(docs.where(F.col("doc_id") <= some[-1].doc_id).select("doc_id", "text"), model).collect()}
+    for r in some:
+        raw = r.text.encode()
+        _, feature = quality.features(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        s = float(sum(weights[f] for f in feature))
+        tails = [1 / (1 + np.exp(t - s)) for t in cuts]
+        assert abs(judged[r.doc_id].expected_grade - sum(tails)) < 1e-5 and judged[r.doc_id].keep == (judged[r.doc_id].p_good >= 0.5)
+        assert abs(judged[r.doc_id].p_good - tails[-1]) < 1e-5
+        word = re.findall(rb"[0-9a-z\x80-\xff]+", raw.lower())
+        sign = re.findall(rb"[^0-9A-Za-z\x80-\xff\x20\x09-\x0D]+", raw)
+        assert len(feature) <= len(set(word)) + len(set(sign)) + 6 and len(set(feature.tolist())) == len(feature)
     odd = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
     assert quality.scored(odd, model).count() == 2 and quality.scored(odd, None).where("keep").count() == 2
     assert quality.scored(empty(spark), model).count() == 0
 
 
 def test_topk(spark):
+    from fractions import Fraction
     rng = np.random.default_rng(5)
-    rows = [(i, rng.normal(size=20).round(2).tolist()) for i in range(150)] + [(200, None), (220, [1.0, None]), (240, [float("nan")] * 20), (241, [float("inf")]), (260, [1e30] * 3), (280, [])]
+    rows = [(i, rng.normal(size=20).round(2).tolist()) for i in range(150)] + [(200, None), (220, [1.0, None]), (240, [float("nan")] * 20), (241, [float("inf")]), (280, [])]
+    rows += [(260, [1e30] * 3), (261, [-1e30, 1e30, 2.0 ** 60]), (262, [1e30] * 3), (263, [1e308, -1e308] + [1.7e308] * 3), (300, [-1.7e308] * 4), (320, [3e8, 1.0]), (321, [3e8, 2.0])]
     rows += [(400 + i, rows[3][1]) for i in range(30)]
     got = collections.defaultdict(list)
-    for r in topk.top_k(spark.createDataFrame([r for r in rows if r[0] != 260], "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, 7).collect():
+    for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, 7).collect():
         got[r.query_id].append((r["rank"], r.vec_id, r.score))
-    ok = {i: np.floor(64 * np.array(v)).astype(int) for i, v in rows if v is not None and i != 260 and all(x is not None and np.isfinite(x) for x in v)}
+    ok = {i: [(Fraction(x) * 64).__floor__() for x in v] for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)}
     for q in [i for i in ok if i % 20 == 0]:
-        scores = sorted(((-int(sum(a * b for a, b in zip(ok[q], ok[c]))), c) for c in ok if c != q))[:7]
-        assert sorted(got[q]) == [(k + 1, c, -s) for k, (s, c) in enumerate(scores)]
+        scores = sorted(((-sum(a * b for a, b in zip(ok[q], ok[c])), c) for c in ok if c != q))[:7]
+        assert sorted(got[q]) == [(k + 1, c, -s if -(1 << 63) <= -s < 1 << 63 else None) for k, (s, c) in enumerate(scores)], q
+    assert any(s is None for r in got.values() for _, _, s in r)
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_branch_and_bound(seed):
+    """All block lengths and dimensions against a full sort, with many ties."""
+    rng = np.random.default_rng(seed)
+    dims, n = (1, 5, 16, 33, 64, 70)[seed], 900
+    v = np.floor(64 * rng.normal(size=(dims, n)) * rng.random(n) / (1 + np.arange(dims))[:, None])
+    v[:, 300:400] = v[:, :1]
+    ids = rng.permutation(n)
+    got = collections.defaultdict(list)
+    for q, place, score in topk.branch_and_bound(ids[:40], v[:, :40], ids, v, 9):
+        got[q].append((-score, ids[place]))
+    for q in range(40):
+        want = sorted((-int(v[:, q] @ v[:, c]), ids[c]) for c in range(n) if c != q)[:9]
+        assert sorted(got[q]) == want
+
+
 def test_warc(spark, tmp_path):
     big = "x" * 1200
     rows = [(1, "http://a/1", big), (2, "http://a/\r\nX: y", big), (3, None, big), (4, "u", None), (5, "u", "short"), (6, "u", "short"), (None, "u", big), (7, "u", "é" * 600), (8, "u", "\r\n\r\n")]
@@ -376,6 +414,59 @@ def test_url_filter(spark):
     assert url_filter.judged(pages.limit(0)).count() == 0
 
 
+def best_cut(label, count, total):
+    """Highest log probability of all cuts of a label."""
+    best = {0: 0.0}
+    for end in range(1, len(label) + 1):
+        best[end] = max(best[start] + (np.log(count[label[start:end]] / total) if label[start:end] in count else np.log(10 / total) - (end - start) * np.log(10))
+                        for start in range(end))
+    return best[len(label)]
+
+
+def test_segments_are_the_most_probable_ones(spark):
+    """Words and unknown stretches of any length, by brute force over all cuts."""
+    long_word = "donaudampfschifffahrtsgesellschaft"
+    text = ("spam " * 40 + "ads " * 30 + "ad " * 3 + "spa " * 9 + f"{long_word} " * 8 + "good news s pa " * 5).strip()
+    count = collections.Counter(text.split())
+    labels = ["spamads", "adsspam" + "q" * 45, long_word + "news", "goodnews" + long_word + "x", "zzz", "a", "spas", "q" * 70]
+    got = {r.label: r.words for r in url_filter.segmented(spark.createDataFrame([(x,) for x in labels], "label string"),
+                                                         spark.createDataFrame([(1, text)], "page_id long, html string")).collect()}
+    total = sum(count.values())
+    for x in labels:
+        assert "".join(got[x]) == x
+        value = sum(np.log(count[w] / total) if w in count else np.log(10 / total) - len(w) * np.log(10) for w in got[x])
+        assert abs(value - best_cut(x, count, total)) < 1e-6, (x, got[x])
+    assert got[long_word + "news"] == [long_word, "news"] and got["q" * 70] == ["q" * 70]
+
+
+def test_url_verdicts_by_brute_force(spark, sf_small):
+    """Naive Bayes over the segmented words, counted anew in Python."""
+    pages = spark.read.parquet(f"{sf_small}/pages.parquet")
+    got = url_filter.judged(pages).collect()
+    labels = spark.createDataFrame([(x,) for x in sorted({x for r in got for x in re.findall(r"[a-z]+", r.host)})], "label string")
+    cut = {r.label: r.words for r in url_filter.segmented(labels, pages).collect()}
+
+    def words(r):
+        host = [w for x in re.findall(r"[a-z]+|[^a-z.\-]+", r.host) for w in cut.get(x, [x])]
+        return host + ["/" + re.sub("[0-9]", "0", w) for w in re.split(r"[/.\-_]+", r.path.lower()) if w]
+
+    seen = {a: collections.Counter() for a in ("block", "allow")}
+    docs = collections.Counter()
+    for r in got:
+        if r.rule:
+            docs[r.verdict] += 1
+            seen[r.verdict].update(words(r))
+    vocabulary = {w for r in got for w in words(r)} if not docs else set(seen["block"]) | set(seen["allow"])
+    sums = {a: sum(seen[a].values()) for a in seen}
+    judged = [r for r in got if not r.rule]
+    assert judged and docs["block"] and docs["allow"]
+    for r in judged:
+        score = np.log(docs["block"] / docs["allow"])
+        for w in words(r):
+            score += np.log((seen["block"][w] + 1) / (sums["block"] + len(vocabulary))) - np.log((seen["allow"][w] + 1) / (sums["allow"] + len(vocabulary)))
+        assert abs(score * 1e6 - r.score) < 100 and r.verdict == ("block" if r.score > 0 else "allow"), r
+
+
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_oracle(spark, sf_small, name):
     from tests.oracle_check import compare, duck
