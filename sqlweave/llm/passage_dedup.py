@@ -12,7 +12,9 @@ window's set of shingles and that of the other document's window at that alignme
 
 So a group of copies gives a link per member, not per pair. Runs with starts that no link has covered are then compared, inside tasks, with every run of their signature
 of a smaller doc_id, until each start is covered or no run is left; only the passages found come out. Windows that share too few shingles with all of the others for
-any similarity of 0.8 leave first, and signatures of more than ``BLOCK`` runs are dealt as pairs of blocks. This work grows with the square of such a signature's open runs.
+any similarity of 0.8 leave first, equal runs count as one, and signatures of more than ``BLOCK`` runs are dealt as pairs of blocks. What windows and runs have in common
+is counted by products of matrices, runs of small doc_ids first; only where enough is in common are two runs compared. The products still grow with the square of a
+signature's different runs that stay open; all else doesn't.
 
 Defined results: null texts and texts of fewer words have no passages; rows with null ids take no part, rows that share an id are never compared with one another;
 an empty table gives no rows; other columns are ignored."""
@@ -264,72 +266,135 @@ def _with_shingles(width: int):
     return rows
 
 
-def _compared(width: int, percent: int):
-    """Passages at the open starts of runs that have a near copy in a run of the same signature and a smaller doc_id."""
-    def spans(table: pa.Table) -> pa.Table:
-        sig, doc, s, c, own = (table[k].to_numpy() for k in ("sig", "doc_id", "s", "c", "own"))
-        apart = table["i"][0].as_py() != table["j"][0].as_py()  # pairs of one block have a group of their own
+def _of_equal_runs(table: pa.Table) -> np.ndarray:
+    """For each run (in order of doc_id) the first run of its signature with the same shingles at the same alignment, if it has a smaller doc_id; else -1."""
+    doc = table["doc_id"].to_numpy()
+    turn = table["c"].to_numpy() - table["s"].to_numpy()
+    first, out = {}, np.full(len(doc), -1)
+    for r, key in enumerate(zip(table["sig"].to_pylist(), turn.tolist(), table["h"].to_pylist())):
+        q = first.setdefault(key, r)
+        if doc[q] < doc[r]:
+            out[r] = q
+    return out
+
+
+#: numbers in a matrix of the comparison; runs that are first compared with
+CELLS, FIRST_RUNS = 1 << 22, 128
+
+
+class _Group:
+    """Runs of some signatures, in order of signature and doc_id; for each window, what a similar one must share with it."""
+
+    def __init__(self, table: pa.Table, width: int, percent: int):
+        self.width, self.percent = width, percent
+        self.sig, self.doc, self.s, self.c, self.own = (table[k].to_numpy() for k in ("sig", "doc_id", "s", "c", "own"))
         buf, off = C.binary_arrays(table["h"])
-        tok, off = np.frombuffer(buf.tobytes(), np.uint32), off // 4
-        run = np.repeat(np.arange(len(doc)), np.diff(off))
-        name = np.unique(np.unique(sig, return_inverse=True)[1][run] << 32 | tok, return_inverse=True)[1]
-        least = np.full(name.max() + 1, _NULL_ID)
-        np.minimum.at(least, name, doc[run])
-        each = np.unique(run << 32 | name, return_inverse=True)[1]
+        self.tok, self.off = np.frombuffer(buf.tobytes(), np.uint32), off // 4
+        run = np.repeat(np.arange(len(self.doc)), np.diff(self.off))
+        self.of = np.unique(self.sig, return_inverse=True)[1]
+        self.run, self.name = run, np.unique(self.of[run] << 32 | self.tok, return_inverse=True)[1]
+        least = np.full(self.name.max() + 1, _NULL_ID)
+        most = np.full(len(least), np.iinfo(np.int64).min)
+        np.minimum.at(least, self.name, self.doc[run])
+        np.maximum.at(most, self.name, self.doc[run])
+        self.several = least < most
+        each = np.unique(run << 32 | self.name, return_inverse=True)[1]
         n = _distinct(each, width)
-        common = _distinct(each, width, counted=least[name] < doc[run])
-        whole = np.flatnonzero(run[:len(n)] == run[width - 1:])  # windows inside a run: one for each of its starts
-        n, common, at = n[whole], common[whole], run[whole]
-        _, of = np.unique(sig, return_inverse=True)
-        fewest = np.full(of.max() + 1, width)
-        np.minimum.at(fewest, of[at], n)
-        # equal shingles that a similar window has, at least
-        need = np.maximum(-(-percent * n // 100), -(-percent * (n + fewest[of[at]]) // (100 + percent)))
-        window = np.searchsorted(at, np.arange(len(doc) + 1))
+        common = _distinct(each, width, counted=least[self.name] < self.doc[run])
+        self.first = np.flatnonzero(run[:len(n)] == run[width - 1:])  # windows inside a run: one for each of its starts
+        self.n, self.at, common = n[self.first], run[self.first], common[self.first]
+        self.window = np.searchsorted(self.at, np.arange(len(self.doc) + 1))
+        self.fewest = np.minimum.reduceat(self.n, self.window[:-1])  # of the windows of each run
         flags, flag_off = C.binary_arrays(table["open"])
-        open_ = np.zeros(len(at), bool)
+        self.open = np.zeros(len(self.at), bool)
         for r in np.flatnonzero(np.diff(flag_off)).tolist():
-            open_[window[r]:window[r + 1]] = flags[flag_off[r]:flag_off[r + 1]]
-        open_ &= common >= need
-        order = np.lexsort((run, name))
-        held, holder = name[order], run[order]
-        new = np.concatenate([[True], (held[1:] != held[:-1]) | (holder[1:] != holder[:-1])])
-        held, holder = held[new], holder[new]
-        post = np.searchsorted(held, np.arange(len(least) + 1))
-        out = []
-        for r in np.unique(at[open_]).tolist():
-            left = open_[window[r]:window[r + 1]].copy()
-            own_need = need[window[r]:window[r + 1]]
-            mine = name[off[r]:off[r + 1]]
-            with_ = [holder[post[m]:post[m + 1]] for m in mine.tolist()]
-            others = np.unique(np.concatenate(with_))
-            others = others[(doc[others] < doc[r]) & ((own[others] != own[r]) if apart else True)]
-            if not len(others):
-                continue
-            # for each other run, which of these shingles it holds
-            has = np.zeros((len(others), len(mine) + 1), np.int32)
-            for k, w in enumerate(with_):
-                p = np.minimum(np.searchsorted(others, w), len(others) - 1)
-                has[p[others[p] == w], k + 1] = 1
-            np.cumsum(has, axis=1, out=has)
-            fit = (has[:, width:] - has[:, :-width]) >= own_need
-            others, fit = others[(fit & left).any(axis=1)], fit[(fit & left).any(axis=1)]
-            by = np.argsort(doc[others], kind="stable")
-            for q, may in zip(others[by].tolist(), fit[by]):
-                if not (may & left).any():
-                    continue
-                shift = int((c[r] - s[r]) - (c[q] - s[q]))
-                lo, hi = max(0, shift), min(len(left), window[q + 1] - window[q] + shift)  # starts of r with a start of q at that alignment
-                if lo >= hi:
+            self.open[self.window[r]:self.window[r + 1]] = flags[flag_off[r]:flag_off[r + 1]]
+        fewest = np.full(self.of.max() + 1, width)
+        np.minimum.at(fewest, self.of, self.fewest)
+        self.may = (100 * common >= percent * self.n) & ((100 + percent) * common >= percent * (self.n + fewest[self.of[self.at]]))
+
+    def passages(self, r: int, q: int):
+        """Passages of run r at its open starts that q has a near copy of; these starts are closed."""
+        left = self.open[self.window[r]:self.window[r + 1]]
+        turn = int((self.c[r] - self.s[r]) - (self.c[q] - self.s[q]))
+        lo, hi = max(0, turn), min(len(left), self.window[q + 1] - self.window[q] + turn)  # starts of r with a start of q at that alignment
+        if lo >= hi or not left[lo:hi].any():
+            return
+        x, y = (self.tok[self.off[k] + i:self.off[k] + j - 1 + self.width] for k, i, j in ((r, lo, hi), (q, lo - turn, hi - turn)))
+        good = _alike(x, y, self.width, self.percent) & left[lo:hi]
+        for i, j in _passages(x, y, good, self.width, self.percent):
+            start = int(self.s[r]) + lo + i
+            yield int(self.doc[r]), int(self.doc[q]), start, int(self.s[r]) + lo + j, start - int(self.s[r]) - turn + int(self.s[q])
+        left[lo:hi] &= ~good
+
+    def _members(self, name: np.ndarray, row: np.ndarray, n_rows: int, names: np.ndarray) -> np.ndarray:
+        """Which of the names each row holds, as a matrix of 0 and 1."""
+        at = np.minimum(np.searchsorted(names, name), len(names) - 1)
+        on = names[at] == name
+        out = np.zeros((n_rows, len(names)), np.float32)
+        out[row[on], at[on]] = 1
+        return out
+
+    def of_signature(self, a: int, b: int, apart: bool):
+        """Passages at the open starts of runs [a, b) of one signature: the shingles that open windows and runs have in common are counted
+        as products of matrices; runs of small doc_ids come first, and a window that has found its copy leaves."""
+        span = slice(self.off[a], self.off[b])
+        names = np.unique(self.name[span][self.several[self.name[span]]])
+        lo, step = a, FIRST_RUNS
+        while lo < b:
+            hi = min(b, lo + max(1, min(step, CELLS // len(names))))
+            step *= 4
+            todo = self.window[a] + np.flatnonzero(self.open[self.window[a]:self.window[b]])
+            todo = todo[self.doc[self.at[todo]] > self.doc[lo]]
+            if not len(todo):
+                return
+            part = slice(self.off[lo], self.off[hi])
+            holds = self._members(self.name[part], self.run[part] - lo, hi - lo, names).T
+            size = max(1, CELLS // max(len(names), hi - lo))
+            for k in range(0, len(todo), size):
+                own = todo[k:k + size]
+                tokens = self.name[self.first[own][:, None] + np.arange(self.width)].ravel()
+                common = self._members(tokens, np.repeat(np.arange(len(own)), self.width), len(own), names) @ holds
+                r, n = self.at[own], self.n[own].astype(np.float32)
+                fit = 100 * common >= self.percent * n[:, None]
+                fit &= (100 + self.percent) * common >= self.percent * (n[:, None] + self.fewest[lo:hi].astype(np.float32))
+                fit &= self.doc[r][:, None] > self.doc[lo:hi]
+                if apart:
+                    fit &= self.own[r][:, None] != self.own[lo:hi]
+                rows = np.flatnonzero(fit.any(axis=1))
+                if not len(rows):
                     continue
-                x, y = tok[off[r] + lo:off[r] + hi - 1 + width], tok[off[q] + lo - shift:off[q] + hi - shift - 1 + width]
-                good = _alike(x, y, width, percent) & left[lo:hi]
-                for i, j in _passages(x, y, good, width, percent):
-                    start = int(s[r]) + lo + i
-                    out.append((int(doc[r]), int(doc[q]), start, int(s[r]) + lo + j, start - int(s[r]) - shift + int(s[q])))
-                left[lo:hi] &= ~good
-                if not left.any():
-                    break
+                cuts = np.concatenate([[0], np.flatnonzero(np.diff(r[rows])) + 1, [len(rows)]])
+                for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                    mine, one = rows[i:j], int(r[rows[i]])
+                    for q in np.flatnonzero(fit[mine].any(axis=0)).tolist():
+                        if (self.open[own[mine]] & fit[mine, q]).any():
+                            yield from self.passages(one, lo + q)
+                            if not self.open[own[mine]].any():
+                                break
+            lo = hi
+
+
+def _compared(width: int, percent: int):
+    """Passages at the open starts of runs that have a near copy in a run of the same signature and a smaller doc_id.
+
+    Runs that equal one of a smaller doc_id are linked with that one and compared no further: what is like one of them is like the first."""
+    def spans(table: pa.Table) -> pa.Table:
+        apart = table["i"][0].as_py() != table["j"][0].as_py()  # pairs of one block have a group of their own
+        table = table.take(np.lexsort([table[k].to_numpy() for k in ("s", "doc_id", "sig")]))
+        out = []
+        equal = _of_equal_runs(table)
+        if not apart:
+            s, doc = table["s"].to_numpy(), table["doc_id"].to_numpy()
+            for r in np.flatnonzero(equal >= 0).tolist():
+                left = np.frombuffer(table["open"][r].as_py(), bool)
+                q = equal[r]
+                out += [(int(doc[r]), int(doc[q]), int(s[r]) + i, int(s[r]) + j + width + SHINGLE - 2, int(s[q]) + i) for i, j in _stretches(left)]
+        group = _Group(table.filter(pa.array(equal < 0)), width, percent)
+        group.open &= group.may
+        for g in np.unique(group.of[group.at[group.open]]).tolist():
+            a, b = np.searchsorted(group.of, [g, g + 1]).tolist()
+            out += group.of_signature(a, b, apart)
         every = np.array(sorted(set(out)), np.int64).reshape(-1, 5)
         return pa.table({k: every[:, m] for m, k in enumerate(("doc_id", "other_id", "start", "end", "other_start"))})
     return spans
@@ -352,7 +417,7 @@ def _further(blocks: DataFrame, runs: DataFrame, pairs: DataFrame, shingles: Dat
     members = C.saved(blocks.join(again.hint("shuffle_hash"), "block_id").mapInArrow(_with_shingles(width), _RUN + ", h binary"), "open-members")
     C.release(spark)
     groups = members.count() // BLOCK + 1
-    own = F.pmod(F.xxhash64("doc_id", "s"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("h", F.col("c") - F.col("s")), F.col("blocks")).cast("int")  # equal runs meet in one block
     dealt = (members.withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int")).withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select(F.when(F.col("blocks") > 1, F.col("sig")).otherwise(F.pmod(F.xxhash64("sig"), F.lit(groups))).alias("g"), "blocks",
