@@ -40,6 +40,14 @@ def _shingled(buf: np.ndarray, off: np.ndarray):
     return C.shingles(word, doc, len(off) - 1, SHINGLE)[:2]
 
 
+_ODD = C.mix(np.arange(1, 2 * PAIRS + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def _ranked(h: np.ndarray, k: int) -> np.ndarray:
+    """The k-th order of scrambled 64-bit numbers, as the upper half of a product."""
+    return ((h ^ (_ODD[k] << np.uint64(1))) * _ODD[k] >> np.uint64(32)).astype(np.uint32)
+
+
 def runs_of(h: np.ndarray, doc: np.ndarray, n_docs: int, width: int):
     """Runs of starts with one signature: (signature, pair, text number, first start, last start, place of the smallest shingle)."""
     out = []
@@ -50,9 +58,9 @@ def runs_of(h: np.ndarray, doc: np.ndarray, n_docs: int, width: int):
         if len(starts):
             edge = np.ones(len(starts), bool)
             for pair in range(PAIRS):
-                ha = C.mix_pair(h, h, 20 + 2 * pair)
-                a = C.sliding(np.minimum, ha, width)[starts]
-                b = C.sliding(np.minimum, C.mix_pair(h, h, 21 + 2 * pair), width)[starts]
+                ha = _ranked(h, 2 * pair)
+                a = C.sliding(np.minimum, ha, width)[starts].astype(np.uint64)
+                b = C.sliding(np.minimum, _ranked(h, 2 * pair + 1), width)[starts].astype(np.uint64)
                 edge[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (starts[1:] != starts[:-1] + 1) | (doc[starts[1:]] != doc[starts[:-1]])
                 first = np.flatnonzero(edge)
                 last = np.append(first[1:], len(starts)) - 1
@@ -137,14 +145,24 @@ def _wanted_shingles(batches):
                                                   "h": pa.array([small[bound[k]:bound[k + 1]].tobytes() for k in own], pa.binary())})
 
 
-def _distinct(x: np.ndarray, width: int, step: int = 1, counted: np.ndarray | None = None) -> np.ndarray:
-    """Distinct values (of those ``counted``, where given) of each window of ``width``, a window at every ``step``-th place."""
-    order = np.argsort(x, kind="stable")
+def _by_value(x: np.ndarray) -> np.ndarray:
+    """Places of x (numbers of 32 bits) in order of value and place."""
+    return (np.sort(x.astype(np.uint64) << np.uint64(32) | np.arange(len(x), dtype=np.uint64)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def _places_before(x: np.ndarray) -> np.ndarray:
+    """For each place the last one before it with the same value, or -1."""
+    order = _by_value(x)
     before = np.full(len(x), -1)
     again = x[order[1:]] == x[order[:-1]]
     before[order[1:][again]] = order[:-1][again]
-    at = np.arange(len(x))
-    n = len(x) - width + 1  # a value counts in the windows that hold it, but not its last place before
+    return before
+
+
+def _distinct(before: np.ndarray, width: int, step: int = 1, counted: np.ndarray | None = None) -> np.ndarray:
+    """Distinct values (of those ``counted``, where given) of each window of ``width``, a window at every ``step``-th place."""
+    at = np.arange(len(before))
+    n = len(before) - width + 1  # a value counts in the windows that hold it, but not its last place before
     first, last = np.maximum(np.maximum(before, at - width) + 1, 0), np.minimum(at + 1, n)
     on = first < last if counted is None else (first < last) & counted
     return np.cumsum(np.bincount(first[on], minlength=n + 1) - np.bincount(last[on], minlength=n + 1))[:n:step]
@@ -154,8 +172,25 @@ def _alike(x: np.ndarray, y: np.ndarray, width: int, percent: int) -> np.ndarray
     """For each window of x and that of y at the same place: whether their sets of shingles are similar."""
     if np.array_equal(x, y):
         return np.ones(len(x) - width + 1, bool)
-    union = _distinct(np.stack([x, y], axis=1).ravel(), 2 * width, 2)
-    return 100 * (_distinct(x, width) + _distinct(y, width) - union) >= percent * union
+    union = _distinct(_places_before(np.stack([x, y], axis=1).ravel()), 2 * width, 2)
+    return 100 * (_distinct(_places_before(x), width) + _distinct(_places_before(y), width) - union) >= percent * union
+
+
+def _alike_each(pairs: list, width: int, percent: int) -> list[np.ndarray]:
+    """``_alike`` of many pairs: laid end to end, some 2^18 numbers at a time. Windows across two pairs are counted and left out."""
+    out, k = [], 0
+    while k < len(pairs):
+        j, size = k, 0
+        while j < len(pairs) and (j == k or size + len(pairs[j][0]) <= 1 << 18):
+            size += len(pairs[j][0])
+            j += 1
+        good = _alike(*(np.concatenate([p[i] for p in pairs[k:j]]) for i in (0, 1)), width, percent)
+        at = 0
+        for x, _ in pairs[k:j]:
+            out.append(good[at:at + len(x) - width + 1])
+            at += len(x)
+        k = j
+    return out
 
 
 def _stretches(good: np.ndarray) -> list[tuple[int, int]]:
@@ -173,22 +208,26 @@ def _passages(x: np.ndarray, y: np.ndarray, good: np.ndarray, width: int, percen
             yield from ((k, k + words) for k in [*range(i, j - 1, words), j - 1])
 
 
-def verified_spans(a: np.ndarray, b: np.ndarray, runs, width: int, percent: int) -> list[tuple[int, int, int]]:
-    """(first word, end, alignment) of the passages of a with a near copy in b; runs are (first start, last start, alignment)."""
+def _aligned(a: np.ndarray, b: np.ndarray, runs, width: int):
+    """(first start, alignment, shingles of a, shingles of b) of the merged runs (first start, last start, alignment) that lie in both."""
     merged: list[list[int]] = []
     for shift, s, t in sorted((r[2], r[0], r[1]) for r in runs):
         if merged and merged[-1][0] == shift and s <= merged[-1][2] + 1:
             merged[-1][2] = max(merged[-1][2], t)
         else:
             merged.append([shift, s, t])
-    out = []
     for shift, s, t in merged:
         s, t = max(s, shift, 0), min(t, len(a) - width, len(b) - width + shift)
-        if s > t:
-            continue
-        x, y = a[s:t + width], b[s - shift:t - shift + width]
-        out += [(s + i, s + j, shift) for i, j in _passages(x, y, _alike(x, y, width, percent), width, percent)]
-    return out
+        if s <= t:
+            yield s, shift, a[s:t + width], b[s - shift:t - shift + width]
+
+
+def verified_spans(texts, width: int, percent: int):
+    """(text number, first word, end, alignment) of the passages of a with a near copy in b; texts are (a, b, runs)."""
+    found = [(k, *one) for k, (a, b, runs) in enumerate(texts) for one in _aligned(a, b, runs, width)]
+    for (k, s, shift, x, y), good in zip(found, _alike_each([f[3:] for f in found], width, percent)):
+        for i, j in _passages(x, y, good, width, percent):
+            yield k, s + i, s + j, shift
 
 
 def _verify(width: int, percent: int):
@@ -196,14 +235,11 @@ def _verify(width: int, percent: int):
 
     def rows(batches):
         for b in batches:
-            out = {k: [] for k in schema.names}
-            for d, e, runs, x, y in zip(*(b.column(k) for k in range(5))):
-                spans = verified_spans(np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32),
-                                       [(r["s"], r["t"], r["shift"]) for r in runs.as_py()], width, percent)
-                for s, t, shift in spans:
-                    for k, v in zip(schema.names, (d.as_py(), e.as_py(), s, t, s - shift)):
-                        out[k].append(v)
-            yield pa.RecordBatch.from_pydict(out, schema)
+            d, e = (b.column(k).to_pylist() for k in range(2))
+            texts = [(np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32), [(r["s"], r["t"], r["shift"]) for r in runs.as_py()])
+                     for runs, x, y in zip(*(b.column(k) for k in range(2, 5)))]
+            out = [(d[k], e[k], s, t, s - shift) for k, s, t, shift in verified_spans(texts, width, percent)]
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(5)], schema=schema)
     return rows
 
 
@@ -278,8 +314,8 @@ def _of_equal_runs(table: pa.Table) -> np.ndarray:
     return out
 
 
-#: numbers in a matrix of the comparison; runs that are first compared with
-CELLS, FIRST_RUNS = 1 << 22, 128
+#: numbers in a matrix of the comparison; runs that a step of it looks at, the first and the last ones
+CELLS, FIRST_RUNS, MOST_RUNS = 1 << 22, 128, 2048
 
 
 class _Group:
@@ -290,17 +326,21 @@ class _Group:
         self.sig, self.doc, self.s, self.c, self.own = (table[k].to_numpy() for k in ("sig", "doc_id", "s", "c", "own"))
         buf, off = C.binary_arrays(table["h"])
         self.tok, self.off = np.frombuffer(buf.tobytes(), np.uint32), off // 4
-        run = np.repeat(np.arange(len(self.doc)), np.diff(self.off))
+        run = self.run = np.repeat(np.arange(len(self.doc)), np.diff(self.off))
         self.of = np.unique(self.sig, return_inverse=True)[1]
-        self.run, self.name = run, np.unique(self.of[run] << 32 | self.tok, return_inverse=True)[1]
-        least = np.full(self.name.max() + 1, _NULL_ID)
-        most = np.full(len(least), np.iinfo(np.int64).min)
-        np.minimum.at(least, self.name, self.doc[run])
-        np.maximum.at(most, self.name, self.doc[run])
+        # a name for each shingle of a signature; signatures may share some, which only makes the filters below wider
+        name = self.tok + C.mix(self.sig.view(np.uint64)).astype(np.uint32)[run]
+        order = _by_value(name)
+        new = np.concatenate([[True], name[order[1:]] != name[order[:-1]]])
+        number = np.cumsum(new) - 1
+        self.name = np.empty(len(name), np.int64)
+        self.name[order] = number
+        holder = self.doc[run[order]]
+        least, most = (op.reduceat(holder, np.flatnonzero(new)) for op in (np.minimum, np.maximum))
         self.several = least < most
-        each = np.unique(run << 32 | self.name, return_inverse=True)[1]
-        n = _distinct(each, width)
-        common = _distinct(each, width, counted=least[self.name] < self.doc[run])
+        before = _places_before(self.tok)  # one in another run counts as none
+        n = _distinct(before, width)
+        common = _distinct(before, width, counted=least[self.name] < self.doc[run])
         self.first = np.flatnonzero(run[:len(n)] == run[width - 1:])  # windows inside a run: one for each of its starts
         self.n, self.at, common = n[self.first], run[self.first], common[self.first]
         self.window = np.searchsorted(self.at, np.arange(len(self.doc) + 1))
@@ -313,19 +353,35 @@ class _Group:
         np.minimum.at(fewest, self.of, self.fewest)
         self.may = (100 * common >= percent * self.n) & ((100 + percent) * common >= percent * (self.n + fewest[self.of[self.at]]))
 
-    def passages(self, r: int, q: int):
-        """Passages of run r at its open starts that q has a near copy of; these starts are closed."""
-        left = self.open[self.window[r]:self.window[r + 1]]
+    def overlap(self, r: int, q: int) -> tuple[int, int, int]:
+        """[first, end) of the starts of run r with a start of run q at their alignment; the alignment."""
         turn = int((self.c[r] - self.s[r]) - (self.c[q] - self.s[q]))
-        lo, hi = max(0, turn), min(len(left), self.window[q + 1] - self.window[q] + turn)  # starts of r with a start of q at that alignment
-        if lo >= hi or not left[lo:hi].any():
-            return
-        x, y = (self.tok[self.off[k] + i:self.off[k] + j - 1 + self.width] for k, i, j in ((r, lo, hi), (q, lo - turn, hi - turn)))
-        good = _alike(x, y, self.width, self.percent) & left[lo:hi]
-        for i, j in _passages(x, y, good, self.width, self.percent):
-            start = int(self.s[r]) + lo + i
-            yield int(self.doc[r]), int(self.doc[q]), start, int(self.s[r]) + lo + j, start - int(self.s[r]) - turn + int(self.s[q])
-        left[lo:hi] &= ~good
+        return max(0, turn), int(min(self.window[r + 1] - self.window[r], self.window[q + 1] - self.window[q] + turn)), turn
+
+    def settle(self, wanted: list):
+        """Passages at open starts of runs; wanted are (run, its open windows, the runs to compare it with, which window fits which of these).
+        Each run is compared with its next one, all at once, until its starts are closed or none is left."""
+        while wanted:
+            pairs, texts, later = [], [], []
+            for r, own, others, fit in wanted:
+                use = np.flatnonzero((fit & self.open[own][:, None]).any(axis=0))
+                if not len(use):
+                    continue
+                q = int(others[use[0]])
+                lo, hi, turn = self.overlap(r, q)
+                if lo < hi:
+                    pairs.append((r, q, lo, hi, turn))
+                    texts.append(tuple(self.tok[self.off[k] + i:self.off[k] + j - 1 + self.width] for k, i, j in ((r, lo, hi), (q, lo - turn, hi - turn))))
+                if len(use) > 1:
+                    later.append((r, own, others[use[1:]], fit[:, use[1:]]))
+            for (r, q, lo, hi, turn), (x, y), good in zip(pairs, texts, _alike_each(texts, self.width, self.percent)):
+                left = self.open[self.window[r]:self.window[r + 1]]
+                good = good & left[lo:hi]
+                for i, j in _passages(x, y, good, self.width, self.percent):
+                    start = int(self.s[r]) + lo + i
+                    yield int(self.doc[r]), int(self.doc[q]), start, int(self.s[r]) + lo + j, start - int(self.s[r]) - turn + int(self.s[q])
+                left[lo:hi] &= ~good
+            wanted = later
 
     def _members(self, name: np.ndarray, row: np.ndarray, n_rows: int, names: np.ndarray) -> np.ndarray:
         """Which of the names each row holds, as a matrix of 0 and 1."""
@@ -335,44 +391,54 @@ class _Group:
         out[row[on], at[on]] = 1
         return out
 
-    def of_signature(self, a: int, b: int, apart: bool):
-        """Passages at the open starts of runs [a, b) of one signature: the shingles that open windows and runs have in common are counted
-        as products of matrices; runs of small doc_ids come first, and a window that has found its copy leaves."""
-        span = slice(self.off[a], self.off[b])
-        names = np.unique(self.name[span][self.several[self.name[span]]])
-        lo, step = a, FIRST_RUNS
-        while lo < b:
-            hi = min(b, lo + max(1, min(step, CELLS // len(names))))
-            step *= 4
-            todo = self.window[a] + np.flatnonzero(self.open[self.window[a]:self.window[b]])
-            todo = todo[self.doc[self.at[todo]] > self.doc[lo]]
-            if not len(todo):
-                return
-            part = slice(self.off[lo], self.off[hi])
-            holds = self._members(self.name[part], self.run[part] - lo, hi - lo, names).T
-            size = max(1, CELLS // max(len(names), hi - lo))
-            for k in range(0, len(todo), size):
-                own = todo[k:k + size]
-                tokens = self.name[self.first[own][:, None] + np.arange(self.width)].ravel()
-                common = self._members(tokens, np.repeat(np.arange(len(own)), self.width), len(own), names) @ holds
-                r, n = self.at[own], self.n[own].astype(np.float32)
-                fit = 100 * common >= self.percent * n[:, None]
-                fit &= (100 + self.percent) * common >= self.percent * (n[:, None] + self.fewest[lo:hi].astype(np.float32))
-                fit &= self.doc[r][:, None] > self.doc[lo:hi]
-                if apart:
-                    fit &= self.own[r][:, None] != self.own[lo:hi]
-                rows = np.flatnonzero(fit.any(axis=1))
-                if not len(rows):
-                    continue
-                cuts = np.concatenate([[0], np.flatnonzero(np.diff(r[rows])) + 1, [len(rows)]])
-                for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                    mine, one = rows[i:j], int(r[rows[i]])
-                    for q in np.flatnonzero(fit[mine].any(axis=0)).tolist():
-                        if (self.open[own[mine]] & fit[mine, q]).any():
-                            yield from self.passages(one, lo + q)
-                            if not self.open[own[mine]].any():
-                                break
-            lo = hi
+    def wanted(self, a: int, b: int, lo: int, step: int, apart: bool):
+        """For the open windows of runs [a, b) of one signature, which runs from ``lo`` on have enough shingles in common with them
+        (products of matrices), and the place up to which runs were looked at."""
+        part = slice(self.off[a], self.off[b])
+        names = np.unique(self.name[part][self.several[self.name[part]]])
+        todo = self.window[a] + np.flatnonzero(self.open[self.window[a]:self.window[b]])
+        todo = todo[self.doc[self.at[todo]] > self.doc[lo]]
+        if not len(todo):
+            return b, []
+        hi = min(b, lo + max(1, min(step, CELLS // len(names))))
+        part = slice(self.off[lo], self.off[hi])
+        holds = self._members(self.name[part], self.run[part] - lo, hi - lo, names).T
+        size, out = max(1, CELLS // max(len(names), hi - lo)), []
+        for k in range(0, len(todo), size):
+            own = todo[k:k + size]
+            tokens = self.name[self.first[own][:, None] + np.arange(self.width)].ravel()
+            common = self._members(tokens, np.repeat(np.arange(len(own)), self.width), len(own), names) @ holds
+            r, n = self.at[own], self.n[own].astype(np.float32)
+            fit = 100 * common >= self.percent * n[:, None]
+            fit &= (100 + self.percent) * common >= self.percent * (n[:, None] + self.fewest[lo:hi].astype(np.float32))
+            fit &= self.doc[r][:, None] > self.doc[lo:hi]
+            if apart:
+                fit &= self.own[r][:, None] != self.own[lo:hi]
+            rows = np.flatnonzero(fit.any(axis=1))
+            cuts = np.flatnonzero(np.diff(r[rows])) + 1
+            for mine in np.split(rows, cuts) if len(rows) else ():
+                use = np.flatnonzero(fit[mine].any(axis=0))
+                out.append((int(r[mine[0]]), own[mine], lo + use, fit[np.ix_(mine, use)]))
+        return hi, out
+
+    def passages(self, apart: bool):
+        """Passages at the open starts of all runs; runs of small doc_ids are looked at first, and a start that has found its copy leaves."""
+        bounds = np.searchsorted(self.of, np.arange(self.of[-1] + 2))
+        left = [(bounds[g], bounds[g + 1], bounds[g]) for g in np.unique(self.of[self.at[self.open]]).tolist()]
+        step = FIRST_RUNS
+        while left:
+            later, found, held = [], [], 0
+            for a, b, lo in left:
+                hi, some = self.wanted(a, b, lo, step, apart)
+                found += some
+                held += sum(f[3].size for f in some)
+                if hi < b:
+                    later.append((a, b, hi))
+                if held > 4 * CELLS:
+                    yield from self.settle(found)
+                    found, held = [], 0
+            yield from self.settle(found)
+            left, step = later, min(4 * step, MOST_RUNS)
 
 
 def _compared(width: int, percent: int):
@@ -392,9 +458,7 @@ def _compared(width: int, percent: int):
                 out += [(int(doc[r]), int(doc[q]), int(s[r]) + i, int(s[r]) + j + width + SHINGLE - 2, int(s[q]) + i) for i, j in _stretches(left)]
         group = _Group(table.filter(pa.array(equal < 0)), width, percent)
         group.open &= group.may
-        for g in np.unique(group.of[group.at[group.open]]).tolist():
-            a, b = np.searchsorted(group.of, [g, g + 1]).tolist()
-            out += group.of_signature(a, b, apart)
+        out += group.passages(apart)
         every = np.array(sorted(set(out)), np.int64).reshape(-1, 5)
         return pa.table({k: every[:, m] for m, k in enumerate(("doc_id", "other_id", "start", "end", "other_start"))})
     return spans

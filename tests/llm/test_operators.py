@@ -140,7 +140,7 @@ def test_every_window_of_a_run_is_compared(shift):
     pairs += [([f"r{k}" for k in rng.integers(0, 3, 150)], [f"r{k}" for k in rng.integers(0, 3, 150)]), (["r"] * 100, ["r"] * 90)]
     for a, b in pairs:
         x, y = (np.array([hash(tuple(w[i:i + 5])) & 0xFFFFFFFF for i in range(len(w) - 4)], np.uint32) for w in (a, b))
-        got = {w for s, e, k in passage_dedup.verified_spans(x, y, [(0, len(x), shift)], 46, 80) for w in range(s, e)}
+        got = {w for _, s, e, k in passage_dedup.verified_spans([(x, y, [(0, len(x), shift)])], 46, 80) for w in range(s, e)}
         good = [i for i in range(max(0, shift), min(len(a), len(b) + shift) - 49) if jaccard(a[i:i + 50], b[i - shift:i - shift + 50]) >= 0.8]
         assert got == {w for i in good for w in range(i, i + 50)}
 
