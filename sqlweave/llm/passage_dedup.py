@@ -247,7 +247,8 @@ _RUN = "sig long, doc_id long, s int, t int, c int, k long, open binary"
 
 
 def _open_starts(words: int):
-    """Runs of a block, with a byte for each start: whether no passage found so far holds it (empty where all are held)."""
+    """Runs of a block, with a byte for each start: whether no passage found so far holds it (empty where all are held, and for runs of
+    the smallest doc_id of their signature, which have nothing left to be compared with)."""
     def rows(batches):
         for b in batches:
             for block, runs, cover in zip(*(b.column(k) for k in ("block_id", "runs", "cover"))):
@@ -268,7 +269,7 @@ def _open_starts(words: int):
                 free = np.cumsum(step) <= 0
                 count = np.concatenate([[0], np.cumsum(free)])
                 lo, hi = begin[which] + s, begin[which] + t + 1
-                some = count[hi] > count[lo]
+                some = (count[hi] > count[lo]) & runs.field("later").to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block.as_py()] * len(doc), pa.int64()), *(runs.field(k) for k in ("sig", "doc_id", "s", "t", "c", "k")),
                      pa.array([free[i:j].tobytes() if o else b"" for i, j, o in zip(lo.tolist(), hi.tolist(), some.tolist())], pa.binary())],
@@ -472,11 +473,14 @@ def _further(blocks: DataFrame, runs: DataFrame, pairs: DataFrame, shingles: Dat
              .join(shingles.groupBy("doc_id").count().where("count = 1"), "doc_id", "left_semi"))  # an id of several texts says nothing of each
     cover = (spans.join(alone.select("doc_id", "block_id"), "doc_id").groupBy("block_id")
              .agg(F.collect_list(F.struct("doc_id", "start", "end")).alias("cover")))  # passages of one block
-    several = runs.groupBy("sig").agg(F.count("*").alias("k")).where("k > 2")
-    by_block = runs.join(several, "sig").groupBy("block_id").agg(F.collect_list(F.struct("sig", "doc_id", "s", "t", "c", "k")).alias("runs"))
+    several = runs.groupBy("sig").agg(F.count("*").alias("k"), F.min("doc_id").alias("least")).where("k > 2")
+    by_block = (runs.join(several, "sig").withColumn("later", F.col("doc_id") > F.col("least"))
+                .groupBy("block_id").agg(F.collect_list(F.struct("sig", "doc_id", "s", "t", "c", "k", "later")).alias("runs")))
     placed = C.saved(by_block.join(cover, "block_id", "left").mapInArrow(_open_starts(words), "block_id long, " + _RUN), "open-runs")
     C.release(spark)
-    left = placed.join(placed.where("length(open) > 0").select("sig").distinct(), "sig", "left_semi")
+    # a run is compared with smaller doc_ids only: those of no open one's are done with
+    last = placed.where("length(open) > 0").groupBy("sig").agg(F.max("doc_id").alias("last"))
+    left = placed.join(last, "sig").where("length(open) > 0 OR doc_id < last")
     again = left.groupBy("block_id").agg(F.collect_list(F.struct("sig", "doc_id", "s", "t", "c", "k", "open")).alias("runs"))
     members = C.saved(blocks.join(again.hint("shuffle_hash"), "block_id").mapInArrow(_with_shingles(width), _RUN + ", h binary"), "open-members")
     C.release(spark)
