@@ -6,11 +6,15 @@ Vertex ids are attached to every occurrence of a label by two windows keyed by s
 (first occurrence per label, then a dense rank in first-occurrence order), and the edges are
 regrouped from those rows. No map lookup (linear in Spark) and no join on a key other than
 stmt_id, so the work per statement stays linear in its edges and the stmt_id partitioning
-of the merged edges is reused throughout.
+of the merged edges is reused throughout. The documents (L41) need no row per occurrence: the edges of a statement come
+together in its row, and its vertices are numbered by array steps over many statements at once.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,35 +68,75 @@ def _join_sorted(order: str):
     return F.concat(F.lit("["), F.array_join(F.transform(s, lambda x: x["json"]), ","), F.lit("]"))
 
 
+NUMBERED = ("struct<edges:array<struct<sources:array<int>,targets:array<int>>>,"
+            "vertices:array<struct<id:int,vertexType:string,vertexId:string>>>")
+
+
+def _lengths(lists: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _lists(values: pa.Array, lengths: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), values)
+
+
+def _numbers(values: pa.Array) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _numbered(made: pa.Array, sources: pa.Array, ords: pa.Array) -> pa.Array:
+    """NUMBERED of statements, from a list of edges each: the made targets (label, ord), the sources (label, type) and the place
+    (sink, i) of each edge. The order of ``occurrences``: targets of all edges first, then sources; a vertex has the type of its
+    creation."""
+    n_edges, made, sources, ords = _lengths(made), made.flatten(), sources.flatten(), ords.flatten()
+    n_made, n_src, t, s = _lengths(made), _lengths(sources), made.flatten(), sources.flatten()
+    stmt_of = np.repeat(np.arange(len(n_edges)), n_edges)
+    edge = np.concatenate([np.repeat(np.arange(len(stmt_of)), k) for k in (n_made, n_src)])
+    p = np.arange(len(edge)) - np.concatenate([np.repeat(np.cumsum(k) - k, k) for k in (n_made, n_src)])
+    p[len(t):] -= len(t)
+    stmt, phase = stmt_of[edge], np.repeat([0, 1], [len(t), len(s)])
+    by = [np.concatenate([_numbers(t.field("ord").field(k)), _numbers(ords.field(k))[edge[len(t):]]]) for k in ("sink", "i")]
+    label = pa.concat_arrays([t.field("label"), s.field("label")])
+    kind = pa.concat_arrays([pa.array(["COLUMN"] * len(t), pa.string()), s.field("type")])
+    code = pc.fill_null(label.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    key = stmt * (code.max(initial=0) + 1) + code
+    # vertices in the order in which their labels are first seen; a statement's lie one behind the other
+    seen = np.lexsort((phase, stmt))
+    _, first, vertex = np.unique(key[seen], return_index=True, return_inverse=True)
+    by_first = np.argsort(first)
+    rank = np.empty(len(first), np.int64)
+    rank[by_first] = np.arange(len(first))
+    v = np.empty(len(key), np.int64)
+    v[seen] = rank[vertex]
+    v_row = seen[first[by_first]]
+    n_vertices = np.bincount(stmt[v_row], minlength=len(n_edges))
+    base = np.cumsum(n_vertices) - n_vertices
+    made_at = np.lexsort((p, phase, by[1], by[0], v))
+    v_kind = made_at[np.searchsorted(v[made_at], np.arange(len(v_row)))]
+    ids = pa.array(v - base[stmt], pa.int32())
+    edges = pa.StructArray.from_arrays([_lists(ids.slice(len(t)), n_src), _lists(ids.slice(0, len(t)), n_made)], ["sources", "targets"])
+    vertices = pa.StructArray.from_arrays([pa.array(np.arange(len(v_row)) - base[stmt[v_row]], pa.int32()), kind.take(pa.array(v_kind)),
+                                           label.take(pa.array(v_row))], ["id", "vertexType", "vertexId"])
+    return pa.StructArray.from_arrays([_lists(edges, n_edges), _lists(vertices, n_vertices)], ["edges", "vertices"])
+
+
 def lineage_json(statements: DataFrame, merged: DataFrame) -> DataFrame:
     """One document per statement of ``statements`` (those without edges get empty
-    arrays). One linear pipeline: the per-edge groups also carry the vertices first seen in
-    that edge, and one per-statement group assembles both arrays (a plan that fed two
-    consumers from the same exchange-free stage would compute the whole graph twice)."""
-    occ = occurrences(merged)
-    vfrag = F.when(F.col("seen") == F.col("first_seen"), F.struct(
-        "id", F.to_json(F.struct("id", F.col("vtype").alias("vertexType"),
-                                 F.col("label").alias("vertexId"))).alias("json")))
-    g = occ.groupBy("stmt_id", "edge_pos", "edge_type", "expr").agg(
-        F.array_sort(F.collect_list(F.struct("phase", "p", "id"))).alias("_o"),
-        F.collect_list(vfrag).alias("_v"))
-    ids = lambda ph: F.array_distinct(F.transform(F.filter("_o", lambda x: x["phase"] == ph), lambda x: x["id"]))
-    edge = F.to_json(F.struct(ids(1).alias("sources"), ids(0).alias("targets"),
-                              F.col("expr").alias("expression"), F.col("edge_type").alias("edgeType")))
-    per_stmt = g.groupBy("stmt_id").agg(
-        _join_sorted_expr(F.collect_list(F.struct("edge_pos", edge.alias("json")))).alias("edges"),
-        _join_sorted_expr(F.flatten(F.collect_list("_v"))).alias("vertices"))
+    arrays). One linear pipeline: the edges of a statement are grouped once, with the partitioning they have, and
+    its vertices are numbered within its row."""
+    per_stmt = (merged.where((F.size("made") > 0) | (F.size("sources") > 0)).groupBy("stmt_id")
+                .agg(F.array_sort(F.collect_list(F.struct("edge_pos", "edge_type", "expr", "ord", "made", "sources"))).alias("e")))
+    per_stmt = per_stmt.select("stmt_id", "e", F.arrow_udf(_numbered, NUMBERED)("e.made", "e.sources", "e.ord").alias("n"))
+    edges = F.transform("e", lambda x, i: F.struct(
+        F.array_distinct(F.get("n.edges", i)["sources"]).alias("sources"), F.array_distinct(F.get("n.edges", i)["targets"]).alias("targets"),
+        x["expr"].alias("expression"), x["edge_type"].alias("edgeType")))
+    per_stmt = per_stmt.select("stmt_id", F.to_json(edges).alias("edges"), F.to_json("n.vertices").alias("vertices"))
     d = statements.select("stmt_id").join(per_stmt, "stmt_id", "left")
     doc = F.concat(F.lit('{"edges":'), F.coalesce("edges", F.lit("[]")),
                    F.lit(',"vertices":'), F.coalesce("vertices", F.lit("[]")), F.lit("}"))
     return d.select("stmt_id", doc.alias("json"))
 
 
-def _join_sorted_expr(items):
-    s = F.array_sort(items)
-    return F.concat(F.lit("["), F.array_join(F.transform(s, lambda x: x["json"]), ","), F.lit("]"))
-
-
 def write_documents(docs: DataFrame, path: str) -> str:
     """L41 sink: one JSON document per line (JSON Lines), written by the executors."""
     docs.select("json").write.mode("overwrite").text(path)
