@@ -19,12 +19,15 @@ a doc_id are in order of a hash of their texts; an empty table writes files with
 from __future__ import annotations
 
 import codecs
+import functools
 import hashlib
+import itertools
 import re
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -40,94 +43,123 @@ END_ID = 0
 SAMPLE_DOCS = 512
 DICT_BYTES = 64 << 10
 SHARD_TOKENS = 1 << 18
-_CACHE_ENTRIES = 200_000
+_CACHE_ENTRIES = 300_000
+# Text encoded at once: words that come again in it are looked up once.
+_CALL_BYTES = 1 << 22
 _SIGNS = '.,;:!?|*&%$#"()[]{}<>=+-_/\\@~^`'
 _NULL_ID = np.iinfo(np.int64).max
 
 # In byte-level BPE a white space character between others is a piece of its own or, if it is a blank before a word, leads that
 # word's piece; so texts can be cut at blanks and line ends and the words looked up. Only runs of three, runs that end a text and
 # other kinds of white space, and the special token, go to the tokenizer whole.
-_WHOLE = re.compile(r"[ \n][ \n][ \n]|[ \n][ \n]\Z")
+_WHOLE = r"[ \n][ \n][ \n]|[ \n][ \n]\z"
 _OTHER_BLANKS = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 _SPECIAL = "<|endoftext|>"
 
 
-class _OtherBlank(Exception):
-    """A word holds white space other than blanks and line ends."""
-
+class Encoder:
+    """Ids of texts as little-endian unsigned 32-bit bytes, each with the end id. Arrow cuts the texts into units, finds the different
+    ones and looks them up in those seen before; the others are encoded, and the ids put where a unit occurs.
 
-class _Pieces(dict):
-    """Ids of the lead (a blank or nothing) and the key, as bytes; what is missing is encoded, or taken over from the generation before."""
+    A unit is a word with the blank before it (held as the word), or a line's first word with the line end before it (held as both)."""
 
-    def __init__(self, tokenizer, lead: str, older: dict):
-        self.tokenizer, self.lead, self.older = tokenizer, lead, older
-        self.shown_lead = "\u0120" if lead else ""
-        self.tokenize = tokenizer.model.tokenize
-        self.raw = [np.array([k], "<u4").tobytes() for k in range(tokenizer.get_vocab_size())]
-        self.signs: dict[str, bytes] = {}
+    def __init__(self, name: str = TOKENIZER):
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        self.tokenize = self.tokenizer.model.tokenize
+        self.line = self.whole("\n")
+        self.end = [END_ID]
+        self.signs: dict[str, list[int]] = {}
         # how byte-level BPE shows bytes: the printable ones as they are, the others from U+0100 on, in order
         printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         others = iter(range(0x100, 0x200))
         self.shown = "".join(chr(b if b in printable else next(others)) for b in range(256))
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            # letters, then perhaps signs, are one or two pieces of byte-level BPE: the letters go straight to the model
-            stem = word.rstrip(_SIGNS)
-            if not stem.isalpha() or not (stem.isascii() or max(stem) < "\u0250"):
-                if _OTHER_BLANKS.search(word):
-                    raise _OtherBlank
-                ids = self.whole(self.lead + word)
-            elif len(stem) == len(word):
-                seen = word if word.isascii() else codecs.charmap_decode(word.encode(), "strict", self.shown)[0]
-                raw = self.raw
-                ids = b"".join([raw[t.id] for t in self.tokenize(self.shown_lead + seen)])
-            else:
-                signs = word[len(stem):]
-                if signs not in self.signs:
-                    self.signs[signs] = self.whole(signs)
-                ids = self[stem] + self.signs[signs]
-        self[word] = ids
-        return ids
-
-
-class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes, each with the end id. Words seen before come from two
-    generations of a bounded cache."""
-
-    def __init__(self, name: str = TOKENIZER):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.end = np.array([END_ID], "<u4").tobytes()
-        self.line = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, "<u4").tobytes()
-        self.after = {lead: _Pieces(self.tokenizer, lead, {}) for lead in (" ", "")}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        for lead, pieces in self.after.items():
-            if len(pieces) > _CACHE_ENTRIES:
-                self.after[lead] = _Pieces(self.tokenizer, lead, dict(pieces))
-        first, later, out = self.after[""], self.after[" "].__getitem__, []
-        for text in texts:
-            if _SPECIAL in text or _WHOLE.search(text):
-                out.append(first.whole(text) + self.end)
-                continue
-            try:
-                lines = []
-                for line in text.split("\n"):
-                    words = line.split(" ")
-                    lines.append(first[words[0]] + b"".join(map(later, words[1:])))
-                out.append(self.line.join(lines) + self.end)
-            except _OtherBlank:
-                out.append(first.whole(text) + self.end)
-        return out
-
-
-def _texts(col: pa.Array) -> list[str]:
-    return [t or "" for t in col.to_pylist()]
+        # units seen before: where their ids start in ids, how many they are (-1: not to be cut), and whether they came in a later call
+        self.units, self.again = pa.array([], pa.large_string()), np.zeros(0, bool)
+        self.start, self.n, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def encoded(self, unit: str) -> list[int] | None:
+        """Ids of a unit; None if it holds white space other than blanks and line ends."""
+        if unit.isalpha() and unit.isascii():  # letters are one piece of byte-level BPE: they go straight to the model
+            return [t.id for t in self.tokenize("\u0120" + unit)]
+        first = unit.startswith("\n")
+        word = unit[1:] if first else unit
+        stem = word.rstrip(_SIGNS)
+        if not stem.isalpha() or not (stem.isascii() or max(stem) < "\u0250"):
+            if _OTHER_BLANKS.search(word):
+                return None
+            return self.line + self.whole(word) if first else self.whole(" " + word)
+        seen = stem if stem.isascii() else codecs.charmap_decode(stem.encode(), "strict", self.shown)[0]
+        ids = [t.id for t in self.tokenize(seen if first else "\u0120" + seen)]
+        if len(stem) < len(word):  # letters, then signs, are two pieces
+            signs = word[len(stem):]
+            if signs not in self.signs:
+                self.signs[signs] = self.whole(signs)
+            ids += self.signs[signs]
+        return self.line + ids if first else ids
+
+    def __call__(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        texts = pc.fill_null(texts, "")
+        whole = pc.or_(pc.match_substring(texts, _SPECIAL), pc.match_substring_regex(texts, _WHOLE))
+        found = iter(self._by_units(texts.filter(pc.invert(whole))))
+        out = [None if w else next(found) for w in whole.to_pylist()]
+        raw = lambda ids: np.array(ids, "<u4").tobytes()
+        end = raw(self.end)
+        return [(raw(self.whole(texts[k].as_py())) if ids is None else ids) + end for k, ids in enumerate(out)]
+
+    def _by_units(self, texts: pa.Array) -> list[bytes | None]:
+        """Ids without the end id; None where a text has a unit that is not to be cut."""
+        if not len(texts):
+            return []
+        # each line, the first too, starts with a unit that holds a line end; the first one's is left out again below
+        none, line = (pa.scalar(x, pa.large_string()) for x in ("", "\n"))
+        marked = pc.binary_join_element_wise(none, pc.replace_substring(texts, "\n", " \n"), line)
+        cut = pc.split_pattern(marked, " ")
+        found = cut.flatten().dictionary_encode()
+        at, unit = cut.offsets.to_numpy(), self._numbers(found.dictionary)[found.indices.to_numpy()]
+        odds = np.concatenate([[0], np.cumsum(self.n[unit] < 0)])[at]
+        n = np.maximum(self.n[unit], 0)
+        ends = np.concatenate([[0], np.cumsum(n)])
+        raw = self.ids[np.repeat(self.start[unit] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+        ends, skip = 4 * ends[at], 4 * len(self.line)
+        if len(self.units) > _CACHE_ENTRIES:
+            self._forget()
+        return [None if o else raw[lo + skip:hi] for o, lo, hi in zip(np.diff(odds).tolist(), ends[:-1].tolist(), ends[1:].tolist())]
+
+    def _numbers(self, units: pa.Array) -> np.ndarray:
+        """The places of different units among those seen before, which new ones are added to."""
+        number = pc.fill_null(pc.index_in(units, value_set=self.units), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.again[number[number >= 0]] = True
+        new = np.flatnonzero(number < 0)
+        number[new] = len(self.units) + np.arange(len(new))
+        texts = units.take(pa.array(new))
+        ids = list(map(self.encoded, texts.to_pylist()))
+        n = np.array([-1 if i is None else len(i) for i in ids], np.int64)
+        flat = np.fromiter(itertools.chain.from_iterable(i for i in ids if i), "<u4")
+        held = np.maximum(n, 0)
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(held) - held])
+        self.units, self.n = pa.concat_arrays([self.units, texts]), np.concatenate([self.n, n])
+        self.ids, self.again = np.concatenate([self.ids, flat]), np.concatenate([self.again, np.zeros(len(new), bool)])
+        return number
+
+    def _forget(self) -> None:
+        """Keeps units that came again since the last time, at most half as many as there may be."""
+        kept = np.flatnonzero(self.again)[:_CACHE_ENTRIES // 2]
+        held = np.maximum(self.n[kept], 0)
+        start = np.cumsum(held) - held
+        self.ids = self.ids[np.repeat(self.start[kept] - start, held) + np.arange(held.sum())]
+        self.units, self.start, self.n = self.units.take(pa.array(kept)), start, self.n[kept]
+        self.again = np.zeros(len(kept), bool)
+
+
+@functools.cache
+def encoder(name: str) -> Encoder:
+    """One a worker process: reading the tokenizer's file takes as long as encoding a megabyte of text."""
+    return Encoder(name)
 
 
 def _dictionary(docs: DataFrame, tokenizer: str, sample_docs: int) -> bytes:
@@ -136,8 +168,8 @@ def _dictionary(docs: DataFrame, tokenizer: str, sample_docs: int) -> bytes:
     sample = docs.join(F.broadcast(ids), "doc_id", "left_semi").orderBy("doc_id", F.xxhash64("text")).limit(sample_docs)
 
     def train(batches):
-        encode = Encoder(tokenizer)
-        arrays = [a for b in batches for a in encode(_texts(b.column(0)))]
+        encode = encoder(tokenizer)
+        arrays = [a for b in batches for a in encode(b.column(0))]
         try:
             made = zstandard.train_dictionary(DICT_BYTES, arrays).as_bytes()
         except (zstandard.ZstdError, ValueError):  # too few or too short arrays
@@ -186,30 +218,32 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, sample_
     spark.createDataFrame([(dict_hash.hex(), dictionary)], "sha256 string, dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
 
     def shards(batches):
-        encode = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         if shared:
             shared.precompute_compress(level=1)  # else each frame would digest the dictionary anew
         packer = zstandard.ZstdCompressor(level=1, dict_data=shared)
-        part, shard, before = TaskContext.get().partitionId(), 0, 0
+        part, shard, before, held = TaskContext.get().partitionId(), 0, 0, 0
         ids, counts, frames = [], [], []
 
         def row():
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "shard": pa.array([shard], pa.int64()),
-                "tokens": pa.array([sum(counts)], pa.int64()),
+                "tokens": pa.array([held], pa.int64()),
                 "content": pa.array([shard_content(ids, counts, frames, before, dict_hash)], pa.binary())})
 
         for b in batches:
             off = C.binary_arrays(b.column(1))[1]
-            for lo, hi in C.pieces(off):
-                ids += C.id_array(b.column(0).slice(lo, hi - lo)).tolist()
-                for raw in encode(_texts(b.column(1).slice(lo, hi - lo))):
+            for lo, hi in C.pieces(off, _CALL_BYTES):
+                doc_ids = C.id_array(b.column(0).slice(lo, hi - lo)).tolist()
+                for doc_id, raw in zip(doc_ids, encode(b.column(1).slice(lo, hi - lo))):
+                    ids.append(doc_id)
                     counts.append(len(raw) // 4)
                     frames.append(packer.compress(raw))
-                if sum(counts) >= SHARD_TOKENS:
-                    yield row()
-                    shard, before, ids, counts, frames = shard + 1, before + sum(counts), [], [], []
+                    held += counts[-1]
+                    if held >= SHARD_TOKENS:
+                        yield row()
+                        shard, before, held, ids, counts, frames = shard + 1, before + held, 0, [], [], []
         if ids:
             yield row()
 

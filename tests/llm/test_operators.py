@@ -209,6 +209,23 @@ def test_encoder_on_odd_white_space():
         assert np.frombuffer(ids, "<u4").tolist() == encode.tokenizer.encode(t, add_special_tokens=False).ids + [0], repr(t)
 
 
+def test_encoder_keeps_and_forgets_units(monkeypatch):
+    import random
+    assert token_files.encoder(token_files.TOKENIZER) is token_files.encoder(token_files.TOKENIZER)
+    monkeypatch.setattr(token_files, "_CACHE_ENTRIES", 60)
+    encode = token_files.Encoder()
+    r = random.Random(7)
+    common, sizes, seen = ["the", "and,", "naïve", "x1", "a\tb", "\n", ""], [], []
+    encoded = encode.encoded
+    encode.encoded = lambda unit: seen.append(unit) or encoded(unit)
+    for _ in range(30):
+        texts = [" ".join(r.choice(common) if r.random() < 0.5 else "".join(r.choice("abcé.") for _ in range(4)) for _ in range(20)) for _ in range(4)]
+        for t, ids in zip(texts + [None], encode(texts + [None])):
+            assert np.frombuffer(ids, "<u4").tolist() == encode.tokenizer.encode(t or "", add_special_tokens=False).ids + [0], repr(t)
+        sizes.append(len(encode.units))
+    assert max(sizes) <= 60 and seen.count("the") < 5  # common units are kept, the number of units held is bounded
+
+
 def test_decontamination(spark, docs):
     df, rows = docs
     item = " ".join(rows[0][1].split()[2:20])
