@@ -112,6 +112,26 @@ def test_split_lines_gives_the_rows_of_the_whole_file_split(spark, tmp_path):
     assert got == want
 
 
+def test_split_lines_of_any_bytes_and_any_order_of_lines(spark, tmp_path):
+    """Bytes that are no UTF-8 hide no semicolon; lines that lie in any order and partitions give the same rows."""
+    texts = [t.encode() for t in TEXTS if t] + [b"a \xe4;b\n\xfc;;c\xe9\n;\xe4", b"\xe4\xf6;\xfc;\n", "ä".encode()[:1] + b";x"]
+    for i, t in enumerate(texts):
+        (tmp_path / f"f{i}.sql").write_bytes(t)
+    want = sorted((r.sql_file, r.stmt_pos, r.sql) for r in S.split_statements(read_scripts(spark, str(tmp_path))).collect())
+    lines = read_script_lines(spark, str(tmp_path))
+    for some in (lines, lines.repartition(3, "line"), lines.orderBy(F.xxhash64("line", "seq"))):
+        saved = some.persist()  # the place of a line is that of one reading
+        assert sorted((r.sql_file, r.stmt_pos, r.sql) for r in S.split_lines(saved).collect()) == want
+        saved.unpersist()
+
+
+def test_split_lines_sorts_no_lines(spark, tmp_path):
+    """Only rows of runs are sorted or put into windows."""
+    (tmp_path / "f.sql").write_text("a;\nb;\n" * 50)
+    plan = S.split_lines(read_script_lines(spark, str(tmp_path)))._jdf.queryExecution().executedPlan().toString()
+    assert "seq" not in "".join(x for x in plan.splitlines() if "Sort [" in x or "Window [" in x)
+
+
 def test_read_report(spark, tmp_path):
     """One damaged and one missing file among good ones: the others are read."""
     import gzip
